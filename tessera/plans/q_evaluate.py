@@ -1 +1,149 @@
-"""(queries registered on import)"""
+"""Evaluation joins over V6 (three evaluation logs) and lookups against the dimensions."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.operators import evaluate as E
+from tessera.operators import records as R
+from tessera.operators.log import latest_per_key, with_status
+from tessera.plans import oracle_text as T
+from tessera.plans.registry import query
+
+LATEST3 = """s AS (SELECT idea_id, arg_max(challenge_id, "offset") AS scope_challenge_id FROM v6_scope GROUP BY 1),
+t AS (SELECT idea_id, arg_max(challenge_id, "offset") AS time_challenge_id FROM v6_time GROUP BY 1),
+c AS (SELECT idea_id, arg_max(challenge_id, "offset") AS cost_challenge_id FROM v6_cost GROUP BY 1)"""
+
+
+def _joined(v):
+    j = E.join_evaluations(v.v6_scope, v.v6_time, v.v6_cost)
+    return j.select("idea_id", F.col("scope.challenge_id").alias("scope_challenge_id"),
+                    F.col("time.challenge_id").alias("time_challenge_id"),
+                    F.col("cost.challenge_id").alias("cost_challenge_id"),
+                    F.col("scope.offset").alias("scope_offset"))
+
+
+@query("join_evaluations", "JN-1", views=("v6",), bench=True, sql=f"""
+WITH {LATEST3}
+SELECT idea_id, scope_challenge_id, time_challenge_id, cost_challenge_id FROM s JOIN t USING (idea_id) JOIN c USING (idea_id)
+""")
+def join_evaluations_q(v):
+    """Latest scope/time/cost evaluation per idea, ideas present in all three."""
+    return _joined(v).drop("scope_offset")
+
+
+@query("join_evaluations_from_scope", "JN-2 WIN-3", views=("v6",), sql="""
+WITH s AS (SELECT idea_id, arg_max(challenge_id, "offset") AS scope_challenge_id FROM v6_scope GROUP BY 1),
+t AS (SELECT idea_id, arg_min(challenge_id, "offset") AS time_challenge_id FROM v6_time GROUP BY 1),
+c AS (SELECT idea_id, arg_min(challenge_id, "offset") AS cost_challenge_id FROM v6_cost GROUP BY 1)
+SELECT idea_id, scope_challenge_id, time_challenge_id, cost_challenge_id FROM s JOIN t USING (idea_id) JOIN c USING (idea_id)
+""")
+def join_evaluations_from_scope(v):
+    """File variant: ids from the scope set, first time/cost match per id (explicit order)."""
+    complete, _ = E.join_evaluations_from(v.v6_scope, v.v6_time, v.v6_cost)
+    return complete.select("idea_id", F.col("scope.challenge_id").alias("scope_challenge_id"),
+                           F.col("time.challenge_id").alias("time_challenge_id"),
+                           F.col("cost.challenge_id").alias("cost_challenge_id"))
+
+
+@query("skipped_evaluations", "JN-2 JN-4", views=("v6",), sql="""
+SELECT DISTINCT idea_id, idea_id NOT IN (SELECT idea_id FROM v6_time) AS missing_time,
+       idea_id NOT IN (SELECT idea_id FROM v6_cost) AS missing_cost
+FROM v6_scope WHERE idea_id NOT IN (SELECT idea_id FROM v6_time) OR idea_id NOT IN (SELECT idea_id FROM v6_cost)
+""")
+def skipped_evaluations(v):
+    """Ideas skipped because an evaluation is missing, with the missing sides."""
+    _, skipped = E.join_evaluations_from(v.v6_scope, v.v6_time, v.v6_cost)
+    return skipped
+
+
+@query("complete_only", "FLT-6 SET-1", views=("v6",), sql="""
+SELECT idea_id FROM (SELECT idea_id, 'scope' AS kind FROM v6_scope UNION ALL SELECT idea_id, 'time' FROM v6_time
+  UNION ALL SELECT idea_id, 'cost' FROM v6_cost) GROUP BY idea_id HAVING count(DISTINCT kind) = 3
+""")
+def complete_only_q(v):
+    """Ids having all three evaluation kinds."""
+    return E.complete_only(E.tag_kinds(v.v6_scope, v.v6_time, v.v6_cost))
+
+
+@query("group_evaluations", "AGG-14", views=("v6",), sql="""
+WITH u AS (SELECT idea_id, "offset", challenge_id, 'scope' AS kind FROM v6_scope
+  UNION ALL SELECT idea_id, "offset", challenge_id, 'time' FROM v6_time
+  UNION ALL SELECT idea_id, "offset", challenge_id, 'cost' FROM v6_cost)
+SELECT idea_id, arg_max(challenge_id, "offset") FILTER (WHERE kind = 'scope') AS scope,
+  arg_max(challenge_id, "offset") FILTER (WHERE kind = 'time') AS time,
+  arg_max(challenge_id, "offset") FILTER (WHERE kind = 'cost') AS cost
+FROM u GROUP BY idea_id
+""")
+def group_evaluations_q(v):
+    """One row per idea with the latest evaluation of each kind as a column."""
+    return E.group_evaluations(E.tag_kinds(v.v6_scope, v.v6_time, v.v6_cost))
+
+
+@query("join_decision_idea", "JN-3", views=("v2",), sql="""
+WITH d AS (SELECT key, arg_max(status, "offset") AS status, arg_max(score, "offset") AS score FROM v2 GROUP BY key)
+SELECT key, c_name, c_mktsegment, round(score, 2) AS score FROM d JOIN customer ON CAST(c_custkey AS VARCHAR) = key
+WHERE status = 'APPROVED'
+""")
+def join_decision_idea_q(v):
+    """Approved items (latest version) with their original record (customer)."""
+    dec = with_status(latest_per_key(v.v2, "key", value="status"), "APPROVED").select("key", "score")
+    ideas = v.t.customer.select(F.col("c_custkey").cast("string").alias("key"), "c_name", "c_mktsegment")
+    return E.join_decision_idea(dec, ideas, "key").select(
+        "key", "c_name", "c_mktsegment", F.round("score", 2).alias("score"))
+
+
+@query("customers_without_events", "JN-4", sql="""
+SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events)
+""")
+def customers_without_events(v):
+    """Rows whose partner is absent: customers with no event."""
+    return E.missing_side(v.t.customer.select("c_custkey"), v.t.events, "c_custkey", "user_id")
+
+
+@query("documents_without_labels", "JN-4", sql="""
+SELECT doc_id, lang FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+""")
+def documents_without_labels(v):
+    """Documents without a label."""
+    return E.missing_side(v.t.documents.select("doc_id", "lang"), v.t.labels, "doc_id")
+
+
+@query("with_context", "JN-6", views=("v1", "v2"), sql="""
+WITH d AS (SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key)
+SELECT key, "offset", (SELECT count(*) FROM v1) AS context_events,
+       (SELECT count(DISTINCT topic) FROM v1) AS context_topics
+FROM d WHERE status = 'APPROVED'
+""")
+def with_context_q(v):
+    """Every approved item with the one current-state row attached (scalar subquery, no join)."""
+    state = v.v1.agg(F.max("ts").alias("as_of"), F.count(F.lit(1)).alias("events"),
+                     F.countDistinct("topic").alias("topics"))
+    items = with_status(latest_per_key(v.v2, "key", value="status"), "APPROVED").select("key", "offset")
+    out = E.with_context(items, state)
+    return out.select("key", "offset", F.col("context.events").alias("context_events"),
+                      F.col("context.topics").alias("context_topics"))
+
+
+@query("build_decisions", "PRJ-5 UDF-2", views=("v4", "v6"), sql=f"""
+WITH {LATEST3},
+s2 AS (SELECT idea_id, arg_max("offset", "offset") AS scope_offset FROM v6_scope GROUP BY 1),
+j AS (SELECT * FROM s JOIN t USING (idea_id) JOIN c USING (idea_id) JOIN s2 USING (idea_id)),
+r AS (SELECT j.*, 'Idea ' || idea_id AS title, {T.strip_fences('v4.text')} AS clean FROM j JOIN v4 ON v4.id = j.scope_offset),
+p AS (SELECT *, {T.is_object('clean')} AS ok FROM r)
+SELECT idea_id, {T.record_id('decision-', 'idea_id', 'scope_challenge_id', 'time_challenge_id', 'cost_challenge_id')} AS decision_id,
+  CASE WHEN ok THEN coalesce(json_extract_string(clean, '$.recommendation'), 'RECONSIDER') ELSE 'RECONSIDER' END AS recommendation,
+  CASE WHEN ok THEN coalesce(json_extract_string(clean, '$.overall_risk'), 'MODERATE') ELSE 'HIGH' END AS overall_risk,
+  CASE WHEN ok THEN 0 ELSE 1 END AS findings,
+  CASE WHEN ok THEN '' ELSE 'Failed to generate decision. Manual review required.' END AS summary,
+  CAST(CASE WHEN ok THEN 0.7 ELSE 0.3 END AS DOUBLE) AS confidence_score, 'PENDING_APPROVAL' AS status
+FROM p
+""")
+def build_decisions(v):
+    """Decisions over the joined evaluations; the response of each idea is the raw text of its
+    scope event (V4), so parse successes take defaults and failures the fallback."""
+    j = _joined(v).withColumn("title", F.concat(F.lit("Idea "), F.col("idea_id")))
+    resp = v.v4.select(F.col("id").alias("scope_offset"), F.col("text").alias("response"))
+    d = R.build_decision(j.join(resp, "scope_offset"))
+    return d.select("idea_id", "decision_id", "recommendation", "overall_risk",
+                    F.size("key_findings").alias("findings"), "summary", "confidence_score", "status")
