@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import col_, strip_ws
 
 __all__ = [
+    "with_extracted", "with_repaired", "with_parsed",
     "strip_fences", "between_fences", "extract_object", "is_json_object", "repair_json",
     "repair_kind", "parse_or_fallback", "encode_json", "json_field", "connector_label",
     "to_score", "FENCE_JSON", "FENCE",
@@ -73,13 +74,13 @@ def extract_object(text) -> Column:
     t = strip_ws(text)
     # step 2a: ```json ... ```
     j_start = F.instr(t, FENCE_JSON) + F.lit(len(FENCE_JSON))          # 1-based start of inside
-    j_end = F.locate(FENCE, t, j_start)                                 # 1-based, 0 = absent
-    t_json = F.when(j_end > 0, strip_ws(F.substr(t, j_start, j_end - j_start))).otherwise(t)
+    j_rel = F.instr(F.substr(t, j_start), FENCE)                        # relative, 0 = absent
+    t_json = F.when(j_rel > 0, strip_ws(F.substr(t, j_start, j_rel - F.lit(1)))).otherwise(t)
     # step 2b: generic fence at the very start
     nl = F.instr(t, "\n")
     g_start = F.when(nl > 0, nl + F.lit(1)).otherwise(F.lit(1))
-    g_end = F.locate(FENCE, t, g_start)
-    t_gen = F.when(g_end > 0, strip_ws(F.substr(t, g_start, g_end - g_start))).otherwise(t)
+    g_rel = F.instr(F.substr(t, g_start), FENCE)
+    t_gen = F.when(g_rel > 0, strip_ws(F.substr(t, g_start, g_rel - F.lit(1)))).otherwise(t)
     has_second = F.instr(F.substr(t, F.lit(len(FENCE) + 1)), FENCE) > 0
     t = (F.when(t.contains(FENCE_JSON), t_json)
          .when(t.startswith(FENCE) & has_second, t_gen)
@@ -171,3 +172,85 @@ def to_score(x, strict: bool = False) -> Column:
     """SCL-21: numeric cast; ``strict`` raises on bad input (ANSI), else NULL."""
     c = col_(x)
     return c.cast("double") if strict else c.try_cast("double")
+
+
+# ----------------------------------------------------------------------------
+# Staged (DataFrame-level) forms.  Each step is its own projection, so a text is
+# referenced once per step instead of once per path through a nested expression
+# tree (the Column forms above duplicate sub-expressions and grow exponentially
+# when chained).  Catalyst keeps the projections apart because collapsing them
+# would duplicate non-cheap expressions.
+
+def with_extracted(df, text: str, out: str = "extracted"):
+    """SCL-7 as stages: adds ``out`` = the response cut down to its JSON object."""
+    t = F.col("_ex_t")
+    d = df.withColumn("_ex_t", strip_ws(F.col(text)))
+    j_start = F.instr(t, FENCE_JSON) + F.lit(len(FENCE_JSON))
+    nl = F.instr(t, "\n")
+    g_start = F.when(nl > 0, nl + F.lit(1)).otherwise(F.lit(1))
+    d = d.withColumn("_ex_js", j_start).withColumn("_ex_gs", g_start)
+    d = d.withColumn("_ex_jr", F.instr(F.substr(t, F.col("_ex_js")), FENCE)) \
+         .withColumn("_ex_gr", F.instr(F.substr(t, F.col("_ex_gs")), FENCE))
+    t_json = F.when(F.col("_ex_jr") > 0,
+                    strip_ws(F.substr(t, F.col("_ex_js"), F.col("_ex_jr") - F.lit(1)))).otherwise(t)
+    t_gen = F.when(F.col("_ex_gr") > 0,
+                   strip_ws(F.substr(t, F.col("_ex_gs"), F.col("_ex_gr") - F.lit(1)))).otherwise(t)
+    has_second = F.instr(F.substr(t, F.lit(len(FENCE) + 1)), FENCE) > 0
+    d = d.withColumn("_ex_2", F.when(t.contains(FENCE_JSON), t_json)
+                     .when(t.startswith(FENCE) & has_second, t_gen).otherwise(t))
+    t2 = F.col("_ex_2")
+    first = F.instr(t2, "{")
+    d = d.withColumn("_ex_3", F.when(~t2.startswith("{") & (first > 0), F.substr(t2, first)).otherwise(t2))
+    t3 = F.col("_ex_3")
+    last_from_end = F.instr(F.reverse(t3), "}")
+    d = d.withColumn(out, F.when(~t3.endswith("}") & (last_from_end > 0),
+                                 F.substr(t3, F.lit(1), F.length(t3) - last_from_end + F.lit(1)))
+                     .otherwise(t3))
+    return d.drop("_ex_t", "_ex_js", "_ex_gs", "_ex_jr", "_ex_gr", "_ex_2", "_ex_3")
+
+
+def with_repaired(df, col: str, out: str = "repaired", kind: str | None = None):
+    """SCL-8 as stages: adds ``out`` (first strict-object candidate or NULL) and, when
+    ``kind`` is given, which repair made it parse."""
+    c = F.col(col)
+    ok = [f"_rp_ok{i}" for i in range(4)]
+    names = [("as_is", col), ("commas", "_rp_1"), ("trailing", "_rp_2"), ("both", "_rp_3")]
+    # a repair candidate is only built (and parsed) when every earlier one failed
+    d = df.withColumn(ok[0], is_json_object(c))
+    builders = [None,
+                lambda: F.regexp_replace(c, MISSING_COMMA, MISSING_COMMA_FIX),
+                lambda: F.regexp_replace(c, TRAILING_COMMA, TRAILING_COMMA_FIX),
+                lambda: F.regexp_replace(F.col("_rp_1"), TRAILING_COMMA, TRAILING_COMMA_FIX)]
+    failed = ~F.col(ok[0])
+    for i in range(1, 4):
+        # '_rp_1' exists whenever the as-is text failed, so 'both' can start from it
+        d = d.withColumn(names[i][1], F.when(failed, builders[i]()))
+        d = d.withColumn(ok[i], F.when(failed, is_json_object(F.col(names[i][1]))).otherwise(F.lit(False)))
+        failed = failed & ~F.col(ok[i])
+    res = F.lit(None).cast("string")
+    lab = F.lit("none")
+    for i in reversed(range(4)):
+        res = F.when(F.col(ok[i]), F.col(names[i][1])).otherwise(res)
+        lab = F.when(F.col(ok[i]), F.lit(names[i][0])).otherwise(lab)
+    d = d.withColumn(out, res)
+    if kind:
+        d = d.withColumn(kind, lab)
+    return d.drop("_rp_1", "_rp_2", "_rp_3", *ok)
+
+
+def with_parsed(df, text: str, schema: str, out: str = "parsed", fallback=None,
+                error: bool = True):
+    """SCL-9 as stages: extract + repair + typed parse.
+
+    Adds ``out`` (the typed struct, or ``fallback`` when nothing parses) and, with
+    ``error``, ``parse_error`` / ``raw_response_preview`` for rows that failed."""
+    d = with_repaired(with_extracted(df, text, "_pf_x"), "_pf_x", "_pf_r")
+    ok = F.col("_pf_r").isNotNull()
+    parsed = F.from_json(F.col("_pf_r"), schema)
+    d = d.withColumn(out, F.when(ok, parsed).otherwise(fallback) if fallback is not None
+                     else F.when(ok, parsed))
+    if error:
+        d = (d.withColumn("parse_error", F.when(~ok, F.lit(PARSE_ERROR)))
+              .withColumn("raw_response_preview",
+                          F.when(~ok, F.coalesce(F.substring(F.col(text), 1, 500), F.lit("")))))
+    return d.withColumn("parse_ok", ok).drop("_pf_x", "_pf_r")

@@ -112,17 +112,18 @@ def fmt_money(x) -> Column:
 
 def fmt_pct(x) -> Column:
     """SCL-19: fraction → whole percent: 0.85 → '85%'."""
-    return F.concat(F.format_string("%.0f", col_(x) * 100), F.lit("%"))
+    return F.concat(F.format_string("%.0f", F.bround(col_(x) * 100, 0)), F.lit("%"))
 
 
 def fmt_pct1(x) -> Column:
     """SCL-19: fraction → percent with one decimal: 0.002 → '0.2%'."""
-    return F.concat(F.format_string("%.1f", col_(x) * 100), F.lit("%"))
+    return F.concat(F.format_string("%.1f", F.bround(col_(x) * 100, 1)), F.lit("%"))
 
 
 def fmt_score(x) -> Column:
-    """SCL-19: two decimals: 0.5 → '0.50'."""
-    return F.format_string("%.2f", col_(x))
+    """SCL-19: two decimals: 0.5 → '0.50' (ties to even first, as Python's format does for
+    exactly representable ties; Java's formatter alone would round them up)."""
+    return F.format_string("%.2f", F.bround(col_(x), 2))
 
 
 def normalise_choice(x) -> Column:

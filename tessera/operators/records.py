@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tessera.functions.jsontext import (between_fences, extract_object, is_json_object,
-                                        repair_json, strip_fences)
+                                        repair_json, strip_fences, with_extracted, with_repaired)
 from tessera.functions.text import iso_utc, record_id, safe_ident, slug
 
 # --- fixed values: record defaults and fallback texts ---
@@ -63,10 +63,14 @@ def clean_response(text, mode: str) -> Column:
 
 
 def _parse(df: DataFrame, response: str, mode: str, schema: str) -> DataFrame:
-    clean = clean_response(F.col(response), mode)
-    ok = is_json_object(clean) if mode != "repair" else clean.isNotNull()
-    return df.withColumn("_ok", F.coalesce(ok, F.lit(False))) \
-             .withColumn("_a", F.when(F.col("_ok"), F.from_json(clean, schema)))
+    """Adds ``_ok`` (the response holds one JSON object under ``mode``) and ``_a`` (typed)."""
+    if mode == "repair":
+        d = with_repaired(with_extracted(df, response, "_clean_x"), "_clean_x", "_clean")
+        d = d.drop("_clean_x").withColumn("_ok", F.col("_clean").isNotNull())
+    else:
+        d = df.withColumn("_clean", clean_response(F.col(response), mode))
+        d = d.withColumn("_ok", F.coalesce(is_json_object(F.col("_clean")), F.lit(False)))
+    return d.withColumn("_a", F.when(F.col("_ok"), F.from_json(F.col("_clean"), schema))).drop("_clean")
 
 
 def _g(field: str) -> Column:
@@ -166,7 +170,8 @@ def _challenge_head(idea_id: str, title: str, ts: Column | None, kind: str, orde
 
 
 def build_scope(df: DataFrame, response: str = "response", idea_id: str = "idea_id",
-                title: str = "title", ts: Column | None = None, order: str | None = None) -> DataFrame:
+                title: str = "title", ts: Column | None = None, order: str | None = None,
+                keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-2: ScopeChallenge; unparsable → MODERATE/MODERATE, confidence 0.5."""
     d = _parse(df, response, "fences",
                "complexity_rating STRING, scope_creep_risk STRING, technical_challenges ARRAY<STRING>, "
@@ -174,7 +179,7 @@ def build_scope(df: DataFrame, response: str = "response", idea_id: str = "idea_
                "recommended_scope_adjustments ARRAY<STRING>, confidence_score STRING, reasoning STRING")
     ok = F.col("_ok")
     return d.select(
-        *_challenge_head(idea_id, title, ts, "scope", order),
+        *keep, *_challenge_head(idea_id, title, ts, "scope", order),
         _pick(ok, _txt("complexity_rating", "MODERATE"), F.lit("MODERATE")).alias("complexity_rating"),
         _pick(ok, _txt("scope_creep_risk", "MODERATE"), F.lit("MODERATE")).alias("scope_creep_risk"),
         _pick(ok, _arr("technical_challenges"), _lit_arr(PARSE_FAILED)).alias("technical_challenges"),
@@ -186,7 +191,8 @@ def build_scope(df: DataFrame, response: str = "response", idea_id: str = "idea_
 
 
 def build_time(df: DataFrame, response: str = "response", idea_id: str = "idea_id",
-               title: str = "title", ts: Column | None = None, order: str | None = None) -> DataFrame:
+               title: str = "title", ts: Column | None = None, order: str | None = None,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-3: TimeChallenge; defaults 6/4/10 weeks, MODERATE."""
     phases = "ARRAY<STRUCT<name: STRING, duration_weeks: DOUBLE, description: STRING>>"
     d = _parse(df, response, "fences",
@@ -196,7 +202,7 @@ def build_time(df: DataFrame, response: str = "response", idea_id: str = "idea_i
     ok = F.col("_ok")
     no_phases = F.array().cast(phases.lower())
     return d.select(
-        *_challenge_head(idea_id, title, ts, "time", order),
+        *keep, *_challenge_head(idea_id, title, ts, "time", order),
         _pick(ok, _num("estimated_duration_weeks", 6.0), F.lit(6.0)).alias("estimated_duration_weeks"),
         _pick(ok, _num("best_case_weeks", 4.0), F.lit(4.0)).alias("best_case_weeks"),
         _pick(ok, _num("worst_case_weeks", 10.0), F.lit(10.0)).alias("worst_case_weeks"),
@@ -209,7 +215,8 @@ def build_time(df: DataFrame, response: str = "response", idea_id: str = "idea_i
 
 
 def build_cost(df: DataFrame, response: str = "response", idea_id: str = "idea_id",
-               title: str = "title", ts: Column | None = None, order: str | None = None) -> DataFrame:
+               title: str = "title", ts: Column | None = None, order: str | None = None,
+               keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-4: CostChallenge; development estimate 20000/35000/50000, 400/month."""
     res = "ARRAY<STRUCT<type: STRING, count: DOUBLE, duration_weeks: DOUBLE>>"
     infra = "ARRAY<STRUCT<component: STRING, monthly_cost: DOUBLE, notes: STRING>>"
@@ -223,7 +230,7 @@ def build_cost(df: DataFrame, response: str = "response", idea_id: str = "idea_i
                            F.lit(50000.0).alias("high"))
     no_res, no_infra = F.array().cast(res.lower()), F.array().cast(infra.lower())
     return d.select(
-        *_challenge_head(idea_id, title, ts, "cost", order),
+        *keep, *_challenge_head(idea_id, title, ts, "cost", order),
         _pick(ok, F.coalesce(_g("development_cost_estimate"), dev_default), dev_default)
         .alias("development_cost_estimate"),
         _pick(ok, _num("monthly_operational_cost", 400.0), F.lit(400.0)).alias("monthly_operational_cost"),
@@ -240,7 +247,7 @@ def build_cost(df: DataFrame, response: str = "response", idea_id: str = "idea_i
 def build_decision(df: DataFrame, response: str = "response", idea_id: str = "idea_id",
                    title: str = "title", scope_id: str = "scope_challenge_id",
                    time_id: str = "time_challenge_id", cost_id: str = "cost_challenge_id",
-                   ts: Column | None = None) -> DataFrame:
+                   ts: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-5: Decision over joined evaluations; default RECONSIDER/MODERATE/0.7, fallback
     RECONSIDER/HIGH/0.3; status PENDING_APPROVAL."""
     d = _parse(df, response, "fences",
@@ -250,7 +257,7 @@ def build_decision(df: DataFrame, response: str = "response", idea_id: str = "id
     ok = F.col("_ok")
     ts = ts if ts is not None else F.current_timestamp()
     return d.select(
-        iso_utc(ts).alias("timestamp"),
+        *keep, iso_utc(ts).alias("timestamp"),
         record_id(idea_id, scope_id, time_id, cost_id, prefix="decision-").alias("decision_id"),
         F.col(idea_id).alias("idea_id"), F.col(title).alias("idea_title"),
         F.col(scope_id).alias("scope_challenge_id"), F.col(time_id).alias("time_challenge_id"),
@@ -293,7 +300,7 @@ def _null_struct(field: str) -> Column:
 
 def build_solution(df: DataFrame, response: str | None = "response", idea_id: str = "idea_id",
                    title: str = "title", domain: str = "domain", related: str = "related_topics",
-                   ts: Column | None = None) -> DataFrame:
+                   ts: Column | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """PRJ-6: Solution (extract + repair parse).  ``response=None`` = no responder (UDF-2):
     every row takes the deterministic fallback design."""
     if response is None:
@@ -327,7 +334,7 @@ def build_solution(df: DataFrame, response: str | None = "response", idea_id: st
         return F.coalesce(_g(field), _typed_empty(field))
 
     return d.select(
-        iso_utc(ts).alias("timestamp"),
+        *keep, iso_utc(ts).alias("timestamp"),
         record_id(idea_id, prefix="solution-").alias("solution_id"),
         F.col(idea_id).alias("idea_id"), F.col(title).alias("idea_title"),
         _pick(ok, _txt("technical_approach", ""), approach).alias("technical_approach"),

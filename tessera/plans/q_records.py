@@ -1 +1,122 @@
-"""(queries registered on import)"""
+"""Response handling and record-builder queries over V4 (raw responses), V2 and orders."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import jsontext as J
+from tessera.functions.text import iso_utc
+from tessera.operators import records as R
+from tessera.operators.log import latest_per_key, with_status
+from tessera.plans import oracle_text as T
+from tessera.plans.registry import query
+
+EXTRACT = T.extract_steps("v4", "ex")
+REPAIR = T.repair_steps("ex", "obj", "rp")
+
+
+@query("repair_responses", "SCL-7 SCL-8", views=("v4",), bench=True, sql=f"""
+WITH {EXTRACT},
+{REPAIR}
+SELECT id, kind, repair, CAST(repaired->>'k' AS INTEGER) AS k, CAST(repaired->>'m' AS BIGINT) AS m FROM rp
+""")
+def repair_responses(v):
+    """Extract the JSON object of each response, repair it (first repair that parses wins),
+    read it typed."""
+    d = J.with_repaired(J.with_extracted(v.v4, "text", "obj"), "obj", "fixed", kind="repair")
+    parsed = F.from_json(F.col("fixed"), "k INT, m BIGINT")
+    return d.select("id", "kind", "repair", parsed.k.alias("k"), parsed.m.alias("m"))
+
+
+@query("parse_or_fallback", "SCL-9", views=("v4",), sql=f"""
+WITH {EXTRACT},
+{REPAIR}
+SELECT id, repaired IS NOT NULL AS ok, CAST(repaired->>'k' AS INTEGER) AS k,
+  CASE WHEN repaired IS NULL THEN 'Failed to parse or repair JSON' END AS error,
+  CASE WHEN repaired IS NULL THEN coalesce(left(text, 500), '') END AS raw_response_preview FROM rp
+""")
+def parse_or_fallback_q(v):
+    """Typed parse with the error record (message + 500-char preview) when nothing parses."""
+    d = J.with_parsed(v.v4, "text", "k INT")
+    return d.select("id", F.col("parse_ok").alias("ok"), F.col("parsed.k").alias("k"),
+                    F.col("parse_error").alias("error"), "raw_response_preview")
+
+
+@query("strip_fences", "SCL-5", views=("v4",), sql=f"""
+SELECT id, {T.strip_fences('text')} AS stripped, {T.is_object(T.strip_fences('text'))} AS parses FROM v4
+""")
+def strip_fences_q(v):
+    """Fence stripping of the evaluation agents, and whether the rest parses strictly."""
+    s = J.strip_fences(F.col("text"))
+    return v.v4.select("id", s.alias("stripped"), J.is_json_object(s).alias("parses"))
+
+
+@query("between_fences", "SCL-6", views=("v4",), sql=f"""
+SELECT id, {T.between_fences('text')} AS inner_text FROM v4
+""")
+def between_fences_q(v):
+    """Inside of the first ```json (else ```) block, else the whole text, trimmed."""
+    return v.v4.select("id", J.between_fences(F.col("text")).alias("inner_text"))
+
+
+def _idea_ctx(v):
+    return v.v4.select("id", F.col("user_id").cast("string").alias("idea_id"),
+                       F.concat(F.lit("Idea "), F.col("user_id").cast("string")).alias("title"),
+                       F.col("text").alias("response"), "event_type")
+
+
+FENCED = f"""f AS (SELECT id, CAST(user_id AS VARCHAR) AS idea_id, {T.strip_fences('text')} AS clean FROM v4),
+p AS (SELECT *, {T.is_object('clean')} AS ok FROM f)"""
+
+
+@query("build_scope", "PRJ-2", views=("v4",), sql=f"""
+WITH {FENCED}
+SELECT id, idea_id, {T.record_id('scope-', 'idea_id', "'scope'", 'id')} AS challenge_id,
+  'MODERATE' AS complexity_rating, 'MODERATE' AS scope_creep_risk,
+  CASE WHEN ok THEN 0 ELSE 1 END AS technical_challenges,
+  CAST(CASE WHEN ok THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence_score,
+  CASE WHEN ok THEN '' ELSE 'Scope analysis failed to parse. Manual review recommended.' END AS reasoning
+FROM p
+""")
+def build_scope_q(v):
+    """ScopeChallenge per response: parsed → defaults for missing fields, else the fallback."""
+    d = R.build_scope(_idea_ctx(v), order="id", keep=("id",))
+    return d.select("id", "idea_id", "challenge_id", "complexity_rating", "scope_creep_risk",
+                    F.size("technical_challenges").alias("technical_challenges"),
+                    "confidence_score", "reasoning")
+
+
+@query("build_time", "PRJ-3", views=("v4",), sql=f"""
+WITH {FENCED}
+SELECT id, 6.0::DOUBLE AS estimated_duration_weeks, 4.0::DOUBLE AS best_case_weeks, 10.0::DOUBLE AS worst_case_weeks,
+  'MODERATE' AS schedule_risk, CASE WHEN ok THEN 0 ELSE 1 END AS time_risk_factors,
+  CAST(CASE WHEN ok THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence_score,
+  CASE WHEN ok THEN '' ELSE 'Timeline analysis failed to parse. Manual review recommended.' END AS reasoning
+FROM p
+""")
+def build_time_q(v):
+    """TimeChallenge per response (defaults 6/4/10 weeks)."""
+    d = R.build_time(_idea_ctx(v), order="id", keep=("id",))
+    return d.select("id", "estimated_duration_weeks", "best_case_weeks", "worst_case_weeks",
+                    "schedule_risk", F.size("time_risk_factors").alias("time_risk_factors"),
+                    "confidence_score", "reasoning")
+
+
+@query("build_cost", "PRJ-4", views=("v4",), sql=f"""
+WITH {FENCED}
+SELECT id, 20000.0::DOUBLE AS dev_low, 35000.0::DOUBLE AS dev_medium, 50000.0::DOUBLE AS dev_high,
+  400.0::DOUBLE AS monthly_operational_cost, 'MODERATE' AS cost_risk, 'MODERATE' AS roi_potential,
+  CASE WHEN ok THEN 0 ELSE 1 END AS cost_optimization_opportunities,
+  CAST(CASE WHEN ok THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence_score
+FROM p
+""")
+def build_cost_q(v):
+    """CostChallenge per response (nested development-cost default)."""
+    d = R.build_cost(_idea_ctx(v), order="id", keep=("id",))
+    return d.select(
+        "id", F.col("development_cost_estimate.low").alias("dev_low"),
+        F.col("development_cost_estimate.medium").alias("dev_medium"),
+        F.col("development_cost_estimate.high").alias("dev_high"),
+        "monthly_operational_cost", "cost_risk", "roi_potential",
+        F.size("cost_optimization_opportunities").alias("cost_optimization_opportunities"),
+        "confidence_score")
