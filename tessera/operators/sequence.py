@@ -56,13 +56,15 @@ def _neq(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
 
 def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str, *,
              number: str | None = None, prev: Iterable[str] = (), prev_prefix: str = "prev_",
-             running: tuple[str, str] | None = None,
+             running: tuple[str, str] | None = None, running_op: str = "sum",
              partitions: int | None = None) -> DataFrame:
     """Add per-key ordered columns without putting a key into a single task.
 
     ``keys`` may be empty (one global order).  ``running=(source_col, out_col)`` adds a
-    running sum.  Rows come back range-partitioned and sorted by (keys, order).
+    running sum (``running_op="sum"``) or running maximum (``"max"``, NULLs ignored).
+    Rows come back range-partitioned and sorted by (keys, order).
     """
+    is_max = running_op == "max"
     keys, order, prev = _names(keys), _names(order), list(prev)
     s = sorted_checkpoint(df, keys, order, partitions)
     schema = s.schema
@@ -99,7 +101,12 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
             cont = run == 0                                  # continues the previous batch's run
             rn = pdf.groupby(run).cumcount().astype("int64") + 1
             rn[cont] += last_rn
-            if run_src:
+            if run_src and is_max:
+                lsum = pdf[run_src].groupby(run).cummax()
+                if seen and last_sum is not None and cont.any():
+                    head = lsum[cont]
+                    lsum[cont] = head.where(head.notna() & (head >= last_sum), last_sum)
+            elif run_src:
                 vals = pdf[run_src].fillna(0)
                 lsum = vals.groupby(run).cumsum()
                 lsum[cont] += last_sum
@@ -131,6 +138,8 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
             last_key = kdf.iloc[[-1]].reset_index(drop=True) if keys else None
             last_vals = {c: pdf[c].iloc[-1] for c in prev}
             last_rn, last_sum, seen = int(rn.iloc[-1]), lsum.iloc[-1], True
+            if is_max and pd.isna(last_sum):
+                last_sum = None
 
     local = s.mapInPandas(local_scan, local_schema)
 
@@ -149,7 +158,8 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
     def summarize(batches):
         from pyspark import TaskContext
 
-        seen, single, n_rows, last_run_n, last_run_sum = False, True, 0, 0, 0
+        seen, single, n_rows, last_run_n = False, True, 0, 0
+        last_run_sum = None if is_max else 0
         first_key = last_key = None
         last_vals: dict = {}
         for b in batches:
@@ -168,13 +178,25 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
                 single = False
             run = new_key.cumsum()
             tail = run == run.iloc[-1]
-            vals = b[run_src].fillna(0) if run_src else None
+            vals = (b[run_src] if is_max else b[run_src].fillna(0)) if run_src else None
+
+            def part(x):
+                if not run_src:
+                    return 0
+                return x.max() if is_max else x.sum()
+
+            def comb(a, c):
+                if not is_max:
+                    return a + c
+                vals_ = [x for x in (a, c) if x is not None and not pd.isna(x)]
+                return max(vals_) if vals_ else None
+
             if run.iloc[-1] == 0:
                 last_run_n += len(b)
-                last_run_sum += vals.sum() if run_src else 0
+                last_run_sum = comb(last_run_sum, part(vals)) if run_src else 0
             else:
                 last_run_n = int(tail.sum())
-                last_run_sum = vals[tail].sum() if run_src else 0
+                last_run_sum = part(vals[tail]) if run_src else 0
             last_key = kdf.iloc[[-1]].reset_index(drop=True) if keys else None
             last_vals = {c: b[c].iloc[-1] for c in prev}
             n_rows += len(b)
@@ -200,18 +222,23 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
 
     def fold(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(_PID).reset_index(drop=True)
-        rows, state_key, state_n, state_sum, state_vals = [], None, 0, 0, {}
+        rows, state_key, state_n, state_vals = [], None, 0, {}
+        state_sum = None if is_max else 0
         for r in pdf.to_dict("records"):
             first_key = tuple(r["first_" + k] for k in keys)
             same = state_key is not None and _tuple_eq(first_key, state_key)
             out = {_PID: r[_PID], "carry_n": state_n if same else 0,
-                   "carry_sum": state_sum if same else 0}
+                   "carry_sum": state_sum if same else (None if is_max else 0)}
             for c in prev:
                 out["carry_" + c] = state_vals.get(c) if same else None
             rows.append(out)
             if r["single_run"] and same:
                 state_n += r["last_run_n"]
-                state_sum += r["last_run_sum"]
+                if is_max:
+                    cand = [x for x in (state_sum, r["last_run_sum"]) if x is not None and not pd.isna(x)]
+                    state_sum = max(cand) if cand else None
+                else:
+                    state_sum += r["last_run_sum"]
             else:
                 state_n, state_sum = r["last_run_n"], r["last_run_sum"]
             state_key = tuple(r["last_" + k] for k in keys)
@@ -228,7 +255,10 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
     if number:
         out_cols.append((F.col(_LRN) + F.when(in_run0, F.coalesce(F.col("carry_n"), F.lit(0)))
                          .otherwise(F.lit(0))).alias(number))
-    if run_src:
+    if run_src and is_max:
+        out_cols.append(F.when(in_run0, F.greatest(F.col(_LSUM), F.col("carry_sum")))
+                        .otherwise(F.col(_LSUM)).cast(sum_type).alias(run_out))
+    elif run_src:
         out_cols.append((F.col(_LSUM) + F.when(in_run0, F.coalesce(F.col("carry_sum"), F.lit(0)))
                          .otherwise(F.lit(0))).cast(sum_type).alias(run_out))
     for c in prev:
@@ -261,3 +291,8 @@ def with_previous(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> Da
 def running_sum(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:
     """Running sum of ``col`` per key in ``order``."""
     return sequence(df, keys, order, running=(col, out))
+
+
+def running_max(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:
+    """Running maximum of ``col`` per key in ``order`` (NULLs ignored)."""
+    return sequence(df, keys, order, running=(col, out), running_op="max")

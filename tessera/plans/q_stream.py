@@ -1 +1,115 @@
-"""(queries registered on import)"""
+"""Stream operator queries, run as their batch twins over V1/V2 (the stream versions are
+checked against these twins in tests/test_streaming.py)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera import streaming as S
+from tessera.functions.text import iso_utc
+from tessera.operators.intervals import interval_join
+from tessera.plans.registry import query
+from tessera.streaming import batch as B
+
+ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f+00:00')"
+
+
+@query("sessions", "STM-3", views=("v1",), bench=True, sql=f"""
+WITH g AS (SELECT key, ts, "offset", epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY key ORDER BY ts, "offset")) AS gap FROM v1),
+f AS (SELECT key, ts, sum(CASE WHEN gap IS NULL OR gap >= 1800000000 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY key ORDER BY ts, "offset" ROWS UNBOUNDED PRECEDING) AS session_no FROM g)
+SELECT key, session_no, {ISO.format(c='min(ts)')} AS session_start,
+  {ISO.format(c='max(ts) + INTERVAL 30 MINUTE')} AS session_end, count(*) AS events
+FROM f GROUP BY key, session_no
+""")
+def sessions_q(v):
+    """User sessions with a 30-minute inactivity gap."""
+    s = B.sessions(v.v1, "key", "ts", "offset", 1800)
+    return s.select("key", "session_no", iso_utc("session_start").alias("session_start"),
+                    iso_utc("session_end").alias("session_end"), "events")
+
+
+@query("tumbling_counts", "STM-4", views=("v1",), sql=f"""
+SELECT {ISO.format(c="time_bucket(INTERVAL 1 HOUR, ts)")} AS window_start, topic, count(*) AS messages
+FROM v1 GROUP BY 1, 2
+""")
+def tumbling_counts(v):
+    """Messages per topic per hour (tumbling windows)."""
+    w = B.windowed_counts(v.v1, "ts", "1 hour")
+    return w.select(iso_utc("window_start").alias("window_start"), "topic", "messages")
+
+
+@query("sliding_counts", "STM-4", views=("v1",), sql=f"""
+WITH b AS (SELECT topic, time_bucket(INTERVAL 30 MINUTE, ts) AS b30 FROM v1),
+w AS (SELECT topic, b30 AS ws FROM b UNION ALL SELECT topic, b30 - INTERVAL 30 MINUTE FROM b)
+SELECT {ISO.format(c='ws')} AS window_start, topic, count(*) AS messages FROM w GROUP BY 1, 2
+""")
+def sliding_counts(v):
+    """Messages per topic in 1-hour windows sliding every 30 minutes."""
+    w = B.windowed_counts(v.v1, "ts", "1 hour", "30 minutes")
+    return w.select(iso_utc("window_start").alias("window_start"), "topic", "messages")
+
+
+@query("rate_per_topic", "STM-9", views=("v1",), sql=f"""
+SELECT {ISO.format(c="time_bucket(INTERVAL 1 HOUR, ts)")} AS window_start, topic,
+  round(count(*) / 3600.0, 9) AS messages_per_second, round(sum(strlen(props)) / 3600.0, 9) AS bytes_per_second
+FROM v1 GROUP BY 1, 2
+""")
+def rate_per_topic_q(v):
+    """Messages/s and bytes/s per topic per hour."""
+    r = S.rate_per_topic(v.v1, "ts", "1 hour", value="props", watermark=None)
+    return r.select(iso_utc("window_start").alias("window_start"), "topic",
+                    F.round("messages_per_second", 9).alias("messages_per_second"),
+                    F.round("bytes_per_second", 9).alias("bytes_per_second"))
+
+
+@query("stream_join", "STM-5", views=("v1",), sql="""
+SELECT c."offset" AS click_offset, p."offset" AS purchase_offset, c.key
+FROM v1 c JOIN v1 p ON c.key = p.key AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 10 MINUTE
+WHERE c.topic = 'click' AND p.topic = 'purchase'
+""")
+def stream_join_q(v):
+    """Clicks followed by a purchase of the same user within 10 minutes (bucketed
+    interval join: equi-join on (user, time bucket), then the exact bound)."""
+    clicks = v.v1.filter(F.col("topic") == "click").select(
+        "key", F.col("offset").alias("click_offset"), F.col("ts").alias("click_ts"))
+    buys = v.v1.filter(F.col("topic") == "purchase").select(
+        "key", F.col("offset").alias("purchase_offset"), F.col("ts").alias("purchase_ts"))
+    j = interval_join(clicks, buys, "key", "click_ts", "purchase_ts", 0, 600)
+    return j.select("click_offset", "purchase_offset", "key")
+
+
+@query("enrich", "STM-6", views=("v1",), sql="""
+SELECT "offset", topic, c_mktsegment, c_nationkey FROM v1 LEFT JOIN customer ON user_id = c_custkey
+""")
+def enrich_q(v):
+    """Activity enriched with customer reference data (missing reference → NULLs)."""
+    dim = v.t.customer.select(F.col("c_custkey").alias("user_id"), "c_mktsegment", "c_nationkey")
+    return S.enrich(v.v1.select("offset", "topic", "user_id"), dim, "user_id").drop("user_id")
+
+
+@query("route", "STM-2", views=("v1",), sql="""
+SELECT "offset", key, round(value, 2) AS value, 'big_purchases' AS topic FROM v1 WHERE topic = 'purchase' AND value > 100
+""")
+def route_q(v):
+    """Stateless filter/projection of large purchases into a new topic."""
+    return S.route(v.v1, (F.col("topic") == "purchase") & (F.col("value") > 100),
+                   ["offset", "key", F.round("value", 2).alias("value")], topic="big_purchases")
+
+
+@query("late_rows", "STM-10", views=("v2",), sql="""
+WITH m AS (SELECT key, "offset", ts, max(ts) OVER (ORDER BY "offset" ROWS UNBOUNDED PRECEDING) AS mx FROM v2)
+SELECT key, "offset" FROM m WHERE epoch_us(mx) - epoch_us(ts) > 2592000000000
+""")
+def late_rows_q(v):
+    """Versions whose time is more than 30 days behind the newest time already seen in log
+    order (what a 30-day watermark would drop); global running max, range-partitioned."""
+    return B.late_rows(v.v2.select("key", "offset", "ts"), "ts", "offset", 30 * 86400).select("key", "offset")
+
+
+@query("dedup", "STM-12", views=("v1",), sql="""
+SELECT key, props, min("offset") AS "offset" FROM v1 GROUP BY key, props
+""")
+def dedup_q(v):
+    """Republished payloads seen once: first occurrence of each (key, payload)."""
+    return B.dedup(v.v1.select("key", "props", "offset"), ["key", "props"], "offset")
