@@ -147,3 +147,30 @@ def build_decisions(v):
     d = R.build_decision(j.join(resp, "scope_offset"))
     return d.select("idea_id", "decision_id", "recommendation", "overall_risk",
                     F.size("key_findings").alias("findings"), "summary", "confidence_score", "status")
+
+
+def rule_responder(prompts, systems):
+    """A deterministic stand-in responder: an even-length prompt gets an approving JSON
+    answer in a ```json fence, an odd-length one gets prose (→ fallback)."""
+    ok = '```json\n{"recommendation": "APPROVE", "overall_risk": "LOW", "confidence_score": "0.9"}\n```'
+    return prompts.str.len().map(lambda n: ok if n % 2 == 0 else "I cannot decide this one.")
+
+
+@query("respond_decisions", "UDF-1 PRJ-12 PRJ-5", views=("v6",), sql=f"""
+WITH {LATEST3},
+j AS (SELECT idea_id, 'Decide on idea ' || idea_id AS prompt FROM s JOIN t USING (idea_id) JOIN c USING (idea_id))
+SELECT idea_id, CASE WHEN length(prompt) % 2 = 0 THEN 'APPROVE' ELSE 'RECONSIDER' END AS recommendation,
+  CASE WHEN length(prompt) % 2 = 0 THEN 'LOW' ELSE 'HIGH' END AS overall_risk,
+  CAST(CASE WHEN length(prompt) % 2 = 0 THEN 0.9 ELSE 0.3 END AS DOUBLE) AS confidence_score
+FROM j
+""")
+def respond_decisions(v):
+    """Decision prompts answered in bulk by a caller-supplied responder (one call per Arrow
+    batch), then parsed into Decision records with fallbacks."""
+    from tessera.operators.respond import respond
+
+    j = _joined(v)
+    prompts = R.render_prompts(j, "Decide on idea %s", [F.col("idea_id")])
+    resp = respond(prompts, rule_responder, "idea_id").withColumnRenamed("id", "idea_id")
+    d = R.build_decision(j.join(resp, "idea_id").withColumn("title", F.col("idea_id")))
+    return d.select("idea_id", "recommendation", "overall_risk", "confidence_score")
