@@ -63,36 +63,43 @@ def between_fences(text) -> Column:
     return strip_ws(inner)
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` once and use it several times in ``body`` (a one-element
+    ``transform``): keeps chained rules linear instead of duplicating sub-trees."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def extract_object(text) -> Column:
     """SCL-7: cut a response down to its JSON object.
 
     1. trim; 2. if it holds ```json and a closing fence after it, keep the inside;
     else if it starts with ``` and has another ```, keep from the first line break to
     the next fence; 3. cut to the first '{' unless it starts with one; 4. cut after
-    the last '}' unless it ends with one.
+    the last '}' unless it ends with one.  (``with_extracted`` is the staged form
+    for whole DataFrames; both give the same result.)
     """
-    t = strip_ws(text)
-    # step 2a: ```json ... ```
-    j_start = F.instr(t, FENCE_JSON) + F.lit(len(FENCE_JSON))          # 1-based start of inside
-    j_rel = F.instr(F.substr(t, j_start), FENCE)                        # relative, 0 = absent
-    t_json = F.when(j_rel > 0, strip_ws(F.substr(t, j_start, j_rel - F.lit(1)))).otherwise(t)
-    # step 2b: generic fence at the very start
-    nl = F.instr(t, "\n")
-    g_start = F.when(nl > 0, nl + F.lit(1)).otherwise(F.lit(1))
-    g_rel = F.instr(F.substr(t, g_start), FENCE)
-    t_gen = F.when(g_rel > 0, strip_ws(F.substr(t, g_start, g_rel - F.lit(1)))).otherwise(t)
-    has_second = F.instr(F.substr(t, F.lit(len(FENCE) + 1)), FENCE) > 0
-    t = (F.when(t.contains(FENCE_JSON), t_json)
-         .when(t.startswith(FENCE) & has_second, t_gen)
-         .otherwise(t))
-    # step 3: first '{'
-    first = F.instr(t, "{")
-    t = F.when(~t.startswith("{") & (first > 0), F.substr(t, first)).otherwise(t)
-    # step 4: last '}'
-    last_from_end = F.instr(F.reverse(t), "}")
-    t = F.when(~t.endswith("}") & (last_from_end > 0),
-               F.substr(t, F.lit(1), F.length(t) - last_from_end + F.lit(1))).otherwise(t)
-    return t
+    def step2(t):
+        j_start = F.instr(t, FENCE_JSON) + F.lit(len(FENCE_JSON))
+        t_json = _let(F.instr(F.substr(t, j_start), FENCE), lambda jr: F.when(
+            jr > 0, strip_ws(F.substr(t, j_start, jr - F.lit(1)))).otherwise(t))
+        nl = F.instr(t, "\n")
+        g_start = F.when(nl > 0, nl + F.lit(1)).otherwise(F.lit(1))
+        t_gen = _let(F.instr(F.substr(t, g_start), FENCE), lambda gr: F.when(
+            gr > 0, strip_ws(F.substr(t, g_start, gr - F.lit(1)))).otherwise(t))
+        has_second = F.instr(F.substr(t, F.lit(len(FENCE) + 1)), FENCE) > 0
+        return (F.when(t.contains(FENCE_JSON), t_json)
+                .when(t.startswith(FENCE) & has_second, t_gen).otherwise(t))
+
+    def step3(t):
+        first = F.instr(t, "{")
+        return F.when(~t.startswith("{") & (first > 0), F.substr(t, first)).otherwise(t)
+
+    def step4(t):
+        last_from_end = F.instr(F.reverse(t), "}")
+        return F.when(~t.endswith("}") & (last_from_end > 0),
+                      F.substr(t, F.lit(1), F.length(t) - last_from_end + F.lit(1))).otherwise(t)
+
+    return _let(_let(_let(strip_ws(col_(text)), step2), step3), step4)
 
 
 def is_json_object(text) -> Column:
@@ -103,11 +110,18 @@ def is_json_object(text) -> Column:
     return F.coalesce(F.size(parsed) == 1, F.lit(False))
 
 
-def _candidates(text: Column) -> list[tuple[str, Column]]:
-    commas = F.regexp_replace(text, MISSING_COMMA, MISSING_COMMA_FIX)
-    trailing = F.regexp_replace(text, TRAILING_COMMA, TRAILING_COMMA_FIX)
-    both = F.regexp_replace(commas, TRAILING_COMMA, TRAILING_COMMA_FIX)
-    return [("as_is", text), ("commas", commas), ("trailing", trailing), ("both", both)]
+def _repair(text: Column, label: bool) -> Column:
+    def body(t):
+        def with_commas(c):
+            trailing = F.regexp_replace(t, TRAILING_COMMA, TRAILING_COMMA_FIX)
+            both = F.regexp_replace(c, TRAILING_COMMA, TRAILING_COMMA_FIX)
+            return (F.when(is_json_object(t), F.lit("as_is") if label else t)
+                    .when(is_json_object(c), F.lit("commas") if label else c)
+                    .when(is_json_object(trailing), F.lit("trailing") if label else trailing)
+                    .when(is_json_object(both), F.lit("both") if label else both)
+                    .otherwise(F.lit("none") if label else F.lit(None).cast("string")))
+        return _let(F.regexp_replace(t, MISSING_COMMA, MISSING_COMMA_FIX), with_commas)
+    return _let(text, body)
 
 
 def repair_json(text) -> Column:
@@ -115,41 +129,32 @@ def repair_json(text) -> Column:
 
     Order: as-is → insert missing commas → drop trailing commas → both.
     """
-    t = col_(text)
-    out = F.lit(None).cast("string")
-    for _, cand in reversed(_candidates(t)):
-        out = F.when(is_json_object(cand), cand).otherwise(out)
-    return out
+    return _repair(col_(text), label=False)
 
 
 def repair_kind(text) -> Column:
     """Which repair made ``text`` parse: as_is / commas / trailing / both / none."""
-    t = col_(text)
-    out = F.lit("none")
-    for name, cand in reversed(_candidates(t)):
-        out = F.when(is_json_object(cand), F.lit(name)).otherwise(out)
-    return out
+    return _repair(col_(text), label=True)
 
 
 def parse_or_fallback(text, schema: str, fallback: Column | None = None) -> Column:
     """SCL-9: extract + repair + typed parse; else ``fallback``; else an error struct.
 
-    Without a fallback the result is a struct ``<error, raw_response_preview>`` on
-    failure and the parsed struct (as JSON text in ``parsed``) otherwise, so the
-    column type is fixed: ``struct<ok, parsed, error, raw_response_preview>``.
+    Without a fallback the result is ``struct<ok, parsed, error, raw_response_preview>``.
     """
     t = col_(text)
-    repaired = repair_json(extract_object(t))
-    parsed = F.from_json(repaired, schema)
-    if fallback is not None:
-        return F.when(repaired.isNotNull(), parsed).otherwise(fallback)
-    return F.struct(
-        repaired.isNotNull().alias("ok"),
-        parsed.alias("parsed"),
-        F.when(repaired.isNull(), F.lit(PARSE_ERROR)).alias("error"),
-        F.when(repaired.isNull(), F.coalesce(F.substring(t, 1, 500), F.lit(""))).alias(
-            "raw_response_preview"),
-    )
+
+    def body(repaired):
+        parsed = F.from_json(repaired, schema)
+        if fallback is not None:
+            return F.when(repaired.isNotNull(), parsed).otherwise(fallback)
+        return F.struct(
+            repaired.isNotNull().alias("ok"),
+            parsed.alias("parsed"),
+            F.when(repaired.isNull(), F.lit(PARSE_ERROR)).alias("error"),
+            F.when(repaired.isNull(), F.coalesce(F.substring(t, 1, 500), F.lit(""))).alias(
+                "raw_response_preview"))
+    return _let(repair_json(extract_object(t)), body)
 
 
 def encode_json(c) -> Column:
