@@ -48,10 +48,11 @@ def consumer_lag(positioned: DataFrame, topic: str = "topic", partition: str = "
     """AGG-8: lag per (topic, group) = Σ over partitions of (end − committed), kept when > 0.
 
     committed = highest position the group has read in the partition, end = the
-    partition's highest position.  Both are plain aggregations."""
-    ends = positioned.groupBy(topic, partition).agg(F.max("position").alias("end_position"))
+    partition's highest position.  Every message belongs to a group, so the ends are
+    the maxima of the commits: the positioned log is aggregated once."""
     commits = positioned.groupBy(topic, partition, group).agg(
         F.max("position").alias("committed_position"))
+    ends = commits.groupBy(topic, partition).agg(F.max("committed_position").alias("end_position"))
     lag = (commits.join(ends, [topic, partition])
            .groupBy(topic, group)
            .agg(F.sum(F.col("end_position") - F.col("committed_position")).alias("lag_messages")))

@@ -15,8 +15,12 @@ t AS (SELECT idea_id, arg_max(challenge_id, "offset") AS time_challenge_id FROM
 c AS (SELECT idea_id, arg_max(challenge_id, "offset") AS cost_challenge_id FROM v6_cost GROUP BY 1)"""
 
 
+def _narrow(df):
+    return df.select("idea_id", "offset", "challenge_id")
+
+
 def _joined(v):
-    j = E.join_evaluations(v.v6_scope, v.v6_time, v.v6_cost)
+    j = E.join_evaluations(_narrow(v.v6_scope), _narrow(v.v6_time), _narrow(v.v6_cost))
     return j.select("idea_id", F.col("scope.challenge_id").alias("scope_challenge_id"),
                     F.col("time.challenge_id").alias("time_challenge_id"),
                     F.col("cost.challenge_id").alias("cost_challenge_id"),
@@ -40,7 +44,7 @@ SELECT idea_id, scope_challenge_id, time_challenge_id, cost_challenge_id FROM s
 """)
 def join_evaluations_from_scope(v):
     """File variant: ids from the scope set, first time/cost match per id (explicit order)."""
-    complete, _ = E.join_evaluations_from(v.v6_scope, v.v6_time, v.v6_cost)
+    complete, _ = E.join_evaluations_from(_narrow(v.v6_scope), _narrow(v.v6_time), _narrow(v.v6_cost))
     return complete.select("idea_id", F.col("scope.challenge_id").alias("scope_challenge_id"),
                            F.col("time.challenge_id").alias("time_challenge_id"),
                            F.col("cost.challenge_id").alias("cost_challenge_id"))

@@ -142,31 +142,46 @@ def topic_health_q(v):
 # ------------------------------------------------------------------ snapshot
 
 def platform_state(v):
-    """The three state summaries of the platform, computed from the logs (one row each)."""
-    as_of = iso_utc(v.v1.agg(F.max("ts")).scalar())
+    """The three state summaries of the platform, computed from the logs (one row each).
+
+    The message log is aggregated once for every log-level figure; per-key latency
+    parts are a second aggregation.  Figures from other inputs join as scalar
+    subqueries (one row each), so no plan ever joins rows of the log."""
+    log = v.v1
+    key_parts = H.latency_parts(log)
+    lat = key_parts.agg(F.sum("span_us").alias("s"), F.sum("gaps").alias("g"))
+    stats = log.agg(
+        F.max("ts").alias("t1"), F.min("ts").alias("t0"),
+        F.countDistinct("topic").cast("int").alias("producers"),
+        F.sum(F.octet_length("props")).alias("bytes"),
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("topic") == "error").alias("errors"))
+    secs = (F.unix_micros(F.col("t1").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / 1e6
     schemas = C.schema_topics(registry_latest(v))
-    n_connectors = v.v1.agg(F.countDistinct("topic")).scalar()
     dep = schemas.agg(
         F.countDistinct("topic").cast("int").alias("total_topics"),
         F.count(F.lit(1)).cast("int").alias("total_schemas"),
-        F.countDistinct("domain").cast("int").alias("domain_count")).select(
-        F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"),
-        F.lit(CLUSTER_KEY).alias("cluster_id"), "total_topics", "total_schemas",
-        n_connectors.cast("int").alias("total_connectors"), "domain_count")
+        F.countDistinct("domain").cast("int").alias("domain_count"))
     catalog = v.v3.select(topic_of(F.col("subject")).alias("topic")).distinct()
     consumed = v.t.labels.select(F.concat(F.lit("doc_"), F.floor(F.col("doc_id") / 6)
                                           .cast("string")).alias("topic"))
     idle_n = C.idle_topics(catalog, consumed).agg(F.count(F.lit(1))).scalar()
-    use = U.consumer_counts(v.v7_members).select(
-        F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"), "consumer_groups",
-        "active_consumers", idle_n.cast("int").alias("idle_topic_count"))
     lag_n = U.consumer_lag(_positioned(v)).agg(F.count(F.lit(1))).scalar()
-    thr = H.throughput_mbps(v.v1, value="props").scalar()
-    lat = H.avg_latency_ms(v.v1).scalar()
-    met = H.error_rate(v.v1).select(
-        F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"),
-        thr.alias("total_throughput_mbps"), lat.alias("avg_latency_ms"), "error_rate",
+    use_row = U.consumer_counts(v.v7_members)
+    m = stats.select(
+        F.lit(CLUSTER_KEY).alias("_k"), iso_utc("t1").alias("timestamp"), "producers",
+        F.when(secs > 0, F.col("bytes") / secs / 1e6).otherwise(F.lit(0.0)).alias("total_throughput_mbps"),
+        F.coalesce(F.col("errors") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)).alias("error_rate"),
+        F.coalesce(lat.select(F.col("s") / F.nullif(F.col("g"), F.lit(0)) / 1e3).scalar(), F.lit(0.0))
+        .alias("avg_latency_ms"),
         lag_n.cast("int").alias("topics_with_lag_count"))
+    met = m.select("_k", "timestamp", "total_throughput_mbps", "avg_latency_ms", "error_rate",
+                   "topics_with_lag_count")
+    as_of = m.select("timestamp").scalar()
+    dep = dep.select(F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"),
+                     F.lit(CLUSTER_KEY).alias("cluster_id"), "total_topics", "total_schemas",
+                     m.select("producers").scalar().alias("total_connectors"), "domain_count")
+    use = use_row.select(F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"), "consumer_groups",
+                         "active_consumers", idle_n.cast("int").alias("idle_topic_count"))
     return dep, use, met, as_of
 
 
