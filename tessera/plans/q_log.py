@@ -246,3 +246,41 @@ def stage_counts_q(v):
     """Rows produced per stage."""
     return L.stage_counts(scope=v.v6_scope, time=v.v6_time, cost=v.v6_cost,
                           approved=L.with_status(v.v2, "APPROVED"))
+
+
+@query("documents_by_name", "SRT-7", sql="""
+SELECT source || '/' || CAST(doc_id AS VARCHAR) || '.json' AS name, lang FROM documents
+ORDER BY name
+""")
+def documents_by_name(v):
+    """Documents listed in file-name order."""
+    docs = v.t.documents.select(F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"),
+                                         F.lit(".json")).alias("name"), "lang")
+    return L.by_name(docs, "name")
+
+
+@query("publish_envelope", "SNK-1 SCL-14", views=("v2",), sql="""
+SELECT 'ideas' AS topic, key, to_json(struct_pack(key := key, status := status, domain := domain)) AS value
+FROM (SELECT key, arg_max(status, "offset") AS status, arg_max(domain, "offset") AS domain FROM v2 GROUP BY key)
+""")
+def publish_envelope(v):
+    """The (topic, key, value) records a publish appends: whole record as compact JSON."""
+    from tessera.sinks import envelope
+
+    latest = L.latest_per_key(v.v2, "key", value="status").select("key", "status", "domain")
+    return envelope(latest, "ideas", "key")
+
+
+@query("edits_or_empty", "SRC-5", views=("v2",), sql="""
+SELECT key, arg_max(status, "offset") AS status, FALSE AS edited FROM v2 GROUP BY key
+""")
+def edits_or_empty(v):
+    """Current items joined with an edits state that does not exist yet: an absent input
+    is an empty typed table, so every item comes through unedited."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import read_or_empty
+
+    edits = read_or_empty(v.spark, scratch_path(v.spark, "absent-edits"), "key STRING, title STRING")
+    latest = L.latest_per_key(v.v2, "key", value="status").select("key", "status")
+    return latest.join(edits.withColumn("edited", F.lit(True)), "key", "left") \
+                 .select("key", "status", F.coalesce("edited", F.lit(False)).alias("edited"))

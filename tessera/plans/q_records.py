@@ -132,7 +132,7 @@ def _idea_json(o):
         (F.col("o_totalprice") / 1e6).alias("confidence_score")))
 
 
-@query("build_raw_ideas", "PRJ-1 SCL-12 SCL-13 SCL-21", sql=f"""
+@query("build_raw_ideas", "PRJ-1 SCL-12 SCL-13 SCL-20 SCL-21", sql=f"""
 SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS timestamp,
   {T.record_id('idea-', 'o_orderkey')} AS idea_id, 'Order ' || CAST(o_orderkey AS VARCHAR) AS title,
   'No description provided' AS description,

@@ -43,3 +43,13 @@ def test_keyed_json_overwrite(spark, tmp_dir):
     p2 = sinks.write_json_docs(spark, v2, tmp_dir, p1, "id", "version")
     got = {r.id: r.body for r in spark.read.json(p2).collect()}
     assert got == {"a": "x2", "b": "y"} and p1 != p2
+
+
+def test_read_topics_aligns_columns(spark, tmp_dir):
+    from tessera.sources import read_topics
+
+    spark.createDataFrame([("k1", 1)], "key string, a int").write.parquet(f"{tmp_dir}/t1")
+    spark.createDataFrame([("k2", "x")], "key string, b string").write.parquet(f"{tmp_dir}/t2")
+    df = read_topics(spark, {"clicks": f"{tmp_dir}/t1", "views": f"{tmp_dir}/t2"})
+    rows = {r.topic: (r.key, r.a, r.b) for r in df.collect()}
+    assert rows == {"clicks": ("k1", 1, None), "views": ("k2", None, "x")}
