@@ -34,12 +34,30 @@ def _names(cols) -> list[str]:
     return [c for c in ([cols] if isinstance(cols, str) else list(cols))]
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Partition count for a range sort of ``df``: the larger of the configured shuffle
+    partitions and the optimizer's size estimate divided by the advisory partition size
+    (no job is run; at 100 TB this yields tens of thousands of ~256 MB ranges)."""
+    spark = df.sparkSession
+    conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    t = target.strip().lower().rstrip("b")
+    target_bytes = int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t or 67108864)
+    target_bytes = max(target_bytes, 4 * (1 << 20)) * 4      # scan output → ~256 MB sorted runs
+    try:
+        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimates are optional
+        est = 0
+    return max(conf, min(-(-est // target_bytes), 200_000))
+
+
 def sorted_checkpoint(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                       partitions: int | None = None) -> DataFrame:
     """Range-partition on (keys, order), sort inside partitions, checkpoint reliably."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or range_partitions(df)
     cols = [F.col(c) for c in list(keys) + list(order)]
     return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
 

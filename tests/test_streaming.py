@@ -90,7 +90,10 @@ def test_dedup_within_watermark(spark, tmp_dir):
     df.write.parquet(f"{tmp_dir}/d")
     s = spark.readStream.schema(df.schema).parquet(f"{tmp_dir}/d")
     out = run_memory(S.dedup(s, ["key", "props"], "event_time", "1 hour"), "dd", "append", f"{tmp_dir}/dc")
-    assert sorted(r.offset for r in out.collect()) in ([1, 3, 4], [1, 3])
+    got = sorted(r.offset for r in out.collect())
+    # one of the two copies 5 minutes apart survives (which one is arrival order inside
+    # the micro-batch); the copy 5 hours later is past the watermark window
+    assert len([o for o in got if o in (1, 2)]) == 1 and 3 in got and set(got) <= {1, 2, 3, 4}
 
 
 def test_upsert_idempotent_and_stage_resume(spark, log_dir, tmp_dir):
