@@ -55,7 +55,7 @@ def build_snapshot(spark: SparkSession, deployment: DataFrame | None, usage: Dat
                    now: Column | None = None) -> DataFrame:
     """PRJ-8 over JN-5: one CurrentState row.
 
-    Inputs are summary rows keyed by ``_k`` (see ``*_summary_from_record``); any may
+    Inputs are summary rows (see ``*_summary_from_record``); any may
     be ``None``/empty.  Missing values take the record defaults: cluster 'unknown',
     counts 0, rates 0.0, timestamps = ``now``, summary 'No synthesis available'.
     """
@@ -71,17 +71,21 @@ def build_snapshot(spark: SparkSession, deployment: DataFrame | None, usage: Dat
                "error_rate DOUBLE, topics_with_lag_count INT")
     syn = synthesis if synthesis is not None else _empty(
         spark, "summary STRING, observations ARRAY<STRING>")
-    keyed = [F.lit(CLUSTER_KEY).alias("_k")]
-    d = dep.select("_k", *[F.col(c).alias("d_" + c) for c in DEPLOYMENT_COLS])
-    u = use.select("_k", *[F.col(c).alias("u_" + c) for c in USAGE_COLS])
-    m = met.select("_k", *[F.col(c).alias("m_" + c) for c in METRICS_COLS])
-    s = syn.select(*keyed, F.col("summary").alias("s_summary"),
-                   F.col("observations").alias("s_observations")) if "_k" not in syn.columns else \
-        syn.select("_k", F.col("summary").alias("s_summary"), F.col("observations").alias("s_observations"))
-    # the seed row guarantees one output row even when every input is empty
-    seed = spark.range(1).select(F.lit(CLUSTER_KEY).alias("_k"))
-    j = (seed.join(d, "_k", "full").join(u, "_k", "full").join(m, "_k", "full")
-         .join(s, "_k", "left"))
+    def newest(df: DataFrame, cols: list[str]) -> Column:
+        # the newest row of a state input as one struct (NULL when the input is empty);
+        # a scalar subquery, so the snapshot plans no join at all
+        order = F.coalesce(F.col("timestamp"), F.lit("")) if "timestamp" in df.columns else F.lit(0)
+        return df.agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order)).scalar()
+
+    d = newest(dep, DEPLOYMENT_COLS)
+    u = newest(use, USAGE_COLS)
+    m = newest(met, METRICS_COLS)
+    sy = newest(syn, ["summary", "observations"])
+    j = spark.range(1).select(
+        *[d[c].alias("d_" + c) for c in DEPLOYMENT_COLS],
+        *[u[c].alias("u_" + c) for c in USAGE_COLS],
+        *[m[c].alias("m_" + c) for c in METRICS_COLS],
+        sy["summary"].alias("s_summary"), sy["observations"].alias("s_observations"))
     z = F.lit(0)
     return j.select(
         now.alias("timestamp"),
