@@ -45,10 +45,20 @@ def range_partitions(df: DataFrame) -> int:
     t = target.strip().lower().rstrip("b")
     target_bytes = int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t or 67108864)
     target_bytes = max(target_bytes, 4 * (1 << 20)) * 4      # scan output → ~256 MB sorted runs
+    # size of what the plan reads (its leaf relations: files, or a checkpoint's recorded
+    # statistics); operator estimates above the leaves (Python stages, joins) are unreliable
+    est = 0
     try:
-        est = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        for i in range(leaves.size()):
+            size = int(str(leaves.apply(i).stats().sizeInBytes()))
+            if size >= 2 ** 60:          # "unknown" (spark.sql.defaultSizeInBytes)
+                continue
+            est += size
     except Exception:  # noqa: BLE001 - estimates are optional
         est = 0
+    if est <= 0:
+        return conf
     return max(conf, min(-(-est // target_bytes), 200_000))
 
 
