@@ -121,13 +121,47 @@ def upsert_current(batch: DataFrame, batch_id: int, path: str, key: str = "key",
      .partitionBy("batch").parquet(f"{path}/log"))
 
 
+def _snapshots(spark, path: str) -> list[tuple[int, str]]:
+    """Committed compaction snapshots as (covered batch id, folder), newest last."""
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(f"{path}/snapshots")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if name.startswith("upto=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            out.append((int(name.split("=", 1)[1]), st.getPath().toString()))
+    return sorted(out)
+
+
 def read_current(spark, path: str, key: str = "key", order: str = "offset",
                  value: str | None = None) -> DataFrame:
-    """The materialised view: newest version per key over the change log."""
+    """The materialised view: newest version per key over the newest compaction snapshot
+    plus the change-log batches written after it (partition pruning on ``batch``)."""
     log = spark.read.parquet(f"{path}/log")
+    snaps = _snapshots(spark, path)
+    if snaps:
+        upto, folder = snaps[-1]
+        log = spark.read.parquet(folder).unionByName(log.filter(F.col("batch") > upto))
     return latest_per_key(log.drop("batch"), key, order, value)
 
 
+def compact(spark, path: str, key: str = "key", order: str = "offset") -> str:
+    """Write the current view as a snapshot covering every batch so far (a batch job run
+    off the streaming path); later reads start from it.  Old log batches can then be
+    expired by retention without changing the view."""
+    log = spark.read.parquet(f"{path}/log")
+    upto = log.agg(F.max("batch")).first()[0]
+    if upto is None:
+        return ""
+    current = read_current(spark, path, key, order)
+    folder = f"{path}/snapshots/upto={int(upto)}"
+    current.withColumn("batch", F.lit(int(upto))).write.mode("overwrite").parquet(folder)
+    return folder
+
+
 def materialise(stream: DataFrame, path: str, checkpoint: str, key: str = "key",
                 order: str = "offset", trigger: dict | None = None):
     """STM-7: keep a queryable latest-per-key table up to date from a stream."""

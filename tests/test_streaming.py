@@ -102,6 +102,11 @@ def test_upsert_idempotent_and_stage_resume(spark, log_dir, tmp_dir):
     S.upsert_current(batch, 0, f"{tmp_dir}/mv")        # retried batch: same result
     cur = S.read_current(spark, f"{tmp_dir}/mv")
     assert cur.count() == batch.select("key").distinct().count()
+    S.compact(spark, f"{tmp_dir}/mv")
+    newer = batch.limit(3).withColumn("offset", F.col("offset") + 10 ** 9).withColumn("topic", F.lit("late"))
+    S.upsert_current(newer, 1, f"{tmp_dir}/mv")
+    cur2 = S.read_current(spark, f"{tmp_dir}/mv")
+    assert cur2.count() == cur.count() and cur2.filter("topic = 'late'").count() == newer.select("key").distinct().count()
     # stage: drains what is there, then a rerun with the same checkpoint only reads new files
     src = f"{tmp_dir}/src"
     spark.read.parquet(f"{log_dir}/log").filter("topic = 'click'").write.parquet(src)
