@@ -85,15 +85,21 @@ def _neq(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
 def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str, *,
              number: str | None = None, prev: Iterable[str] = (), prev_prefix: str = "prev_",
              running: tuple[str, str] | None = None, running_op: str = "sum",
-             partitions: int | None = None) -> DataFrame:
+             partitions: int | None = None, strategy: str = "range") -> DataFrame:
     """Add per-key ordered columns without putting a key into a single task.
 
     ``keys`` may be empty (one global order).  ``running=(source_col, out_col)`` adds a
     running sum (``running_op="sum"``) or running maximum (``"max"``, NULLs ignored).
     Rows come back range-partitioned and sorted by (keys, order).
+
+    ``strategy="window"`` uses key-partitioned window functions instead: one shuffle
+    and no checkpoint, but every key is processed by one task — only for logs whose
+    keys are known to be evenly sized.
     """
     is_max = running_op == "max"
     keys, order, prev = _names(keys), _names(order), list(prev)
+    if strategy == "window":
+        return _by_window(df, keys, order, number, prev, prev_prefix, running, is_max)
     s = sorted_checkpoint(df, keys, order, partitions)
     schema = s.schema
     field = {f.name: f for f in schema.fields}
@@ -295,6 +301,22 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
     return j.select(*out_cols)
 
 
+def _by_window(df, keys, order, number, prev, prev_prefix, running, is_max) -> DataFrame:
+    from pyspark.sql import Window
+
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order)
+    cols = [F.col(c) for c in df.columns]
+    if number:
+        cols.append(F.row_number().over(w).cast("long").alias(number))
+    if running:
+        src, out = running
+        frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        agg = F.max(src) if is_max else F.sum(F.coalesce(F.col(src), F.lit(0)))
+        cols.append(agg.over(frame).cast(df.schema[src].dataType).alias(out))
+    cols += [F.lag(c).over(w).alias(prev_prefix + c) for c in prev]
+    return df.select(*cols)
+
+
 def _tuple_eq(a: tuple, b: tuple) -> bool:
     for x, y in zip(a, b):
         xn = x is None or (isinstance(x, float) and x != x) or (x is pd.NaT)

@@ -31,3 +31,12 @@ def test_running_max_global(spark):
     exp = df.withColumn("mx", F.max("v").over(W.orderBy("o").rowsBetween(W.unboundedPreceding, 0)))
     assert sorted(tuple(r) for r in got.select("o", "mx").collect()) == sorted(
         tuple(r) for r in exp.select("o", "mx").collect())
+
+
+def test_window_strategy_same_result(spark):
+    df = spark.range(3000).select((F.col("id") % 13).alias("k"), F.col("id").alias("o"),
+                                  ((F.col("id") * 31) % 101).alias("v"))
+    a = sequence(df, ["k"], ["o"], number="rn", prev=["v"], running=("v", "rs"), partitions=5)
+    b = sequence(df, ["k"], ["o"], number="rn", prev=["v"], running=("v", "rs"), strategy="window")
+    cols = ["k", "o", "rn", "prev_v", "rs"]
+    assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
