@@ -1,0 +1,40 @@
+"""Spread CPU-heavy row-wise work over the cluster when the input has too few splits.
+
+A scan produces one task per file split; a small or unsplittable input (one Parquet
+row group) becomes a single task, and per-row work on it (JSON repair, record
+building, text rules over documents) then runs on one core.  ``spread`` adds a
+round-robin repartition only in that case.  On large inputs, which already have many
+more splits than cores, it returns the DataFrame unchanged, so it never adds a
+shuffle to a big job.  The split count is read from the physical plan without
+running anything.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def input_partitions(df: DataFrame) -> int | None:
+    """Number of partitions of a shuffle-free plan (None when the plan has exchanges,
+    which then already run with the shuffle-partition count)."""
+    plan = df._jdf.queryExecution().executedPlan()
+    if "Adaptive" in plan.getClass().getSimpleName():
+        return None
+    txt = plan.toString()
+    if "Exchange" in txt or "Subquery" in txt:
+        return None
+    try:
+        return int(plan.execute().getNumPartitions())
+    except Exception:  # noqa: BLE001 - only a hint
+        return None
+
+
+def spread(df: DataFrame, target: int | None = None) -> DataFrame:
+    """Round-robin repartition to ``target`` (default: the cluster's parallelism) only
+    when the input has fewer partitions than that."""
+    sc = df.sparkSession.sparkContext
+    target = target or sc.defaultParallelism
+    n = input_partitions(df)
+    if n is None or n >= target:
+        return df
+    return df.repartition(target)

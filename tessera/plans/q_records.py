@@ -8,6 +8,7 @@ from tessera.functions import jsontext as J
 from tessera.functions.text import iso_utc
 from tessera.operators import records as R
 from tessera.operators.log import latest_per_key, with_status
+from tessera.operators.parallel import spread
 from tessera.plans import oracle_text as T
 from tessera.plans.registry import query
 
@@ -23,7 +24,7 @@ SELECT id, kind, repair, CAST(repaired->>'k' AS INTEGER) AS k, CAST(repaired->>'
 def repair_responses(v):
     """Extract the JSON object of each response, repair it (first repair that parses wins),
     read it typed."""
-    d = J.with_repaired(J.with_extracted(v.v4, "text", "obj"), "obj", "fixed", kind="repair")
+    d = J.with_repaired(J.with_extracted(spread(v.v4), "text", "obj"), "obj", "fixed", kind="repair")
     parsed = F.from_json(F.col("fixed"), "k INT, m BIGINT")
     return d.select("id", "kind", "repair", parsed.k.alias("k"), parsed.m.alias("m"))
 
@@ -37,7 +38,7 @@ SELECT id, repaired IS NOT NULL AS ok, CAST(repaired->>'k' AS INTEGER) AS k,
 """)
 def parse_or_fallback_q(v):
     """Typed parse with the error record (message + 500-char preview) when nothing parses."""
-    d = J.with_parsed(v.v4, "text", "k INT")
+    d = J.with_parsed(spread(v.v4), "text", "k INT")
     return d.select("id", F.col("parse_ok").alias("ok"), F.col("parsed.k").alias("k"),
                     F.col("parse_error").alias("error"), "raw_response_preview")
 
