@@ -77,10 +77,19 @@ def build_snapshot(spark: SparkSession, deployment: DataFrame | None, usage: Dat
         order = F.coalesce(F.col("timestamp"), F.lit("")) if "timestamp" in df.columns else F.lit(0)
         return df.agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order)).scalar()
 
-    d = newest(dep, DEPLOYMENT_COLS)
-    u = newest(use, USAGE_COLS)
-    m = newest(met, METRICS_COLS)
-    sy = newest(syn, ["summary", "observations"])
+    return assemble_snapshot(spark, newest(dep, DEPLOYMENT_COLS), newest(use, USAGE_COLS),
+                             newest(met, METRICS_COLS), newest(syn, ["summary", "observations"]), now)
+
+
+def assemble_snapshot(spark: SparkSession, d: Column, u: Column, m: Column,
+                      sy: Column | None = None, now: Column | None = None) -> DataFrame:
+    """JN-5 + PRJ-8 over struct columns (deployment / usage / metrics / synthesis), each
+    NULL when absent: one CurrentState row with every default applied."""
+    now = now if now is not None else F.date_format(F.current_timestamp(),
+                                                     "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
+    none = F.lit(None)
+    sy = sy if sy is not None else F.struct(none.cast("string").alias("summary"),
+                                            none.cast("array<string>").alias("observations"))
     j = spark.range(1).select(
         *[d[c].alias("d_" + c) for c in DEPLOYMENT_COLS],
         *[u[c].alias("u_" + c) for c in USAGE_COLS],

@@ -142,46 +142,43 @@ def topic_health_q(v):
 # ------------------------------------------------------------------ snapshot
 
 def platform_state(v):
-    """The three state summaries of the platform, computed from the logs (one row each).
-
-    The message log is aggregated once for every log-level figure; per-key latency
-    parts are a second aggregation.  Figures from other inputs join as scalar
-    subqueries (one row each), so no plan ever joins rows of the log."""
-    log = v.v1
-    key_parts = H.latency_parts(log)
-    lat = key_parts.agg(F.sum("span_us").alias("s"), F.sum("gaps").alias("g"))
-    stats = log.agg(
+    """The three state summaries of the platform as struct columns (one scalar subquery
+    per source): the message log is aggregated once for every log-level figure, the
+    per-key latency parts once, the registry once, the consumer positions once."""
+    members = v.v7_members
+    stats = members.agg(
         F.max("ts").alias("t1"), F.min("ts").alias("t0"),
         F.countDistinct("topic").cast("int").alias("producers"),
         F.sum(F.octet_length("props")).alias("bytes"),
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("topic") == "error").alias("errors"))
-    secs = (F.unix_micros(F.col("t1").cast("timestamp")) - F.unix_micros(F.col("t0").cast("timestamp"))) / 1e6
-    schemas = C.schema_topics(registry_latest(v))
-    dep = schemas.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("topic") == "error").alias("errors"),
+        F.countDistinct("group").cast("int").alias("consumer_groups"),
+        F.countDistinct("group", "key").cast("int").alias("active_consumers"))
+    lg = F.struct(*[F.col(c) for c in stats.columns])
+    log = stats.select(lg).scalar()
+    lat = H.latency_parts(v.v1).agg(
+        (F.sum("span_us") / F.nullif(F.sum("gaps"), F.lit(0)) / 1e3)).scalar()
+    reg = C.schema_topics(registry_latest(v)).agg(F.struct(
         F.countDistinct("topic").cast("int").alias("total_topics"),
         F.count(F.lit(1)).cast("int").alias("total_schemas"),
-        F.countDistinct("domain").cast("int").alias("domain_count"))
+        F.countDistinct("domain").cast("int").alias("domain_count"))).scalar()
     catalog = v.v3.select(topic_of(F.col("subject")).alias("topic")).distinct()
     consumed = v.t.labels.select(F.concat(F.lit("doc_"), F.floor(F.col("doc_id") / 6)
                                           .cast("string")).alias("topic"))
     idle_n = C.idle_topics(catalog, consumed).agg(F.count(F.lit(1))).scalar()
     lag_n = U.consumer_lag(_positioned(v)).agg(F.count(F.lit(1))).scalar()
-    use_row = U.consumer_counts(v.v7_members)
-    m = stats.select(
-        F.lit(CLUSTER_KEY).alias("_k"), iso_utc("t1").alias("timestamp"), "producers",
-        F.when(secs > 0, F.col("bytes") / secs / 1e6).otherwise(F.lit(0.0)).alias("total_throughput_mbps"),
-        F.coalesce(F.col("errors") / F.nullif(F.col("n"), F.lit(0)), F.lit(0.0)).alias("error_rate"),
-        F.coalesce(lat.select(F.col("s") / F.nullif(F.col("g"), F.lit(0)) / 1e3).scalar(), F.lit(0.0))
-        .alias("avg_latency_ms"),
-        lag_n.cast("int").alias("topics_with_lag_count"))
-    met = m.select("_k", "timestamp", "total_throughput_mbps", "avg_latency_ms", "error_rate",
-                   "topics_with_lag_count")
-    as_of = m.select("timestamp").scalar()
-    dep = dep.select(F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"),
-                     F.lit(CLUSTER_KEY).alias("cluster_id"), "total_topics", "total_schemas",
-                     m.select("producers").scalar().alias("total_connectors"), "domain_count")
-    use = use_row.select(F.lit(CLUSTER_KEY).alias("_k"), as_of.alias("timestamp"), "consumer_groups",
-                         "active_consumers", idle_n.cast("int").alias("idle_topic_count"))
+    secs = (F.unix_micros(log["t1"].cast("timestamp")) - F.unix_micros(log["t0"].cast("timestamp"))) / 1e6
+    as_of = iso_utc(log["t1"])
+    dep = F.struct(as_of.alias("timestamp"), F.lit(CLUSTER_KEY).alias("cluster_id"),
+                   reg["total_topics"].alias("total_topics"), reg["total_schemas"].alias("total_schemas"),
+                   log["producers"].alias("total_connectors"), reg["domain_count"].alias("domain_count"))
+    use = F.struct(as_of.alias("timestamp"), log["consumer_groups"].alias("consumer_groups"),
+                   log["active_consumers"].alias("active_consumers"),
+                   idle_n.cast("int").alias("idle_topic_count"))
+    met = F.struct(as_of.alias("timestamp"),
+                   F.when(secs > 0, log["bytes"] / secs / 1e6).otherwise(F.lit(0.0)).alias("total_throughput_mbps"),
+                   F.coalesce(lat, F.lit(0.0)).alias("avg_latency_ms"),
+                   F.coalesce(log["errors"] / F.nullif(log["n"], F.lit(0)), F.lit(0.0)).alias("error_rate"),
+                   lag_n.cast("int").alias("topics_with_lag_count"))
     return dep, use, met, as_of
 
 
@@ -219,7 +216,7 @@ def platform_snapshot(v):
     """Flagship: the current state of the platform — catalog, usage and health rolled up
     from the logs and assembled into one CurrentState row (flattened)."""
     dep, use, met, _ = platform_state(v)
-    snap = S.build_snapshot(v.spark, dep, use, met)
+    snap = S.assemble_snapshot(v.spark, dep, use, met)
     out = S.flatten_snapshot(snap)
     return out.withColumn("total_throughput_mbps", F.round("total_throughput_mbps", 9)) \
               .withColumn("avg_latency_ms", F.round("avg_latency_ms", 3))
