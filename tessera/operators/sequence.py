@@ -100,26 +100,39 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
     keys, order, prev = _names(keys), _names(order), list(prev)
     if strategy == "window":
         return _by_window(df, keys, order, number, prev, prev_prefix, running, is_max)
-    s = sorted_checkpoint(df, keys, order, partitions)
-    schema = s.schema
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_parts = partitions or range_partitions(df)
+    sort_cols = [F.col(c) for c in keys + order]
+    sorted_ = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
+    schema = sorted_.schema
     field = {f.name: f for f in schema.fields}
     run_src, run_out = running if running else (None, None)
     sum_type = field[run_src].dataType if run_src else T.LongType()
+    key_fields = [field[k] for k in keys]
 
-    local_fields = list(schema.fields) + [
+    # one output: the data rows with their partition-local results, plus one summary
+    # row per non-empty partition (``_seq_summary``), written by the same task
+    out_fields = ([T.StructField(f.name, f.dataType, True) for f in schema.fields] + [
         T.StructField(_PID, T.IntegerType()), T.StructField(_FIRST, T.BooleanType()),
         T.StructField(_RUN0, T.BooleanType()), T.StructField(_LRN, T.LongType()),
-        T.StructField(_LSUM, sum_type)] + [
-        T.StructField(prev_prefix + c, field[c].dataType) for c in prev]
-    local_schema = T.StructType(local_fields)
-
-    def local_scan(batches):
+        T.StructField(_LSUM, sum_type)]
+        + [T.StructField(prev_prefix + c, field[c].dataType) for c in prev]
+        + [T.StructField("_seq_summary", T.BooleanType()), T.StructField("_s_single", T.BooleanType())]
+        + [T.StructField("_s_first_" + f.name, f.dataType) for f in key_fields]
+        + [T.StructField("_s_last_" + f.name, f.dataType) for f in key_fields]
+        + [T.StructField("_s_lastval_" + c, field[c].dataType) for c in prev])
+    out_schema = T.StructType(out_fields)
+    out_names = [f.name for f in out_fields]
+
+    def scan(batches):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
         last_key = None          # one-row DataFrame of the previous row's keys
-        last_vals = None         # dict of previous row's prev-columns
-        last_rn, last_sum, first_run_open, seen = 0, 0, True, False
+        first_key = None
+        last_vals: dict = {}
+        last_rn, last_sum, first_run_open, seen, single = 0, (None if is_max else 0), True, False, True
         for pdf in batches:
             if len(pdf) == 0:
                 continue
@@ -130,7 +143,12 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
                 shifted.iloc[0] = last_key.iloc[0]
             new_key = _neq(kdf, shifted) if keys else pd.Series(False, index=pdf.index)
             if not seen:
+                first_key = kdf.iloc[[0]].reset_index(drop=True) if keys else None
                 new_key.iloc[0] = True
+                if new_key.iloc[1:].any():
+                    single = False
+            elif new_key.any():
+                single = False
             run = new_key.cumsum()
             cont = run == 0                                  # continues the previous batch's run
             rn = pdf.groupby(run).cumcount().astype("int64") + 1
@@ -141,16 +159,11 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
                     head = lsum[cont]
                     lsum[cont] = head.where(head.notna() & (head >= last_sum), last_sum)
             elif run_src:
-                vals = pdf[run_src].fillna(0)
-                lsum = vals.groupby(run).cumsum()
+                lsum = pdf[run_src].fillna(0).groupby(run).cumsum()
                 lsum[cont] += last_sum
             else:
                 lsum = pd.Series(0, index=pdf.index, dtype="int64")
-            # rows of the partition's first key run (the only rows a carry can touch)
-            if not seen:
-                run0 = run == 1
-            else:
-                run0 = cont & first_run_open
+            run0 = (run == 1) if not seen else (cont & first_run_open)
             out = pdf.copy()
             out[_PID] = pid
             first = pd.Series(False, index=pdf.index)
@@ -161,93 +174,37 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
             out[_LRN] = rn
             out[_LSUM] = lsum
             for c in prev:
-                p = pdf[c].shift(1)
-                p = p.astype(object)
+                p = pdf[c].shift(1).astype(object)
                 if seen:
                     p.iloc[0] = last_vals[c]
                 p[new_key] = None
                 out[prev_prefix + c] = p
-            yield out
+            out["_seq_summary"] = False
+            for c in out_names:
+                if c not in out.columns:      # summary-only columns: NULL (object, not NaN)
+                    out[c] = pd.Series([None] * len(out), index=out.index, dtype=object)
+            yield out[out_names]
             first_run_open = bool(run0.iloc[-1])
             last_key = kdf.iloc[[-1]].reset_index(drop=True) if keys else None
             last_vals = {c: pdf[c].iloc[-1] for c in prev}
             last_rn, last_sum, seen = int(rn.iloc[-1]), lsum.iloc[-1], True
             if is_max and pd.isna(last_sum):
                 last_sum = None
-
-    local = s.mapInPandas(local_scan, local_schema)
-
-    # one summary row per non-empty partition
-    key_fields = [field[k] for k in keys]
-    summ_fields = ([T.StructField(_PID, T.IntegerType()), T.StructField("n_rows", T.LongType()),
-                    T.StructField("single_run", T.BooleanType()),
-                    T.StructField("last_run_n", T.LongType()),
-                    T.StructField("last_run_sum", sum_type)]
-                   + [T.StructField("first_" + f.name, f.dataType) for f in key_fields]
-                   + [T.StructField("last_" + f.name, f.dataType) for f in key_fields]
-                   + [T.StructField("lastval_" + c, field[c].dataType) for c in prev])
-    summ_schema = T.StructType(summ_fields)
-    needed = list(dict.fromkeys(keys + prev + ([run_src] if run_src else [])))
-
-    def summarize(batches):
-        from pyspark import TaskContext
-
-        seen, single, n_rows, last_run_n = False, True, 0, 0
-        last_run_sum = None if is_max else 0
-        first_key = last_key = None
-        last_vals: dict = {}
-        for b in batches:
-            if len(b) == 0:
-                continue
-            b = b.reset_index(drop=True)
-            kdf = b[keys] if keys else pd.DataFrame(index=b.index)
-            shifted = kdf.shift(1)
-            if seen and keys:
-                shifted.iloc[0] = last_key.iloc[0]
-            new_key = _neq(kdf, shifted) if keys else pd.Series(False, index=b.index)
-            if not seen:
-                new_key.iloc[0] = False
-                first_key = kdf.iloc[[0]].reset_index(drop=True) if keys else None
-            if new_key.any():
-                single = False
-            run = new_key.cumsum()
-            tail = run == run.iloc[-1]
-            vals = (b[run_src] if is_max else b[run_src].fillna(0)) if run_src else None
-
-            def part(x):
-                if not run_src:
-                    return 0
-                return x.max() if is_max else x.sum()
-
-            def comb(a, c):
-                if not is_max:
-                    return a + c
-                vals_ = [x for x in (a, c) if x is not None and not pd.isna(x)]
-                return max(vals_) if vals_ else None
-
-            if run.iloc[-1] == 0:
-                last_run_n += len(b)
-                last_run_sum = comb(last_run_sum, part(vals)) if run_src else 0
-            else:
-                last_run_n = int(tail.sum())
-                last_run_sum = part(vals[tail]) if run_src else 0
-            last_key = kdf.iloc[[-1]].reset_index(drop=True) if keys else None
-            last_vals = {c: b[c].iloc[-1] for c in prev}
-            n_rows += len(b)
-            seen = True
         if not seen:
             return
-        row = {_PID: TaskContext.get().partitionId(), "n_rows": n_rows, "single_run": single,
-               "last_run_n": int(last_run_n), "last_run_sum": last_run_sum}
+        row = {c: None for c in out_names}
+        row.update({_PID: pid, "_seq_summary": True, "_s_single": single, _LRN: last_rn,
+                    _LSUM: last_sum if run_src else 0})
         for k in keys:
-            row["first_" + k] = first_key[k].iloc[0]
-            row["last_" + k] = last_key[k].iloc[0]
+            row["_s_first_" + k] = first_key[k].iloc[0]
+            row["_s_last_" + k] = last_key[k].iloc[0]
         for c in prev:
-            row["lastval_" + c] = last_vals[c]
-        yield pd.DataFrame([row])
+            row["_s_lastval_" + c] = last_vals[c]
+        yield pd.DataFrame([row], columns=out_names)
 
-    summary = s.select(*needed).mapInPandas(summarize, summ_schema) if needed else \
-        s.select(F.lit(1).alias("_one")).mapInPandas(summarize, summ_schema)
+    # the scanned output is checkpointed: data rows and summaries come from the same task
+    # attempt, so the fold below always matches the rows it is applied to
+    scanned = sorted_.mapInPandas(scan, out_schema).checkpoint(eager=True)
 
     carry_schema = T.StructType(
         [T.StructField(_PID, T.IntegerType()), T.StructField("carry_n", T.LongType()),
@@ -259,31 +216,36 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
         rows, state_key, state_n, state_vals = [], None, 0, {}
         state_sum = None if is_max else 0
         for r in pdf.to_dict("records"):
-            first_key = tuple(r["first_" + k] for k in keys)
+            first_key = tuple(r["_s_first_" + k] for k in keys)
             same = state_key is not None and _tuple_eq(first_key, state_key)
             out = {_PID: r[_PID], "carry_n": state_n if same else 0,
                    "carry_sum": state_sum if same else (None if is_max else 0)}
             for c in prev:
                 out["carry_" + c] = state_vals.get(c) if same else None
             rows.append(out)
-            if r["single_run"] and same:
-                state_n += r["last_run_n"]
+            if r["_s_single"] and same:
+                state_n += r[_LRN]
                 if is_max:
-                    cand = [x for x in (state_sum, r["last_run_sum"]) if x is not None and not pd.isna(x)]
+                    cand = [x for x in (state_sum, r[_LSUM]) if x is not None and not pd.isna(x)]
                     state_sum = max(cand) if cand else None
                 else:
-                    state_sum += r["last_run_sum"]
+                    state_sum += r[_LSUM]
             else:
-                state_n, state_sum = r["last_run_n"], r["last_run_sum"]
-            state_key = tuple(r["last_" + k] for k in keys)
-            state_vals = {c: r["lastval_" + c] for c in prev}
+                state_n, state_sum = r[_LRN], r[_LSUM]
+                if is_max and state_sum is not None and pd.isna(state_sum):
+                    state_sum = None
+            state_key = tuple(r["_s_last_" + k] for k in keys)
+            state_vals = {c: r["_s_lastval_" + c] for c in prev}
         return pd.DataFrame(rows, columns=[f.name for f in carry_schema.fields])
 
-    # the summary has one row per partition: one bounded group, then broadcast
-    carry = summary.groupBy(F.lit(0).alias("_g")).applyInPandas(
-        lambda pdf: fold(pdf.drop(columns=["_g"], errors="ignore")), carry_schema)
+    summary_cols = [_PID, "_s_single", _LRN, _LSUM] + ["_s_first_" + k for k in keys] + \
+        ["_s_last_" + k for k in keys] + ["_s_lastval_" + c for c in prev]
+    # one summary row per partition: a single bounded group, then a broadcast of that size
+    carry = (scanned.filter(F.col("_seq_summary")).select(*summary_cols)
+             .groupBy(F.lit(0).alias("_g")).applyInPandas(
+                 lambda pdf: fold(pdf.drop(columns=["_g"], errors="ignore")), carry_schema))
 
-    j = local.join(F.broadcast(carry), _PID, "left")
+    j = scanned.filter(~F.col("_seq_summary")).join(F.broadcast(carry), _PID, "left")
     in_run0 = F.col(_RUN0)
     out_cols: list[Column] = [F.col(c) for c in schema.names]
     if number:
