@@ -113,3 +113,52 @@ SELECT key, props, min("offset") AS "offset" FROM v1 GROUP BY key, props
 def dedup_q(v):
     """Republished payloads seen once: first occurrence of each (key, payload)."""
     return B.dedup(v.v1.select("key", "props", "offset"), ["key", "props"], "offset")
+
+
+def _log_copy(v, name: str) -> str:
+    """The lifecycle log written to the shared scratch folder as several files, so a
+    file stream sees it in several micro-batches."""
+    from tessera.session import scratch_path
+
+    src = scratch_path(v.spark, name)
+    v.v2.select("key", "offset", "ts", "status", "domain").repartition(4, "offset").write.parquet(src)
+    return src
+
+
+@query("materialised_current", "STM-7 SNK-4 SRC-2 STM-1", views=("v2",), sql="""
+SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
+""")
+def materialised_current(v):
+    """The lifecycle log streamed from files (one file per micro-batch) into a materialised
+    latest-per-key view via the idempotent foreachBatch upsert, then read back."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import stream_log
+
+    src = _log_copy(v, "mv-src")
+    out = scratch_path(v.spark, "mv")
+    schema = v.spark.read.parquet(src).schema
+    stream = stream_log(v.spark, src, schema, options={"maxFilesPerTrigger": "1"})
+    S.run_to_end(S.materialise(stream, out, f"{out}/_checkpoint", key="key", order="offset"))
+    return S.read_current(v.spark, out, "key", "offset").select("key", "offset", "status")
+
+
+@query("staged_approvals", "STM-8 STM-11", views=("v2",), sql="""
+SELECT key, "offset" FROM v2 WHERE status = 'APPROVED'
+""")
+def staged_approvals(v):
+    """A stage (read → keep APPROVED → next log) drained with availableNow, then resumed
+    from the same checkpoint: the second run finds no new input and adds nothing."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import stream_log
+
+    src = _log_copy(v, "stage-src")
+    out = scratch_path(v.spark, "stage-out")
+    schema = v.spark.read.parquet(src).schema
+
+    def start(ckpt):
+        return S.stage(stream_log(v.spark, src, schema), lambda df: df.select("key", "offset"),
+                       out, ckpt, status="APPROVED")
+
+    S.run_to_end(start(f"{out}/_checkpoint"))
+    S.run_to_end(S.resume(start, f"{out}/_checkpoint"))
+    return v.spark.read.parquet(out).select("key", "offset")
