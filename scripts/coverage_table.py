@@ -59,7 +59,7 @@ IMPL = {
 "AGG-5": "operators.health.throughput_mbps",
 "AGG-6": "operators.health.avg_latency_ms (telescoping per-key aggregate) / latency_gaps",
 "AGG-7": "operators.health.error_rate",
-"AGG-8": "operators.usage.positions + consumer_lag",
+"AGG-8": "operators.usage.consumer_lag (group marks + bucket counts, no ordering)",
 "AGG-9": "operators.health.storage_gb",
 "AGG-10": "operators.review.lifecycle_counts / action_counts",
 "AGG-11": "operators.review.approval_summary",

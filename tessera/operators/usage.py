@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.sequence import number_rows
@@ -43,10 +43,48 @@ def positions(log: DataFrame, topic: str = "topic", partition: str = "partition"
     return number_rows(log, [order], keys=[topic, partition], name="position")
 
 
-def consumer_lag(positioned: DataFrame, topic: str = "topic", partition: str = "partition",
-                 group: str = "group") -> DataFrame:
+def consumer_lag(log: DataFrame, topic: str = "topic", partition: str = "partition",
+                 group: str = "group", order: str = "offset") -> DataFrame:
     """AGG-8: lag per (topic, group) = Σ over partitions of (end − committed), kept when > 0.
 
+    With positions numbered by ``order`` inside a partition, end − committed is the
+    number of the partition's messages whose offset lies above the group's highest
+    offset.  That count needs no numbering and no ordered pass:
+
+    1. the group's mark is its highest offset in the partition (map-side combined);
+    2. a partition's marks form a sorted array, one entry per group reading it (bounded
+       by the consumer-group catalog, not by the data);
+    3. every message falls into the bucket ``b`` = number of marks below its offset, and
+       the log is reduced to a count per (topic, partition, bucket), again map-side;
+    4. the messages above mark ``j`` are the buckets ``b ≥ j``: a suffix sum over at most
+       (groups + 1) rows per partition.
+
+    A partition holding a third of the log is spread over every scan task and only
+    contributes partial counts to the shuffle."""
+    commits = log.groupBy(topic, partition, group).agg(F.max(order).alias("_mark"))
+    marks = commits.groupBy(topic, partition).agg(
+        F.array_sort(F.collect_set("_mark")).alias("_marks"))
+    below = F.size(F.filter(F.col("_marks"), lambda m: m < F.col(order)))
+    buckets = (log.select(topic, partition, order).join(marks, [topic, partition])
+               .groupBy(topic, partition, below.alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
+    above = buckets.select(
+        topic, partition, "_b",
+        F.sum("_n").over(Window.partitionBy(topic, partition).orderBy(F.col("_b").desc()))
+        .alias("_above"))
+    ranked = commits.join(marks, [topic, partition]).select(
+        topic, partition, group, F.array_position("_marks", F.col("_mark")).alias("_b"))
+    lag = (ranked.join(above, [topic, partition, "_b"], "left")
+           .groupBy(topic, group)
+           .agg(F.sum(F.coalesce(F.col("_above"), F.lit(0))).alias("lag_messages")))
+    return lag.filter(F.col("lag_messages") > 0).select(
+        F.col(topic).alias("topic_name"), F.col(group).alias("consumer_group"),
+        F.col("lag_messages").cast("bigint").alias("lag_messages"))
+
+
+def consumer_lag_positioned(positioned: DataFrame, topic: str = "topic",
+                            partition: str = "partition", group: str = "group") -> DataFrame:
+    """AGG-8 over a log that already carries ``position`` (see ``positions``).
+
     committed = highest position the group has read in the partition, end = the
     partition's highest position.  Every message belongs to a group, so the ends are
     the maxima of the commits: the positioned log is aggregated once."""

@@ -16,8 +16,8 @@ from tessera.schemas import CLUSTER_KEY
 SECS = "((epoch_us(max(ts)) - epoch_us(min(ts))) / 1e6)"
 
 
-def _positioned(v):
-    return U.positions(v.v7_members.select("topic", "partition", "offset", "group", "key"))
+def _lag_input(v):
+    return v.v7_members.select("topic", "partition", "offset", "group")
 
 
 @query("consumer_counts", "AGG-3", views=("v7",), sql="""
@@ -86,8 +86,8 @@ FROM commits JOIN ends USING (topic, "partition") GROUP BY topic, "group"
 HAVING sum(end_position - committed_position) > 0
 """)
 def consumer_lag_q(v):
-    """Lag per (topic, group) summed over partitions; positions from the range-partitioned scan."""
-    return U.consumer_lag(_positioned(v))
+    """Lag per (topic, group) summed over partitions: messages above the group's highest offset."""
+    return U.consumer_lag(_lag_input(v))
 
 
 @query("top_lag", "SRT-5", views=("v7",), sql="""
@@ -101,7 +101,7 @@ SELECT * FROM lag WHERE lag_messages > 0 ORDER BY lag_messages DESC, topic_name,
 """)
 def top_lag_q(v):
     """Top-5 lag entries."""
-    return U.top_lag(U.consumer_lag(_positioned(v)), 5)
+    return U.top_lag(U.consumer_lag(_lag_input(v)), 5)
 
 
 @query("storage_gb", "AGG-9", sql="""
@@ -134,7 +134,7 @@ def topic_health_q(v):
     catalog = (v.v1.select(F.col("topic").alias("topic_name"))
                .union(v.v3.select(topic_of(F.col("subject")).alias("topic_name"))).distinct())
     usage = U.topic_consumption(v.v7_members)
-    lag = U.consumer_lag(_positioned(v))
+    lag = U.consumer_lag(_lag_input(v))
     return U.topic_health(catalog, usage, lag).withColumn(
         "messages_per_second", F.round("messages_per_second", 6))
 
@@ -165,7 +165,7 @@ def platform_state(v):
     consumed = v.t.labels.select(F.concat(F.lit("doc_"), F.floor(F.col("doc_id") / 6)
                                           .cast("string")).alias("topic"))
     idle_n = C.idle_topics(catalog, consumed).agg(F.count(F.lit(1))).scalar()
-    lag_n = U.consumer_lag(_positioned(v)).agg(F.count(F.lit(1))).scalar()
+    lag_n = U.consumer_lag(_lag_input(v)).agg(F.count(F.lit(1))).scalar()
     secs = (F.unix_micros(log["t1"].cast("timestamp")) - F.unix_micros(log["t0"].cast("timestamp"))) / 1e6
     as_of = iso_utc(log["t1"])
     dep = F.struct(as_of.alias("timestamp"), F.lit(CLUSTER_KEY).alias("cluster_id"),

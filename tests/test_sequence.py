@@ -40,3 +40,24 @@ def test_window_strategy_same_result(spark):
     b = sequence(df, ["k"], ["o"], number="rn", prev=["v"], running=("v", "rs"), strategy="window")
     cols = ["k", "o", "rn", "prev_v", "rs"]
     assert sorted(tuple(r) for r in a.select(*cols).collect()) == sorted(tuple(r) for r in b.select(*cols).collect())
+
+
+def test_consumer_lag_without_positions_equals_numbered(spark):
+    """AGG-8 from group marks and bucket counts equals the lag from row numbers, with a
+    partition holding 70 % of the log and a group that stopped right after the start
+    (offsets are unique inside a partition, as in a Kafka log)."""
+    from tessera.operators.usage import consumer_lag, consumer_lag_positioned, positions
+
+    n = 12000
+    o = F.col("id")
+    log = spark.range(n).select(
+        F.when(o % 10 < 7, F.lit("hot")).otherwise(F.concat(F.lit("t"), (o % 3).cast("string"))).alias("topic"),
+        (o % 4).cast("int").alias("partition"),
+        (o * 2).alias("offset"),
+        F.concat(F.lit("g"), ((o * 7919) % 5).cast("string")).alias("group"))
+    early = log.groupBy("topic", "partition").agg((F.min("offset") + 1).alias("offset")) \
+               .withColumn("group", F.lit("g_early"))
+    log = log.unionByName(early)
+    got = sorted(tuple(r) for r in consumer_lag(log).collect())
+    exp = sorted(tuple(r) for r in consumer_lag_positioned(positions(log)).collect())
+    assert got == exp and len(got) > 10
