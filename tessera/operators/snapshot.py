@@ -77,20 +77,30 @@ def build_snapshot(spark: SparkSession, deployment: DataFrame | None, usage: Dat
         order = F.coalesce(F.col("timestamp"), F.lit("")) if "timestamp" in df.columns else F.lit(0)
         return df.agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order)).scalar()
 
-    return assemble_snapshot(spark, newest(dep, DEPLOYMENT_COLS), newest(use, USAGE_COLS),
-                             newest(met, METRICS_COLS), newest(syn, ["summary", "observations"]), now)
+    # each subquery is referenced once, in a one-row base; fields are read from its columns
+    base = spark.range(1).select(
+        newest(dep, DEPLOYMENT_COLS).alias("_d"), newest(use, USAGE_COLS).alias("_u"),
+        newest(met, METRICS_COLS).alias("_m"), newest(syn, ["summary", "observations"]).alias("_s"))
+    return assemble_snapshot(spark, F.col("_d"), F.col("_u"), F.col("_m"), F.col("_s"), now,
+                             base=base)
 
 
 def assemble_snapshot(spark: SparkSession, d: Column, u: Column, m: Column,
-                      sy: Column | None = None, now: Column | None = None) -> DataFrame:
+                      sy: Column | None = None, now: Column | None = None,
+                      base: DataFrame | None = None) -> DataFrame:
     """JN-5 + PRJ-8 over struct columns (deployment / usage / metrics / synthesis), each
-    NULL when absent: one CurrentState row with every default applied."""
+    NULL when absent: one CurrentState row with every default applied.
+
+    The structs are evaluated over ``base`` (a one-row DataFrame, ``range(1)`` when not
+    given).  When they come from scalar subqueries, reference each subquery once as a
+    column of ``base`` and pass column references here: every field access on a
+    subquery expression would otherwise copy the whole subquery into the plan."""
     now = now if now is not None else F.date_format(F.current_timestamp(),
                                                      "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
     none = F.lit(None)
     sy = sy if sy is not None else F.struct(none.cast("string").alias("summary"),
                                             none.cast("array<string>").alias("observations"))
-    j = spark.range(1).select(
+    j = (base if base is not None else spark.range(1)).select(
         *[d[c].alias("d_" + c) for c in DEPLOYMENT_COLS],
         *[u[c].alias("u_" + c) for c in USAGE_COLS],
         *[m[c].alias("m_" + c) for c in METRICS_COLS],

@@ -142,8 +142,8 @@ def topic_health_q(v):
 # ------------------------------------------------------------------ snapshot
 
 def platform_state(v):
-    """The three state summaries of the platform as struct columns (one scalar subquery
-    per source): the message log is aggregated once for every log-level figure, the
+    """The three state summaries of the platform as struct columns over a one-row base
+    (one scalar subquery per source): the message log is aggregated once for every log-level figure, the
     per-key latency parts once, the registry once, the consumer positions once."""
     members = v.v7_members
     stats = members.agg(
@@ -166,6 +166,11 @@ def platform_state(v):
                                           .cast("string")).alias("topic"))
     idle_n = C.idle_topics(catalog, consumed).agg(F.count(F.lit(1))).scalar()
     lag_n = U.consumer_lag(_lag_input(v)).agg(F.count(F.lit(1))).scalar()
+    # every subquery once, as a column of a one-row base: a field access on a subquery
+    # expression would copy the whole subquery into the plan at each use
+    base = v.spark.range(1).select(log.alias("_log"), lat.alias("_lat"), reg.alias("_reg"),
+                                   idle_n.alias("_idle"), lag_n.alias("_lag"))
+    log, lat, reg, idle_n, lag_n = (F.col(c) for c in ("_log", "_lat", "_reg", "_idle", "_lag"))
     secs = (F.unix_micros(log["t1"].cast("timestamp")) - F.unix_micros(log["t0"].cast("timestamp"))) / 1e6
     as_of = iso_utc(log["t1"])
     dep = F.struct(as_of.alias("timestamp"), F.lit(CLUSTER_KEY).alias("cluster_id"),
@@ -179,7 +184,7 @@ def platform_state(v):
                    F.coalesce(lat, F.lit(0.0)).alias("avg_latency_ms"),
                    F.coalesce(log["errors"] / F.nullif(log["n"], F.lit(0)), F.lit(0.0)).alias("error_rate"),
                    lag_n.cast("int").alias("topics_with_lag_count"))
-    return dep, use, met, as_of
+    return base, dep, use, met, as_of
 
 
 PLATFORM_SQL = f"""
@@ -215,8 +220,8 @@ SELECT 'data-mesh-cluster' AS cluster_id,
 def platform_snapshot(v):
     """Flagship: the current state of the platform — catalog, usage and health rolled up
     from the logs and assembled into one CurrentState row (flattened)."""
-    dep, use, met, _ = platform_state(v)
-    snap = S.assemble_snapshot(v.spark, dep, use, met)
+    base, dep, use, met, _ = platform_state(v)
+    snap = S.assemble_snapshot(v.spark, dep, use, met, base=base)
     out = S.flatten_snapshot(snap)
     return out.withColumn("total_throughput_mbps", F.round("total_throughput_mbps", 9)) \
               .withColumn("avg_latency_ms", F.round("avg_latency_ms", 3))
