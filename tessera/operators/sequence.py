@@ -85,13 +85,19 @@ def _neq(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
 def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str, *,
              number: str | None = None, prev: Iterable[str] = (), prev_prefix: str = "prev_",
              running: tuple[str, str] | None = None, running_op: str = "sum",
-             partitions: int | None = None, strategy: str = "range") -> DataFrame:
+             partitions: int | None = None, strategy: str = "range",
+             presorted: bool = False) -> DataFrame:
     """Add per-key ordered columns without putting a key into a single task.
 
     ``keys`` may be empty (one global order).  ``running=(source_col, out_col)`` adds a
     running sum (``running_op="sum"``) or running maximum (``"max"``, NULLs ignored).
     Rows come back range-partitioned and sorted by (keys, order).
 
+    ``presorted=True`` scans ``df`` as it is: use it only on the output of another
+    ``sequence`` call with the same keys and order (plus row-wise projections), whose
+    partitions already are contiguous ranges in partition order.  Chained scans then
+    share one range shuffle and sort instead of repeating them over the whole log.
+
     ``strategy="window"`` uses key-partitioned window functions instead: one shuffle
     and no checkpoint, but every key is processed by one task — only for logs whose
     keys are known to be evenly sized.
@@ -102,9 +108,12 @@ def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | st
         return _by_window(df, keys, order, number, prev, prev_prefix, running, is_max)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n_parts = partitions or range_partitions(df)
     sort_cols = [F.col(c) for c in keys + order]
-    sorted_ = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
+    if presorted:
+        sorted_ = df
+    else:
+        n_parts = partitions or range_partitions(df)
+        sorted_ = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
     schema = sorted_.schema
     field = {f.name: f for f in schema.fields}
     run_src, run_out = running if running else (None, None)
@@ -300,9 +309,10 @@ def with_previous(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> Da
     return sequence(df, keys, order, prev=_names(cols), prev_prefix=prefix)
 
 
-def running_sum(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:
-    """Running sum of ``col`` per key in ``order``."""
-    return sequence(df, keys, order, running=(col, out))
+def running_sum(df: DataFrame, keys, order, col: str, out: str,
+                presorted: bool = False) -> DataFrame:
+    """Running sum of ``col`` per key in ``order`` (``presorted``: see ``sequence``)."""
+    return sequence(df, keys, order, running=(col, out), presorted=presorted)
 
 
 def running_max(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:

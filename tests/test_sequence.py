@@ -61,3 +61,30 @@ def test_consumer_lag_without_positions_equals_numbered(spark):
     got = sorted(tuple(r) for r in consumer_lag(log).collect())
     exp = sorted(tuple(r) for r in consumer_lag_positioned(positions(log)).collect())
     assert got == exp and len(got) > 10
+
+
+def test_sessions_hot_key_equals_window(spark):
+    """STM-3 twin (two chained scans sharing one range shuffle) equals the window-function
+    definition when one user holds 70 % of the events and spans many partitions."""
+    from tessera.streaming.batch import sessions
+
+    n = 20000
+    o = F.col("id")
+    df = spark.range(n).select(
+        F.when(o % 10 < 7, F.lit("hot")).otherwise((o % 53).cast("string")).alias("key"),
+        o.alias("offset"),
+        (F.lit("2024-01-01").cast("timestamp")
+         + F.make_dt_interval(secs=((o * 7919) % 200000).cast("decimal(18,6)") * 60)).alias("ts"))
+    got = sessions(df, "key", "ts", "offset", 1800)
+    w = W.partitionBy("key").orderBy("ts", "offset")
+    gap = F.unix_micros("ts") - F.unix_micros(F.lag("ts").over(w))
+    flagged = df.withColumn("_new", F.when(gap.isNull() | (gap >= 1800 * 10 ** 6), 1).otherwise(0))
+    numbered = flagged.withColumn("session_no", F.sum("_new").over(w.rowsBetween(W.unboundedPreceding, 0)))
+    exp = numbered.groupBy("key", "session_no").agg(
+        F.min("ts").alias("session_start"),
+        (F.max("ts") + F.expr("INTERVAL 30 MINUTES")).alias("session_end"),
+        F.count(F.lit(1)).alias("events"))
+    cols = ["key", "session_no", "session_start", "session_end", "events"]
+    g = sorted(tuple(r) for r in got.select(*cols).collect())
+    e = sorted(tuple(r) for r in exp.select(*cols).collect())
+    assert g == e and len(g) > 100
