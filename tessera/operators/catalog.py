@@ -54,6 +54,11 @@ def nested_counts(df: DataFrame, arrays: list[str] = (), maps: list[str] = ()) -
     return df.select("*", *cols)
 
 
+def connector_name(topic: Column) -> Column:
+    """The source connector feeding a topic: 'datagen-<topic>'."""
+    return F.concat(F.lit("datagen-"), topic)
+
+
 def catalog_topics(topics: DataFrame, name: str = "name") -> DataFrame:
     """PRJ-11: topic list → catalog rows in name order: partitions 6, replication 3,
     subject '<t>-value', schema ids from 100001 in order, connector 'datagen-<t>'.
@@ -67,7 +72,7 @@ def catalog_topics(topics: DataFrame, name: str = "name") -> DataFrame:
         F.lit(DEFAULT_REPLICATION).alias("replication_factor"),
         F.concat(F.col("name"), F.lit("-value")).alias("subject"),
         (F.col("_pos") + F.lit(FIRST_SCHEMA_ID - 1)).cast("int").alias("schema_id"),
-        F.concat(F.lit("datagen-"), F.col("name")).alias("connector"),
+        connector_name(F.col("name")).alias("connector"),
         F.lit("source").alias("connector_type"),
         F.lit("RUNNING").alias("connector_status"))
 

@@ -282,7 +282,9 @@ FROM t
 """)
 def quick_start_q(v):
     """Totals of topics and connectors plus the first five topic → connector names."""
-    cat = C.catalog_topics(v.v3.select(topic_of(F.col("subject")).alias("name")))
+    # counts and the first names need no schema ids: distinct names, not the numbered catalog
+    cat = (v.v3.select(topic_of(F.col("subject")).alias("name")).distinct()
+           .withColumn("connector", C.connector_name(F.col("name"))))
     pairs = F.array_sort(F.collect_list(F.struct("name", "connector")))
     first = cat.orderBy("name").limit(5).agg(F.array_join(F.transform(
         pairs, lambda p: F.concat(p["name"], F.lit("="), p["connector"])), ", ")).scalar()
