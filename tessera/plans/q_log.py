@@ -284,3 +284,22 @@ def edits_or_empty(v):
     latest = L.latest_per_key(v.v2, "key", value="status").select("key", "status")
     return latest.join(edits.withColumn("edited", F.lit(True)), "key", "left") \
                  .select("key", "status", F.coalesce("edited", F.lit(False)).alias("edited"))
+
+
+@query("keyed_json_snapshot", "SNK-2 SRC-5", views=("v2",), sql="""
+SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
+""")
+def keyed_json_snapshot(v):
+    """Keyed JSON snapshots in the shared checkpoint folder: the open versions are written
+    first, then the approved versions are merged in (newest per key replaces), and the
+    second snapshot is read back.  Each write goes to a new folder, never the one read."""
+    from tessera import sinks
+    from tessera.session import scratch_path
+    from tessera.sources.log import read_or_empty
+
+    rows = v.v2.select("key", "offset", "status")
+    base = scratch_path(v.spark, "json-snapshots")
+    approved = F.coalesce(F.col("status") == "APPROVED", F.lit(False))
+    first = sinks.write_json_docs(v.spark, rows.filter(~approved), base, None, "key", "offset")
+    second = sinks.write_json_docs(v.spark, rows.filter(approved), base, first, "key", "offset")
+    return read_or_empty(v.spark, second, rows.schema).select("key", "offset", "status")
