@@ -146,11 +146,16 @@ def _as_of(log: DataFrame, ts: str, as_of) -> Column:
 
 def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str = "ts",
                     topic: str | None = "topic", overrides: dict[str, int] | None = None,
-                    as_of=None) -> DataFrame:
+                    as_of=None, date: str | None = None) -> DataFrame:
     """WIN-6: drop records older than the retention of their topic (-1 = keep forever).
 
     The clock is ``as_of`` (a literal or Column) or, by default, the newest
     record of the log.  Per-topic overrides are a literal map, not a join.
+
+    A file log written by ``publish`` is foldered by ``topic`` and ``date`` (the day of
+    ``ts``); pass ``date="date"`` for such a log and a bound on it (one day of slack, so
+    writer and reader time zones cannot cut a kept day) lets the scan skip expired
+    folders.  The exact bound on ``ts`` decides which rows are kept.
     """
     ms: Column = F.lit(retention_ms)
     if overrides and topic:
@@ -158,7 +163,10 @@ def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str =
         ms = F.coalesce(F.element_at(m, F.col(topic)), F.lit(retention_ms))
     clock = _as_of(log, ts, as_of)
     cutoff = clock - F.make_dt_interval(secs=(ms / F.lit(1000)).cast("decimal(18,6)"))
-    return log.filter((ms < 0) | (F.col(ts) >= cutoff))
+    keep = (ms < 0) | (F.col(ts) >= cutoff)
+    if date and date in log.columns:
+        keep = ((ms < 0) | (F.col(date) >= F.date_sub(F.to_date(cutoff), 1))) & keep
+    return log.filter(keep)
 
 
 def compact_with_lag(log: DataFrame, key: str = "key", order: str = "offset", ts: str = "ts",

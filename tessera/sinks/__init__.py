@@ -26,7 +26,10 @@ def publish(df: DataFrame, topic: str, key_col: str, target: str, kind: str = "p
     Kafka (``kind='kafka'``, ``target`` = bootstrap servers) assigns offsets itself.
     The file log gets ``ts`` = write time and a ``(batch, offset)`` order: ``batch``
     is the write's epoch-microsecond stamp, ``offset`` a per-write increasing id, so
-    later writes always sort after earlier ones.  Failures raise (no silent False)."""
+    later writes always sort after earlier ones.  Folders are ``topic=…/date=…`` (the
+    day of ``ts`` in the session time zone, UTC in this library's sessions), so a topic
+    filter and a retention bound skip whole folders.
+    Failures raise (no silent False)."""
     env = envelope(df, topic, key_col)
     if kind == "kafka":
         w = env.write.format("kafka").option("kafka.bootstrap.servers", target).option("topic", topic)
@@ -35,10 +38,12 @@ def publish(df: DataFrame, topic: str, key_col: str, target: str, kind: str = "p
         w.save()
         return
     stamp = time.time_ns() // 1000
-    (env.withColumn("ts", F.current_timestamp())
+    now = F.current_timestamp()
+    (env.withColumn("ts", now)
+        .withColumn("date", F.to_date(now))
         .withColumn("batch", F.lit(stamp).cast("bigint"))
         .withColumn("offset", F.monotonically_increasing_id())
-        .write.mode("append").partitionBy("topic").format(kind).save(target))
+        .write.mode("append").partitionBy("topic", "date").format(kind).save(target))
 
 
 def write_json_docs(spark: SparkSession, new: DataFrame, base: str, current: str | None,
