@@ -153,19 +153,28 @@ def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str =
     record of the log.  Per-topic overrides are a literal map, not a join.
 
     A file log written by ``publish`` is foldered by ``topic`` and ``date`` (the day of
-    ``ts``); pass ``date="date"`` for such a log and a bound on it (one day of slack, so
-    writer and reader time zones cannot cut a kept day) lets the scan skip expired
-    folders.  The exact bound on ``ts`` decides which rows are kept.
+    ``ts``); pass ``date="date"`` for such a log.  The newest day then comes from the
+    folder names alone, the clock is read from that day's folder only (instead of the
+    ``ts`` column of the whole log), and a bound on ``date`` (whole days, plus one of
+    slack) lets the scan skip expired folders.  The exact bound on ``ts`` decides which
+    rows are kept.
     """
     ms: Column = F.lit(retention_ms)
     if overrides and topic:
         m = F.create_map(*[x for k, v in overrides.items() for x in (F.lit(k), F.lit(v))])
         ms = F.coalesce(F.element_at(m, F.col(topic)), F.lit(retention_ms))
-    clock = _as_of(log, ts, as_of)
+    foldered = bool(date) and date in log.columns
+    if foldered and as_of is None:
+        newest_day = log.agg(F.max(date)).scalar()               # partition column only
+        clock = log.filter(F.col(date) == newest_day).agg(F.max(ts)).scalar()
+    else:
+        clock = _as_of(log, ts, as_of)
+        newest_day = F.to_date(clock)
     cutoff = clock - F.make_dt_interval(secs=(ms / F.lit(1000)).cast("decimal(18,6)"))
     keep = (ms < 0) | (F.col(ts) >= cutoff)
-    if date and date in log.columns:
-        keep = ((ms < 0) | (F.col(date) >= F.date_sub(F.to_date(cutoff), 1))) & keep
+    if foldered:
+        days = (F.ceil(ms / F.lit(86_400_000)) + F.lit(1)).cast("int")
+        keep = ((ms < 0) | (F.col(date) >= F.date_sub(newest_day, days))) & keep
     return log.filter(keep)
 
 

@@ -70,6 +70,8 @@ def test_published_log_is_foldered_by_date_and_retention_prunes(spark, tmp_dir):
     assert log.select("date").distinct().count() == 2
     kept = apply_retention(log, date="date")
     assert kept.count() == 50
+    assert apply_retention(log, date="date", overrides={"t": -1}).count() == 100
+    assert apply_retention(log, 60 * 86_400_000, date="date").count() == 100
     import re
 
     jvm = spark.sparkContext._jvm
