@@ -180,14 +180,20 @@ def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str =
 
 def compact_with_lag(log: DataFrame, key: str = "key", order: str = "offset", ts: str = "ts",
                      lag_ms: int = COMPACTION_LAG_MS, value: str = "value",
-                     as_of=None) -> DataFrame:
+                     as_of=None, date: str | None = None) -> DataFrame:
     """WIN-7: what a compacted topic still holds — the newest version of each key plus
     every record younger than the compaction lag.  The two parts are disjoint, so
-    they are appended without a de-duplicating shuffle."""
+    they are appended without a de-duplicating shuffle.
+
+    On a log foldered by ``date`` (``publish``), pass ``date="date"``: the young part then
+    reads only the folders from the cutoff's day on (one day of slack for time zones)."""
     live = drop_tombstones(log, value)
     clock = _as_of(live, ts, as_of)
     cutoff = clock - F.make_dt_interval(secs=F.lit(lag_ms / 1000.0).cast("decimal(18,6)"))
-    young = live.filter(F.col(ts) > cutoff)
+    recent = live
+    if date and date in live.columns:
+        recent = live.filter(F.col(date) >= F.date_sub(F.to_date(cutoff), 1))
+    young = recent.filter(F.col(ts) > cutoff)
     newest_old = latest_per_key(live, key, order, value).filter(~(F.col(ts) > cutoff))
     return young.unionByName(newest_old.select(*live.columns))
 
