@@ -143,8 +143,10 @@ def topic_health_q(v):
 
 def platform_state(v):
     """The three state summaries of the platform as struct columns over a one-row base
-    (one scalar subquery per source): the message log is aggregated once for every log-level figure, the
-    per-key latency parts once, the registry once, the consumer positions once."""
+    (one scalar subquery per source): the message log is aggregated once for every
+    log-level figure, the per-key latency parts once, the registry once, and the consumer
+    lag once (group marks and bucket counts, no ordered scan).  Returns the base and the
+    structs, which refer to the base's columns."""
     members = v.v7_members
     stats = members.agg(
         F.max("ts").alias("t1"), F.min("ts").alias("t0"),
