@@ -1,6 +1,6 @@
 """Audit the physical plans of all registered queries for scale red flags.
 
-    python scripts/plan_audit.py [sf_dir] > PLANS.md
+    python scripts/plan_audit.py [sf_dir] [name ...] > PLANS.md
 
 Per query: shuffles, broadcasts (and what they carry), windows, Python stages, joins
 that are cartesian or nested-loop, single-partition exchanges, and scans with their
@@ -38,7 +38,9 @@ def plan_text(df) -> str:
 
 
 def main():
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = sys.argv[1:]
+    sf = args[0] if args and args[0].startswith("/") else "/root/testdata/sf0.01"
+    names = [a for a in args if not a.startswith("/")]
     spark = local_session(8, 16)
     reg = load_all()
     print("# Plan audit\n")
@@ -46,9 +48,10 @@ def main():
     print("| query | shuffles | broadcasts | python stages | windows | red flags | pushed filters |")
     print("| --- | --- | --- | --- | --- | --- | --- |")
     for name, q in reg.items():
+        if names and name not in names:
+            continue
         df = q.fn(Views(spark, sf))
         txt = plan_text(df)
-        subq = "\n".join(str(s) for s in [])
         shuffles = len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin|SinglePartition)", txt))
         bcast = len(re.findall(r"BroadcastExchange", txt))
         py = len(re.findall(r"(MapInPandas|FlatMapGroupsInPandas|ArrowEvalPython|BatchEvalPython|MapInArrow)", txt))
@@ -67,7 +70,6 @@ def main():
         pushed = sorted(set(re.findall(r"PushedFilters: \[([^\]]+)\]", txt)))
         pf = "; ".join(p[:60] for p in pushed[:2]) if pushed else ""
         print(f"| {name} | {shuffles} | {bcast} | {py} | {win} | {', '.join(red)} | {pf} |")
-        del subq
 
 
 if __name__ == "__main__":
