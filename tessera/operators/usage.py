@@ -53,7 +53,8 @@ def consumer_lag(log: DataFrame, topic: str = "topic", partition: str = "partiti
 
     1. the group's mark is its highest offset in the partition (map-side combined);
     2. a partition's marks form a sorted array, one entry per group reading it (bounded
-       by the consumer-group catalog, not by the data);
+       by the consumer-group catalog, not by the data), kept next to the (group, mark)
+       pairs so that each group's index needs no join;
     3. every message falls into the bucket ``b`` = number of marks below its offset, and
        the log is reduced to a count per (topic, partition, bucket), again map-side;
     4. the messages above mark ``j`` are the buckets ``b ≥ j``: a suffix sum over at most
@@ -62,8 +63,10 @@ def consumer_lag(log: DataFrame, topic: str = "topic", partition: str = "partiti
     A partition holding a third of the log is spread over every scan task and only
     contributes partial counts to the shuffle."""
     commits = log.groupBy(topic, partition, group).agg(F.max(order).alias("_mark"))
-    marks = commits.groupBy(topic, partition).agg(
-        F.array_sort(F.collect_set("_mark")).alias("_marks"))
+    per_part = commits.groupBy(topic, partition).agg(
+        F.array_sort(F.collect_set("_mark")).alias("_marks"),
+        F.collect_list(F.struct(F.col(group).alias("g"), F.col("_mark").alias("m"))).alias("_groups"))
+    marks = per_part.select(topic, partition, "_marks")
     below = F.size(F.filter(F.col("_marks"), lambda m: m < F.col(order)))
     buckets = (log.select(topic, partition, order).join(marks, [topic, partition])
                .groupBy(topic, partition, below.alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
@@ -71,8 +74,10 @@ def consumer_lag(log: DataFrame, topic: str = "topic", partition: str = "partiti
         topic, partition, "_b",
         F.sum("_n").over(Window.partitionBy(topic, partition).orderBy(F.col("_b").desc()))
         .alias("_above"))
-    ranked = commits.join(marks, [topic, partition]).select(
-        topic, partition, group, F.array_position("_marks", F.col("_mark")).alias("_b"))
+    # each group's mark index, from the same per-partition row (no join back to the commits)
+    ranked = per_part.select(topic, partition, "_marks", F.explode("_groups").alias("_e")).select(
+        topic, partition, F.col("_e")["g"].alias(group),
+        F.array_position("_marks", F.col("_e")["m"]).alias("_b"))
     lag = (ranked.join(above, [topic, partition, "_b"], "left")
            .groupBy(topic, group)
            .agg(F.sum(F.coalesce(F.col("_above"), F.lit(0))).alias("lag_messages")))
