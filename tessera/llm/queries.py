@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
+from tessera.llm.lang_gru import held_out, identify, train_on
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
 
 
@@ -19,6 +20,14 @@ def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return radix_dedup(rows, carry=False).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op8_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    model, langs = train_on(docs)
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return identify(rows, model, langs).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix of all documents: words each one gives."""
     docs = documents(spark, sf_dir)
@@ -29,6 +38,7 @@ def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_radix_dedup": op7_radix_dedup,
+    "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
 }
 
