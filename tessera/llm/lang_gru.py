@@ -22,6 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -308,24 +309,27 @@ def label_texts(w: dict, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out / np.maximum(length, 1)[:, None]
 
 
-def identify(df: DataFrame, model: dict | None, langs: list[str], text_col: str = "text") -> DataFrame:
-    """The input with ``lang_pred`` and ``score``."""
+def identify(df: DataFrame, model: dict | None, langs: list[str], text_col: str = "text",
+             carry: bool = True) -> DataFrame:
+    """The input with ``lang_pred`` and ``score``; ``carry=False`` leaves the text out of the result."""
     names = [c for c in df.columns if c not in ("lang_pred", "score")]
     src = df.select(*[F.col(f"`{c}`") for c in names])
+    keep = [c for c in names if carry or c != text_col]
     if model is None:
-        return src.select("*", F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
-    # texts without a letter are settled by a JVM expression; the network sees the others
-    ask = src.withColumn("_text", F.when(has_letter(F.col(f"`{text_col}`")), F.col(f"`{text_col}`")))
-    schema = StructType([*src.schema.fields, StructField("lang_pred", StringType()),
+        return src.select(*[F.col(f"`{c}`") for c in keep], F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
+    # texts without a letter are told apart by a JVM expression; the network sees the others
+    ask = src.withColumn("_letter", has_letter(F.col(f"`{text_col}`")))
+    schema = StructType([*[src.schema[c] for c in keep], StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    keep, weights = src.columns, for_reading(model)
+    weights = for_reading(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "_text", SLICE):
-            buf, off = raw_bytes(b.column("_text"))
+        for b in slices(batches, text_col, SLICE):
+            letter = b.column("_letter")
+            buf, off = raw_bytes(pc.if_else(letter, b.column(text_col), pa.scalar(None, b.column(text_col).type)))
             probs = label_texts(weights, buf, off)
             best = probs.argmax(axis=1)
-            none = np.diff(off) == 0
+            none = ~letter.to_numpy(zero_copy_only=False).astype(bool)
             pred = [UND if e else langs[k] for k, e in zip(best.tolist(), none.tolist())]
             score = np.where(none, 0.0, np.clip(probs[np.arange(len(best)), best], 0.0, 1.0))
             yield pa.RecordBatch.from_arrays(

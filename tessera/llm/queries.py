@@ -25,7 +25,7 @@ def op8_lang_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model, langs = train_on(docs)
     rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
-    return identify(rows, model, langs).select("doc_id", "held_out", "lang_pred", "score")
+    return identify(rows, model, langs, carry=False).select("doc_id", "held_out", "lang_pred", "score")
 
 
 def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
