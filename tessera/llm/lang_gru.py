@@ -22,7 +22,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -317,7 +316,7 @@ def identify(df: DataFrame, model: dict | None, langs: list[str], text_col: str
     keep = [c for c in names if carry or c != text_col]
     if model is None:
         return src.select(*[F.col(f"`{c}`") for c in keep], F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
-    # texts without a letter are told apart by a JVM expression; the network sees the others
+    # texts without a letter are told apart by a JVM expression
     ask = src.withColumn("_letter", has_letter(F.col(f"`{text_col}`")))
     schema = StructType([*[src.schema[c] for c in keep], StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
@@ -326,7 +325,7 @@ def identify(df: DataFrame, model: dict | None, langs: list[str], text_col: str
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text_col, SLICE):
             letter = b.column("_letter")
-            buf, off = raw_bytes(pc.if_else(letter, b.column(text_col), pa.scalar(None, b.column(text_col).type)))
+            buf, off = raw_bytes(b.column(text_col))
             probs = label_texts(weights, buf, off)
             best = probs.argmax(axis=1)
             none = ~letter.to_numpy(zero_copy_only=False).astype(bool)
