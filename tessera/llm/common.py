@@ -176,3 +176,57 @@ def windows(code: np.ndarray, row: np.ndarray, k: int) -> tuple[np.ndarray, np.n
 def counts_by_row(row: np.ndarray, n: int, weights: np.ndarray | None = None) -> np.ndarray:
     c = np.bincount(row, weights=weights, minlength=n)
     return c.astype(np.int64)
+
+
+def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
+    """Batches of rows sorted by ``key``, regrouped so that no key is spread over two of them."""
+    held: list[pa.RecordBatch] = []
+    n, least = 0, rows
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append(b)
+        n += b.num_rows
+        if n < least:
+            continue
+        t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+        k = t.column(key).to_numpy()
+        change = np.flatnonzero(k[1:] != k[:-1])
+        if not len(change):
+            held, least = [t], 2 * n
+            continue
+        cut = int(change[-1]) + 1
+        yield t.slice(0, cut)
+        held, n, least = [t.slice(cut)], t.num_rows - cut, rows
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
+# -------------------------------------------------------------- components
+
+def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, root) for every node of the edges (a, b): root is the smallest node it is connected to.
+
+    Alternating large-star and small-star steps; each step is two grouped minima and
+    joins, written out, and ends when the edges no longer change.
+    """
+    up, down = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
+    e = scratch.put(edges.where("a != b").select(up, down).distinct())
+    mark = None
+    while True:
+        n = e.agg(F.count("*"), F.sum(F.pmod(F.xxhash64("u", "v"), F.lit(1 << 40)))).first()
+        if tuple(n) == mark or not n[0]:
+            break
+        mark = tuple(n)
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.col("w")).alias("m"))
+        large = (both.join(low, F.col("u") == F.col("w")).where("v > u")
+                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        met = large.join(low, F.col("u") == F.col("w"))
+        small = (met.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                 .unionByName(low.select(F.col("w").alias("u"), F.col("m").alias("v"))).distinct())
+        last, e = e, scratch.put(small)
+        scratch.drop(last)
+    own = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
+    return scratch.put(e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(own))

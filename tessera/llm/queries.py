@@ -7,12 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.bayes_join import bayes_join
 from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.lang_gru import held_out, identify, train_on
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
 
 
+def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class and number of links of every document."""
+    return bayes_join(documents(spark, sf_dir)).select("doc_id", "class_id", "links", "kept")
+
+
 def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents: class, size and survivor of every row."""
     docs = documents(spark, sf_dir)
@@ -37,6 +43,7 @@ def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_bayes_join": op3_bayes_join,
     "op7_radix_dedup": op7_radix_dedup,
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
