@@ -12,6 +12,7 @@ from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.lang_gru import held_out, identify, train_on
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
+from tessera.llm.sp_nbest import sp_encode
 
 
 def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,11 +43,20 @@ def op9_cube_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  (F.col("size") * F.col("copies")).cast("long").alias("taken"))
 
 
+def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Best segmentation of every document (digest of its ids), scores of the N best, exact round trip."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return sp_encode(docs, carry=False).select(
+        "doc_id", "n_pieces", "score", F.sha2("ids", 256).alias("ids_sha256"),
+        F.transform("others", lambda o: o["score"]).alias("other_scores"), "round_trip")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bayes_join": op3_bayes_join,
     "op7_radix_dedup": op7_radix_dedup,
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
+    "op10_sp_nbest": op10_sp_nbest,
 }
 
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')"
