@@ -13,6 +13,7 @@ from tessera.llm.cube_mix import cube_mix
 from tessera.llm.lang_gru import held_out, identify, train_on
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
 from tessera.llm.sp_nbest import sp_encode
+from tessera.llm.suffix_dedup import suffix_dedup
 
 
 def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +21,12 @@ def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join(documents(spark, sf_dir)).select("doc_id", "class_id", "links", "kept")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that a repeated 200-byte string covers, and the digest of the rest."""
+    return suffix_dedup(documents(spark, sf_dir), carry=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents: class, size and survivor of every row."""
     docs = documents(spark, sf_dir)
@@ -53,6 +60,7 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bayes_join": op3_bayes_join,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op7_radix_dedup": op7_radix_dedup,
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
