@@ -11,11 +11,18 @@ from tessera.llm.bayes_join import bayes_join
 from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.lang_gru import held_out, identify, train_on
+from tessera.llm.quality_cascade import quality_cascade
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
 from tessera.llm.sp_nbest import sp_encode
 from tessera.llm.suffix_dedup import suffix_dedup
 
 
+def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts and verdict of the rule cascade for every document."""
+    return quality_cascade(documents(spark, sf_dir).select("doc_id", "text"), carry=False).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class and number of links of every document."""
     return bayes_join(documents(spark, sf_dir)).select("doc_id", "class_id", "links", "kept")
@@ -59,6 +66,7 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality_cascade": op2_quality_cascade,
     "op3_bayes_join": op3_bayes_join,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_radix_dedup": op7_radix_dedup,
@@ -70,6 +78,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_quality_cascade": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        e AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+                     [x FOR x IN string_split(t, chr(10)) IF regexp_matches(x, '[^\x20\x09-\x0D]')] AS ls FROM d),
+        pos AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+                FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 1, 1))) AS i FROM e)),
+        again AS (SELECT doc_id, i FROM pos QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+        cover AS (SELECT doc_id, count(DISTINCT i + k) AS n_repeat_words
+                  FROM again, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+        s AS (SELECT doc_id, len(w) AS n_words,
+                     length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+                     length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+                     len(ls) - len(list_distinct(ls)) AS n_dup_lines, len(ls) AS n_lines,
+                     len([x FOR x IN w IF regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]')]) AS with_letter,
+                     length(regexp_replace(t, '[^A-Z]+', '', 'g')) AS upper_letters,
+                     length(regexp_replace(t, '[^A-Za-z]+', '', 'g')) AS letters,
+                     len([x FOR x IN w IF regexp_matches(x, '[!?.,;:]{2}$')]) AS stopped,
+                     len([x FOR x IN ls IF regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]')]) AS bullets,
+                     len([x FOR x IN ls IF regexp_matches(x, '([.]{3}|…)[\x20\x09-\x0D]*$')]) AS ellipses
+              FROM e),
+        f AS (SELECT s.*, coalesce(n_repeat_words, 0) AS n_repeat_words FROM s LEFT JOIN cover USING (doc_id)),
+        b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT (base_failed OR 10 * n_symbols > n_words
+                    OR word_chars < 3 * n_words OR word_chars > 10 * n_words
+                    OR 10 * n_dup_lines > 3 * n_lines OR 10 * with_letter < 8 * n_words
+                    OR 2 * upper_letters > letters OR 10 * stopped > 3 * n_words
+                    OR 10 * bullets > 9 * n_lines OR 10 * ellipses > 3 * n_lines) AS kept
+        FROM b""",
     "op7_radix_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORMAL} AS t, length(coalesce(text, '')) AS n FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
