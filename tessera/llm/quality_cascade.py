@@ -131,7 +131,7 @@ def _word_length(t: Texts, b: dict) -> np.ndarray:
 
 
 def _same_lines(t: Texts, b: dict) -> np.ndarray:
-    return 10 * b["n_dup_lines"] > 3 * counts_by_row(t.lines()[2], t.n)
+    return 2 * b["n_dup_lines"] > counts_by_row(t.lines()[2], t.n)
 
 
 def _letters(t: Texts, b: dict) -> np.ndarray:
@@ -183,7 +183,7 @@ class Rule:
 RULES = (
     Rule("symbols", _symbols),  # a symbol for ten words or more
     Rule("word_length", _word_length),  # mean word length outside 3 to 10
-    Rule("same_lines", _same_lines),  # over 30 % of the lines repeat one before
+    Rule("same_lines", _same_lines),  # over half of the lines repeat one before
     Rule("letters", _letters),  # under 80 % of the words have a letter
     Rule("capitals", _capitals),  # over half of the ASCII letters are capitals
     Rule("stops", _stops),  # over 30 % of the words end in two stops

@@ -103,7 +103,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                NOT (base_failed OR 10 * n_symbols > n_words
                     OR word_chars < 3 * n_words OR word_chars > 10 * n_words
-                    OR 10 * n_dup_lines > 3 * n_lines OR 10 * with_letter < 8 * n_words
+                    OR 2 * n_dup_lines > n_lines OR 10 * with_letter < 8 * n_words
                     OR 2 * upper_letters > letters OR 10 * stopped > 3 * n_words
                     OR 10 * bullets > 9 * n_lines OR 10 * ellipses > 3 * n_lines) AS kept
         FROM b""",
