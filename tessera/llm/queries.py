@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tessera.llm.bayes_join import bayes_join
 from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
+from tessera.llm.html_density import html_density
 from tessera.llm.lang_gru import held_out, identify, train_on
 from tessera.llm.quality_cascade import quality_cascade
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
@@ -28,6 +29,12 @@ def op3_bayes_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bayes_join(documents(spark, sf_dir)).select("doc_id", "class_id", "links", "kept")
 
 
+def op4_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir.rstrip('/')}/pages.parquet").select("page_id", "url", "html")
+    return html_density(pages, carry=False).select("page_id", "url", "text", "n_chars")
+
+
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a repeated 200-byte string covers, and the digest of the rest."""
     return suffix_dedup(documents(spark, sf_dir), carry=False).select(
@@ -68,6 +75,7 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_cascade": op2_quality_cascade,
     "op3_bayes_join": op3_bayes_join,
+    "op4_html_density": op4_html_density,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op7_radix_dedup": op7_radix_dedup,
     "op8_lang_gru": op8_lang_gru,
