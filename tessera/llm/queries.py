@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.bayes_join import bayes_join
+from tessera.llm.chat_rotation import chat_rotation
 from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.html_density import html_density
@@ -41,6 +42,17 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every dialogue from the side of every participant: digest of the rendering, and its mask."""
+    turns = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet")
+    span = F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string")))
+    learned = F.aggregate("mask", F.lit(0), lambda acc, m: acc + m["end"] - m["start"])
+    return chat_rotation(turns).select(
+        "conv_id", "perspective", "part", "start", "n_turns", F.length("text").cast("long").alias("n_chars"),
+        learned.cast("long").alias("n_learned"), F.array_join(span, ",").alias("mask"),
+        F.sha2("text", 256).alias("text_sha256"))
+
+
 def op7_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact dedup of all documents: class, size and survivor of every row."""
     docs = documents(spark, sf_dir)
@@ -77,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_bayes_join": op3_bayes_join,
     "op4_html_density": op4_html_density,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_chat_rotation": op6_chat_rotation,
     "op7_radix_dedup": op7_radix_dedup,
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
@@ -115,6 +128,30 @@ ORACLE_SQL: dict[str, str] = {
                     OR 2 * upper_letters > letters OR 10 * stopped > 3 * n_words
                     OR 10 * bullets > 9 * n_lines OR 10 * ellipses > 3 * n_lines) AS kept
         FROM b""",
+    "op6_chat_rotation": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, turn // 1024 AS part,
+                          replace(coalesce(text, ''), '<|', '<\|') AS body FROM conversations),
+        p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
+        h AS (SELECT t.*, perspective, '<|im_start|>'
+                     || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
+                             ELSE 'user name=' || regexp_replace(role, '[\x20\x09-\x0D<|>=]+', '_', 'g') END
+                     || chr(10) AS head
+              FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+        g AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS shown FROM h),
+        s AS (SELECT *, coalesce(sum(length(shown)) OVER (
+                  PARTITION BY conv_id, perspective, part ORDER BY turn, role, body
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s0 FROM g),
+        r AS (SELECT conv_id, perspective, part, count(*) AS n_turns,
+                     string_agg(shown, '' ORDER BY turn, role, body) AS text,
+                     coalesce(sum(length(body) + 10) FILTER (role = perspective), 0)::BIGINT AS n_learned,
+                     coalesce(string_agg(s0::BIGINT::VARCHAR || '-' || (s0::BIGINT + length(body) + 10)::VARCHAR, ','
+                              ORDER BY turn, role, body) FILTER (role = perspective), '') AS mask
+              FROM s GROUP BY ALL)
+        SELECT conv_id, perspective, part, coalesce(sum(length(text)) OVER (
+                   PARTITION BY conv_id, perspective ORDER BY part
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, n_turns,
+               length(text) AS n_chars, n_learned, mask, sha256(text) AS text_sha256
+        FROM r""",
     "op7_radix_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORMAL} AS t, length(coalesce(text, '')) AS n FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
