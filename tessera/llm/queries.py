@@ -13,12 +13,24 @@ from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.html_density import html_density
 from tessera.llm.lang_gru import held_out, identify, train_on
+from tessera.llm.pii_surrogate import pii_surrogate
 from tessera.llm.quality_cascade import quality_cascade
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
 from tessera.llm.sp_nbest import sp_encode
 from tessera.llm.suffix_dedup import suffix_dedup
 
 
+#: Key of the registered query's surrogates; a user of the operator passes a secret one.
+SURROGATE_KEY = b"registered query"
+
+
+def op1_pii_surrogate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data and secrets replaced by surrogates."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return pii_surrogate(docs, SURROGATE_KEY).select(
+        "doc_id", "text", "n_entities", F.array_join(F.transform("entities", lambda e: e["type"]), ",").alias("types"))
+
+
 def op2_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and verdict of the rule cascade for every document."""
     return quality_cascade(documents(spark, sf_dir).select("doc_id", "text"), carry=False).select(
@@ -85,6 +97,7 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii_surrogate": op1_pii_surrogate,
     "op2_quality_cascade": op2_quality_cascade,
     "op3_bayes_join": op3_bayes_join,
     "op4_html_density": op4_html_density,
