@@ -58,7 +58,8 @@ def radix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
             .select("gid", "digit", (F.monotonically_increasing_id()
                                      + F.lit(level << 56)).alias("next")))
         more = F.col("next").isNotNull() & (F.length("digit") == width)
-        out = cur.join(groups, ["gid", "digit"], "left").select(
+        # both sides grow with the input: a merge join at every size, never a broadcast
+        out = cur.join(groups.hint("merge"), ["gid", "digit"], "left").select(
             "row", "id", "n_points", "next", more.alias("more"),
             (F.col("text") if carry else F.when(more, F.col("text"))).alias("text"))
         if level == 0:
@@ -84,7 +85,7 @@ def radix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
         .agg(F.count("*").alias("size"), best.alias("best"))
         .select(F.col("next").alias("class"), "size", F.col("best.id").alias("best_id"),
                 F.col("best.uid").alias("best_uid")))
-    kept = done.join(classes, F.col("next") == F.col("class"), "left")
+    kept = done.join(classes.hint("merge"), F.col("next") == F.col("class"), "left")
     single = F.col("next").isNull()
     cols = [F.col(f"row.`{c}`").alias(c) if c != text_col else F.col("text").alias(c)
             for c in names if carry or c != text_col]
