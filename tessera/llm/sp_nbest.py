@@ -30,8 +30,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BinaryType, BooleanType, DoubleType, IntegerType, StringType,
+                               StructField, StructType)
 
 from tessera.llm.common import slices
 
@@ -351,4 +351,4 @@ def sp_decode(df: DataFrame, ids_col: str = "ids", model: str = MODEL) -> DataFr
                      for i in b.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*names, "decoded"])
 
-    return src.mapInArrow(work, StructType(src.schema.fields).add("decoded", "string"))
+    return src.mapInArrow(work, StructType([*src.schema.fields, StructField("decoded", StringType())]))
