@@ -103,11 +103,17 @@ def extract_object(text) -> Column:
 
 
 def is_json_object(text) -> Column:
-    """True when ``text`` is exactly one strict JSON object (NULL text → False)."""
-    wrapped = F.concat(F.lit("["), col_(text), F.lit("]"))
-    parsed = F.from_json(wrapped, "array<map<string,string>>",
-                         {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false"})
-    return F.coalesce(F.size(parsed) == 1, F.lit(False))
+    """True when ``text`` is exactly one strict JSON object (NULL text → False).
+
+    Read as the only element of an array it must be one non-null object; a text with a
+    ``]`` must also read as the only field of an object, which rules out texts that close
+    the array and open another one."""
+    strict = {"allowSingleQuotes": "false", "allowNumericLeadingZeros": "false"}
+    t = col_(text)
+    parsed = F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<map<string,string>>", strict)
+    inner = F.from_json(F.concat(F.lit('{"v":'), t, F.lit("}")), "v map<string,string>", strict)
+    one = (F.size(parsed) == 1) & F.get(parsed, F.lit(0)).isNotNull()
+    return F.coalesce(one & (~t.contains("]") | inner["v"].isNotNull()), F.lit(False))
 
 
 def _repair(text: Column, label: bool) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.log import first_per_key, latest_per_key
+from tessera.operators.log import latest_per_key
 
 KINDS = ("scope", "time", "cost")
 
@@ -84,16 +84,10 @@ def missing_side(left: DataFrame, right: DataFrame, left_key: str,
     return left.join(r, left_key, "left_anti")
 
 
-def with_context(df: DataFrame, state: DataFrame, name: str = "context") -> DataFrame:
+def with_context(df: DataFrame, state: DataFrame, order: str, name: str = "context") -> DataFrame:
     """JN-6: attach the single current-state row (or NULL) to every row.
 
-    The state is read as a scalar subquery of one struct (the newest row), so no
-    join is planned and an empty state cannot drop rows."""
-    cols = state.columns
-    newest = state.agg(F.max_by(F.struct(*cols), F.col(cols[0]))).scalar()
+    The state is read as a scalar subquery of one struct (the row of the greatest
+    ``order``), so no join is planned and an empty state cannot drop rows."""
+    newest = state.agg(F.max_by(F.struct(*state.columns), F.col(order))).scalar()
     return df.withColumn(name, newest)
-
-
-def first_match(df: DataFrame, key: str, order: str) -> DataFrame:
-    """WIN-3 alias used by the file variant of the joins."""
-    return first_per_key(df, key, order, value=None)

@@ -33,8 +33,10 @@ def interval_join(left: DataFrame, right: DataFrame, key: str, left_ts: str, rig
     if how == "inner":
         return j
     if how == "left":
-        # left rows without a partner, appended (anti-join on the left's identity columns)
+        # left rows without a partner, appended (null-safe anti-join on all columns of the left)
         ids = left.columns
-        unmatched = left.join(j.select(*ids).distinct(), ids, "left_anti")
+        met = j.select(*[F.col(c).alias(f"_m_{c}") for c in ids]).distinct()
+        same = [F.col(c).eqNullSafe(F.col(f"_m_{c}")) for c in ids]
+        unmatched = left.join(met, same, "left_anti")
         return j.unionByName(unmatched, allowMissingColumns=True)
     raise ValueError(how)

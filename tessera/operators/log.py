@@ -46,15 +46,15 @@ def drop_tombstones(df: DataFrame, value: str = "value") -> DataFrame:
     return df.filter(F.col(value).isNotNull())
 
 
-def split_errors(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
-    """FLT-5: (good, rejects) — a value that is not one JSON object is rejected, scan goes on."""
-    ok = is_json_object(F.col(value))
-    return df.filter(ok), df.filter(~ok)
+def mark_errors(df: DataFrame, value: str = "value", name: str = "rejected") -> DataFrame:
+    """FLT-5: flag values that are not one JSON object (one pass; the scan goes on)."""
+    return df.withColumn(name, ~is_json_object(F.col(value)))
 
 
-def drop_errors(df: DataFrame, value: str = "value") -> DataFrame:
-    """FLT-5: the good half of :func:`split_errors`."""
-    return split_errors(df, value)[0]
+def split_errors(df: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """FLT-5: (good, rejects) of :func:`mark_errors`."""
+    marked = mark_errors(df, value, "_rejected")
+    return marked.filter(~F.col("_rejected")).drop("_rejected"), marked.filter("_rejected").drop("_rejected")
 
 
 def check_domain(df: DataFrame, col: str, symbols: Iterable[str]) -> DataFrame:
@@ -149,6 +149,7 @@ def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str =
                     as_of=None, date: str | None = None) -> DataFrame:
     """WIN-6: drop records older than the retention of their topic (-1 = keep forever).
 
+    A record without a timestamp cannot have expired and is kept.
     The clock is ``as_of`` (a literal or Column) or, by default, the newest
     record of the log.  Per-topic overrides are a literal map, not a join.
 
@@ -171,10 +172,10 @@ def apply_retention(log: DataFrame, retention_ms: int = RETENTION_MS, ts: str =
         clock = _as_of(log, ts, as_of)
         newest_day = F.to_date(clock)
     cutoff = clock - F.make_dt_interval(secs=(ms / F.lit(1000)).cast("decimal(18,6)"))
-    keep = (ms < 0) | (F.col(ts) >= cutoff)
+    keep = (ms < 0) | F.coalesce(F.col(ts) >= cutoff, F.lit(True))
     if foldered:
         days = (F.ceil(ms / F.lit(86_400_000)) + F.lit(1)).cast("int")
-        keep = ((ms < 0) | (F.col(date) >= F.date_sub(newest_day, days))) & keep
+        keep = ((ms < 0) | F.col(date).isNull() | (F.col(date) >= F.date_sub(newest_day, days))) & keep
     return log.filter(keep)
 
 
@@ -183,7 +184,8 @@ def compact_with_lag(log: DataFrame, key: str = "key", order: str = "offset", ts
                      as_of=None, date: str | None = None) -> DataFrame:
     """WIN-7: what a compacted topic still holds — the newest version of each key plus
     every record younger than the compaction lag.  The two parts are disjoint, so
-    they are appended without a de-duplicating shuffle.
+    they are appended without a de-duplicating shuffle.  A record without a timestamp
+    counts as old: it stays only as the newest version of its key.
 
     On a log foldered by ``date`` (``publish``), pass ``date="date"``: the young part then
     reads only the folders from the cutoff's day on (one day of slack for time zones)."""
@@ -194,7 +196,8 @@ def compact_with_lag(log: DataFrame, key: str = "key", order: str = "offset", ts
     if date and date in live.columns:
         recent = live.filter(F.col(date) >= F.date_sub(F.to_date(cutoff), 1))
     young = recent.filter(F.col(ts) > cutoff)
-    newest_old = latest_per_key(live, key, order, value).filter(~(F.col(ts) > cutoff))
+    newest_old = latest_per_key(live, key, order, value).filter(
+        ~F.coalesce(F.col(ts) > cutoff, F.lit(False)))
     return young.unionByName(newest_old.select(*live.columns))
 
 
@@ -203,14 +206,15 @@ def compact_with_lag(log: DataFrame, key: str = "key", order: str = "offset", ts
 
 def status_transitions(log: DataFrame, key: str = "key", order: str = "offset",
                        status: str = "status") -> DataFrame:
-    """WIN-9: audit trail — versions whose status differs from the key's previous one.
+    """WIN-9: audit trail — a key's first version and every version whose status differs
+    from the one before (a NULL status is a status of its own).
 
-    Uses the range-partitioned scan (no key-partitioned window), so a key with a
-    huge history is processed by many tasks.
+    Windows run inside ranges of the order, so a key with a huge history is processed
+    by many tasks.
     """
-    seq = with_previous(log, [key], [order], [status], prefix="prev_")
-    prev = F.col("prev_" + status)
-    return seq.filter(prev.isNull() | (prev != F.col(status)))
+    seq = with_previous(log, [key], [order], [status], prefix="prev_", first="_first")
+    same = F.col("prev_" + status).eqNullSafe(F.col(status))
+    return seq.filter(F.col("_first") | ~same).drop("_first")
 
 
 # ------------------------------------------------------------------ sets
@@ -239,11 +243,12 @@ def unique_ids(df: DataFrame, id_col: str = "idea_id") -> DataFrame:
     return df.select(id_col).distinct()
 
 
-def stage_counts(**stages: DataFrame) -> DataFrame:
-    """AGG-15: rows produced per stage, one row per stage."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def stage_counts(records: DataFrame, stage: Column, names: Iterable[str]) -> DataFrame:
+    """AGG-15: rows produced per stage, one row per stage (0 for a stage without rows).
+
+    ``stage`` tells each record's stage (NULL: none), so all stages of a log are counted in
+    one pass over it."""
+    names = list(names)
+    counts = records.agg(*[F.count_if(stage == n).alias(n) for n in names])
+    return counts.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("stage"), F.col(n).alias("rows")) for n in names])).alias("_s")).select("_s.*")

@@ -19,7 +19,6 @@ from pyspark.sql.types import StructType
 from tessera.functions.jsontext import (between_fences, extract_object, is_json_object,
                                         repair_json, strip_fences, with_extracted, with_repaired)
 from tessera.functions.text import iso_utc, record_id, safe_ident, slug
-from tessera.operators.parallel import spread
 
 # --- fixed values: record defaults and fallback texts ---
 PARSE_FAILED = "Unable to parse detailed analysis"
@@ -65,7 +64,6 @@ def clean_response(text, mode: str) -> Column:
 
 def _parse(df: DataFrame, response: str, mode: str, schema: str) -> DataFrame:
     """Adds ``_ok`` (the response holds one JSON object under ``mode``) and ``_a`` (typed)."""
-    df = spread(df)
     if mode == "repair":
         d = with_repaired(with_extracted(df, response, "_clean_x"), "_clean_x", "_clean")
         d = d.drop("_clean_x").withColumn("_ok", F.col("_clean").isNotNull())

@@ -35,7 +35,7 @@ def respond(prompts: DataFrame, fn: Responder | None, id_col: str = "id",
                 err = out.isna().map(lambda missing: "no response" if missing else None)
             except Exception as e:  # noqa: BLE001 - any responder failure becomes fallback rows
                 out = pd.Series([None] * len(pdf), index=pdf.index, dtype=object)
-                err = pd.Series([f"{type(e).__name__}: {e}"[:500]] * len(pdf), index=pdf.index)
+                err = pd.Series([f"{type(e).__name__}: {e}"] * len(pdf), index=pdf.index)
             yield pd.DataFrame({"id": pdf["id"], "response": out, "error": err})
 
     return base.mapInPandas(call, f"id {id_type}, response string, error string")

@@ -33,15 +33,18 @@ def latest_action(actions: DataFrame, key: str = "id", order: str = "offset") ->
 
 def apply_actions(items: DataFrame, actions: DataFrame, machine: str, key: str = "id",
                   status: str = "status", action: str = "action",
-                  reason: str | None = "reason") -> DataFrame:
+                  reason: str | None = "reason", order: str = "offset") -> DataFrame:
     """JN-7: new status per item from its action; ``written`` marks rows to publish.
 
     Ideas: a→APPROVED, r→REJECTED (+reason), e→REFINED, e+a→APPROVED, s→unchanged;
     ideas already APPROVED/REJECTED never change.  Decisions: a/r/d, skip→DEFERRED.
     Solutions: a/r/v→REVISION_REQUESTED, s→unchanged.  Other statuses: unchanged.
+    One action counts per item: the newest by ``order`` (without that column, the greatest
+    action letter, so a rerun decides alike).
     """
     m = MACHINES[machine]
-    act = actions.select(key, F.col(action).alias("_act"),
+    by = order if order in actions.columns else action
+    act = latest_action(actions, key, by).select(key, F.col(action).alias("_act"),
                          *( [F.col(reason).alias("_reason")] if reason and reason in actions.columns else []))
     j = items.join(act, key, "left")
     a = normalise_choice(F.col("_act"))
@@ -89,7 +92,7 @@ def apply_edits(items: DataFrame, edits: DataFrame, key: str = "id") -> DataFram
 def review_queue(items: DataFrame, order: list[str], key: str = "id", title: str = "title",
                  lists: dict[str, str] | None = None, preview_len: int = 50) -> DataFrame:
     """PRJ-13 + WIN-8: a flat reviewable view — item number, '[i/n]', title preview,
-    joined lists and their item counts.  Numbering uses the range-partitioned scan."""
+    joined lists and their item counts (numbered inside ranges of the first order column)."""
     n = items.agg(F.count(F.lit(1))).scalar()
     q = number_rows(items, order, name="item_no")
     cols = [F.col(key), F.col("item_no"),
@@ -101,6 +104,53 @@ def review_queue(items: DataFrame, order: list[str], key: str = "id", title: str
     return q.select(*cols)
 
 
+def decision_view(decisions: DataFrame, order: list[str]) -> DataFrame:
+    """PRJ-13 for decisions: number, '[i/n]', title, recommendation, risk, confidence as a
+    percentage, summary, and findings, conditions and alternatives with their counts."""
+    n = decisions.agg(F.count(F.lit(1))).scalar()
+    q = number_rows(decisions, order, name="item_no")
+    lists = [("findings", "key_findings"), ("conditions", "conditions"), ("alternatives", "alternative_approaches")]
+    return q.select(
+        "decision_id", "idea_id", "item_no", _progress(n), F.col("idea_title").alias("title"), "status",
+        "recommendation", "overall_risk", _percent("confidence_score"), "summary",
+        *[c for name, arr in lists for c in (F.array_join(arr, "\n").alias(name),
+                                             F.coalesce(F.size(arr), F.lit(0)).alias(name + "_count"))],
+        "detailed_reasoning")
+
+
+def solution_view(solutions: DataFrame, order: list[str]) -> DataFrame:
+    """PRJ-13 for solutions: number, '[i/n]', title, approach, engine, topics, schemas, queries
+    and connectors with their counts, effort, risks and metrics, governance fields."""
+    n = solutions.agg(F.count(F.lit(1))).scalar()
+    q = number_rows(solutions, order, name="item_no")
+    topic = F.transform("new_topics", lambda t: F.concat(
+        t["name"], F.lit(" ("), t["partitions"].cast("string"), F.lit(" partitions)")))
+    connectors = F.col("infrastructure_requirements.connectors_required")
+    gov = [F.coalesce(F.col(f"data_governance.{f}"), F.lit("N/A")).alias(f)
+           for f in ("owner", "domain", "classification", "retention_policy")]
+
+    def count(c, name):
+        return F.coalesce(F.size(c), F.lit(0)).alias(name)
+
+    return q.select(
+        "solution_id", "idea_id", "item_no", _progress(n), F.col("idea_title").alias("title"), "status",
+        _percent("confidence_score"), "technical_approach", "processing_engine",
+        F.array_join(topic, "\n").alias("topics"), count(F.col("new_topics"), "topics_count"),
+        count(F.col("schemas"), "schemas_count"), count(F.col("query_specifications"), "queries_count"),
+        join_list(connectors).alias("connectors"), count(connectors, "connectors_count"), *gov,
+        "estimated_effort_hours", count(F.col("risks_and_mitigations"), "risks_count"),
+        F.array_join("success_metrics", "\n").alias("metrics"))
+
+
+def _progress(n: Column) -> Column:
+    return F.concat(F.lit("["), F.col("item_no").cast("string"), F.lit("/"), n.cast("string"),
+                    F.lit("]")).alias("progress")
+
+
+def _percent(score: str) -> Column:
+    return F.concat(F.round(F.col(score) * 100).cast("int").cast("string"), F.lit("%")).alias("confidence")
+
+
 def lifecycle_counts(items: DataFrame, status: str = "status") -> DataFrame:
     """AGG-10: approved / rejected / modified (REFINED) / remaining (RAW)."""
     s = F.col(status)

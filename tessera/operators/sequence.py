@@ -1,320 +1,97 @@
-"""Ordered scans per key that stay correct and parallel when one key is huge.
+"""Ordered columns per key that stay parallel when one key is huge.
 
-``Window.partitionBy(key)`` sends every row of a key to one task, so a key holding
-a third of the log would run on one core.  Here the log is range-partitioned on
-``(key, order)`` instead: a hot key is spread over many contiguous partitions.
-Each partition is scanned once in Arrow batches (``mapInPandas``); the only state
-that crosses partitions is a per-partition summary (one row per partition, so its
-size is bounded by the partition count, not by the data), which is folded in
-partition order and broadcast back.  The sorted input is checkpointed to the
-shared checkpoint folder so partition numbering is stable between the two reads
-and lineage is cut (executor loss recomputes from the checkpoint).
+``Window.partitionBy(key)`` sends every row of a key to one task.  Here a key's rows are
+split by ranges of the order column (a column expression that never decreases along the
+order: a span of offsets, a day, a prefix of a text).  Windows run inside a (key, range);
+what stands before a range is summed up in one row per (key, range), aggregated on the
+map side, and put in front of the range's rows as a head row.  Everything is built-in
+expressions, lazy, and keeps the types of its columns.
 
-Outputs, all per key in ``order``:
-* ``number``      1-based row number (WIN-8, positions of V7),
-* ``prev``        value of the previous row for some columns (lag, WIN-9, gaps),
-* ``running``     running sum of one numeric column (session ids).
+* ``with_previous``  values of the key's previous row (lag), and whether there is one,
+* ``running_sum``, ``running_max``  running aggregates,
+* ``number_rows``    1-based numbers.
+
+NULL keys are one key; NULL orders come first, as in a Spark window.
 """
 
 from __future__ import annotations
 
-from typing import Iterable, Sequence
+from typing import Callable, Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import ensure_checkpoint_dir
-
-_PID, _FIRST, _RUN0, _LRN, _LSUM = "_seq_pid", "_seq_first", "_seq_run0", "_seq_lrn", "_seq_lsum"
+#: Offsets of one range; first characters of a text order that make a range.
+SPAN, PREFIX = 1 << 20, 2
+_RANGE, _REAL, _CARRY = "_seq_range", "_seq_real", "_seq_carry"
 
 
 def _names(cols) -> list[str]:
-    return [c for c in ([cols] if isinstance(cols, str) else list(cols))]
-
-
-def range_partitions(df: DataFrame) -> int:
-    """Partition count for a range sort of ``df``: the larger of the configured shuffle
-    partitions and the optimizer's size estimate divided by the advisory partition size
-    (no job is run; at 100 TB this yields tens of thousands of ~256 MB ranges)."""
-    spark = df.sparkSession
-    conf = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    target = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    t = target.strip().lower().rstrip("b")
-    target_bytes = int(float(t[:-1]) * units[t[-1]]) if t and t[-1] in units else int(t or 67108864)
-    target_bytes = max(target_bytes, 4 * (1 << 20)) * 4      # scan output → ~256 MB sorted runs
-    # size of what the plan reads (its leaf relations: files, or a checkpoint's recorded
-    # statistics); operator estimates above the leaves (Python stages, joins) are unreliable
-    est = 0
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        for i in range(leaves.size()):
-            size = int(str(leaves.apply(i).stats().sizeInBytes()))
-            if size >= 2 ** 60:          # "unknown" (spark.sql.defaultSizeInBytes)
-                continue
-            est += size
-    except Exception:  # noqa: BLE001 - estimates are optional
-        est = 0
-    if est <= 0:
-        return conf
-    return max(conf, min(-(-est // target_bytes), 200_000))
-
-
-def sorted_checkpoint(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                      partitions: int | None = None) -> DataFrame:
-    """Range-partition on (keys, order), sort inside partitions, checkpoint reliably."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = partitions or range_partitions(df)
-    cols = [F.col(c) for c in list(keys) + list(order)]
-    return df.repartitionByRange(n, *cols).sortWithinPartitions(*cols).checkpoint(eager=True)
-
-
-def _neq(cur: pd.DataFrame, prev: pd.DataFrame) -> pd.Series:
-    """Row-wise 'key differs from previous key' with NULL == NULL."""
-    out = pd.Series(False, index=cur.index)
-    for c in cur.columns:
-        a, b = cur[c], prev[c]
-        same = (a == b) | (a.isna() & b.isna())
-        out |= ~same.fillna(False).astype(bool)
-    return out
-
-
-def sequence(df: DataFrame, keys: Sequence[str] | str, order: Sequence[str] | str, *,
-             number: str | None = None, prev: Iterable[str] = (), prev_prefix: str = "prev_",
-             running: tuple[str, str] | None = None, running_op: str = "sum",
-             partitions: int | None = None, strategy: str = "range",
-             presorted: bool = False) -> DataFrame:
-    """Add per-key ordered columns without putting a key into a single task.
-
-    ``keys`` may be empty (one global order).  ``running=(source_col, out_col)`` adds a
-    running sum (``running_op="sum"``) or running maximum (``"max"``, NULLs ignored).
-    Rows come back range-partitioned and sorted by (keys, order).
-
-    ``presorted=True`` scans ``df`` as it is: use it only on the output of another
-    ``sequence`` call with the same keys and order (plus row-wise projections), whose
-    partitions already are contiguous ranges in partition order.  Chained scans then
-    share one range shuffle and sort instead of repeating them over the whole log.
-
-    ``strategy="window"`` uses key-partitioned window functions instead: one shuffle
-    and no checkpoint, but every key is processed by one task — only for logs whose
-    keys are known to be evenly sized.
-    """
-    is_max = running_op == "max"
-    keys, order, prev = _names(keys), _names(order), list(prev)
-    if strategy == "window":
-        return _by_window(df, keys, order, number, prev, prev_prefix, running, is_max)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    sort_cols = [F.col(c) for c in keys + order]
-    if presorted:
-        sorted_ = df
-    else:
-        n_parts = partitions or range_partitions(df)
-        sorted_ = df.repartitionByRange(n_parts, *sort_cols).sortWithinPartitions(*sort_cols)
-    schema = sorted_.schema
-    field = {f.name: f for f in schema.fields}
-    run_src, run_out = running if running else (None, None)
-    sum_type = field[run_src].dataType if run_src else T.LongType()
-    key_fields = [field[k] for k in keys]
-
-    # one output: the data rows with their partition-local results, plus one summary
-    # row per non-empty partition (``_seq_summary``), written by the same task
-    out_fields = ([T.StructField(f.name, f.dataType, True) for f in schema.fields] + [
-        T.StructField(_PID, T.IntegerType()), T.StructField(_FIRST, T.BooleanType()),
-        T.StructField(_RUN0, T.BooleanType()), T.StructField(_LRN, T.LongType()),
-        T.StructField(_LSUM, sum_type)]
-        + [T.StructField(prev_prefix + c, field[c].dataType) for c in prev]
-        + [T.StructField("_seq_summary", T.BooleanType()), T.StructField("_s_single", T.BooleanType())]
-        + [T.StructField("_s_first_" + f.name, f.dataType) for f in key_fields]
-        + [T.StructField("_s_last_" + f.name, f.dataType) for f in key_fields]
-        + [T.StructField("_s_lastval_" + c, field[c].dataType) for c in prev])
-    out_schema = T.StructType(out_fields)
-    out_names = [f.name for f in out_fields]
-
-    def scan(batches):
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        last_key = None          # one-row DataFrame of the previous row's keys
-        first_key = None
-        last_vals: dict = {}
-        last_rn, last_sum, first_run_open, seen, single = 0, (None if is_max else 0), True, False, True
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            pdf = pdf.reset_index(drop=True)
-            kdf = pdf[keys] if keys else pd.DataFrame(index=pdf.index)
-            shifted = kdf.shift(1)
-            if seen and keys:
-                shifted.iloc[0] = last_key.iloc[0]
-            new_key = _neq(kdf, shifted) if keys else pd.Series(False, index=pdf.index)
-            if not seen:
-                first_key = kdf.iloc[[0]].reset_index(drop=True) if keys else None
-                new_key.iloc[0] = True
-                if new_key.iloc[1:].any():
-                    single = False
-            elif new_key.any():
-                single = False
-            run = new_key.cumsum()
-            cont = run == 0                                  # continues the previous batch's run
-            rn = pdf.groupby(run).cumcount().astype("int64") + 1
-            rn[cont] += last_rn
-            if run_src and is_max:
-                lsum = pdf[run_src].groupby(run).cummax()
-                if seen and last_sum is not None and cont.any():
-                    head = lsum[cont]
-                    lsum[cont] = head.where(head.notna() & (head >= last_sum), last_sum)
-            elif run_src:
-                lsum = pdf[run_src].fillna(0).groupby(run).cumsum()
-                lsum[cont] += last_sum
-            else:
-                lsum = pd.Series(0, index=pdf.index, dtype="int64")
-            run0 = (run == 1) if not seen else (cont & first_run_open)
-            out = pdf.copy()
-            out[_PID] = pid
-            first = pd.Series(False, index=pdf.index)
-            if not seen:
-                first.iloc[0] = True
-            out[_FIRST] = first
-            out[_RUN0] = run0.astype(bool)
-            out[_LRN] = rn
-            out[_LSUM] = lsum
-            for c in prev:
-                p = pdf[c].shift(1).astype(object)
-                if seen:
-                    p.iloc[0] = last_vals[c]
-                p[new_key] = None
-                out[prev_prefix + c] = p
-            out["_seq_summary"] = False
-            for c in out_names:
-                if c not in out.columns:      # summary-only columns: NULL (object, not NaN)
-                    out[c] = pd.Series([None] * len(out), index=out.index, dtype=object)
-            yield out[out_names]
-            first_run_open = bool(run0.iloc[-1])
-            last_key = kdf.iloc[[-1]].reset_index(drop=True) if keys else None
-            last_vals = {c: pdf[c].iloc[-1] for c in prev}
-            last_rn, last_sum, seen = int(rn.iloc[-1]), lsum.iloc[-1], True
-            if is_max and pd.isna(last_sum):
-                last_sum = None
-        if not seen:
-            return
-        row = {c: None for c in out_names}
-        row.update({_PID: pid, "_seq_summary": True, "_s_single": single, _LRN: last_rn,
-                    _LSUM: last_sum if run_src else 0})
-        for k in keys:
-            row["_s_first_" + k] = first_key[k].iloc[0]
-            row["_s_last_" + k] = last_key[k].iloc[0]
-        for c in prev:
-            row["_s_lastval_" + c] = last_vals[c]
-        yield pd.DataFrame([row], columns=out_names)
-
-    # the scanned output is checkpointed: data rows and summaries come from the same task
-    # attempt, so the fold below always matches the rows it is applied to
-    scanned = sorted_.mapInPandas(scan, out_schema).checkpoint(eager=True)
-
-    carry_schema = T.StructType(
-        [T.StructField(_PID, T.IntegerType()), T.StructField("carry_n", T.LongType()),
-         T.StructField("carry_sum", sum_type)]
-        + [T.StructField("carry_" + c, field[c].dataType) for c in prev])
+    return [cols] if isinstance(cols, str) else list(cols)
 
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(_PID).reset_index(drop=True)
-        rows, state_key, state_n, state_vals = [], None, 0, {}
-        state_sum = None if is_max else 0
-        for r in pdf.to_dict("records"):
-            first_key = tuple(r["_s_first_" + k] for k in keys)
-            same = state_key is not None and _tuple_eq(first_key, state_key)
-            out = {_PID: r[_PID], "carry_n": state_n if same else 0,
-                   "carry_sum": state_sum if same else (None if is_max else 0)}
-            for c in prev:
-                out["carry_" + c] = state_vals.get(c) if same else None
-            rows.append(out)
-            if r["_s_single"] and same:
-                state_n += r[_LRN]
-                if is_max:
-                    cand = [x for x in (state_sum, r[_LSUM]) if x is not None and not pd.isna(x)]
-                    state_sum = max(cand) if cand else None
-                else:
-                    state_sum += r[_LSUM]
-            else:
-                state_n, state_sum = r[_LRN], r[_LSUM]
-                if is_max and state_sum is not None and pd.isna(state_sum):
-                    state_sum = None
-            state_key = tuple(r["_s_last_" + k] for k in keys)
-            state_vals = {c: r["_s_lastval_" + c] for c in prev}
-        return pd.DataFrame(rows, columns=[f.name for f in carry_schema.fields])
 
-    summary_cols = [_PID, "_s_single", _LRN, _LSUM] + ["_s_first_" + k for k in keys] + \
-        ["_s_last_" + k for k in keys] + ["_s_lastval_" + c for c in prev]
-    # one summary row per partition: a single bounded group, then a broadcast of that size
-    carry = (scanned.filter(F.col("_seq_summary")).select(*summary_cols)
-             .groupBy(F.lit(0).alias("_g")).applyInPandas(
-                 lambda pdf: fold(pdf.drop(columns=["_g"], errors="ignore")), carry_schema))
+def order_range(df: DataFrame, order: Sequence[str] | str, span: int = SPAN) -> Column:
+    """The range of each row: never decreasing along ``order`` (its first column decides)."""
+    first = _names(order)[0]
+    kind, c = df.schema[first].dataType, F.col(first)
+    if isinstance(kind, T.NumericType):
+        return F.floor(c / F.lit(span))
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.to_date(c)
+    if isinstance(kind, T.StringType):
+        return F.substring(c, 1, PREFIX)
+    return F.lit(0)
 
-    j = scanned.filter(~F.col("_seq_summary")).join(F.broadcast(carry), _PID, "left")
-    in_run0 = F.col(_RUN0)
-    out_cols: list[Column] = [F.col(c) for c in schema.names]
-    if number:
-        out_cols.append((F.col(_LRN) + F.when(in_run0, F.coalesce(F.col("carry_n"), F.lit(0)))
-                         .otherwise(F.lit(0))).alias(number))
-    if run_src and is_max:
-        out_cols.append(F.when(in_run0, F.greatest(F.col(_LSUM), F.col("carry_sum")))
-                        .otherwise(F.col(_LSUM)).cast(sum_type).alias(run_out))
-    elif run_src:
-        out_cols.append((F.col(_LSUM) + F.when(in_run0, F.coalesce(F.col("carry_sum"), F.lit(0)))
-                         .otherwise(F.lit(0))).cast(sum_type).alias(run_out))
-    for c in prev:
-        out_cols.append(F.when(F.col(_FIRST), F.col("carry_" + c))
-                        .otherwise(F.col(prev_prefix + c)).alias(prev_prefix + c))
-    return j.select(*out_cols)
 
+def _with_heads(df: DataFrame, keys: list[str], order: list[str], part: Column,
+                carry: Callable[[Column], Column], ranges: Column | None) -> DataFrame:
+    """``df`` and, in front of each (key, range), a head row with ``carry`` of the parts before it."""
+    base = df.withColumn(_RANGE, order_range(df, order) if ranges is None else ranges)
+    parts = base.groupBy(*keys, _RANGE).agg(part.alias("_part"))
+    heads = (parts.withColumn(_CARRY, carry(F.col("_part"))(Window.partitionBy(*keys).orderBy(_RANGE)))
+             .where(F.col(_CARRY).isNotNull()).select(*keys, _RANGE, _CARRY, F.lit(0).alias(_REAL)))
+    return base.withColumn(_REAL, F.lit(1)).unionByName(heads, allowMissingColumns=True)
 
-def _by_window(df, keys, order, number, prev, prev_prefix, running, is_max) -> DataFrame:
-    from pyspark.sql import Window
 
-    w = (Window.partitionBy(*keys) if keys else Window).orderBy(*order)
-    cols = [F.col(c) for c in df.columns]
-    if number:
-        cols.append(F.row_number().over(w).cast("long").alias(number))
-    if running:
-        src, out = running
-        frame = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        agg = F.max(src) if is_max else F.sum(F.coalesce(F.col(src), F.lit(0)))
-        cols.append(agg.over(frame).cast(df.schema[src].dataType).alias(out))
-    cols += [F.lag(c).over(w).alias(prev_prefix + c) for c in prev]
-    return df.select(*cols)
+def _inside(keys: list[str], order: list[str]):
+    return Window.partitionBy(*keys, _RANGE).orderBy(_REAL, *order)
 
 
-def _tuple_eq(a: tuple, b: tuple) -> bool:
-    for x, y in zip(a, b):
-        xn = x is None or (isinstance(x, float) and x != x) or (x is pd.NaT)
-        yn = y is None or (isinstance(y, float) and y != y) or (y is pd.NaT)
-        if xn and yn:
-            continue
-        if xn != yn or x != y:
-            return False
-    return True
+def with_previous(df: DataFrame, keys, order, cols, prefix: str = "prev_", first: str | None = None,
+                  ranges: Column | None = None) -> DataFrame:
+    """Adds ``<prefix><col>`` for each of ``cols``; ``first`` names a flag of rows without a previous one."""
+    keys, order, cols = _names(keys), _names(order), _names(cols)
+    here = F.struct(*[F.col(c) for c in cols])
+    rows = _with_heads(df, keys, order, F.max_by(here, F.struct(*[F.col(c) for c in order])),
+                       lambda p: lambda w: F.lag(p).over(w), ranges)
+    value = F.when(F.col(_REAL) == 0, F.col(_CARRY)).otherwise(here)
+    rows = rows.withColumn("_prev", F.lag(value).over(_inside(keys, order))).where(F.col(_REAL) == 1)
+    out = [F.col(f"_prev.{c}").alias(prefix + c) for c in cols]
+    flag = [F.col("_prev").isNull().alias(first)] if first else []
+    return rows.select(*df.columns, *out, *flag)
 
 
-def number_rows(df: DataFrame, order, keys=(), name: str = "row_number") -> DataFrame:
-    """WIN-8 / positions: 1-based row number per key (or global) in ``order``."""
-    return sequence(df, keys, order, number=name)
+def _running(df: DataFrame, keys, order, col: str, out: str, op, ranges: Column | None) -> DataFrame:
+    keys, order = _names(keys), _names(order)
+    before = lambda p: lambda w: op(p).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = _with_heads(df, keys, order, op(F.col(col)), before, ranges)
+    value = F.when(F.col(_REAL) == 0, F.col(_CARRY)).otherwise(F.col(col))
+    frame = _inside(keys, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.withColumn(out, op(value).over(frame)).where(F.col(_REAL) == 1).select(*df.columns, out)
 
 
-def with_previous(df: DataFrame, keys, order, cols, prefix: str = "prev_") -> DataFrame:
-    """Lag of ``cols`` per key in ``order`` (NULL on a key's first row)."""
-    return sequence(df, keys, order, prev=_names(cols), prev_prefix=prefix)
+def running_sum(df: DataFrame, keys, order, col: str, out: str, ranges: Column | None = None) -> DataFrame:
+    """Adds ``out``: the sum of ``col`` up to and with the row (NULLs ignored)."""
+    return _running(df, keys, order, col, out, F.sum, ranges)
 
 
-def running_sum(df: DataFrame, keys, order, col: str, out: str,
-                presorted: bool = False) -> DataFrame:
-    """Running sum of ``col`` per key in ``order`` (``presorted``: see ``sequence``)."""
-    return sequence(df, keys, order, running=(col, out), presorted=presorted)
+def running_max(df: DataFrame, keys, order, col: str, out: str, ranges: Column | None = None) -> DataFrame:
+    """Adds ``out``: the largest ``col`` up to and with the row (NULLs ignored)."""
+    return _running(df, keys, order, col, out, F.max, ranges)
 
 
-def running_max(df: DataFrame, keys, order, col: str, out: str) -> DataFrame:
-    """Running maximum of ``col`` per key in ``order`` (NULLs ignored)."""
-    return sequence(df, keys, order, running=(col, out), running_op="max")
+def number_rows(df: DataFrame, order, keys=(), name: str = "row_number", ranges: Column | None = None) -> DataFrame:
+    """Adds ``name``: 1-based number of the row among its key's rows (``keys`` empty: among all)."""
+    one = df.withColumn("_one", F.lit(1).cast("bigint"))
+    return running_sum(one, keys, order, "_one", name, ranges).drop("_one")

@@ -1,8 +1,8 @@
 """Platform snapshot: three state rows side by side with defaults (JN-5, PRJ-8, AGG-16).
 
-State rows are small (one per cluster key).  They are matched with a full outer
-join on the cluster key so that a missing side yields defaults instead of
-dropping the snapshot.
+State rows are small (one per cluster key).  Each side is read as a scalar subquery of its
+newest row, so a missing side yields defaults instead of dropping the snapshot, and no
+join is planned.
 """
 
 from __future__ import annotations

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tessera.operators.sequence import number_rows
 
+#: Offsets of one range when messages are counted against consumer marks.
+LAG_SPAN = 1 << 16
+
 
 def _seconds(ts_max, ts_min):
     return (F.unix_micros(ts_max.cast("timestamp")) - F.unix_micros(ts_min.cast("timestamp"))) / 1e6
@@ -38,49 +41,37 @@ def top_topics(usage: DataFrame, n: int = 10) -> DataFrame:
 
 def positions(log: DataFrame, topic: str = "topic", partition: str = "partition",
               order: str = "offset") -> DataFrame:
-    """Position of every message inside its topic partition (1-based), computed by the
-    range-partitioned scan so a hot partition is spread over many tasks."""
+    """Position of every message inside its topic partition (1-based), numbered
+    inside ranges of offsets, so a hot partition is spread over many tasks."""
     return number_rows(log, [order], keys=[topic, partition], name="position")
 
 
 def consumer_lag(log: DataFrame, topic: str = "topic", partition: str = "partition",
-                 group: str = "group", order: str = "offset") -> DataFrame:
+                 group: str = "group", order: str = "offset", span: int = LAG_SPAN) -> DataFrame:
     """AGG-8: lag per (topic, group) = Σ over partitions of (end − committed), kept when > 0.
 
     With positions numbered by ``order`` inside a partition, end − committed is the
-    number of the partition's messages whose offset lies above the group's highest
-    offset.  That count needs no numbering and no ordered pass:
-
-    1. the group's mark is its highest offset in the partition (map-side combined);
-    2. a partition's marks form a sorted array, one entry per group reading it (bounded
-       by the consumer-group catalog, not by the data), kept next to the (group, mark)
-       pairs so that each group's index needs no join;
-    3. every message falls into the bucket ``b`` = number of marks below its offset, and
-       the log is reduced to a count per (topic, partition, bucket), again map-side;
-    4. the messages above mark ``j`` are the buckets ``b ≥ j``: a suffix sum over at most
-       (groups + 1) rows per partition.
-
-    A partition holding a third of the log is spread over every scan task and only
-    contributes partial counts to the shuffle."""
-    commits = log.groupBy(topic, partition, group).agg(F.max(order).alias("_mark"))
-    per_part = commits.groupBy(topic, partition).agg(
-        F.array_sort(F.collect_set("_mark")).alias("_marks"),
-        F.collect_list(F.struct(F.col(group).alias("g"), F.col("_mark").alias("m"))).alias("_groups"))
-    marks = per_part.select(topic, partition, "_marks")
-    below = F.size(F.filter(F.col("_marks"), lambda m: m < F.col(order)))
-    buckets = (log.select(topic, partition, order).join(marks, [topic, partition])
-               .groupBy(topic, partition, below.alias("_b")).agg(F.count(F.lit(1)).alias("_n")))
-    above = buckets.select(
-        topic, partition, "_b",
-        F.sum("_n").over(Window.partitionBy(topic, partition).orderBy(F.col("_b").desc()))
-        .alias("_above"))
-    # each group's mark index, from the same per-partition row (no join back to the commits)
-    ranked = per_part.select(topic, partition, "_marks", F.explode("_groups").alias("_e")).select(
-        topic, partition, F.col("_e")["g"].alias(group),
-        F.array_position("_marks", F.col("_e")["m"]).alias("_b"))
-    lag = (ranked.join(above, [topic, partition, "_b"], "left")
-           .groupBy(topic, group)
-           .agg(F.sum(F.coalesce(F.col("_above"), F.lit(0))).alias("lag_messages")))
+    number of the partition's messages above the group's mark (its highest offset):
+
+    1. messages are counted per (topic, partition, range of ``span`` offsets), map-side;
+       a suffix sum over the ranges gives the messages in ranges above a mark's;
+    2. only inside a range that holds a mark are messages compared with marks, joined on
+       (topic, partition, range).
+
+    No step keys on the partition alone, so one that holds a third of the log is spread
+    over its ranges at any size."""
+    rng = F.floor(F.col(order) / span)
+    marks = (log.groupBy(topic, partition, group).agg(F.max(order).alias("_mark"))
+             .withColumn("_r", F.floor(F.col("_mark") / span)))
+    counts = log.groupBy(topic, partition, rng.alias("_r")).agg(F.count(F.lit(1)).alias("_n"))
+    later = Window.partitionBy(topic, partition).orderBy(F.col("_r").desc())
+    above = counts.select(topic, partition, "_r", F.coalesce(
+        F.sum("_n").over(later.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"))
+    here = [topic, partition, "_r"]
+    inside = (log.select(topic, partition, rng.alias("_r"), F.col(order).alias("_o")).join(marks, here)
+              .groupBy(*here, group).agg(F.count_if(F.col("_o") > F.col("_mark")).alias("_in")))
+    lag = (inside.join(above, here).groupBy(topic, group)
+           .agg(F.sum(F.col("_above") + F.col("_in")).alias("lag_messages")))
     return lag.filter(F.col("lag_messages") > 0).select(
         F.col(topic).alias("topic_name"), F.col(group).alias("consumer_group"),
         F.col("lag_messages").cast("bigint").alias("lag_messages"))

@@ -33,9 +33,9 @@ V5 = """v5 AS (SELECT source || '/' || CAST(doc_id AS VARCHAR) AS path, lang AS
 V6 = """v6_scope AS (SELECT CAST(user_id AS VARCHAR) AS idea_id, event_id AS "offset",
     'scope-' || CAST(event_id AS VARCHAR) AS challenge_id, value, ts FROM events WHERE event_type = 'click'),
   v6_time AS (SELECT CAST(user_id AS VARCHAR) AS idea_id, event_id AS "offset",
-    'time-' || CAST(event_id AS VARCHAR) AS challenge_id, value, ts FROM events WHERE event_type = 'view' AND value < 4.0),
+    'time-' || CAST(event_id AS VARCHAR) AS challenge_id, value, ts FROM events WHERE event_type = 'view'),
   v6_cost AS (SELECT CAST(user_id AS VARCHAR) AS idea_id, event_id AS "offset",
-    'cost-' || CAST(event_id AS VARCHAR) AS challenge_id, value, ts FROM events WHERE event_type = 'purchase' AND value < 4.0)"""
+    'cost-' || CAST(event_id AS VARCHAR) AS challenge_id, value, ts FROM events WHERE event_type = 'purchase')"""
 
 V7 = """v7 AS (SELECT *, 'g' || CAST(user_id % 7 AS VARCHAR) AS "group" FROM v1)"""
 

@@ -17,9 +17,9 @@ from tessera.operators import evaluate as E
 from tessera.operators import records as R
 from tessera.operators import review as RV
 from tessera.operators.respond import respond
-from tessera.operators.log import latest_per_key
+from tessera.operators.snapshot import build_snapshot
 
-STAGES = ["ideas", "idea_review", "scope", "time", "cost", "decision", "decision_review",
+STAGES = ["monitoring", "ideas", "idea_review", "scope", "time", "cost", "decision", "decision_review",
           "solution", "solution_review", "implementation"]
 
 
@@ -28,19 +28,46 @@ def _save(spark: SparkSession, df: DataFrame, out: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{out}/{name}")
 
 
-def run_pipeline(spark: SparkSession, idea_responses: DataFrame, out: str,
+def idea_prompts(state: DataFrame) -> DataFrame:
+    """One request for ideas from the current state (counts and summary of the platform)."""
+    return state.select(F.lit("state").alias("id"), F.format_string(
+        "Suggest data products for cluster %s: %d topics in %d domains, %d consumer groups. %s",
+        F.col("deployment.cluster_id"), F.col("deployment.total_topics"), F.col("deployment.domain_count"),
+        F.col("usage.consumer_groups"), F.col("summary")).alias("prompt"))
+
+
+def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str,
                  responder: Callable | None = None, idea_actions: DataFrame | None = None,
                  decision_actions: DataFrame | None = None,
-                 solution_actions: DataFrame | None = None, skip: set[str] = frozenset()) -> dict:
+                 solution_actions: DataFrame | None = None, skip: set[str] = frozenset(),
+                 deployment: DataFrame | None = None, usage: DataFrame | None = None,
+                 metrics: DataFrame | None = None) -> dict:
     """Run the chain; returns {stage: row count} (AGG-15).
 
-    ``idea_responses`` has (id, response): model output holding {"ideas": [...]}.
-    Actions tables have (id, action) and default to 'approve everything'."""
+    With ``deployment``, ``usage`` or ``metrics`` (summary rows of the monitoring stages) the
+    chain starts at monitoring: they become the current state.  ``idea_responses`` has
+    (id, response): model output holding {"ideas": [...]}; without it the responder is
+    asked for ideas with the current state.  Actions tables have (id, action) and default
+    to 'approve everything'; a review named in ``skip`` approves everything too, any
+    other skipped stage ends the chain."""
     counts: dict[str, int] = {}
 
     def gate(name: str, df: DataFrame | None) -> bool:
-        return name not in skip and df is not None and not df.isEmpty()
-
+        return (name not in skip or name.endswith("_review")) and df is not None and not df.isEmpty()
+
+    def actions(name: str, given: DataFrame | None, items: DataFrame) -> DataFrame:
+        if given is None or name in skip:
+            return items.select("id", F.lit("a").alias("action"))
+        return given
+
+    if any(x is not None for x in (deployment, usage, metrics)):
+        state = _save(spark, build_snapshot(spark, deployment, usage, metrics), out, "current_state")
+        counts["monitoring"] = state.count()
+        if idea_responses is None:
+            idea_responses = respond(idea_prompts(state), responder, "id").select("id", "response")
+    if idea_responses is None:
+        return counts
+    idea_responses = _save(spark, idea_responses, out, "idea_responses")
     ideas = R.explode_ideas(idea_responses, keep=("id",))
     ideas = R.build_raw_ideas(ideas.withColumn("idea_key", F.concat_ws("-", "id", "idea_no")),
                               "idea", id_cols=("idea_key",))
@@ -49,18 +76,22 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame, out: str,
     if not gate("idea_review", ideas):
         return counts
     items = ideas.withColumnRenamed("idea_id", "id")
-    acts = idea_actions if idea_actions is not None else items.select("id", F.lit("a").alias("action"))
-    reviewed = RV.apply_actions(items, acts, "idea").withColumn("status", F.col("new_status"))
+    reviewed = RV.apply_actions(items, actions("idea_review", idea_actions, items), "idea").withColumn("status", F.col("new_status"))
     approved = _save(spark, reviewed.filter(F.col("status") == "APPROVED")
                      .withColumnRenamed("id", "idea_id"), out, "approved_ideas")
     counts["idea_review"] = approved.count()
     if not gate("scope", approved):
         return counts
 
+    def answers(prompts: DataFrame, kind: str) -> DataFrame:
+        # answers are written before they are parsed: a lost executor does not ask again
+        resp = respond(prompts, responder, "idea_id").withColumnRenamed("id", "idea_id")
+        return _save(spark, resp, out, f"{kind}_responses")
+
     def evaluate(kind: str, builder):
         prompts = R.render_prompts(approved, f"Challenge the {kind} of idea %s: %s",
                                    [F.col("idea_id"), F.col("title")])
-        resp = respond(prompts, responder, "idea_id").withColumnRenamed("id", "idea_id")
+        resp = answers(prompts, kind)
         rows = builder(approved.join(resp, "idea_id"), response="response")
         return _save(spark, rows, out, kind)
 
@@ -75,16 +106,14 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame, out: str,
            .join(time_.select("idea_id", F.col("challenge_id").alias("time_challenge_id")), "idea_id")
            .join(cost.select("idea_id", F.col("challenge_id").alias("cost_challenge_id")), "idea_id"))
     prompts = R.render_prompts(ids, "Decide on idea %s", [F.col("idea_id")])
-    resp = respond(prompts, responder, "idea_id").withColumnRenamed("id", "idea_id")
+    resp = answers(prompts, "decision")
     decisions = _save(spark, R.build_decision(ids.join(resp, "idea_id"), title="idea_title"),
                       out, "decisions")
     counts["decision"] = decisions.count()
     if not gate("decision_review", decisions):
         return counts
     d_items = decisions.withColumnRenamed("decision_id", "id")
-    d_acts = decision_actions if decision_actions is not None else d_items.select(
-        "id", F.lit("a").alias("action"))
-    d_rev = RV.apply_actions(d_items, d_acts, "decision").withColumn("status", F.col("new_status"))
+    d_rev = RV.apply_actions(d_items, actions("decision_review", decision_actions, d_items), "decision").withColumn("status", F.col("new_status"))
     d_ok = _save(spark, d_rev.filter(F.col("status") == "APPROVED"), out, "approved_decisions")
     counts["decision_review"] = d_ok.count()
     if not gate("solution", d_ok):
@@ -92,15 +121,13 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame, out: str,
     ctx = E.join_decision_idea(d_ok.select("idea_id"), approved.select(
         "idea_id", "title", "domain", "related_topics"), "idea_id")
     prompts = R.render_prompts(ctx, "Design a data product for %s", [F.col("title")])
-    resp = respond(prompts, responder, "idea_id").withColumnRenamed("id", "idea_id")
+    resp = answers(prompts, "solution")
     solutions = _save(spark, R.build_solution(ctx.join(resp, "idea_id")), out, "solutions")
     counts["solution"] = solutions.count()
     if not gate("solution_review", solutions):
         return counts
     s_items = solutions.withColumn("id", F.col("solution_id"))
-    s_acts = solution_actions if solution_actions is not None else s_items.select(
-        "id", F.lit("a").alias("action"))
-    s_rev = RV.apply_actions(s_items, s_acts, "solution").withColumn("status", F.col("new_status"))
+    s_rev = RV.apply_actions(s_items, actions("solution_review", solution_actions, s_items), "solution").withColumn("status", F.col("new_status"))
     s_ok = _save(spark, s_rev.filter(F.col("status") == "APPROVED").drop("id", "new_status", "written"),
                  out, "approved_solutions")
     counts["solution_review"] = s_ok.count()
@@ -110,7 +137,3 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame, out: str,
     counts["implementation"] = impl.count()
     return counts
 
-
-def latest_ideas(spark: SparkSession, out: str) -> DataFrame:
-    """Current ideas after the run (latest version per id)."""
-    return latest_per_key(spark.read.parquet(f"{out}/ideas"), "idea_id", "timestamp", value=None)

@@ -13,7 +13,7 @@ LINES = "len(string_split({c}, chr(10)))"
 
 @query("explode_artifacts", "SNK-3 SCL-18", views=("v5",), sql=f"""
 SELECT path, type, {LINES.format(c='content')} AS lines FROM v5
-UNION ALL SELECT path || '.md', 'DOCUMENTATION', {LINES.format(c="'Summary of ' || path || chr(10) || left(content, 40)")} FROM v5
+UNION ALL SELECT path || '.md', 'DOCUMENTATION', {LINES.format(c="'Summary of ' || path || chr(10) || content")} FROM v5
 """)
 def explode_artifacts_q(v):
     """Each item carries a nested artifacts array (its content + a summary document);
@@ -21,7 +21,7 @@ def explode_artifacts_q(v):
     items = v.v5.select(F.array(
         F.struct("path", "type", "content", F.lit("source").alias("description")),
         F.struct(F.concat("path", F.lit(".md")).alias("path"), F.lit("DOCUMENTATION").alias("type"),
-                 F.concat(F.lit("Summary of "), F.col("path"), F.lit("\n"), F.substring("content", 1, 40))
+                 F.concat(F.lit("Summary of "), F.col("path"), F.lit("\n"), F.col("content"))
                  .alias("content"),
                  F.lit("summary").alias("description"))).alias("artifacts"))
     rows = A.explode_artifacts(items)

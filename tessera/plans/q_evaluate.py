@@ -51,13 +51,14 @@ def join_evaluations_from_scope(v):
 
 
 @query("skipped_evaluations", "JN-2 JN-4", views=("v6",), sql="""
-SELECT DISTINCT idea_id, idea_id NOT IN (SELECT idea_id FROM v6_time) AS missing_time,
-       idea_id NOT IN (SELECT idea_id FROM v6_cost) AS missing_cost
-FROM v6_scope WHERE idea_id NOT IN (SELECT idea_id FROM v6_time) OR idea_id NOT IN (SELECT idea_id FROM v6_cost)
+WITH i AS (SELECT CAST(c_custkey AS VARCHAR) AS idea_id FROM customer),
+m AS (SELECT idea_id, idea_id NOT IN (SELECT idea_id FROM v6_time) AS missing_time,
+             idea_id NOT IN (SELECT idea_id FROM v6_cost) AS missing_cost FROM i)
+SELECT * FROM m WHERE missing_time OR missing_cost
 """)
 def skipped_evaluations(v):
-    """Ideas skipped because an evaluation is missing, with the missing sides."""
-    _, skipped = E.join_evaluations_from(v.v6_scope, v.v6_time, v.v6_cost)
+    """Ideas (customers) skipped because an evaluation is missing, with the missing sides."""
+    _, skipped = E.join_evaluations_from(v.v6_ideas, v.v6_time, v.v6_cost)
     return skipped
 
 
@@ -124,7 +125,7 @@ def with_context_q(v):
     state = v.v1.agg(F.max("ts").alias("as_of"), F.count(F.lit(1)).alias("events"),
                      F.countDistinct("topic").alias("topics"))
     items = with_status(latest_per_key(v.v2, "key", value="status"), "APPROVED").select("key", "offset")
-    out = E.with_context(items, state)
+    out = E.with_context(items, state, order="as_of")
     return out.select("key", "offset", F.col("context.events").alias("context_events"),
                       F.col("context.topics").alias("context_topics"))
 

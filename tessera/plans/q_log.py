@@ -7,21 +7,26 @@ from pyspark.sql import functions as F
 from tessera.functions.jsontext import is_json_object
 from tessera.functions.text import iso_utc
 from tessera.operators import log as L
-from tessera.operators.sequence import number_rows
+from tessera.operators.sequence import number_rows, running_sum
 from tessera.plans.registry import query
 from tessera.schemas import IDEA_STATUS
 from tessera.sources.log import decode_value
 
 
-@query("log_scan_by_topic", "SRC-1 SRC-8 SET-1", views=("v1",), sql="""
+@query("log_scan_by_topic", "SRC-1", views=("v1",), sql="""
 SELECT topic, "partition", count(*) AS messages, min("offset") AS first_offset,
        max("offset") AS last_offset, count(DISTINCT key) AS keys
-FROM v1 WHERE topic IN ('click', 'view', 'purchase') GROUP BY topic, "partition"
+FROM v1 GROUP BY topic, "partition"
 """)
 def log_scan_by_topic(v):
-    """Three topics read separately and unioned by name, then per topic-partition extents."""
-    parts = [v.v1.filter(F.col("topic") == t) for t in ("click", "view", "purchase")]
-    log = L.union_logs(*parts)
+    """The whole log written as a topic-foldered log, read back by ``read_log``, and the
+    extents of each topic partition."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import read_log
+
+    path = scratch_path(v.spark, "log")
+    v.v1.select("topic", "partition", "offset", "key").write.partitionBy("topic").parquet(path)
+    log = read_log(v.spark, path)
     return log.groupBy("topic", "partition").agg(
         F.count(F.lit(1)).alias("messages"), F.min("offset").alias("first_offset"),
         F.max("offset").alias("last_offset"), F.countDistinct("key").alias("keys"))
@@ -42,10 +47,8 @@ SELECT id, kind,
 FROM v4
 """)
 def split_errors_q(v):
-    """Raw responses split into good / rejected (not one JSON object) without stopping the scan."""
-    good, rejects = L.split_errors(v.v4, "text")
-    return (good.select("id", "kind", F.lit(False).alias("rejected"))
-            .unionByName(rejects.select("id", "kind", F.lit(True).alias("rejected"))))
+    """Raw responses marked good / rejected (not one JSON object) in one pass."""
+    return L.mark_errors(v.v4, "text").select("id", "kind", "rejected")
 
 
 @query("latest_in_topic", "WIN-1 FLT-4", views=("v1",), sql="""
@@ -131,7 +134,76 @@ WHERE key = (SELECT arg_max(key, "offset") FROM v2)
 def by_id_q(v):
     """Point lookup of one id (the id of the newest version, found by a scalar subquery)."""
     newest = v.v2.agg(F.max_by("key", "offset")).scalar()
-    return v.v2.filter(F.col("key") == newest).select("key", "offset", "status")
+    return L.by_id(v.v2, "key", newest).select("key", "offset", "status")
+
+
+@query("limit_one", "SRT-2", views=("v2",), sql="""
+SELECT key, "offset", status FROM v2 WHERE status = 'RAW' ORDER BY ts DESC, "offset" DESC LIMIT 1
+""")
+def limit_one_q(v):
+    """The one newest open item (the feature: a stage that processes a single item)."""
+    return L.limit_one(L.with_status(v.v2, "RAW")).select("key", "offset", "status")
+
+
+@query("read_topics", "SRC-8 SET-1", views=("v1",), sql="""
+SELECT topic, count(*) AS messages, count(value) AS with_value, count(props) AS with_props FROM (
+  SELECT topic, "offset", CASE WHEN topic <> 'error' THEN value END AS value,
+         CASE WHEN topic = 'error' THEN props END AS props FROM v1) GROUP BY topic
+""")
+def read_topics_q(v):
+    """Topics with different columns, one folder each, read by one contract: error records
+    carry a payload, the others a value; missing columns come back as NULL."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import read_topics
+
+    base = scratch_path(v.spark, "topics")
+    cols = {"error": "props"}
+    topics = {}
+    # the topics of a log are its catalog: one name per event type
+    for t in sorted(r.topic for r in v.v1.select("topic").distinct().collect()):
+        topics[t] = f"{base}/{t}"
+        v.v1.filter(F.col("topic") == t).select("offset", cols.get(t, "value")).write.parquet(topics[t])
+    log = read_topics(v.spark, topics)
+    return log.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"), F.count("value").alias("with_value"),
+                                    F.count("props").alias("with_props"))
+
+
+@query("read_json_docs", "SRC-4", views=("v2",), sql="""
+SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
+""")
+def read_json_docs_q(v):
+    """The newest versions written as folders of JSON documents and read back by pattern."""
+    from tessera.session import scratch_path
+    from tessera.sources.docs import read_json_docs
+
+    path = scratch_path(v.spark, "docs")
+    L.latest_per_key(v.v2, "key", value="status").select("key", "offset", "status").write.json(path)
+    docs = v.spark.read.schema("key STRING, offset BIGINT, status STRING").json(path)
+    # one pretty-printed document per status, each an array of its records
+    pretty = docs.groupBy("status", F.pmod(F.xxhash64("key"), F.lit(16)).alias("part")).agg(
+        F.to_json(F.collect_list(F.struct("key", "offset", "status")), {"pretty": "true"}).alias("value"))
+    folder = scratch_path(v.spark, "pretty")
+    pretty.repartition("status", "part").write.partitionBy("status", "part").text(folder)
+    return read_json_docs(v.spark, f"{folder}/*/*/*.txt", "key STRING, offset BIGINT, status STRING",
+                          with_file=False).select("key", "offset", "status")
+
+
+@query("publish_twice", "SNK-1 SRC-1 WIN-2", views=("v2",), sql="""
+SELECT key, arg_max(status, "offset") AS status FROM v2 GROUP BY key
+""")
+def publish_twice(v):
+    """A topic published in two writes (open versions, then the newest ones) and read back: the
+    default latest-per-key gives the second write's version."""
+    from tessera.session import scratch_path
+    from tessera.sinks import publish
+    from tessera.sources.log import read_log
+
+    target = scratch_path(v.spark, "published")
+    first = L.first_per_key(v.v2, "key", value="status").select("key", F.lit("OPEN").alias("status"))
+    publish(first, "ideas", "key", target)
+    publish(L.latest_per_key(v.v2, "key", value="status").select("key", "status"), "ideas", "key", target)
+    log = decode_value(read_log(v.spark, target, topics=["ideas"]).drop("key"), "key STRING, status STRING")
+    return L.latest_per_key(log, "key", value="status").select("key", "status")
 
 
 @query("check_domain_status", "FLT-7", views=("v2",), sql="""
@@ -153,14 +225,18 @@ def confidence_between_q(v):
     return L.confidence_between(li, "l_discount", 0.0, 0.05)
 
 
-@query("newest_first_top", "SRT-1", views=("v2",), sql="""
-SELECT key, "offset" FROM v2
-ORDER BY coalesce(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), '') DESC, "offset" LIMIT 10
+@query("newest_first", "SRT-1", views=("v2",), sql="""
+SELECT key, "offset", count(*) OVER (ORDER BY t) - count(*) OVER (PARTITION BY t) AS older
+FROM (SELECT key, "offset", coalesce(strftime(ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), '') AS t FROM v2)
 """)
-def newest_first_top(v):
-    """Newest-first listing by ISO text timestamp, stable by offset (top 10 shown)."""
-    df = v.v2.withColumn("ts_text", iso_utc("ts"))
-    return L.newest_first(df, "ts_text").limit(10).select("key", "offset")
+def newest_first_q(v):
+    """The whole listing newest first by ISO text timestamp, stable by offset; ``older`` is the
+    number of items with a lower timestamp, which never rises along the listing."""
+    df = v.v2.select("key", "offset", F.coalesce(iso_utc("ts"), F.lit("")).alias("ts_text"))
+    per = df.groupBy("ts_text").agg(F.count(F.lit(1)).alias("n"))
+    older = running_sum(per, [], ["ts_text"], "n", "upto", ranges=F.substring("ts_text", 1, 7)) \
+        .select("ts_text", (F.col("upto") - F.col("n")).alias("older"))
+    return L.newest_first(df.join(older, "ts_text"), "ts_text").select("key", "offset", "older")
 
 
 @query("compact_with_lag", "WIN-7", views=("v2",), sql="""
@@ -210,8 +286,7 @@ FROM (SELECT key, row_number() OVER (ORDER BY ts, key) AS item_no, count(*) OVER
       FROM q WHERE status = 'APPROVED')
 """)
 def numbered_queue(v):
-    """1-based numbering and '[i/n]' progress over the approved queue (range-partitioned
-    numbering: no single-partition window)."""
+    """1-based numbering and '[i/n]' progress over the approved queue (numbered by day ranges)."""
     q = L.with_status(L.latest_per_key(v.v2, "key", value="status"), "APPROVED")
     n = q.agg(F.count(F.lit(1))).scalar()
     out = number_rows(q.select("key", "ts"), ["ts", "key"], name="item_no")
@@ -244,8 +319,11 @@ UNION ALL SELECT 'approved', count(*) FROM v2 WHERE status = 'APPROVED'
 """)
 def stage_counts_q(v):
     """Rows produced per stage."""
-    return L.stage_counts(scope=v.v6_scope, time=v.v6_time, cost=v.v6_cost,
-                          approved=L.with_status(v.v2, "APPROVED"))
+    kinds = F.create_map(*[F.lit(x) for kv in (("click", "scope"), ("view", "time"), ("purchase", "cost"))
+                           for x in kv])
+    evaluations = L.stage_counts(v.t.events.select(F.element_at(kinds, F.col("event_type")).alias("stage")),
+                                 F.col("stage"), ["scope", "time", "cost"])
+    return evaluations.unionByName(L.stage_counts(v.v2, F.lower("status"), ["approved"]))
 
 
 @query("documents_by_name", "SRT-7", sql="""

@@ -189,15 +189,15 @@ def review_queue_q(v):
     return RV.review_queue(items, ["ts", "id"], key="id", lists={"tags": "tag_list"})
 
 
-@query("by_risk_top", "SRT-9", views=("v2",), sql="""
+@query("by_risk", "SRT-9", views=("v2",), sql="""
 WITH l AS (SELECT key, arg_max(domain, "offset") AS domain, arg_max(score, "offset") AS score FROM v2 GROUP BY key),
 r AS (SELECT key, regexp_extract(domain, '-(.*)$', 1) AS level, round(score, 2) AS score,
   CAST(coalesce(list_position(['LOW', 'MEDIUM', 'HIGH', 'VERY_HIGH'], regexp_extract(domain, '-(.*)$', 1)), 0) AS INTEGER) AS rank FROM l)
-SELECT * FROM r ORDER BY rank DESC, score DESC, key LIMIT 10
+SELECT * FROM r
 """)
-def by_risk_top(v):
-    """Top-10 items ordered by enum rank of their level (rank order ≠ alphabetical), then score."""
+def by_risk(v):
+    """All items ordered by enum rank of their level (rank order ≠ alphabetical), then score."""
     items = latest_per_key(v.v2, "key", value="status").select(
         "key", F.regexp_extract("domain", "-(.*)$", 1).alias("level"), F.round("score", 2).alias("score"))
     r = RV.by_rank(items, "level", IDEA_COMPLEXITY)
-    return r.orderBy(F.col("rank").desc(), F.col("score").desc(), "key").limit(10)
+    return r.orderBy(F.col("rank").desc(), F.col("score").desc(), "key")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tessera import streaming as S
 from tessera.functions.text import iso_utc
 from tessera.operators.intervals import interval_join
+from tessera.plans import oracle_text as T
 from tessera.plans.registry import query
 from tessera.streaming import batch as B
 
@@ -116,12 +117,11 @@ def dedup_q(v):
 
 
 def _log_copy(v, name: str) -> str:
-    """The lifecycle log written to the shared scratch folder as several files, so a
-    file stream sees it in several micro-batches."""
+    """The lifecycle log written to the shared scratch folder, for a file stream to read."""
     from tessera.session import scratch_path
 
     src = scratch_path(v.spark, name)
-    v.v2.select("key", "offset", "ts", "status", "domain").repartition(4, "offset").write.parquet(src)
+    v.v2.select("key", "offset", "ts", "status", "domain").write.parquet(src)
     return src
 
 
@@ -129,7 +129,7 @@ def _log_copy(v, name: str) -> str:
 SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
 """)
 def materialised_current(v):
-    """The lifecycle log streamed from files (one file per micro-batch) into a materialised
+    """The lifecycle log streamed from files into a materialised
     latest-per-key view via the idempotent foreachBatch upsert, then read back."""
     from tessera.session import scratch_path
     from tessera.sources.log import stream_log
@@ -137,8 +137,9 @@ def materialised_current(v):
     src = _log_copy(v, "mv-src")
     out = scratch_path(v.spark, "mv")
     schema = v.spark.read.parquet(src).schema
-    stream = stream_log(v.spark, src, schema, options={"maxFilesPerTrigger": "1"})
+    stream = stream_log(v.spark, src, schema)
     S.run_to_end(S.materialise(stream, out, f"{out}/_checkpoint", key="key", order="offset"))
+    S.compact(v.spark, out)
     return S.read_current(v.spark, out, "key", "offset").select("key", "offset", "status")
 
 
@@ -160,5 +161,98 @@ def staged_approvals(v):
                        out, ckpt, status="APPROVED")
 
     S.run_to_end(start(f"{out}/_checkpoint"))
-    S.run_to_end(S.resume(start, f"{out}/_checkpoint"))
+    S.run_to_end(start(f"{out}/_checkpoint"))
     return v.spark.read.parquet(out).select("key", "offset")
+
+
+def _event_stream(v, name: str, *cols: str):
+    """The message log written to scratch and read back as a stream, with event time."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import stream_log
+
+    src = scratch_path(v.spark, name)
+    S.event_time(v.v1).select(*cols).write.parquet(src)
+    return stream_log(v.spark, src, v.spark.read.parquet(src).schema)
+
+
+def _drain(v, stream, name: str, mode: str = "append"):
+    """Run a stream to its end into a parquet folder and read the folder."""
+    from tessera.session import scratch_path
+
+    out = scratch_path(v.spark, name)
+    S.run_to_end(stream.writeStream.format("parquet").option("path", out).outputMode(mode)
+                 .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())
+    return v.spark.read.schema(stream.schema).parquet(out)
+
+
+@query("stream_current", "STM-1 SNK-4 STM-7", views=("v2",), sql="""
+SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
+""")
+def stream_current(v):
+    """``current_table`` on a real stream, in update mode, kept by the upsert sink."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import stream_log
+
+    src, out = _log_copy(v, "current-src"), scratch_path(v.spark, "current")
+    stream = stream_log(v.spark, src, v.spark.read.parquet(src).schema).select("key", "offset", "status")
+    S.run_to_end(S.materialise(S.current_table(stream), out, f"{out}/_checkpoint", mode="update"))
+    return S.read_current(v.spark, out).select("key", "offset", "status")
+
+
+@query("stream_sessions", "STM-3", views=("v1",), sql=f"""
+WITH g AS (SELECT key, ts, "offset", epoch_us(ts) - epoch_us(lag(ts) OVER (PARTITION BY key ORDER BY ts, "offset")) AS gap FROM v1),
+f AS (SELECT key, ts, sum(CASE WHEN gap IS NULL OR gap >= 1800000000 THEN 1 ELSE 0 END)
+        OVER (PARTITION BY key ORDER BY ts, "offset" ROWS UNBOUNDED PRECEDING) AS session_no FROM g)
+SELECT key, {ISO.format(c='min(ts)')} AS session_start, {ISO.format(c='max(ts) + INTERVAL 30 MINUTE')} AS session_end,
+  count(*) AS events
+FROM f GROUP BY key, session_no HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 1 HOUR FROM v1)
+""")
+def stream_sessions(v):
+    """Session windows on a real stream: the sessions that the last watermark has closed."""
+    s = S.sessions(_event_stream(v, "sess-src", "key", "event_time"), "key")
+    out = _drain(v, s, "sess-out")
+    return out.select("key", iso_utc("session_start").alias("session_start"),
+                      iso_utc("session_end").alias("session_end"), "events")
+
+
+@query("stream_stream_join", "STM-5", views=("v1",), sql="""
+SELECT c."offset" AS click_offset, p."offset" AS purchase_offset, c.key
+FROM v1 c JOIN v1 p ON c.key = p.key AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 10 MINUTE
+WHERE c.topic = 'click' AND p.topic = 'purchase'
+""")
+def stream_stream_join(v):
+    """Two real streams joined by key within ten minutes, both with watermarks."""
+    log = _event_stream(v, "join-src", "topic", "key", "offset", "event_time")
+    click = log.filter("topic = 'click'").select("key", F.col("offset").alias("click_offset"),
+                                                 F.col("event_time").alias("click_ts"))
+    buy = log.filter("topic = 'purchase'").select("key", F.col("offset").alias("purchase_offset"),
+                                                  F.col("event_time").alias("buy_ts"))
+    j = S.stream_join(click, buy, "key", "click_ts", "buy_ts")
+    return _drain(v, j.select("click_offset", "purchase_offset", F.col("a.key").alias("key")), "join-out")
+
+
+@query("stream_dedup", "STM-12", views=("v1",), sql="""
+SELECT DISTINCT key, props FROM v1
+""")
+def stream_dedup(v):
+    """Republished payloads dropped on a real stream (the whole log within one watermark)."""
+    log = _event_stream(v, "dedup-src", "key", "props", "event_time")
+    return _drain(v, S.dedup(log, ["key", "props"], delay="100000 days").select("key", "props"), "dedup-out")
+
+
+@query("staged_scope", "STM-8 PRJ-2", views=("v4",), sql=f"""
+WITH f AS (SELECT id, {T.strip_fences('text')} AS clean FROM v4), p AS (SELECT *, {T.is_object('clean')} AS ok FROM f)
+SELECT id, CAST(CASE WHEN ok THEN 0.7 ELSE 0.5 END AS DOUBLE) AS confidence_score FROM p
+""")
+def staged_scope(v):
+    """A stage that runs a record builder on a real stream of responses."""
+    from tessera.operators.records import build_scope
+    from tessera.session import scratch_path
+    from tessera.sources.log import stream_log
+
+    src, out = scratch_path(v.spark, "resp-src"), scratch_path(v.spark, "scope-out")
+    v.v4.select("id", F.col("user_id").cast("string").alias("idea_id"), F.col("event_type").alias("title"),
+                F.col("text").alias("response")).write.parquet(src)
+    stream = stream_log(v.spark, src, v.spark.read.parquet(src).schema)
+    S.run_to_end(S.stage(stream, lambda df: build_scope(df, order="id", keep=("id",)), out, f"{out}/_checkpoint"))
+    return v.spark.read.parquet(out).select("id", "confidence_score")

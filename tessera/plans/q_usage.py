@@ -278,18 +278,61 @@ def run_report_q(v):
 
 @query("quick_start", "AGG-17", views=("v3",), sql="""
 WITH t AS (SELECT DISTINCT replace(replace(subject, '-value', ''), '-key', '') AS name FROM v3)
-SELECT count(*) AS total_topics, count(*) AS total_connectors,
-  (SELECT string_agg(name || '=datagen-' || name, ', ' ORDER BY name) FROM (SELECT name FROM t ORDER BY name LIMIT 5)) AS first_connectors
+SELECT name, 'datagen-' || name AS connector, count(*) OVER () AS total_topics, count(*) OVER () AS total_connectors
 FROM t
 """)
 def quick_start_q(v):
-    """Totals of topics and connectors plus the first five topic → connector names."""
+    """Every topic with its connector (topic list and connector map as rows), and the totals."""
     # counts and the first names need no schema ids: distinct names, not the numbered catalog
     cat = (v.v3.select(topic_of(F.col("subject")).alias("name")).distinct()
            .withColumn("connector", C.connector_name(F.col("name"))))
-    pairs = F.array_sort(F.collect_list(F.struct("name", "connector")))
-    first = cat.orderBy("name").limit(5).agg(F.array_join(F.transform(
-        pairs, lambda p: F.concat(p["name"], F.lit("="), p["connector"])), ", ")).scalar()
-    return cat.agg(F.count(F.lit(1)).alias("total_topics"),
-                   F.count("connector").alias("total_connectors")).select(
-        "total_topics", "total_connectors", first.alias("first_connectors"))
+    totals = cat.agg(F.struct(F.count(F.lit(1)).alias("t"), F.count("connector").alias("c"))).scalar()
+    return cat.withColumn("_n", totals).select(
+        "name", "connector", F.col("_n.t").alias("total_topics"), F.col("_n.c").alias("total_connectors"))
+
+
+@query("pipeline_run", "PIPE-1 AGG-15", views=("v2", "v7"), sql="""
+WITH n AS (SELECT count(*) AS n FROM (SELECT key FROM v2 GROUP BY key HAVING arg_max(status, "offset") = 'APPROVED'))
+SELECT stage, CASE WHEN stage = 'monitoring' THEN 1 ELSE n END AS rows
+FROM n, (SELECT unnest(['monitoring', 'ideas', 'idea_review', 'scope', 'time', 'cost', 'decision', 'decision_review',
+                        'solution', 'solution_review', 'implementation']) AS stage)
+""")
+def pipeline_run(v):
+    """The whole chain over a scratch folder: monitoring state of the log, one idea for each
+    approved item, the idea review left out, no responder (fallback records)."""
+    from tessera.operators.log import latest_per_key, with_status
+    from tessera.plans.pipeline import run_pipeline
+    from tessera.session import scratch_path
+
+    usage = U.consumer_counts(v.v7_members).select(
+        F.lit(CLUSTER_KEY).alias("_k"), F.lit("now").alias("timestamp"), "consumer_groups", "active_consumers",
+        F.lit(0).alias("idle_topic_count"))
+    items = with_status(latest_per_key(v.v2, "key", value="status"), "APPROVED")
+    idea = F.struct(F.concat(F.lit("Item "), F.col("key")).alias("title"), F.col("domain").alias("domain"))
+    responses = items.select(F.col("key").alias("id"),
+                             F.to_json(F.struct(F.array(idea).alias("ideas"))).alias("response"))
+    counts = run_pipeline(v.spark, responses, scratch_path(v.spark, "pipeline"), skip={"idea_review"}, usage=usage)
+    return v.spark.createDataFrame(sorted(counts.items()), "stage string, rows long")
+
+
+@query("deployment_state", "PRJ-11 AGG-1", views=("v3",), sql="""
+WITH t AS (SELECT DISTINCT replace(replace(subject, '-value', ''), '-key', '') AS name FROM v3),
+n AS (SELECT name, row_number() OVER (ORDER BY name) AS no FROM t)
+SELECT name, 6::INTEGER AS partitions, name || '-value' AS subject, (no + 100000)::INTEGER AS schema_id,
+       'datagen-' || name AS connector, 'source' AS connector_type
+FROM n
+""")
+def deployment_state(v):
+    """The nested deployment row (topics, schemas, connectors), read back as one row a topic."""
+    cat = C.catalog_topics(v.v3.select(topic_of(F.col("subject")).alias("name")))
+    schemas = cat.select("subject", F.lit(1).alias("version"), "schema_id", F.lit("AVRO").alias("schema_type"),
+                         F.lit("none.x").alias("namespace"))
+    row = C.deployment_record(cat, schemas, "c", "e", "t")
+    t = row.select(F.explode("topics").alias("t")).select("t.name", "t.partitions")
+    s = row.select(F.explode("schemas").alias("s")).select(
+        topic_of(F.col("s.subject")).alias("name"), "s.subject", "s.schema_id")
+    c = row.select(F.explode("connectors").alias("c")).select(
+        F.regexp_replace("c.name", "^datagen-", "").alias("name"), F.col("c.name").alias("connector"),
+        F.col("c.type").alias("connector_type"))
+    return t.join(s, "name").join(c, "name").select("name", "partitions", "subject", "schema_id", "connector",
+                                                    "connector_type")

@@ -48,8 +48,8 @@ def query(name: str, ids: str, sql: str | None = None, views: tuple[str, ...] =
 def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from tessera.plans import (  # noqa: F401
-        q_log, q_catalog, q_usage, q_evaluate, q_records, q_review, q_artifacts, q_scalar,
-        q_stream)
+        q_log, q_catalog, q_usage, q_evaluate, q_records, q_review, q_artifacts, q_responses,
+        q_scalar, q_stream)
     return REGISTRY
 
 

@@ -20,7 +20,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 # --- fixed values: view parameters ---
 V1_PARTITIONS = 6            # partitions per raw topic
 V7_GROUPS = 7                # consumer groups
-V6_THIN_VALUE = 4.0          # time/cost evaluations exist only for events below this value
 V3_SUBJECT_SPAN = 6          # documents per subject pair (3 versions of -value, 3 of -key)
 V3_NO_NAMESPACE_EVERY = 17   # every 17th document's schema carries no namespace
 V4_KINDS = 8                 # response wrappings
@@ -142,10 +141,8 @@ class Views:
         return d.unionByName(p)
 
     # V6 evaluation logs --------------------------------------------------
-    def _evaluation(self, event_type: str, thin: bool, kind: str) -> DataFrame:
+    def _evaluation(self, event_type: str, kind: str) -> DataFrame:
         e = self.t.events.filter(F.col("event_type") == event_type)
-        if thin:
-            e = e.filter(F.col("value") < V6_THIN_VALUE)
         return e.select(
             F.col("user_id").cast("string").alias("idea_id"),
             F.col("event_id").alias("offset"),
@@ -154,15 +151,22 @@ class Views:
 
     @cached_property
     def v6_scope(self) -> DataFrame:
-        return self._evaluation("click", False, "scope")
+        return self._evaluation("click", "scope")
 
     @cached_property
     def v6_time(self) -> DataFrame:
-        return self._evaluation("view", True, "time")
+        return self._evaluation("view", "time")
 
     @cached_property
     def v6_cost(self) -> DataFrame:
-        return self._evaluation("purchase", True, "cost")
+        return self._evaluation("purchase", "cost")
+
+    @cached_property
+    def v6_ideas(self) -> DataFrame:
+        """One idea per customer; most have no evaluation at all."""
+        return self.t.customer.select(
+            F.col("c_custkey").cast("string").alias("idea_id"), F.lit(0).cast("bigint").alias("offset"),
+            F.col("c_name").alias("title"))
 
     # V7 consumer progress ------------------------------------------------
     @cached_property

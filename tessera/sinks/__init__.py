@@ -3,13 +3,13 @@ streaming upsert (SNK-4, in ``tessera.streaming``)."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.artifacts import write_artifacts  # noqa: F401  (SNK-3)
 from tessera.operators.log import latest_per_key
+from tessera.operators.sequence import number_rows
+from tessera.schemas import DEFAULT_PARTITIONS
 from tessera.sources.log import read_or_empty
 
 
@@ -24,9 +24,10 @@ def publish(df: DataFrame, topic: str, key_col: str, target: str, kind: str = "p
     """SNK-1: append records to a topic.
 
     Kafka (``kind='kafka'``, ``target`` = bootstrap servers) assigns offsets itself.
-    The file log gets ``ts`` = write time and a ``(batch, offset)`` order: ``batch``
-    is the write's epoch-microsecond stamp, ``offset`` a per-write increasing id, so
-    later writes always sort after earlier ones.  Folders are ``topic=…/date=…`` (the
+    The file log gets ``ts`` = write time, ``partition`` (of the key's hash) and an
+    ``offset`` that grows from write to write: a write continues after the highest offset
+    of the topic's newest date folder, so every latest/first operator orders a published
+    log by its default.  One writer a topic at a time.  Folders are ``topic=…/date=…`` (the
     day of ``ts`` in the session time zone, UTC in this library's sessions), so a topic
     filter and a retention bound skip whole folders.
     Failures raise (no silent False)."""
@@ -37,15 +38,26 @@ def publish(df: DataFrame, topic: str, key_col: str, target: str, kind: str = "p
             w = w.option(k, v)
         w.save()
         return
-    stamp = time.time_ns() // 1000
     now = F.current_timestamp()
-    (env.withColumn("ts", now)
+    start = _next_offset(df.sparkSession, topic, target, kind)
+    (number_rows(env, ["key"], name="_no")
+        .withColumn("ts", now)
         .withColumn("date", F.to_date(now))
-        .withColumn("batch", F.lit(stamp).cast("bigint"))
-        .withColumn("offset", F.monotonically_increasing_id())
+        .withColumn("partition", F.pmod(F.xxhash64("key"), F.lit(DEFAULT_PARTITIONS)).cast("int"))
+        .withColumn("offset", F.col("_no") + F.lit(start - 1)).drop("_no")
         .write.mode("append").partitionBy("topic", "date").format(kind).save(target))
 
 
+def _next_offset(spark: SparkSession, topic: str, target: str, kind: str) -> int:
+    """The offset after the last one of a topic's file log (folder names find its newest day)."""
+    schema = "topic STRING, date DATE, offset BIGINT"
+    log = read_or_empty(spark, target, schema, kind).filter(F.col("topic") == topic)
+    day = log.agg(F.max("date")).first()[0]
+    if day is None:
+        return 0
+    return (log.filter(F.col("date") == day).agg(F.max("offset")).first()[0] or 0) + 1
+
+
 def write_json_docs(spark: SparkSession, new: DataFrame, base: str, current: str | None,
                     id_col: str, order: str) -> str:
     """SNK-2: keyed overwrite — one document per id; rewriting an id replaces it.

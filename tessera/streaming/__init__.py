@@ -101,22 +101,16 @@ def dedup(stream: DataFrame, cols: list[str], ts: str = "event_time", delay: str
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(cols)
 
 
-def with_watermark(stream: DataFrame, ts: str = "event_time", delay: str = "1 hour") -> DataFrame:
-    """STM-10: the watermark policy — rows later than ``delay`` behind the max are dropped
-    by stateful operators (their batch twin counts them: ``batch.late_rows``)."""
-    return stream.withWatermark(ts, delay)
-
-
 # ---------------------------------------------------------------- sinks
 
 
 def upsert_current(batch: DataFrame, batch_id: int, path: str, key: str = "key",
                    order: str = "offset") -> None:
-    """SNK-4 / STM-7 ``foreachBatch`` body: append the micro-batch to the table's change
-    log under ``batch=<id>``.  Rewriting the same batch id overwrites only that
+    """SNK-4 / STM-7 ``foreachBatch`` body: append the micro-batch, reduced to the newest
+    version per key, to the table's change log under ``batch=<id>``.  Rewriting the same batch id overwrites only that
     partition, so a retried batch is idempotent; the current table is the
     latest-per-key view of the log (``read_current``), compacted by ``compact``."""
-    (batch.withColumn("batch", F.lit(int(batch_id)))
+    (latest_per_key(batch, key, order, value=None).withColumn("batch", F.lit(int(batch_id)))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("batch").parquet(f"{path}/log"))
 
@@ -150,22 +144,43 @@ def read_current(spark, path: str, key: str = "key", order: str = "offset",
 
 def compact(spark, path: str, key: str = "key", order: str = "offset") -> str:
     """Write the current view as a snapshot covering every batch so far (a batch job run
-    off the streaming path); later reads start from it.  Old log batches can then be
-    expired by retention without changing the view."""
+    off the streaming path) and expire the change-log batches that the snapshot before it
+    covers; later reads start from the new one.  Readers that still hold the older view
+    keep its snapshot and the batches after it."""
     log = spark.read.parquet(f"{path}/log")
     upto = log.agg(F.max("batch")).first()[0]
     if upto is None:
         return ""
     current = read_current(spark, path, key, order)
     folder = f"{path}/snapshots/upto={int(upto)}"
+    older = _snapshots(spark, path)
     current.withColumn("batch", F.lit(int(upto))).write.mode("overwrite").parquet(folder)
+    if older:
+        expire(spark, path, older[-1][0])
     return folder
 
 
+def expire(spark, path: str, upto: int) -> int:
+    """Remove the change-log batches up to ``upto`` (a compaction snapshot must cover them)."""
+    if not any(covered >= upto for covered, _ in _snapshots(spark, path)):
+        raise ValueError(f"no snapshot covers batch {upto}")
+    jvm = spark._jvm
+    log = jvm.org.apache.hadoop.fs.Path(f"{path}/log")
+    fs = log.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for st in fs.listStatus(log):
+        name = st.getPath().getName()
+        if name.startswith("batch=") and int(name.split("=", 1)[1]) <= upto:
+            gone += bool(fs.delete(st.getPath(), True))
+    return gone
+
+
 def materialise(stream: DataFrame, path: str, checkpoint: str, key: str = "key",
-                order: str = "offset", trigger: dict | None = None):
-    """STM-7: keep a queryable latest-per-key table up to date from a stream."""
-    w = (stream.writeStream.option("checkpointLocation", checkpoint)
+                order: str = "offset", trigger: dict | None = None, mode: str = "append"):
+    """STM-7: keep a queryable latest-per-key table up to date from a stream (``mode="update"``
+    for a stream that is itself an aggregate, such as ``current_table``).  Started again with
+    the same ``checkpoint`` it continues after the last committed batch (STM-11)."""
+    w = (stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
          .foreachBatch(lambda df, bid: upsert_current(df, bid, path, key, order)))
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
@@ -188,9 +203,3 @@ def run_to_end(query) -> None:
     """Wait for an ``availableNow`` query (or drain a running one) and stop it."""
     query.processAllAvailable()
     query.stop()
-
-
-def resume(build_query: Callable[[str], object], checkpoint: str):
-    """STM-11: reuse ``checkpoint`` to continue from the last committed offsets (a fixed
-    consumer group); pass a fresh folder to reread everything (a unique group)."""
-    return build_query(checkpoint)

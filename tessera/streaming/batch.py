@@ -17,14 +17,13 @@ def sessions(df: DataFrame, key: str, ts: str, order: str, gap_s: int) -> DataFr
     """STM-3 twin: a new session starts when the gap to the key's previous event
     (by event time) is ``gap_s`` or more; a session ends ``gap_s`` after its last event.
 
-    Gap detection and session numbering are range-partitioned scans sharing one range
-    shuffle, so a user with a third of all events is still processed by many tasks; the
-    per-session aggregate combines map-side."""
+    Gap detection and session numbering run inside (key, day), so a user with a third of
+    all events is still processed by many tasks; the per-session aggregate combines
+    map-side."""
     p = with_previous(df.select(key, ts, order), [key], [ts, order], [ts])
     gap = (_us(F.col(ts)) - _us(F.col("prev_" + ts))) / 1e6
     flagged = p.withColumn("_new", F.when(F.col("prev_" + ts).isNull() | (gap >= gap_s), 1).otherwise(0))
-    # the gap pass left the rows range-partitioned and sorted on (key, ts, order)
-    numbered = running_sum(flagged, [key], [ts, order], "_new", "session_no", presorted=True)
+    numbered = running_sum(flagged, [key], [ts, order], "_new", "session_no")
     return numbered.groupBy(key, "session_no").agg(
         F.min(ts).alias("session_start"),
         (F.max(ts) + F.make_dt_interval(secs=F.lit(gap_s))).alias("session_end"),

@@ -28,3 +28,18 @@ def test_pipeline_skip_and_gate(spark, tmp_dir):
     resp = spark.createDataFrame([("r1", "nothing parsable")], "id string, response string")
     counts = run_pipeline(spark, resp, f"{tmp_dir}/run2")
     assert counts == {"ideas": 0}
+
+
+def test_pipeline_from_monitoring_without_review(spark, tmp_dir):
+    def responder(prompts, systems):
+        import json as j
+        return prompts.map(lambda p: j.dumps({"ideas": [{"title": "From state"}]}) if p.startswith("Suggest") else "{}")
+
+    usage = spark.createDataFrame([("k", "t", 7, 20, 3)], "_k string, timestamp string, consumer_groups int, "
+                                                          "active_consumers int, idle_topic_count int")
+    counts = run_pipeline(spark, None, f"{tmp_dir}/run3", responder=responder, usage=usage,
+                          skip={"idea_review", "solution_review"})
+    assert counts["monitoring"] == counts["ideas"] == counts["scope"] == counts["implementation"] == 1
+    assert spark.read.parquet(f"{tmp_dir}/run3/current_state").first().usage.consumer_groups == 7
+    counts = run_pipeline(spark, None, f"{tmp_dir}/run4", responder=responder, usage=usage, skip={"scope"})
+    assert counts == {"monitoring": 1, "ideas": 1, "idea_review": 1}

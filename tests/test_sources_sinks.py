@@ -25,15 +25,15 @@ def test_json_docs_and_empty(spark, tmp_dir):
 def test_publish_read_roundtrip(spark, tmp_dir):
     ideas = spark.createDataFrame([("i1", "A", "RAW"), ("i2", "B", "RAW")], "idea_id string, title string, status string")
     sinks.publish(ideas, "ideas", "idea_id", f"{tmp_dir}/log")
-    sinks.publish(ideas.withColumn("status", F.lit("APPROVED")).limit(1), "ideas", "idea_id", f"{tmp_dir}/log")
+    sinks.publish(ideas.withColumn("status", F.lit("APPROVED")).filter("idea_id = 'i1'"), "ideas", "idea_id", f"{tmp_dir}/log")
     log = read_log(spark, f"{tmp_dir}/log", topics=["ideas"])
     assert log.count() == 3
     dec = decode_value(log, "idea_id string, title string, status string")
     from tessera.operators.log import latest_per_key
 
-    cur = latest_per_key(dec.withColumn("ord", F.struct("batch", "offset")), "key", "ord", value="status")
-    assert {r.key: r.status for r in cur.collect()}["i1"] in ("APPROVED", "RAW")
-    assert cur.count() == 2
+    cur = latest_per_key(dec, "idea_id", value="status")
+    assert {r.idea_id: r.status for r in cur.collect()} == {"i1": "APPROVED", "i2": "RAW"}
+    assert sorted(r.offset for r in log.collect()) == [0, 1, 2] and "partition" in log.columns
 
 
 def test_keyed_json_overwrite(spark, tmp_dir):
@@ -94,10 +94,10 @@ def test_compaction_on_date_foldered_log_reads_recent_folders(spark, tmp_dir):
            .withColumn("date", F.to_date("ts")))
     old.write.mode("append").partitionBy("topic", "date").parquet(f"{tmp_dir}/log")
     log = decode_value(read_log(spark, f"{tmp_dir}/log", topics=["t"]), "k string, v bigint") \
-        .withColumn("ord", F.struct("ts", "batch", "offset"))
+        .withColumn("ord", F.struct("ts", "offset"))
     a = compact_with_lag(log, key="key", order="ord", value="v", lag_ms=86_400_000, date="date")
     b = compact_with_lag(log, key="key", order="ord", value="v", lag_ms=86_400_000)
-    cols = ["key", "ts", "batch", "offset"]
+    cols = ["key", "ts", "offset"]
     got = sorted(tuple(r) for r in a.select(*cols).collect())
     assert got == sorted(tuple(r) for r in b.select(*cols).collect()) and len(got) == 40
     text = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(

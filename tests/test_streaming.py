@@ -118,8 +118,8 @@ def test_upsert_idempotent_and_stage_resume(spark, log_dir, tmp_dir):
     n1 = spark.read.parquet(f"{tmp_dir}/out").count()
     spark.read.parquet(f"{log_dir}/log").filter("topic = 'view'").withColumn("topic", F.lit("click")) \
         .write.mode("append").parquet(src)
-    q2 = S.resume(lambda ck: S.stage(spark.readStream.schema(schema).parquet(src), build, f"{tmp_dir}/out", ck,
-                                     status="click", status_col="topic"), f"{tmp_dir}/ck")
+    q2 = S.stage(spark.readStream.schema(schema).parquet(src), build, f"{tmp_dir}/out", f"{tmp_dir}/ck",
+                 status="click", status_col="topic")
     q2.awaitTermination()
     n2 = spark.read.parquet(f"{tmp_dir}/out").count()
     assert n1 == spark.read.parquet(f"{log_dir}/log").filter("topic = 'click'").count()
