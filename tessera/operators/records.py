@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 
 from tessera.functions.jsontext import (between_fences, extract_object, is_json_object,
                                         repair_json, strip_fences, with_extracted, with_repaired)
-from tessera.functions.text import iso_utc, record_id, safe_ident, slug
+from tessera.functions.text import default_if_missing, iso_utc, record_id, safe_ident, slug
 
 # --- fixed values: record defaults and fallback texts ---
 PARSE_FAILED = "Unable to parse detailed analysis"
@@ -78,15 +78,15 @@ def _g(field: str) -> Column:
 
 
 def _num(field: str, default: float) -> Column:
-    return F.coalesce(_g(field).try_cast("double"), F.lit(default))
+    return default_if_missing(_g(field).try_cast("double"), default)
 
 
 def _txt(field: str, default: str) -> Column:
-    return F.coalesce(_g(field), F.lit(default))
+    return default_if_missing(_g(field), default)
 
 
 def _arr(field: str) -> Column:
-    return F.coalesce(_g(field), F.array().cast(ARR))
+    return default_if_missing(_g(field), F.array().cast(ARR))
 
 
 def _lit_arr(*items: str) -> Column:

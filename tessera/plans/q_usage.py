@@ -144,21 +144,32 @@ def topic_health_q(v):
 def platform_state(v):
     """The three state summaries of the platform as struct columns over a one-row base
     (one scalar subquery per source): the message log is aggregated once for every
-    log-level figure, the per-key latency parts once, the registry once, and the consumer
-    lag once (group marks and bucket counts, no ordered scan).  Returns the base and the
-    structs, which refer to the base's columns."""
-    members = v.v7_members
-    stats = members.agg(
-        F.max("ts").alias("t1"), F.min("ts").alias("t0"),
-        F.countDistinct("topic").cast("int").alias("producers"),
-        F.sum(F.octet_length("props")).alias("bytes"),
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("topic") == "error").alias("errors"),
-        F.countDistinct("group").cast("int").alias("consumer_groups"),
-        F.countDistinct("group", "key").cast("int").alias("active_consumers"))
+    log-level figure, per-key latency parts included, the registry once, and the consumer
+    lag by offset ranges.  Returns the base and the structs, which refer to the base's
+    columns."""
+    # one pass over the log: counts, bytes, times and first/last event per key and topic, then
+    # per key (the mean gap telescopes), then over all keys
+    at = F.struct("offset", "ts")
+    cells = v.v7_members.groupBy("key", "group", "topic").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("props")).alias("bytes"),
+        F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.min(at).alias("first"), F.max(at).alias("last"))
+    span = F.unix_micros(F.max("last")["ts"].cast("timestamp")) - F.unix_micros(F.min("first")["ts"].cast("timestamp"))
+    keys = cells.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
+        F.coalesce(F.sum(F.when(F.col("topic") == "error", F.col("n"))), F.lit(0)).alias("errors"),
+        F.collect_set("topic").alias("topics"), F.collect_set("group").alias("groups"), span.alias("span_us"))
+
+    def names(c):  # topics and groups are catalog-sized sets
+        return F.size(F.array_distinct(F.flatten(F.collect_set(F.array_sort(c))))).cast("int")
+
+    stats = keys.agg(
+        F.max("t1").alias("t1"), F.min("t0").alias("t0"), names(F.col("topics")).alias("producers"),
+        F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), F.sum("errors").alias("errors"),
+        names(F.col("groups")).alias("consumer_groups"),
+        F.sum(F.size("groups")).cast("int").alias("active_consumers"),
+        (F.sum("span_us") / F.nullif(F.sum(F.col("n") - 1), F.lit(0)) / 1e3).alias("latency"))
     lg = F.struct(*[F.col(c) for c in stats.columns])
     log = stats.select(lg).scalar()
-    lat = H.latency_parts(v.v1).agg(
-        (F.sum("span_us") / F.nullif(F.sum("gaps"), F.lit(0)) / 1e3)).scalar()
     reg = C.schema_topics(registry_latest(v)).agg(F.struct(
         F.countDistinct("topic").cast("int").alias("total_topics"),
         F.count(F.lit(1)).cast("int").alias("total_schemas"),
@@ -170,9 +181,8 @@ def platform_state(v):
     lag_n = U.consumer_lag(_lag_input(v)).agg(F.count(F.lit(1))).scalar()
     # every subquery once, as a column of a one-row base: a field access on a subquery
     # expression would copy the whole subquery into the plan at each use
-    base = v.spark.range(1).select(log.alias("_log"), lat.alias("_lat"), reg.alias("_reg"),
-                                   idle_n.alias("_idle"), lag_n.alias("_lag"))
-    log, lat, reg, idle_n, lag_n = (F.col(c) for c in ("_log", "_lat", "_reg", "_idle", "_lag"))
+    base = v.spark.range(1).select(log.alias("_log"), reg.alias("_reg"), idle_n.alias("_idle"), lag_n.alias("_lag"))
+    log, reg, idle_n, lag_n = (F.col(c) for c in ("_log", "_reg", "_idle", "_lag"))
     secs = (F.unix_micros(log["t1"].cast("timestamp")) - F.unix_micros(log["t0"].cast("timestamp"))) / 1e6
     as_of = iso_utc(log["t1"])
     dep = F.struct(as_of.alias("timestamp"), F.lit(CLUSTER_KEY).alias("cluster_id"),
@@ -183,7 +193,7 @@ def platform_state(v):
                    idle_n.cast("int").alias("idle_topic_count"))
     met = F.struct(as_of.alias("timestamp"),
                    F.when(secs > 0, log["bytes"] / secs / 1e6).otherwise(F.lit(0.0)).alias("total_throughput_mbps"),
-                   F.coalesce(lat, F.lit(0.0)).alias("avg_latency_ms"),
+                   F.coalesce(log["latency"], F.lit(0.0)).alias("avg_latency_ms"),
                    F.coalesce(log["errors"] / F.nullif(log["n"], F.lit(0)), F.lit(0.0)).alias("error_rate"),
                    lag_n.cast("int").alias("topics_with_lag_count"))
     return base, dep, use, met, as_of
