@@ -96,5 +96,5 @@ def test_join_evaluations(evals):
 def test_with_context_keeps_rows_when_state_empty(spark):
     items = spark.createDataFrame([("x",), ("y",)], "id string")
     empty = spark.createDataFrame([], "as_of string, n bigint")
-    out = E.with_context(items, empty).collect()
+    out = E.with_context(items, empty, order=empty.columns[0]).collect()
     assert len(out) == 2 and all(r.context is None for r in out)
