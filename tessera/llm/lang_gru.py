@@ -17,6 +17,7 @@ result; other columns pass through (those named like the results are replaced).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -272,8 +273,17 @@ def sample_spans(labelled: DataFrame, spec: SampleSpec) -> tuple[list[bytes], li
         F.length(data) - spec.span_bytes, F.lit(0)) + 1) + 1).cast("int"), F.lit(spec.span_bytes))
         for j in range(spec.spans)]
     uniform = (F.pmod(F.xxhash64("key", F.lit(spec.seed)), F.lit(1 << 40)) + 0.5) / float(1 << 40)
+    # ranks are exponential with rate 1 / n; a cut that some 2 * docs + 100 rows pass keeps the rest in its tasks
+    low, high = 0.0, 1e3 * max(r.n for r in counts)
+    for _ in range(200):
+        mid = (low + high) / 2
+        if sum(r.n * -math.expm1(-mid / r.n) for r in counts) < 2 * spec.docs + 100:
+            low = mid
+        else:
+            high = mid
     drawn = (rows.join(F.broadcast(weight), "lang")  # one row per language, at most MOST_LANGUAGES
-             .select("lang", "key", (-F.log(uniform) * F.col("n")).alias("rank"), F.array(*span).alias("spans"))
+             .withColumn("rank", -F.log(uniform) * F.col("n")).where(F.col("rank") <= high)
+             .select("lang", "key", "rank", F.array(*span).alias("spans"))
              .orderBy("rank", "key").limit(spec.docs).collect())
     spans, labels = [], []
     for r in drawn:
