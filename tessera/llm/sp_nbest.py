@@ -48,6 +48,18 @@ RESULT = [StructField("n_pieces", IntegerType()), StructField("score", DoubleTyp
           StructField("round_trip", BooleanType())]
 
 
+STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Longest chunk that is learned side by side with others.
+SIDE = 64
+
+
+def _code(w: str) -> int:
+    h = 0
+    for c in w:
+        h = ((h ^ (ord(c) + 1)) * int(STEP) + (h >> 29)) & 0xFFFFFFFFFFFFFFFF
+    return h
+
+
 class Pieces:
     """The vocabulary of a model: pieces with scores, byte pieces, and which characters may neighbour."""
 
@@ -83,6 +95,15 @@ class Pieces:
         for w in words:
             for a, b in zip(w, w[1:]):
                 self.touch[self.kind[ord(a)], self.kind[ord(b)]] = True
+        # the same table by hash: sorted keys, found by their top bits
+        keys = np.array([_code(w) for w in self.table], np.uint64)
+        order = np.argsort(keys)
+        got = [v or (-1, 0.0) for v in self.table.values()]
+        self.keys = keys[order]
+        self.key_id = np.array([v[0] for v in got], np.int64)[order]
+        self.key_score = np.array([v[1] for v in got])[order]
+        self.bucket = np.searchsorted(self.keys >> np.uint64(48), np.arange((1 << 16) + 1, dtype=np.uint64))
+        self.probes = int(np.diff(self.bucket).max())
         self.length = np.array([len(r) for r in self.raw], np.int64)
         self.start = np.concatenate([[0], np.cumsum(self.length)])
         self.flat = np.frombuffer(b"".join(self.raw), np.uint8)
@@ -139,6 +160,89 @@ class Pieces:
                 ids += [self.byte_id[b] for b in chunk[i].encode("utf-8", "replace")]
         return struct.pack(f"<{len(ids)}i", *ids)
 
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Row of each hash in the sorted table, -1 if it has none."""
+        top = (h >> np.uint64(48)).astype(np.int64)
+        at, end = self.bucket[top], self.bucket[top + 1]
+        out = np.full(len(h), -1)
+        for k in range(self.probes):
+            hit = (at + k < end) & (self.keys[np.minimum(at + k, len(self.keys) - 1)] == h)
+            out[hit] = (at + k)[hit]
+        return out
+
+    def learn_all(self, chunks: list[str]) -> None:
+        """``learn`` for many chunks side by side: all their lattices advance one position a step."""
+        size = np.array([len(c) for c in chunks], np.int64)
+        cps = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        owner = np.repeat(np.arange(len(chunks)), size)
+        rel = np.arange(len(cps)) - np.repeat(np.cumsum(size) - size, size)
+        left = size[owner] - rel
+        # edges: pieces that start at each position, by growing length
+        at, h = np.arange(len(cps)), np.zeros(len(cps), np.uint64)
+        parts, plain, length = [], np.ones(len(chunks), bool), 1
+        while len(at):
+            h = (h ^ (cps[at + length - 1] + np.uint64(1))) * STEP + (h >> np.uint64(29))
+            row = self.find(h)
+            piece = (row >= 0) & (self.key_id[row] >= 0)
+            if length == 1:
+                plain[owner[at[~piece]]] = False  # a character in byte pieces: learned alone
+            parts.append((at[piece], np.full(int(piece.sum()), length), row[piece]))
+            on = (row >= 0) & (left[at] > length)
+            at, h, length = at[on], h[on], length + 1
+        start, length, row = (np.concatenate(x) for x in zip(*parts))
+        keep = plain[owner[start]]
+        start, length, row = start[keep], length[keep], row[keep]
+        score, own = self.key_score[row], owner[start]
+        begin, end = start + own, start + own + length  # nodes: one more than characters in each chunk
+        n_nodes, idx = len(cps) + len(chunks), np.arange(len(start))
+        first = np.cumsum(size) - size + np.arange(len(chunks))
+        alpha, beta = np.full(n_nodes, -np.inf), np.full(n_nodes, -np.inf)
+        alpha[first], beta[first + size] = 0.0, 0.0
+        back = np.zeros(n_nodes, np.int64)
+        ends = rel[start] + length
+        for e in _steps(ends, end, idx):  # forward
+            v = alpha[begin[e]] + score[e]
+            node = end[e]
+            head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            best = np.maximum.reduceat(v, head)
+            alpha[node[head]] = best
+            win = np.flatnonzero(v == np.repeat(best, np.diff(np.append(head, len(v)))))
+            win = win[np.concatenate([[True], node[win[1:]] != node[win[:-1]]])]
+            back[node[win]] = e[win]
+        for e in _steps(SIDE - rel[start], begin, idx):  # backward
+            v = score[e] + beta[end[e]]
+            node = begin[e]
+            head = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1]]))
+            beta[node[head]] = np.maximum.reduceat(v, head)
+        # best paths, from their ends, and the best of the edges off them
+        on = np.zeros(len(start), bool)
+        walk, node, steps = np.flatnonzero(plain), (first + size)[plain], []
+        while len(walk):
+            e = back[node]
+            on[e] = True
+            steps.append((walk, self.key_id[row[e]]))
+            node = begin[e]
+            more = node > first[walk]
+            walk, node = walk[more], node[more]
+        second = np.full(len(chunks), -np.inf)
+        np.maximum.at(second, own[~on], (alpha[begin] + score + beta[end])[~on])
+        total = alpha[first + size]
+        who = np.concatenate([w for w, _ in steps]) if steps else np.zeros(0, np.int64)
+        ids = np.concatenate([k for _, k in steps]) if steps else who
+        # later steps stand further to the front
+        ids = ids[np.lexsort((-np.repeat(np.arange(len(steps)), [len(w) for w, _ in steps]), who))]
+        n = np.bincount(who, minlength=len(chunks))
+        packed, cut = ids.astype("<i4").tobytes(), (4 * np.concatenate([[0], np.cumsum(n)])).tolist()
+        for k in np.flatnonzero(plain).tolist():
+            self.known[chunks[k]] = len(self.names)
+            self.names.append(chunks[k])
+            self.best.append(packed[cut[k]:cut[k + 1]])
+        self.score += total[plain].tolist()
+        self.loss += (total[plain] - second[plain]).tolist()
+        self.n += n[plain].tolist()
+        for k in np.flatnonzero(~plain).tolist():
+            self.learn(chunks[k])
+
     def learn(self, chunk: str) -> None:
         """Best path of a chunk and what its second path loses, from forward and backward scores."""
         n, get, low = len(chunk), self.table.get, float("-inf")
@@ -226,6 +330,18 @@ class Pieces:
         return self.flat[at].tobytes()[1:]
 
 
+def _steps(level: np.ndarray, node: np.ndarray, idx: np.ndarray) -> Iterator[np.ndarray]:
+    """Edge numbers level by level, each level sorted by node and edge start (ascending)."""
+    if not len(idx):
+        return
+    # edges come by growing length; reversed numbers put the longest, so the earliest start, first
+    back = len(idx) - 1 - idx
+    packed = np.sort((level << 52) | (node << 26) | back)
+    e = len(idx) - 1 - (packed & ((1 << 26) - 1))
+    cut = np.flatnonzero(np.diff(packed >> 52)) + 1
+    yield from np.split(e, cut)
+
+
 def combine(paths: list[list[tuple[float, bytes]]], n_best: int) -> list[tuple[float, tuple[int, ...]]]:
     """The ``n_best`` cheapest choices of one alternative for each chunk, in order of loss."""
     start = (0,) * len(paths)
@@ -265,8 +381,13 @@ def encode_texts(v: Pieces, texts: list[str], n_best: int) -> list[tuple]:
     if len(v.known) + len(fresh) > REMEMBER:
         v.clear()
         fresh = set(chunks)
-    for c in sorted(fresh):
-        v.learn(c)
+    fresh = sorted(fresh)
+    side = [c for c in fresh if len(c) <= SIDE]
+    for at in range(0, len(side), 1 << 13):
+        v.learn_all(side[at: at + (1 << 13)])
+    for c in fresh:
+        if len(c) > SIDE:
+            v.learn(c)
     which = np.fromiter(map(v.known.__getitem__, chunks), np.int64, len(chunks))
     score, loss, n = np.array(v.score), np.array(v.loss), np.array(v.n, np.int64)
     out = []

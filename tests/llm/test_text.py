@@ -235,6 +235,19 @@ def test_n_best_brute_force(vocabulary):
             assert all(v.decode(np.frombuffer(p, "<i4")).decode() == s for p in paths)
 
 
+def test_chunks_side_by_side_equal_one_by_one():
+    rnd = random.Random(4)
+    parts = ["the", "er", "in", "a", "x", "é", "日", "ing", "▁", "▁▁", "Q", "1"]
+    chunks = sorted({"".join(rnd.choice(parts) for _ in range(rnd.randint(1, 12))) for _ in range(400)})
+    one, side = N.Pieces(N.MODEL), N.Pieces(N.MODEL)
+    for c in chunks:
+        one.learn(c)
+    side.learn_all(chunks)
+    for c in chunks:
+        a, b = one.known[c], side.known[c]
+        assert [x[a] for x in (one.score, one.loss, one.n, one.best)] == [x[b] for x in (side.score, side.loss, side.n, side.best)]
+
+
 def test_pieces_round_trip(spark, odd, no_docs, clash):
     out = N.sp_decode(N.sp_encode(odd)).collect()
     assert len(out) == odd.count()
