@@ -149,11 +149,13 @@ def platform_state(v):
     columns."""
     # one pass over the log: counts, bytes, times and first/last event per key and topic, then
     # per key (the mean gap telescopes), then over all keys
-    at = F.struct("offset", "ts")
+    # (min_by/max_by of fixed-width columns stay hash aggregates)
     cells = v.v7_members.groupBy("key", "group", "topic").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("props")).alias("bytes"),
-        F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.min(at).alias("first"), F.max(at).alias("last"))
-    span = F.unix_micros(F.max("last")["ts"].cast("timestamp")) - F.unix_micros(F.min("first")["ts"].cast("timestamp"))
+        F.min("ts").alias("t0"), F.max("ts").alias("t1"), F.min("offset").alias("o0"), F.max("offset").alias("o1"),
+        F.min_by("ts", "offset").alias("first"), F.max_by("ts", "offset").alias("last"))
+    span = (F.unix_micros(F.max_by("last", "o1").cast("timestamp"))
+            - F.unix_micros(F.min_by("first", "o0").cast("timestamp")))
     keys = cells.groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
         F.coalesce(F.sum(F.when(F.col("topic") == "error", F.col("n"))), F.lit(0)).alias("errors"),
