@@ -27,7 +27,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
@@ -58,8 +58,17 @@ PATTERN = re.compile(rf"""
     | (?<![\w+])(?P<phone>(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]\d{{3,4}}|\+\d{{8,14}})(?![\w])
     | (?<!\w)(?P<title>{_titles})\.?[ ](?P<name>{_capital}[^\W\d_]+(?:[ -]{_capital}[^\W\d_]+){{0,2}})
     """, re.X)
-#: What a text must have (as a Java pattern) to hold any entity at all.
-TRACE = rf"(?U)[0-9@]|(?i:token|secret|passw|key|auth)\w*[\"']?\s*[:=]|\b(?:{_titles})\.? \p{{Lu}}"
+#: Java patterns that every text with an entity matches: a digit or at sign, an assigned secret, a title.
+NUMBER = "[0-9@]"
+ASSIGNED = r"(?i)(?:token|secret|passw|key|auth)\w*[\"']?\s*[:=]"
+TITLED = rf"(?=[{''.join(sorted({t[0] for t in _titles.split('|')}))}])(?:{_titles})\.? \p{{Lu}}"
+
+
+def has_trace(text: Column) -> Column:
+    """True for every text that may hold an entity (cheap tests first)."""
+    return F.coalesce(text.rlike(NUMBER) | ((text.contains("=") | text.contains(":")) & text.rlike(ASSIGNED))
+                      | text.rlike(TITLED), F.lit(False))
+
 
 CONSONANTS = {"latin": "bdfgklmnprstvz", "cyrillic": "бвгдзклмнпрст", "greek": "βγδζκλμνπρστ"}
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоу", "greek": "αειου"}
@@ -270,7 +279,7 @@ def pii_surrogate(df: DataFrame, key: bytes, text_col: str = "text", id_col: str
     src = df.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(f"`{id_col}`").alias("id"),
                     F.xxhash64(F.col(f"`{text_col}`")).alias("h"), F.col(f"`{text_col}`").alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
-    trace = F.coalesce(F.col("text").rlike(TRACE), F.lit(False))
+    trace = has_trace(F.col("text"))
     found = scratch.put(src.where(trace).select("id", "h", "text").mapInArrow(
         _mention_rows, f"id {id_type}, h long, type string, entity string").distinct())
     known = surrogate_map(scratch.put(found.select("type", "entity").distinct()), key, scratch)
