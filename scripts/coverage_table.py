@@ -33,13 +33,13 @@ IMPL = {
 "PRJ-10": "operators.records.build_idea_simple",
 "PRJ-11": "operators.catalog.catalog_topics / deployment_record",
 "PRJ-12": "operators.records.render_prompts",
-"PRJ-13": "operators.review.review_queue",
+"PRJ-13": "operators.review.review_queue / decision_view / solution_view",
 "PRJ-14": "operators.review.apply_edits",
 "FLT-1": "operators.log.with_status",
 "FLT-2": "operators.log.unprocessed",
 "FLT-3": "operators.log.by_id",
 "FLT-4": "operators.log.drop_tombstones",
-"FLT-5": "operators.log.split_errors / drop_errors",
+"FLT-5": "operators.log.mark_errors / split_errors",
 "FLT-6": "operators.evaluate.complete_only",
 "FLT-7": "operators.log.check_domain",
 "FLT-8": "operators.log.confidence_between",
@@ -47,7 +47,7 @@ IMPL = {
 "JN-2": "operators.evaluate.join_evaluations_from",
 "JN-3": "operators.evaluate.join_decision_idea",
 "JN-4": "operators.evaluate.missing_side",
-"JN-5": "operators.snapshot.build_snapshot (full outer join on the cluster key)",
+"JN-5": "operators.snapshot.build_snapshot (scalar subquery per side)",
 "JN-6": "operators.evaluate.with_context (scalar subquery, no join)",
 "JN-7": "operators.review.apply_actions",
 "JN-8": "operators.catalog.check_topics",
@@ -59,7 +59,7 @@ IMPL = {
 "AGG-5": "operators.health.throughput_mbps",
 "AGG-6": "operators.health.avg_latency_ms (telescoping per-key aggregate) / latency_gaps",
 "AGG-7": "operators.health.error_rate",
-"AGG-8": "operators.usage.consumer_lag (group marks + bucket counts, no ordering)",
+"AGG-8": "operators.usage.consumer_lag (counts by offset range, no ordering)",
 "AGG-9": "operators.health.storage_gb",
 "AGG-10": "operators.review.lifecycle_counts / action_counts",
 "AGG-11": "operators.review.approval_summary",
@@ -79,7 +79,7 @@ IMPL = {
 "WIN-5": "sources.listing.parse_registry(mode='latest'|'first')",
 "WIN-6": "operators.log.apply_retention",
 "WIN-7": "operators.log.compact_with_lag",
-"WIN-8": "operators.sequence.number_rows (range-partitioned numbering)",
+"WIN-8": "operators.sequence.number_rows (windows inside ranges of the order)",
 "WIN-9": "operators.log.status_transitions (range-partitioned lag)",
 "SRT-1": "operators.log.newest_first",
 "SRT-2": "operators.log.limit_one",
@@ -128,8 +128,8 @@ IMPL = {
 "STM-7": "streaming.materialise",
 "STM-8": "streaming.stage",
 "STM-9": "streaming.rate_per_topic",
-"STM-10": "streaming.with_watermark; twin streaming.batch.late_rows",
-"STM-11": "streaming.resume (checkpoint reuse)",
+"STM-10": "withWatermark in every stateful operator; twin streaming.batch.late_rows",
+"STM-11": "streaming.materialise / stage restarted on the same checkpoint",
 "STM-12": "streaming.dedup (dropDuplicatesWithinWatermark); twin streaming.batch.dedup",
 "UDF-1": "operators.respond.respond (mapInPandas, one call per Arrow batch)",
 "UDF-2": "operators.respond.respond(fn=None) → builder fallbacks",
