@@ -34,7 +34,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructType
 from tessera.llm.common import Scratch
 
 #: Weights in turn, the most a document may count, documents in a block of the flight.
-WEIGHTS, MOST, BLOCK = (5, 2, 1), 3, 20_000
+WEIGHTS, MOST, BLOCK = (5, 2, 1), 3, 2_048
 #: Documents of a source, of evenly spread sizes, that wait for its landing problem.
 LANDING = 12
 EPS = 1e-9
