@@ -207,8 +207,8 @@ def whole_groups(batches: Iterator[pa.RecordBatch], key: str, rows: int = 20_000
 def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, root) for every node of the edges (a, b): root is the smallest node it is connected to.
 
-    Alternating large-star and small-star steps; each step is two grouped minima and
-    joins, written out, and ends when the edges no longer change.
+    Alternating large-star and small-star steps: grouped minima and joins, written out,
+    until the edges no longer change.
     """
     up, down = F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     e = scratch.put(edges.where("a != b").select(up, down).distinct())
@@ -219,8 +219,9 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
             break
         mark = tuple(n)
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.col("w")).alias("m"))
-        large = (both.join(low, F.col("u") == F.col("w")).where("v > u")
+        # written out, so that both join sides come from tables and a hot star can be split
+        low = scratch.put(both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.col("w")).alias("m")))
+        large = (both.join(low.hint("merge"), F.col("u") == F.col("w")).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
         met = large.join(low, F.col("u") == F.col("w"))
