@@ -5,11 +5,12 @@ never cross texts.  The work is split by content, so no task holds the corpus:
 
 1. Each window of ``WIN`` bytes has a key, the least hash of its ``GRAM``-byte grams, so
    equal windows have equal keys.  Neighbouring windows of one key form a segment (some
-   90 windows); a segment is one narrow row.
+   90 windows; a longer one, of a periodic run, is cut into segments of ``PART`` windows);
+   a segment is one narrow row.
 2. Only keys of two segments or more (or of a segment that may repeat itself) go on, and
    equal segments of a key become one, with their number.
 3. The bytes of these segments are laid out in blocks; a key stays in one block unless
-   its segments exceed ``HOT`` bytes.  In a block the suffixes are sorted to ``WIN``
+   its segments exceed ``HOT`` bytes, and no block exceeds ``BLOCK``.  In a block the suffixes are sorted to ``WIN``
    bytes, which gives the Burrows-Wheeler transform; intervals of suffixes are extended
    backward, breadth first, so that common prefixes come to light by increasing length;
    the expansion stops at ``WIN``.  Neighbours that no interval has parted by then share
@@ -38,6 +39,8 @@ WIN, GRAM = 200, 16
 GRAMS = WIN - GRAM + 1
 #: Bytes of text a task works on at once; segment bytes of a block; of a key before it is split.
 SLICE, BLOCK, HOT = 1 << 19, 1 << 20, 1 << 19
+#: Windows of a segment at most.
+PART = 1 << 12
 IDX = 21
 MASK = (1 << IDX) - 1
 
@@ -106,6 +109,13 @@ def segments(buf: np.ndarray, off: np.ndarray):
             r = np.minimum(first + step, last)
             ok = (r >= 0) & (k[r] == g)
             weight[r[ok]] = 2
+    # the parts of a long segment share its key and each window is in one of them
+    parts = (hi - lo) // PART + 1
+    if len(parts) and parts.max() > 1:
+        nth = np.arange(int(parts.sum())) - np.repeat(np.cumsum(parts) - parts, parts)
+        row, lo, hi, k, weight = (np.repeat(x, parts) for x in (row, lo, hi, k, weight))
+        lo = lo + nth * PART
+        hi = np.minimum(lo + PART - 1, hi)
     return row, lo, hi, k, weight
 
 
@@ -244,10 +254,8 @@ def covered_runs(window: np.ndarray) -> np.ndarray:
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(cell, sid, key, nb, n, bytes) sorted by cell -> repeated runs (sid, runs), and for split keys their windows."""
-    for piece in _pieces(whole_groups(batches, "cell", rows=512)):
-        # rows alike in id and text have given their segments twice
-        piece = piece.take(pa.array(np.sort(np.unique(piece.column("sid").to_numpy(), return_index=True)[1])))
+    """(cell, sid, key, nb, n, bytes) sorted by cell and sid -> repeated runs (sid, runs), and for split keys their windows."""
+    for piece in _pieces(_once(whole_groups(batches, "cell", rows=512))):
         data, off = raw_bytes(piece.column("data"))
         sid, many = piece.column("sid").to_numpy(), piece.column("n").to_numpy() > 1
         nb = piece.column("nb").to_numpy()
@@ -310,12 +318,19 @@ def _meet_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(runs, pa.binary())], names=["sid", "runs"])
 
 
+def _once(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each segment once: rows alike in id and text have given theirs twice."""
+    for t in groups:
+        sid = t.column("sid").to_numpy()
+        yield t.filter(pa.array(np.concatenate([[True], sid[1:] != sid[:-1]])))
+
+
 def _pieces(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole cells, packed into pieces of up to ``BLOCK`` bytes (a larger cell is a piece by itself)."""
+    """Whole cells, packed into pieces of up to ``BLOCK`` bytes; a larger cell is cut, as windows of split keys meet again."""
     held: list[pa.RecordBatch] = []
     size = 0
     for t in groups:
-        cell = t.column("cell").to_numpy()
+        cell, nb = t.column("cell").to_numpy(), t.column("nb").to_numpy()
         _, off = raw_bytes(t.column("data"))
         first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
         at, start = 0, 0
@@ -327,6 +342,11 @@ def _pieces(groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 held, size = [], 0
                 continue
+            if upto <= at and nb[start] > 1:
+                stop = max(int(np.searchsorted(off, off[start] + BLOCK, side="right")) - 1, start + 1)
+                yield t.slice(start, stop - start)
+                at, start = at + (stop == ends[at]), stop
+                continue
             upto = max(upto, at + 1)
             stop = int(ends[upto - 1])
             held.append(t.slice(start, stop - start))
@@ -420,7 +440,7 @@ def suffix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     texts = scratch.put(src.join(wanted.hint("merge"), same).drop("wid", "wh"))
     rows = texts.where(F.size("reps") > 0).select("text", "reps").mapInArrow(
         _extract_rows, "cell long, sid long, key long, nb int, n long, data binary")
-    found = scratch.put(rows.repartition("cell").sortWithinPartitions("cell")
+    found = scratch.put(rows.repartition("cell").sortWithinPartitions("cell", "sid")
                         .mapInArrow(_block_rows, "sid long, runs binary, key long, part int, packed binary"))
     met = (found.where("packed is not null").select(F.xxhash64("key", "part").alias("meet"), "packed")
            .repartition("meet").sortWithinPartitions("meet").mapInArrow(_meet_rows, "sid long, runs binary"))

@@ -4,6 +4,8 @@ import collections
 import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.llm import suffix_dedup as S
@@ -156,6 +158,37 @@ def test_substrings_split_keys(spark, monkeypatch):
     assert cut(df) == want
 
 
+def test_substrings_periodic_runs_of_megabytes(spark):
+    """Runs longer than a block, and several of one key, next to bytes that stay."""
+    docs = [(1, "head" + "-" * 3_000_000 + "tail"), (2, "start" + "a phrase, " * 250_000 + "stop"),
+            (3, "only" + "xyz" * 67), (4, "begin" + "-" * 1_500_000 + "end"), (5, None)]
+    got = {r.doc_id: r for r in S.suffix_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {d: (r.n_removed, r.n_spans, bytes(r.kept)) for d, r in got.items()} == {
+        1: (3_000_000, 1, b"headtail"), 2: (2_500_000, 1, b"startstop"), 3: (0, 0, b"only" + b"xyz" * 67),
+        4: (1_500_000, 1, b"beginend"), 5: (0, 0, b"")}
+
+
+def test_long_segments_are_cut():
+    """Each window in one part, all parts of the key, none over the limit."""
+    buf = np.frombuffer(b"ab" * 10_000, np.uint8)
+    row, lo, hi, key, weight = S.segments(buf, np.array([0, len(buf)]))
+    order = np.argsort(lo)
+    assert len(set(key)) == 1 and (hi - lo).max() < S.PART and len(lo) > 1
+    assert lo[order][0] == 0 and hi[order][-1] == len(buf) - S.WIN and (lo[order][1:] == hi[order][:-1] + 1).all()
+
+
+def test_large_cells_are_cut(monkeypatch):
+    """A cell over a block is cut if its key is split, and no segment is lost or given twice."""
+    monkeypatch.setattr(S, "BLOCK", 1000)
+    cells = [1] * 9 + [2] * 2 + [3] * 5 + [3] * 1
+    t = pa.RecordBatch.from_pydict({"cell": pa.array(cells, pa.int64()), "sid": pa.array([*range(16), 15], pa.int64()),
+                                    "nb": pa.array([2] * 9 + [1] * 2 + [2] * 6, pa.int32()),
+                                    "data": pa.array([b"x" * 300] * 17, pa.binary())})
+    got = list(S._pieces(S._once(iter([t]))))
+    assert sorted(x for p in got for x in p.column("sid").to_pylist()) == list(range(16))
+    assert max(p.num_rows for p in got) == 3
+
+
 def test_substrings_odd_rows(odd, no_docs):
     rows = [(r.doc_id, (r.text or "").encode()) for r in odd.collect()]
     assert cut(odd) == brute_cut(rows)
