@@ -10,6 +10,9 @@ The least density on the path from the body to the core is the threshold: from t
 the selection climbs while the parent reaches it, and stops below the body or at an
 article or main element.  The text of the selected subtree is the result.
 
+A class or id that is a mark cuts its element; one that only has a mark among its words does
+so unless the element holds the core: that of the article or main elements, if there are any.
+
 Parsing is lenient: missing end tags, unquoted attributes, stray ``<`` and a page cut
 off anywhere are read like a browser reads them, and whole pages are read in one pass.
 
@@ -58,20 +61,27 @@ MARKS = frozenset("ad ads adbox adsense advert adverts advertisement advertising
                   "newsletter subscribe subscription signup login share sharing social related widget toolbar "
                   "pagination pager skip masthead disclaimer".split())
 PAGE_MARKS = frozenset("header banner topbar".split())  # cut outside an article only
+MARKS_ALL = MARKS | PAGE_MARKS
+IN_HEAD = frozenset("base link meta title style script noscript template".split())
 #: An opening tag ends an open element of the second set, up to an element of the third.
 LIST, TABLE = frozenset("ul ol menu dl".split()), frozenset(["table"])
 ENDS = {"li": (frozenset(["li"]), LIST), "dt": (frozenset(["dt", "dd"]), LIST), "dd": (frozenset(["dt", "dd"]), LIST),
         "tr": (frozenset(["tr", "td", "th"]), TABLE), "td": (frozenset(["td", "th"]), TABLE | {"tr"}),
-        "th": (frozenset(["td", "th"]), TABLE | {"tr"})}
+        "th": (frozenset(["td", "th"]), TABLE | {"tr"}), "option": (frozenset(["option"]), frozenset(["select", "datalist"]))}
 WORD = re.compile(r"[A-Za-z][a-z]*")
 
 
-def is_cut(tag: str, attributes: str, inside: bool) -> bool:
-    """True for an element that is never article text; ``inside``: within an article or main element."""
+def is_cut(tag: str, attributes: str, inside: bool) -> bool | None:
+    """True for an element that is never article text; ``inside``: within an article or main element.
+
+    None for one that a class or id names only in part (``has-sidebar``): it is cut unless
+    it holds the core of the page.
+    """
     if tag in CUT or (tag == "header" and not inside):
         return True
     if not attributes or tag in ("html", "body", "article", "main"):
         return False
+    partly = False
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
@@ -81,10 +91,13 @@ def is_cut(tag: str, attributes: str, inside: bool) -> bool:
         if name == "role" and value.lower() in ROLES:
             return True
         if name in ("class", "id"):
-            words = {w.lower() for w in WORD.findall(value)}
-            if words & MARKS or (not inside and words & PAGE_MARKS):
-                return True
-    return False
+            for token in value.split():
+                words = {token.lower()} & MARKS_ALL or {w.lower() for w in WORD.findall(token)}
+                marks = words & (MARKS if inside else MARKS_ALL)
+                if marks and marks == words:
+                    return True
+                partly = partly or bool(marks)
+    return None if partly else False
 
 
 class Page:
@@ -92,14 +105,17 @@ class Page:
 
     def __init__(self, page: str):
         self.parent, self.tag = [-1], [""]
+        self.cut, self.partly, self.inside = [False], [False], [False]  # cut or inside: the element or one around it
         self.flow: list[tuple[int, str | None]] = []  # (element, text), None for a break
         self.body = 0
-        stack, at, cut_depth, inside = [0], 0, 0, 0
+        stack, at = [0], 0
         while at < len(page):
             m = TOKEN.search(page, at)
             text = page[at: m.start() if m else len(page)]
-            if text and not cut_depth:
-                self.flow.append((stack[-1], text))
+            if text:
+                if self.tag[stack[-1]] == "head" and not text.isspace():
+                    stack.pop()
+                self._flow(stack[-1], text)
             if not m:
                 break
             at = m.end()
@@ -107,59 +123,58 @@ class Page:
             if not name:
                 continue
             close, tag = bool(m.group(1) or m.group(4)), name.lower()
-            if cut_depth:  # inside a part that is cut off: only its own element counts
-                if tag == cut_tag:
-                    if close:
-                        cut_depth -= 1
-                    elif not m.group(0).endswith("/>"):
-                        cut_depth += 1
-                elif close and tag in ("body", "html"):
-                    cut_depth = 0
-                if tag in RAW and not close:
-                    at = self._skip(page, at, tag)
-                elif tag in ("article", "main") and not close and cut_tag in ("nav", "head", "header", "footer"):
-                    cut_depth = 0  # an end tag was forgotten
-                if cut_depth or close:
-                    continue
-            if tag == "body" and not close and not self.body:
-                self.body = self._open(stack[-1], tag)
-                stack.append(self.body)
-                continue
             if close:
                 self._close(stack, tag)
                 if tag not in INLINE:
-                    self.flow.append((stack[-1], None))
+                    self._flow(stack[-1], None)
+                continue
+            if self.tag[stack[-1]] == "head" and tag not in IN_HEAD:
+                stack.pop()
+            if tag == "body" and not self.body:
+                if not self.cut[stack[-1]]:
+                    self.body = self._open(stack[-1], tag)
+                    stack.append(self.body)
                 continue
             if tag in RAW:
                 at = self._skip(page, at, tag)
                 continue
+            if tag in ("article", "main") and self.cut[stack[-1]]:
+                k = next(k for k, i in enumerate(stack) if self.cut[i])
+                if self.tag[stack[k]] in ("nav", "header", "footer"):
+                    del stack[k:]  # an end tag was forgotten
             if tag not in INLINE:
                 self._imply(stack, tag)
             if tag in VOID:
-                node = self._open(stack[-1], tag)
-                self.flow.append((node, None))
-                continue
-            inside = any(self.tag[i] in ("article", "main") for i in stack)
-            if is_cut(tag, m.group(3) or m.group(6) or "", inside):
-                cut_tag, cut_depth = tag, 0 if m.group(0).endswith("/>") else 1
-                if tag not in INLINE:
-                    self.flow.append((stack[-1], None))
+                self._flow(self._open(stack[-1], tag), None)
                 continue
-            node = self._open(stack[-1], tag)
-            stack.append(node)
+            cut = is_cut(tag, m.group(3) or m.group(6) or "", self.inside[stack[-1]])
             if tag not in INLINE:
-                self.flow.append((node, None))
+                self._flow(stack[-1], None)
+            if cut and m.group(0).endswith("/>"):
+                continue
+            stack.append(self._open(stack[-1], tag, cut))
+
+    def _flow(self, i: int, text: str | None) -> None:
+        if not self.cut[i]:
+            self.flow.append((i, text))
 
-    def _open(self, parent: int, tag: str) -> int:
+    def _open(self, parent: int, tag: str, cut: bool | None = False) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
+        self.cut.append(self.cut[parent] or cut is True)
+        self.partly.append(cut is None)
+        self.inside.append(self.inside[parent] or tag in ("article", "main"))
         return len(self.tag) - 1
 
     def _close(self, stack: list[int], tag: str) -> None:
         for k in range(len(stack) - 1, 0, -1):
             if self.tag[stack[k]] == tag:
-                del stack[k:]
+                # an inline end tag leaves the blocks in it open
+                alone = tag in INLINE and any(self.tag[i] not in INLINE for i in stack[k:])
+                del stack[k:k + 1 if alone else None]
                 return
+        if tag in ("body", "html"):
+            del stack[next((k for k, i in enumerate(stack) if self.cut[i]), len(stack)):]
 
     def _imply(self, stack: list[int], tag: str) -> None:
         """End tags that a block's opening tag implies."""
@@ -187,8 +202,8 @@ class Page:
         m = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
         return m.end() if m else len(page)
 
-    def select(self) -> tuple[int, int]:
-        """Elements [first, last) of the subtree that holds the article."""
+    def densities(self) -> tuple[list[int], list[int], list[float], list[float]]:
+        """Of each element: the end of its subtree, characters, density, and the sum of its children's densities."""
         n = len(self.tag)
         chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
         in_link = [False] * n
@@ -204,9 +219,9 @@ class Page:
         for i in range(n - 1, 0, -1):
             p = self.parent[i]
             chars[p] += chars[i]
-            tags[p] += tags[i] + 1
+            tags[p] += tags[i] + (not self.cut[i])
             link_chars[p] += link_chars[i]
-            link_tags[p] += link_tags[i] + (self.tag[i] == "a")
+            link_tags[p] += link_tags[i] + (self.tag[i] == "a" and not self.cut[i])
             last[p] = max(last[p], last[i])
         b = self.body
         ratio = link_chars[b] / max(chars[b], 1)
@@ -220,15 +235,43 @@ class Page:
                 density[i] = c / t * math.log(c / link * t / max(link_tags[i], 1)) / math.log(base)
             if i:
                 total[self.parent[i]] += density[i]
+        return last, chars, density, total
+
+    def _path(self, i: int) -> list[int]:
+        """The element and those around it, up to the body."""
+        path = [i]
+        while i != self.body and i > 0:
+            i = self.parent[i]
+            path.append(i)
+        return path
+
+    def settle(self) -> None:
+        """Cuts the elements named in part by a mark, but not those around the core of the page."""
+        last, chars, _, total = self.densities()
+        marked = [False] * len(self.tag)
+        for i in range(1, len(marked)):
+            marked[i] = marked[self.parent[i]] or self.partly[i]
+        text = [i for i in range(self.body, last[self.body]) if chars[i]]
+        main = [i for i in text if self.inside[i] and not self.inside[self.parent[i]]]
+        main = [i for i in main if not marked[i]] or main
+        pick = [i for m in main for i in range(m, last[m]) if chars[i]] or text
+        core = max(pick, key=total.__getitem__, default=self.body)
+        held = set(self._path(core))
+        for i in range(1, len(marked)):
+            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or (self.partly[i] and i not in held)
+        self.flow = [(i, t) for i, t in self.flow if not self.cut[i]]
+
+    def select(self) -> tuple[int, int]:
+        """Elements [first, last) of the subtree that holds the article."""
+        if any(self.partly):
+            self.settle()
+        last, _, density, total = self.densities()
+        b = self.body
         core = b
         for i in range(b, last[b]):
             if total[i] > total[core]:
                 core = i
-        path, i = [], core
-        while i != b and i > 0:
-            path.append(i)
-            i = self.parent[i]
-        path.append(b)
+        path = self._path(core)
         threshold = min(density[i] for i in path)
         root = core
         for i in path[1:]:

@@ -107,6 +107,33 @@ def test_page_parts_that_go():
     assert main_text("<body><nav><a>x</a><article><p>Hi \"there'</p></article>") == "Hi \"there'"
 
 
+def test_cut_parts_end_as_in_a_browser():
+    one = "<p>One paragraph of the text, long enough.</p><p>Two, that is long enough as well.</p>"
+    want = "One paragraph of the text, long enough. Two, that is long enough as well."
+    assert main_text(f"<html><head><title>t</title><meta name=a><body>{one}</body></html>") == want
+    assert main_text(f"<head><title>t</title>{one}") == want
+    assert main_text(f'<body><p class="ad">Buy{one}</body>') == want
+    assert main_text(f'<body><section><div class="ad">Buy <b>now</b></section>{one}</body>') == want
+    assert main_text(f'<body><span><div class="ad">Buy</span> now</div>{one}</body>') == want
+    assert main_text("<body><ul><li class=ad>Buy<li>One item of text<li>Two items of text</ul></body>") == (
+        "One item of text Two items of text")
+    assert main_text(f"<body><form><select><option>A<option>B</select><p>go</form>{one}</body>") == want
+
+
+def test_marks_in_part_of_a_name_keep_the_core():
+    one = "<p>One paragraph of the text, long enough.</p><p>Two, that is long enough as well.</p>"
+    want = "One paragraph of the text, long enough. Two, that is long enough as well."
+    for name in ("content has-sidebar", "no-sidebar", "with-comments", "page-header-on"):
+        for text in (one, f"<article>{one}</article>"):
+            page = f'<body><div class="{name}">{text}<div class="related-links"><p>See this</p></div></div></body>'
+            assert main_text(page) == want
+    assert main_text(f'<article><h1>Title</h1><div class="with-comments">{one}</div></article>') == "Title " + want
+    comments = '<div class="comment-list">' + "<div><p>I do agree with all of this.</p></div>" * 30 + "</div>"
+    assert main_text(f'<body><div class="no-sidebar"><article>{one}</article></div>{comments}</body>') == want
+    assert main_text(f"<body><article>{one}</article>{comments}</body>") == want
+    assert main_text(f'<body><div class="sidebar">{one}</div><p>short</p></body>') == "short"
+
+
 def test_pages_odd_rows(spark):
     long = "<article>" + "<p>para graph</p>" * 20000 + "</article>"
     df = spark.createDataFrame([(1, None, None, "x"), (None, "u", "", "x"), (2, "u", long, "x"), (2, "u", long, "x")],
