@@ -6,9 +6,10 @@ comments, hidden parts; by element name, role, class or id) are cut off.  Every
 element gets its composite density: characters per tag, adjusted by the share of link
 characters and link tags against that of the whole body (Sun, Song and Liao, 2011).  The
 sum of the densities of its children ranks an element; the highest sum marks the core.
-The least density on the path from the body to the core is the threshold: from the core
-the selection climbs while the parent reaches it, and stops below the body or at an
-article or main element.  The text of the selected subtree is the result.
+An article or main element around the core is the result.  Without one, the least density
+on the path from the body to the core is the threshold: from the body down, each element
+that reaches it gives the block of highest sum in it; the text of all of them is the result,
+and sparse elements beside them are left out, but for headings of such a block.
 
 A class or id that is a mark cuts its element; one that only has a mark among its words does
 so unless the element holds the core: that of the article or main elements, if there are any.
@@ -61,6 +62,7 @@ MARKS = frozenset("ad ads adbox adsense advert adverts advertisement advertising
                   "newsletter subscribe subscription signup login share sharing social related widget toolbar "
                   "pagination pager skip masthead disclaimer".split())
 PAGE_MARKS = frozenset("header banner topbar".split())  # cut outside an article only
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 MARKS_ALL = MARKS | PAGE_MARKS
 IN_HEAD = frozenset("base link meta title style script noscript template".split())
 #: An opening tag ends an open element of the second set, up to an element of the third.
@@ -261,28 +263,52 @@ class Page:
             self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or (self.partly[i] and i not in held)
         self.flow = [(i, t) for i, t in self.flow if not self.cut[i]]
 
-    def select(self) -> tuple[int, int]:
-        """Elements [first, last) of the subtree that holds the article."""
+    def select(self) -> list[tuple[int, int]]:
+        """Disjoint ranges [first, last) of elements, in order: the subtrees that hold the article."""
         if any(self.partly):
             self.settle()
-        last, _, density, total = self.densities()
+        last, chars, density, total = self.densities()
         b = self.body
-        core = b
-        for i in range(b, last[b]):
-            if total[i] > total[core]:
-                core = i
+        block = [i == b or t not in INLINE for i, t in enumerate(self.tag)]
+        best = list(range(len(block)))  # the block of highest sum in each subtree, the outermost of equal ones
+        for i in range(last[b] - 1, b, -1):
+            p = self.parent[i]
+            if block[i] and (total[best[i]], -best[i]) > (total[best[p]], -best[p]):
+                best[p] = best[i]
+        core = best[b]
         path = self._path(core)
+        for i in path:
+            if self.tag[i] in ("article", "main"):
+                return [(i, last[i])]
         threshold = min(density[i] for i in path)
-        root = core
-        for i in path[1:]:
-            if self.tag[root] in ("article", "main") or i == b or density[i] < threshold:
-                break
-            root = i
-        return root, last[root]
+        # from the body down, an element that reaches the threshold gives its block of highest sum
+        reached, found = {self.parent[b]}, []
+        for i in range(b, last[b]):
+            if block[i] and chars[i] and density[i] >= threshold and self.parent[i] in reached:
+                reached.add(i)
+                found.append((best[i], last[best[i]]))
+        starts = {first for first, _ in found}
+        for i in range(last[b] - 1, b, -1):  # a heading goes with the block behind it
+            if self.tag[i] in HEADINGS and chars[i] and self.parent[i] in reached:
+                j = last[i]
+                while j < last[b] and self.parent[j] == self.parent[i] and not chars[j]:
+                    j = last[j]
+                if j < last[b] and self.parent[j] == self.parent[i] and any(f in starts for f in range(j, last[j])):
+                    starts.add(i)
+                    found.append((i, last[i]))
+        spans: list[tuple[int, int]] = []
+        for first, end in sorted(found):
+            if not spans or first >= spans[-1][1]:
+                spans.append((first, end))
+            elif end > spans[-1][1]:
+                spans[-1] = (spans[-1][0], end)
+        return spans
 
     def text(self) -> str:
-        first, last = self.select()
-        parts = [" " if t is None else t for i, t in self.flow if first <= i < last]
+        chosen = [False] * len(self.tag)
+        for first, last in self.select():
+            chosen[first:last] = [True] * (last - first)
+        parts = [" " if t is None else t for i, t in self.flow if chosen[i]]
         return SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
 
 

@@ -134,6 +134,23 @@ def test_marks_in_part_of_a_name_keep_the_core():
     assert main_text(f'<body><div class="sidebar">{one}</div><p>short</p></body>') == "short"
 
 
+def test_pages_without_article_give_all_dense_blocks():
+    lead = "<h1>The title</h1><p>An introduction of more than one clause, to be read before all of the rest.</p>"
+    ten = "".join(f"<p>Paragraph {i} of the text, with its words.</p>" for i in range(10))
+    links = "<div>" + "<a href=1>Link</a> " * 5 + "</div>"
+
+    def strip(h):
+        return " ".join(re.sub(r"<[^>]*>", " ", h).split())
+
+    assert main_text(f"<body><div>{lead}</div><div>{ten}</div>{links}</body>") == strip(lead + ten)
+    # sparse blocks go, also out of a wrapper; a heading stays with its block
+    assert main_text(f"<body><div>{lead}</div><div><p>x</p><p>y</p></div><div>{ten}</div>{links}</body>") == (
+        strip(lead + ten))
+    assert main_text(f"<body><div><div>{ten}</div>{links}</div></body>") == strip(ten)
+    assert main_text(f"<body><div><h1>Title</h1><div>{ten}</div></div>{links}</body>") == "Title " + strip(ten)
+    assert main_text(f"<body>{ten}</body>") == strip(ten)
+
+
 def test_pages_odd_rows(spark):
     long = "<article>" + "<p>para graph</p>" * 20000 + "</article>"
     df = spark.createDataFrame([(1, None, None, "x"), (None, "u", "", "x"), (2, "u", long, "x"), (2, "u", long, "x")],
