@@ -1,10 +1,12 @@
 """PII surrogate generation.
 
-Entities (mail addresses, phone, card, account and social security numbers, IPv4
+Entities (mail addresses, phone, card, account and social security numbers, IPv4 and IPv6
 addresses, secrets, titled person names) are found by pattern and get keyed surrogates
 of their own type: digits for digits and letters for letters in the same places, a valid
 check digit where the original has one, name parts in the same script and of the gender
-that the title tells.  Mentions that differ only in case or punctuation are one entity.
+that the title tells, if it does.  A second pass finds the names of a text where they stand
+in it without a title (with a capital, if the script has any).  Mentions that differ only
+in case or punctuation are one entity; IPv6 surrogates are written in full.
 
 The map from entities to surrogates is one-to-one over the whole input, and no surrogate
 equals an entity that occurs: every distinct entity draws a candidate from an HMAC of
@@ -23,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 from collections.abc import Iterator
 
@@ -41,33 +44,56 @@ ROUNDS = 64
 MALE = ["Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "господин", "г-н", "κύριος"]
 FEMALE = ["Mrs", "Ms", "Miss", "Madam", "Frau", "Madame", "Mme", "Mlle", "Señora", "Señorita", "Sra", "Doña",
           "госпожа", "г-жа", "κυρία"]
-TITLE = {t.casefold(): g for g, ts in (("M", MALE), ("F", FEMALE)) for t in ts}
+#: Titles that do not tell it; they may also stand behind another title.
+NEUTRAL = ["Dr", "Prof", "Professor", "Doctor", "Doktor", "Docteur", "доктор", "профессор", "Δρ"]
+TITLE = {t.casefold(): g for g, ts in (("M", MALE), ("F", FEMALE), ("X", NEUTRAL)) for t in ts}
 
-_titles = "|".join(re.escape(t).replace(r"\-", "-") for t in sorted(
-    {*MALE, *FEMALE, *map(str.upper, MALE + FEMALE)}, key=lambda t: (-len(t), t)))
+
+
+def _any(titles: list[str]) -> str:
+    return "|".join(re.escape(t).replace(r"\-", "-") for t in sorted(
+        {*titles, *map(str.upper, titles)}, key=lambda t: (-len(t), t)))
+
+
+_titles, _neutral = _any(MALE + FEMALE + NEUTRAL), _any(NEUTRAL)
 _capital = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ]"
 _octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+_ip4 = rf"(?:{_octet}\.){{3}}{_octet}"
+_hex = r"[0-9A-Fa-f]{1,4}"
 PATTERN = re.compile(rf"""
       (?P<mail>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
     | \b(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth)\b["']?\s*[:=]\s*["']?(?P<secret>[A-Za-z0-9+/_-]{{12,}})
     | (?<![0-9A-Za-z])(?P<hex>(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{{32,}})(?![0-9A-Za-z])
-    | (?<![\d.])(?P<ip>(?:{_octet}\.){{3}}{_octet})(?!\.?\d)
+    | (?<![\w:])(?P<ip6>(?:{_hex}:){{7}}{_hex}
+        | (?=[0-9A-Fa-f:.]*[0-9])(?!(?:[0-9A-Fa-f]*:){{9}})(?:
+            ::(?:{_hex}:){{0,5}}{_ip4} | (?:{_hex}:){{1,6}}(?::{_hex}){{1,6}} | ::(?:{_hex}:){{0,6}}{_hex}
+            | (?:{_hex}:){{1,7}}:))(?![\w:]|\.\d)
+    | (?<![\d.])(?P<ip>{_ip4})(?!\.?\d)
     | (?<![0-9A-Za-z])(?P<iban>[A-Z]{{2}}\d\d(?:[ ]?[A-Z0-9]{{4}}){{3,7}}(?:[ ]?[A-Z0-9]{{1,3}})?)(?![0-9A-Za-z])
     | (?<![\w+])(?P<card>\d{{4}}(?:[ -]?\d{{4}}){{2}}[ -]?\d{{1,7}}|\d{{13,19}})(?![\w])
     | (?<![\w-])(?P<ssn>\d{{3}}-\d\d-\d{{4}})(?![\w-])
-    | (?<![\w+])(?P<phone>(?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]\d{{3,4}}|\+\d{{8,14}})(?![\w])
-    | (?<!\w)(?P<title>{_titles})\.?[ ](?P<name>{_capital}[^\W\d_]+(?:[ -]{_capital}[^\W\d_]+){{0,2}})
+    | (?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}
+        | \+\d(?:(?:[ ./-]|[ ]?\(|\)[ .-]?)?\d){{7,14}}
+        | 0\d(?:[ .-]\d\d){{4}}
+        | (?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]\d{{3,4}}
+        | (?:0\d{{1,4}}[ /-]|\(0\d{{1,5}}\)[ ]?)(?:\d{{5,8}}|\d{{3,4}}[ -]\d{{3,5}})
+        | (?<![.-])\d{{3}}-\d{{4}}(?!-\w))(?![\w])
+    | (?<!\w)(?P<title>{_titles})\.?[ ](?:(?:{_neutral})\.?[ ])*(?!(?:{_neutral})\b)(?P<name>{_capital}[^\W\d_]+(?:[ -]{_capital}[^\W\d_]+){{0,2}})
     """, re.X)
-#: Java patterns that every text with an entity matches: a digit or at sign, an assigned secret, a title.
-NUMBER = "[0-9@]"
-ASSIGNED = r"(?i)(?:token|secret|passw|key|auth)\w*[\"']?\s*[:=]"
-TITLED = rf"(?=[{''.join(sorted({t[0] for t in _titles.split('|')}))}])(?:{_titles})\.? \p{{Lu}}"
+WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
+#: Java patterns that every text with an entity matches: a digit or at sign, an assigned secret, an
+#: address without digits, a title before a letter that is not a small one of ASCII.
+NUMBER = r"[\p{Nd}@]"
+ASSIGNED = r"(?iu)(?:token|secret|passw(?:or)?d|key|auth)[\"']?[\s\p{Z}\x1c-\x1f\x85]*[:=]"
+ADDRESS = r"(?:[A-Fa-f]{1,4}:){7}"
+TITLED = (rf"(?=[{''.join(sorted({t[0] for t in _titles.split('|')}))}])(?:{_titles})"
+          r"\.? [A-Z\x{80}-\x{10FFFF}]")
 
 
 def has_trace(text: Column) -> Column:
     """True for every text that may hold an entity (cheap tests first)."""
     return F.coalesce(text.rlike(NUMBER) | ((text.contains("=") | text.contains(":")) & text.rlike(ASSIGNED))
-                      | text.rlike(TITLED), F.lit(False))
+                      | (text.contains(":") & text.rlike(ADDRESS)) | text.rlike(TITLED), F.lit(False))
 
 
 CONSONANTS = {"latin": "bdfgklmnprstvz", "cyrillic": "бвгдзклмнпрст", "greek": "βγδζκλμνπρστ"}
@@ -89,8 +115,40 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, canonical entity) of each mention, in order and without overlap.
 
     Name parts are entities of their own: the last one a surname, the others given names
-    of the title's gender, so a person is the same with and without the given name.
+    of the title's gender (X if it tells none and no other title of the text does), so a
+    person is the same with and without the given name, and with and without the title.
     """
+    found = list(_patterned(text))
+    known: dict[str, list[str]] = {}
+    for _, _, kind, entity in found:
+        if (kind == "surname" or kind.startswith("given_")) and kind not in known.setdefault(entity, []):
+            known[entity].append(kind)
+    if not known:
+        yield from found
+        return
+    for entity, kinds in known.items():
+        if "given_X" in kinds and len(told := [k for k in kinds if k in ("given_M", "given_F")]):
+            kinds.remove("given_X")
+            found = [(a, e, told[0] if k == "given_X" and x == entity else k, x) for a, e, k, x in found]
+    bare, at = [], 0
+    words = list(WORD.finditer(text))
+    for i, w in enumerate(words):
+        while at < len(found) and found[at][1] <= w.start():
+            at += 1
+        entity = w.group().casefold()
+        if entity not in known or w.group()[0].islower() or (at < len(found) and found[at][0] < w.end()):
+            continue
+        kinds = known[entity]
+        follower = words[i + 1] if i + 1 < len(words) else None
+        first = (follower is not None and text[w.end():follower.start()] in (" ", "-")
+                 and "surname" in known.get(follower.group().casefold(), []))
+        fit = [k for k in kinds if (k != "surname") == first]
+        bare.append((w.start(), w.end(), (fit or kinds)[0], entity))
+    yield from sorted(found + bare)
+
+
+def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
+    """Mentions that the pattern finds."""
     for m in PATTERN.finditer(text):
         kind = m.lastgroup
         if kind == "name":
@@ -110,6 +168,12 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
             value = (value[:n] + "-" if n else "") + re.sub(r"\D", "", value[n:])
         elif kind == "iban":
             value = value.replace(" ", "").upper()
+        elif kind == "ip6":
+            try:
+                digits = f"{int(ipaddress.IPv6Address(value)):032x}"
+                value = ":".join(digits[i:i + 4] for i in range(0, 32, 4))
+            except ValueError:  # too many groups beside "::"
+                value = value.casefold()
         elif kind in ("mail", "hex"):
             value = value.casefold()
         yield m.start(kind), m.end(kind), kind, value
@@ -177,6 +241,8 @@ def draw(key: bytes, kind: str, entity: str, trial: int) -> str:
                        for c in entity)
     if kind == "ip":
         return ".".join(str(1 + s.below(254)) for _ in range(4))
+    if kind == "ip6":
+        return ":".join(f"{0x1000 + s.below(0xF000):x}" for _ in range(8))
     if kind == "card":
         body = entity[0] + "".join(str(s.below(10)) for _ in entity[1:-1])
         valid = luhn(entity[:-1]) == int(entity[-1])

@@ -238,6 +238,38 @@ def test_surrogates_leave_nothing_behind(spark, sf):
         assert not any(s in r.text.casefold() for s in seen)
 
 
+PLANTED = [
+    ("Mr John Smith arrived. Smith left; later John Smith's SMITH & Sons", ["John", "Smith", "SMITH"]),
+    ("Dr Anna Weber and Prof. Karl Huber; Herr Prof. Dr. Otto Maier. Then Maier, Anna, Huber",
+     ["Anna", "Weber", "Karl", "Huber", "Otto", "Maier"]),
+    ("Frau 王小明", ["王小明"]), ("Frau 王小明 in 12 rooms", ["王小明"]), ("señor Doña Éva and Éva", ["Éva"]),
+    ("call +49 30 12345678 now", ["30 12345678"]), ("call +33 1 23 45 67 89 now", ["23 45", "67 89"]),
+    ("call 555-1234 now", ["555-1234"]), ("call (030) 1234567 or 030 12345678", ["1234567", "12345678"]),
+    ("call 01 23 45 67 89", ["23 45 67 89"]), ("call ٥٥٥-١٢٣٤ now", ["٥٥٥-١٢٣٤"]),
+    ("host 2001:0db8:85a3::8a2e:0370:7334, fe80::1.", ["8a2e", "fe80"]), ("host ::ffff:10.0.0.1", ["10.0.0.1"]),
+    ("host dead:beef:dead:beef:dead:beef:dead:beef", ["beef"]), ("at 1:2:3:4::5:6:7:8", ["5:6:7:8"]),
+    ("API_KEY = abcdefghijklmnop", ["abcdefghijklmnop"]),
+]
+
+
+def test_planted_entities_go(spark):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(PLANTED)], "doc_id long, text string")
+    got = {r.doc_id: r for r in P.pii_surrogate(df, b"k").collect()}
+    for i, (text, private) in enumerate(PLANTED):
+        assert not [x for x in private if x in got[i].text], (text, got[i].text)
+    new = got[0].text
+    first, last = re.fullmatch(r"Mr (\w+) (\w+) arrived\..*", new).groups()
+    assert new == f"Mr {first} {last} arrived. {last} left; later {first} {last}'s {last.upper()} & Sons"
+    assert got[2].text.split()[1] == got[3].text.split()[1]
+    part = [new[e.start:e.end] for e in got[0].entities]
+    assert part == [first, last, last, first, last, last.upper()]
+
+
+def test_what_is_no_entity_stays():
+    text = "On 2024-01-15 at 12:30:45, 01/2024, std::vector, a::b, 00:1a:2b:3c:4d:5e, 1.234-5678; smith and Smith"
+    assert list(P.mentions(text)) == []
+
+
 # --------------------------------------------------------------------- pieces
 
 @pytest.fixture(scope="module")
