@@ -380,8 +380,9 @@ def bayes_join(df: DataFrame, text_col: str = "text", id_col: str = "doc_id") ->
                               F.col("head.h").alias("rep_h")), F.col("node") == F.col("r"))
             .select(F.col("node").alias("rid"), "root", "size", "sig", "n", "rep_id", "rep_h"))
     near = scratch.put(near)
+    # rows alike in id and text lend their text once
     texts = (src.join(near, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("h") == F.col("rep_h")))
-             .select("rid", "root", "size", "sig", "n", "text"))
+             .groupBy("rid", "root", "size", "sig", "n").agg(F.first("text").alias("text")))
     texts = scratch.put(texts)
     cells = _cells(texts, "root", "size", CELL, ["rid", "n", "sig", "text"])
     found = scratch.put(cells.repartition("cell").sortWithinPartitions("cell")

@@ -27,7 +27,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructType
 
@@ -146,6 +146,23 @@ def _settle(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
     return group.assign(p=p)
 
 
+def ordered(rows: DataFrame, scratch: Scratch) -> DataFrame:
+    """Written rows (row, no) with ``order``: the hash of the row, salted with its number among its equals.
+
+    Rows of one input partition are numbered side by side; their offsets are sums of small counts.
+    """
+    rows = rows.withColumn("order", F.xxhash64("row")).withColumn("part", F.shiftright("no", 33))
+    ahead = Window.partitionBy("o").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = scratch.put(rows.groupBy(F.col("order").alias("o"), F.col("part").alias("p")).agg(F.count("*").alias("n"))
+                        .withColumn("ahead", F.sum("n").over(ahead)).where("ahead > 0").drop("n"))
+    nth = F.row_number().over(Window.partitionBy("order", "part").orderBy("no")) - 1
+    return (rows.withColumn("nth", nth)
+            .join(ahead.hint("merge"), (F.col("order") == F.col("o")) & (F.col("part") == F.col("p")), "left")
+            .withColumn("nth", F.col("nth") + F.coalesce("ahead", F.lit(0)))
+            .withColumn("order", F.when(F.col("nth") > 0, F.xxhash64("order", "nth")).otherwise(F.col("order")))
+            .drop("o", "p", "ahead", "nth", "part", "no"))
+
+
 def cube_mix(df: DataFrame, source_col: str = "source", size_col: str = "size",
              weights=WEIGHTS, most: int = MOST, block: int = BLOCK) -> DataFrame:
     """Rows with ``source_size``, ``target`` and ``copies`` (how often the mix takes the row).
@@ -157,14 +174,14 @@ def cube_mix(df: DataFrame, source_col: str = "source", size_col: str = "size",
     rows = scratch.put(df.select(
         F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"),
         F.col(f"`{source_col}`").alias("source"),
-        F.coalesce(F.col(f"`{size_col}`").cast("long"), F.lit(0).cast("long")).alias("size")))
+        F.coalesce(F.col(f"`{size_col}`").cast("long"), F.lit(0).cast("long")).alias("size"),
+        F.monotonically_increasing_id().alias("no")))
     targets = source_targets(rows.select("source", "size"), scratch, weights, most)
     t = targets.select(F.col("source").alias("src"), "n_docs", "source_size", "target")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    cur = (rows.join(t, F.col("source").eqNullSafe(F.col("src")))
+    cur = (ordered(rows, scratch).join(t, F.col("source").eqNullSafe(F.col("src")))
            .withColumn("whole", F.floor(ratio + EPS).cast("int"))
            .withColumn("p", F.greatest(F.lit(0.0), ratio - F.col("whole")))
-           .withColumn("order", F.xxhash64("row"))
            .withColumn("blocks", F.ceil(F.col("n_docs") / float(block)).cast("int"))
            .select("row", "source", "size", "source_size", "target", "whole", "p", "order", "blocks"))
     settled: list[DataFrame] = []

@@ -433,12 +433,20 @@ def suffix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
            .select(F.col("head.id").alias("id"), F.col("head.h").alias("h"), F.struct(
                F.col("head.lo").alias("lo"), F.col("head.more").alias("more"), "sid", "key", nb.alias("nb"), "n",
                F.xxhash64("key", F.pmod("sid", nb)).alias("cell")).alias("rep")))
+    # rows alike in id and text lend their text once
+    again = scratch.put(src.groupBy(F.col("id").alias("cid"), F.col("h").alias("ch")).agg(F.count("*").alias("rows"))
+                        .where("rows > 1"))
     none = F.lit(None).cast(ask.schema["rep"].dataType)
     wanted = (places.select("id", "h", none.alias("rep")).unionByName(ask)
-              .groupBy(F.col("id").alias("wid"), F.col("h").alias("wh")).agg(F.collect_list("rep").alias("reps")))
+              .groupBy(F.col("id").alias("wid"), F.col("h").alias("wh")).agg(F.collect_list("rep").alias("reps"))
+              .join(again.hint("merge"), F.col("wid").eqNullSafe(F.col("cid")) & (F.col("wh") == F.col("ch")), "left")
+              .drop("cid", "ch"))
     same = F.col("id").eqNullSafe(F.col("wid")) & (F.col("h") == F.col("wh"))
     texts = scratch.put(src.join(wanted.hint("merge"), same).drop("wid", "wh"))
-    rows = texts.where(F.size("reps") > 0).select("text", "reps").mapInArrow(
+    first = [F.first(c).alias(c) for c in ("text", "reps")]
+    once = (texts.where("rows is null").select("id", "h", "text", "reps")
+            .unionByName(texts.where("rows > 1").groupBy("id", "h").agg(*first)))
+    rows = once.where(F.size("reps") > 0).select("text", "reps").mapInArrow(
         _extract_rows, "cell long, sid long, key long, nb int, n long, data binary")
     found = scratch.put(rows.repartition("cell").sortWithinPartitions("cell", "sid")
                         .mapInArrow(_block_rows, "sid long, runs binary, key long, part int, packed binary"))
@@ -449,14 +457,14 @@ def suffix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                            .select(F.col("key").alias("k"), F.col("seg").alias("s"), "runs"))
     back = (places.join(seg_runs.hint("merge"), (F.col("key") == F.col("k")) & (F.col("seg") == F.col("s")))
             .groupBy(F.col("id").alias("wid"), F.col("h").alias("wh"))
-            .agg(F.collect_list(F.struct("lo", "runs")).alias("places")))
-    cut = (texts.select("id", "h", "text").join(back.hint("merge"), same).select("id", "h", "text", "places")
+            .agg(F.collect_set(F.struct("lo", "runs")).alias("places")))
+    cut = (once.select("id", "h", "text").join(back.hint("merge"), same).select("id", "h", "text", "places")
            .mapInArrow(_cut_rows, f"id {id_type}, h long, n_removed long, n_spans long, kept_sha256 string, "
                                   "spans array<struct<start:long,end:long>>, kept binary"))
     if not carry:
         cut = cut.drop("kept")
     cut = scratch.put(cut.dropDuplicates(["id", "h"]))
-    scratch.drop(places, distinct, large, texts, found, seg_runs)
+    scratch.drop(places, distinct, large, again, texts, found, seg_runs)
     data = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     whole = src.select("id", "h", F.length(data).cast("long").alias("n_bytes"), F.sha2(data, 256).alias("sha"),
                        *([data.alias("data")] if carry else []))

@@ -13,6 +13,8 @@ from tessera.llm.bayes_join import bayes_join, least_matches
 from tessera.llm.common import Scratch, components, documents
 from tessera.llm.radix_dedup import radix_dedup
 
+LONG = " ".join(f"word{i % 97} sea{i}" for i in range(400))
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -168,6 +170,33 @@ def test_substrings_periodic_runs_of_megabytes(spark):
         4: (1_500_000, 1, b"beginend"), 5: (0, 0, b"")}
 
 
+def test_repeated_rows_lend_their_text_once(spark, monkeypatch):
+    rows = [(1, LONG)] * 40 + [(None, LONG + " and")] * 40 + [(2, LONG + " end"), (3, "other")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    seen = {}
+    mapped, put = type(df).mapInArrow, Scratch.put
+
+    def spy(self, func, *args, **more):
+        if func.__name__ == "_extract_rows":
+            seen["suffix"] = self.count()
+        return mapped(self, func, *args, **more)
+
+    def spy_put(self, frame):
+        out = put(self, frame)
+        if {"rid", "text"} <= set(out.columns):
+            seen["join"] = out.count()
+        return out
+
+    monkeypatch.setattr(type(df), "mapInArrow", spy)
+    monkeypatch.setattr(Scratch, "put", spy_put)
+    got = S.suffix_dedup(df, carry=False).collect()
+    assert len(got) == 82 and seen["suffix"] <= 3
+    assert all(r.n_removed >= len(LONG) - 1 for r in got if r.doc_id != 3)
+    got = bayes_join(df).collect()
+    assert len(got) == 82 and seen["join"] == 3
+    assert {r.links for r in got} == {80, 0} and sum(r.kept for r in got) == 2
+
+
 def test_long_segments_are_cut():
     """Each window in one part, all parts of the key, none over the limit."""
     buf = np.frombuffer(b"ab" * 10_000, np.uint8)

@@ -11,8 +11,8 @@ from tessera.llm import lang_gru as L
 from tessera.llm import pii_surrogate as P
 from tessera.llm import sp_nbest as N
 from tessera.llm.chat_rotation import chat_rotation
-from tessera.llm.common import documents
-from tessera.llm.cube_mix import cube_mix, fly
+from tessera.llm.common import Scratch, documents
+from tessera.llm.cube_mix import cube_mix, fly, ordered
 from tessera.llm.html_density import html_density, main_text
 from tessera.llm.quality_cascade import RULES, order_rules, quality_cascade
 from tessera.llm.queries import QUERIES
@@ -380,6 +380,18 @@ def test_mix_targets_and_rerun(spark):
             assert abs((g["size"] * g.copies).sum() - want[s]) <= 0.01 * want[s] + 5
 
 
+def test_mix_order_parts_equal_rows(spark):
+    df = spark.range(2000).select(F.struct(F.lit("same").alias("x")).alias("row"), F.col("id").alias("k"))
+    df = df.unionByName(spark.range(5).select(F.struct(F.col("id").cast("string").alias("x")).alias("row"), "id")
+                        .withColumnRenamed("id", "k"))
+    got = []
+    for n in (1, 4):
+        scratch = Scratch(spark, "order")
+        rows = scratch.put(df.repartition(n, "k").select("row", F.monotonically_increasing_id().alias("no")))
+        got.append(sorted((r.row.x, r.order) for r in ordered(rows, scratch).collect()))
+    assert len(set(got[0])) == 2005 and got[0] == got[1]
+
+
 def test_mix_empty_and_clashing_columns(spark, no_docs, clash):
     assert cube_mix(no_docs.select("doc_id", "source", F.lit(1).alias("size"))).collect() == []
     got = cube_mix(clash.withColumn("size", F.coalesce(F.length("text"), F.lit(0))))
