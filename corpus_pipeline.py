@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.llm.bayes_join import bayes_join
 from tessera.llm.common import Scratch, documents, word_count
 from tessera.llm.cube_mix import cube_mix
-from tessera.llm.lang_gru import UND, identify, train_on
+from tessera.llm.lang_gru import UND, has_letter, identify, train_on
 from tessera.llm.radix_dedup import radix_dedup
 from tessera.llm.sp_nbest import sp_encode
 
@@ -22,8 +22,13 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language the network knows; texts without a letter (or null) go."""
+    """Documents in a language the network knows; texts without a letter (or null) go.
+
+    Without a labelled text to learn from there is no network, and every text with a letter stays.
+    """
     model, langs = train_on(docs)
+    if model is None:
+        return docs.where(has_letter(F.col("text"))).select(*docs.columns)
     return identify(docs, model, langs).where(F.col("lang_pred") != UND).select(*docs.columns)
 
 

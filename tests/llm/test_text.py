@@ -61,6 +61,18 @@ def test_language_odd_rows(spark, odd, no_docs, clash):
 
 # -------------------------------------------------------------------- quality
 
+def test_language_without_labels_and_with_many(spark, monkeypatch):
+    from corpus_pipeline import language
+    rows = [(i, f"text of row {i}", None, "a", 1) for i in range(6)] + [(9, "123", "en", "a", 1), (10, None, "en", "a", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(r.doc_id for r in language(spark, df, "").collect()) == list(range(6))
+    monkeypatch.setattr(L, "MOST_LANGUAGES", 2)
+    many = spark.createDataFrame([(i, "some text", "de" if i < 5 else "en" if i < 9 else f"x{i}") for i in range(15)],
+                                 "key long, text string, lang string")
+    spans, labels, langs = L.sample_spans(many, L.SampleSpec())
+    assert langs == ["de", "en"] and spans and set(labels) == {0, 1}
+
+
 def test_cascade_order_does_not_change_the_verdict(spark, sf, odd, no_docs):
     docs = documents(spark, sf).select("doc_id", "text")
     ranked = order_rules(docs)
