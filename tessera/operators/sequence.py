@@ -9,7 +9,8 @@ expressions, lazy, and keeps the types of its columns.
 
 * ``with_previous``  values of the key's previous row (lag), and whether there is one,
 * ``running_sum``, ``running_max``  running aggregates,
-* ``number_rows``    1-based numbers.
+* ``number_rows``    1-based numbers,
+* ``number_sampled`` 1-based numbers over equi-depth ranges, whatever the order column holds.
 
 NULL keys are one key; NULL orders come first, as in a Spark window.
 """
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.session import scratch_path
+
 #: Offsets of one range; first characters of a text order that make a range.
 SPAN, PREFIX = 1 << 20, 2
 _RANGE, _REAL, _CARRY = "_seq_range", "_seq_real", "_seq_carry"
@@ -95,3 +98,41 @@ def number_rows(df: DataFrame, order, keys=(), name: str = "row_number", ranges:
     """Adds ``name``: 1-based number of the row among its key's rows (``keys`` empty: among all)."""
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     return running_sum(one, keys, order, "_one", name, ranges).drop("_one")
+
+
+#: Bits of ``monotonically_increasing_id`` that count rows inside a task.
+_POS_BITS = 33
+
+
+def number_sampled(df: DataFrame, order, keys=(), name: str = "row_number", total: str | None = None) -> DataFrame:
+    """Adds ``name``: 1-based number of the row among its key's rows in ``order`` (and ``total``: how many there are).
+
+    For orders whose values bunch up (a common prefix, a clustered id), where fixed ranges would
+    put all rows into one task.  Spark samples the rows and cuts the whole table, ordered by
+    ``keys`` and ``order``, into ranges of about equal size; rows that tie are cut apart by a hash
+    and their place, so a hot value is spread too.  Each task sorts its range and numbers it; one
+    row per (range, key) then says how many rows of the key stand before.  The sorted table is
+    written to the checkpoint folder, so that the ranges stand once and for all.  ``df`` is run
+    twice (sample and sort): pass a written or cheap one.  Ties in ``order`` are numbered in any order.
+    """
+    keys, order = _names(keys), _names(order)
+    spark = df.sparkSession
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn("_seq_tie", F.xxhash64(*plain)).withColumn("_seq_row", F.monotonically_increasing_id())
+    by = [*keys, *order, "_seq_tie", "_seq_row"]
+    path = scratch_path(spark, "ranges")
+    (tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("_seq_tie", "_seq_row")
+     .withColumn("_seq_at", F.monotonically_increasing_id()).write.parquet(path))
+    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_seq_at", T.LongType())])).parquet(path)
+    rows = rows.withColumn(_RANGE, F.shiftright("_seq_at", _POS_BITS))
+    w = Window.partitionBy(*keys)
+    upto = F.sum("_n").over(w.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
+    heads = (rows.groupBy(*keys, _RANGE).agg(F.count(F.lit(1)).alias("_n"), F.min("_seq_at").alias("_first"))
+             .select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(_RANGE).alias("_r"), "_first",
+                     F.coalesce(upto, F.lit(0)).alias("_before"), F.sum("_n").over(w).alias("_total")))
+    same = F.col(_RANGE) == F.col("_r")
+    for i, k in enumerate(keys):
+        same = same & F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    number = F.col("_seq_at") - F.col("_first") + F.col("_before") + 1
+    return rows.join(heads, same).select(*df.columns, number.alias(name),
+                                         *([F.col("_total").alias(total)] if total else []))
