@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.html_density import html_density
 from tessera.llm.lang_gru import held_out, identify, train_on
+from tessera.llm.merkle_manifest import merkle_manifest
 from tessera.llm.pii_surrogate import pii_surrogate
 from tessera.llm.quality_cascade import quality_cascade
 from tessera.llm.radix_dedup import normal_bytes, radix_dedup
@@ -96,6 +98,18 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("others", lambda o: o["score"]).alias("other_scores"), "round_trip")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, and whether what a reader found folds to the root.
+
+    Where 3 divides the id's crc32 the reader finds the text with A-Z lower-cased.
+    """
+    docs = documents(spark, sf_dir)
+    altered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    text = F.when(altered, F.translate("text", ascii_uppercase, ascii_lowercase)).otherwise(F.col("text"))
+    return merkle_manifest(docs, seen={"text": text}).select(
+        "doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pii_surrogate": op1_pii_surrogate,
     "op2_quality_cascade": op2_quality_cascade,
@@ -107,8 +121,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
     "op10_sp_nbest": op10_sp_nbest,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
+_LEAF = "sha256(" + " || ".join(
+    f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c} END"
+    for c in ("doc_id", "source", "lang", "n_chars", "{text}")) + ")"
+# the crc32 of a short text: eight shifts for each of its bytes
+_CRC = """xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN string_split({0}, '')],
+        lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT FOR z IN range(8)],
+            lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
+
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -165,6 +188,42 @@ ORACLE_SQL: dict[str, str] = {
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, n_turns,
                length(text) AS n_chars, n_learned, mask, sha256(text) AS text_sha256
         FROM r""",
+    "op13_merkle_manifest": f"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_LEAF.format(text="text")} AS leaf,
+                   CASE WHEN {_CRC.format("doc_id::VARCHAR")} % 3 = 0
+                        THEN {_LEAF.format(text=f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')")} END AS other
+            FROM documents),
+        r AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                     count(*) OVER (PARTITION BY tree) AS n FROM d),
+        up AS (SELECT tree, 0 AS level, i, n, leaf AS h FROM r
+               UNION ALL
+               SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+               FROM up WHERE n > 1 GROUP BY tree, level, i // 8, n),
+        kids AS (SELECT tree, level, i // 8 AS parent, list(h ORDER BY i) AS hs FROM up WHERE n > 1 GROUP BY ALL),
+        walk AS (SELECT doc_id, leaf, tree, 0 AS level, i, '' AS proof, coalesce(other, leaf) AS fold FROM r
+                 UNION ALL
+                 SELECT doc_id, leaf, tree, level + 1, i // 8,
+                        proof || array_to_string(hs[:i % 8] || hs[i % 8 + 2:], ''),
+                        sha256(array_to_string(hs[:i % 8] || [fold] || hs[i % 8 + 2:], ''))
+                 FROM walk JOIN kids USING (tree, level) WHERE parent = i // 8),
+        sub AS (SELECT tree, h, row_number() OVER (ORDER BY tree) - 1 AS i, count(*) OVER () AS n
+                FROM up WHERE n = 1),
+        top AS (SELECT 0 AS level, i, n, h FROM sub
+                UNION ALL
+                SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(h, '' ORDER BY i))
+                FROM top WHERE n > 1 GROUP BY level, i // 8, n),
+        heads AS (SELECT level, i // 8 AS parent, list(h ORDER BY i) AS hs FROM top WHERE n > 1 GROUP BY ALL),
+        done AS (SELECT w.*, sub.h AS subroot, sub.i AS spot FROM walk w JOIN sub USING (tree)
+                 WHERE level = (SELECT max(level) FROM up WHERE up.tree = w.tree)),
+        climb AS (SELECT doc_id, leaf, subroot, 0 AS level, spot, proof, fold FROM done
+                  UNION ALL
+                  SELECT doc_id, leaf, subroot, level + 1, spot // 8,
+                         proof || array_to_string(hs[:spot % 8] || hs[spot % 8 + 2:], ''),
+                         sha256(array_to_string(hs[:spot % 8] || [fold] || hs[spot % 8 + 2:], ''))
+                  FROM climb JOIN heads USING (level) WHERE parent = spot // 8)
+        SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = h AS verified
+        FROM climb JOIN top USING (level) WHERE n = 1""",
     "op7_radix_dedup": f"""
         WITH d AS (SELECT doc_id, {_NORMAL} AS t, length(coalesce(text, '')) AS n FROM documents)
         SELECT doc_id, first_value(doc_id) OVER w AS keep_id,
