@@ -140,12 +140,16 @@ def span_code(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((s[end] - s[start]) * inv[start] + (end - start).astype(U64))
 
 
-def word_spans(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of each word, and the row it belongs to; rows never share a word."""
+def word_spans(buf: np.ndarray, off: np.ndarray, gap: np.ndarray = IS_SPACE
+               ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of each word, and the row it belongs to; rows never share a word.
+
+    ``gap`` marks the byte values that stand between words.
+    """
     if not len(buf):
         z = np.zeros(0, np.int64)
         return z, z, z
-    space = IS_SPACE[buf]
+    space = gap[buf]
     before = np.empty(len(buf), bool)
     before[0] = True
     before[1:] = space[:-1]

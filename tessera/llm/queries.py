@@ -14,6 +14,7 @@ from tessera.llm.common import documents, word_count
 from tessera.llm.cube_mix import cube_mix
 from tessera.llm.html_density import html_density
 from tessera.llm.lang_gru import held_out, identify, train_on
+from tessera.llm.mask_search import lexical_search
 from tessera.llm.merkle_manifest import merkle_manifest
 from tessera.llm.pii_surrogate import pii_surrogate
 from tessera.llm.quality_cascade import quality_cascade
@@ -98,6 +99,12 @@ def op10_sp_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.transform("others", lambda o: o["score"]).alias("other_scores"), "round_trip")
 
 
+def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents of every benchmark item."""
+    items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet").select("item_id", "text")
+    return lexical_search(documents(spark, sf_dir).select("doc_id", "text"), items)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether what a reader found folds to the root.
 
@@ -121,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_lang_gru": op8_lang_gru,
     "op9_cube_mix": op9_cube_mix,
     "op10_sp_nbest": op10_sp_nbest,
+    "op11_mask_search": op11_mask_search,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -132,6 +140,9 @@ _CRC = """xor(list_reduce([4294967295::BIGINT] || [ascii(c)::BIGINT FOR c IN str
         lambda a, b: list_reduce([xor(a, b)] || [0::BIGINT FOR z IN range(8)],
             lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295)"""
 
+_TERMS = (f"regexp_extract_all(translate(text, '{ascii_uppercase}', '{ascii_lowercase}'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
 _NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g')"
 
 ORACLE_SQL: dict[str, str] = {
@@ -188,6 +199,18 @@ ORACLE_SQL: dict[str, str] = {
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, n_turns,
                length(text) AS n_chars, n_learned, mask, sha256(text) AS text_sha256
         FROM r""",
+    "op11_mask_search": f"""
+        WITH t AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        n AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+        s AS (SELECT count(*) AS docs, sum(n)::BIGINT AS len FROM n),
+        p AS (SELECT term, doc_id, count(*) AS tf FROM t GROUP BY ALL),
+        w AS (SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+              FROM p, s GROUP BY term),
+        q AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        f AS (SELECT item_id, doc_id, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * docs) // len))))::BIGINT AS score
+              FROM q JOIN p USING (term) JOIN w USING (term) JOIN n USING (doc_id), s GROUP BY ALL),
+        r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM f WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 20""",
     "op13_merkle_manifest": f"""
         WITH RECURSIVE d AS (
             SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_LEAF.format(text="text")} AS leaf,
