@@ -8,6 +8,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import pu_quality
 from tessera.llm.bayes_join import bayes_join
 from tessera.llm.chat_rotation import chat_rotation
 from tessera.llm.common import documents, word_count
@@ -105,6 +106,15 @@ def op11_mask_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search(documents(spark, sf_dir).select("doc_id", "text"), items)
 
 
+def op12_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learned from trusted and unlabelled rows that are not held out."""
+    docs = documents(spark, sf_dir)
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    model = pu_quality.train_on(docs, labels)
+    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "text")
+    return pu_quality.score_quality(rows, model, carry=False).select("doc_id", "held_out", "score", "predicted")
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, roots and proof of every document, and whether what a reader found folds to the root.
 
@@ -129,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_cube_mix": op9_cube_mix,
     "op10_sp_nbest": op10_sp_nbest,
     "op11_mask_search": op11_mask_search,
+    "op12_pu_quality": op12_pu_quality,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
