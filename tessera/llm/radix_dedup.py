@@ -9,7 +9,8 @@ the longest text.  Rows are told apart by their bytes alone, never by a digest.
 A level is a count by (group, digit), which map tasks pre-aggregate, and a join of the
 rows with the groups of two rows or more.  Both join sides come straight from written
 tables, so adaptive execution can split a hot group (a third of all rows may be one
-text).  Rows leave at the level that settles them; only the rest are read again.
+text).  Rows leave at the level that settles them; only the rest are read again, and rows
+alone in their group take part in no later join.
 
 Defined results: a null text counts as empty; empty texts equal each other; a null id
 loses to any id of an equally long text; of rows alike in text and id one is kept; an
@@ -30,10 +31,6 @@ def normal_bytes(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), SPACE_CLASS + "+", "").cast("binary")
 
 
-def _digit(text: Column, start: int, width: int) -> Column:
-    return F.substring(normal_bytes(text), start + 1, width)
-
-
 def radix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
                 first_width: int = FIRST_WIDTH, growth: int = GROWTH,
                 carry: bool = True) -> DataFrame:
@@ -46,51 +43,44 @@ def radix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     scratch = Scratch(df.sparkSession, "radix")
     names = [c for c in df.columns if c not in ("keep_id", "group_size", "kept")]
     row = F.struct(*[F.col(f"`{c}`") for c in names if c != text_col])
-    rows = df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"),
-                     F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("n_points"),
-                     F.col(f"`{id_col}`").alias("id"), F.lit(0).cast("long").alias("gid"))
+    text = F.col(f"`{text_col}`")
+    given = ["row", "id", "n_points", "uid", *(["text"] if carry else [])]
+    # white space is deleted once; all levels read the written bytes
+    rows = first = scratch.put(df.select(
+        row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.length(F.coalesce(text, F.lit(""))).alias("n_points"),
+        F.monotonically_increasing_id().alias("uid"), *([text.alias("text")] if carry else []),
+        normal_bytes(text).alias("norm"), F.lit(0).cast("long").alias("gid")))
     start, width, level = 0, first_width, 0
     settled: list[DataFrame] = []
     while True:
-        cur = rows.withColumn("digit", _digit(F.col("text"), start, width))
+        cur = rows.withColumn("digit", F.substring("norm", start + 1, width))
         groups = scratch.put(
             cur.groupBy("gid", "digit").agg(F.count("*").alias("n")).where("n > 1")
             .select("gid", "digit", (F.monotonically_increasing_id()
                                      + F.lit(level << 56)).alias("next")))
         more = F.col("next").isNotNull() & (F.length("digit") == width)
         # both sides grow with the input: a merge join at every size, never a broadcast
-        out = cur.join(groups.hint("merge"), ["gid", "digit"], "left").select(
-            "row", "id", "n_points", "next", more.alias("more"),
-            (F.col("text") if carry else F.when(more, F.col("text"))).alias("text"))
-        if level == 0:
-            out = out.withColumn("uid", F.monotonically_increasing_id())
-        else:
-            out = out.withColumn("uid", F.monotonically_increasing_id() + F.lit(level << 56))
-        out = scratch.put(out)
-        scratch.drop(groups)
+        out = scratch.put(cur.join(groups.hint("merge"), ["gid", "digit"], "left").select(
+            *given, "next", more.alias("more"), F.when(more, F.col("norm")).alias("norm")))
+        scratch.drop(groups, *([first] if not level else []))
         settled.append(out.where(~F.col("more")))
-        rows = out.where("more").select("row", "text", "n_points", "id",
-                                        F.col("next").alias("gid"))
+        rows = out.where("more").select(*given, "norm", F.col("next").alias("gid"))
         start, width, level = start + width, width * growth, level + 1
         if rows.isEmpty():
             break
     done = settled[0]
     for s in settled[1:]:
         done = done.unionByName(s)
+    cols = [F.col(f"row.`{c}`").alias(c) if c != text_col else F.col("text").alias(c)
+            for c in names if carry or c != text_col]
+    alone = done.where("next is null").select(
+        *cols, F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"))
     # the winner of each class: most code points, then smallest id (null last)
     best = F.min(F.struct((-F.col("n_points")).alias("n"), F.col("id").isNull().alias("no"),
                           F.col("id").alias("id"), F.col("uid").alias("uid")))
-    classes = scratch.put(
-        done.where("next is not null").groupBy("next")
-        .agg(F.count("*").alias("size"), best.alias("best"))
-        .select(F.col("next").alias("class"), "size", F.col("best.id").alias("best_id"),
-                F.col("best.uid").alias("best_uid")))
-    kept = done.join(classes.hint("merge"), F.col("next") == F.col("class"), "left")
-    single = F.col("next").isNull()
-    cols = [F.col(f"row.`{c}`").alias(c) if c != text_col else F.col("text").alias(c)
-            for c in names if carry or c != text_col]
-    return kept.select(
-        *cols,
-        F.when(single, F.col("id")).otherwise(F.col("best_id")).alias("keep_id"),
-        F.coalesce(F.col("size"), F.lit(1)).cast("long").alias("group_size"),
-        (single | (F.col("uid") == F.col("best_uid"))).alias("kept"))
+    together = done.where("next is not null")
+    classes = scratch.put(together.groupBy(F.col("next").alias("class"))
+                          .agg(F.count("*").alias("size"), best.alias("best")))
+    return alone.unionByName(together.join(classes.hint("merge"), F.col("next") == F.col("class")).select(
+        *cols, F.col("best.id").alias("keep_id"), F.col("size").alias("group_size"),
+        (F.col("uid") == F.col("best.uid")).alias("kept")))
