@@ -59,6 +59,14 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD_CLASS)), F.lit(0)).cast("long")
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or with line marks behind it until no column is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 # ----------------------------------------------------------------- Arrow slices
 
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
@@ -126,6 +134,11 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def power_down(n: int) -> np.ndarray:
+    """Powers that bring sums at 0, 1, ... to one place."""
+    return _power(BASE_INV, "down", n)
+
+
 def prefix_code(buf: np.ndarray) -> np.ndarray:
     """Running sums from which ``span_code`` hashes any span of ``buf``."""
     s = np.empty(len(buf) + 1, U64)
@@ -136,7 +149,7 @@ def prefix_code(buf: np.ndarray) -> np.ndarray:
 
 def span_code(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of each span [start, end): equal bytes give equal hashes wherever they stand."""
-    inv = _power(BASE_INV, "down", len(s))
+    inv = power_down(len(s))
     return mix((s[end] - s[start]) * inv[start] + (end - start).astype(U64))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tessera.llm.common import raw_bytes, slices
+from tessera.llm.common import raw_bytes, slices, unused
 
 WINDOW, HIDDEN = 128, 8
 UND = "und"
@@ -327,14 +327,15 @@ def identify(df: DataFrame, model: dict | None, langs: list[str], text_col: str
     if model is None:
         return src.select(*[F.col(f"`{c}`") for c in keep], F.lit(UND).alias("lang_pred"), F.lit(0.0).alias("score"))
     # texts without a letter are told apart by a JVM expression
-    ask = src.withColumn("_letter", has_letter(F.col(f"`{text_col}`")))
+    flag = unused(src, "_letter")
+    ask = src.withColumn(flag, has_letter(F.col(f"`{text_col}`")))
     schema = StructType([*[src.schema[c] for c in keep], StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
     weights = for_reading(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, text_col, SLICE):
-            letter = b.column("_letter")
+            letter = b.column(flag)
             buf, off = raw_bytes(b.column(text_col))
             probs = label_texts(weights, buf, off)
             best = probs.argmax(axis=1)
