@@ -5,7 +5,7 @@ never cross texts.  The work is split by content, so no task holds the corpus:
 
 1. Each window of ``WIN`` bytes has a key, the least hash of its ``GRAM``-byte grams, so
    equal windows have equal keys.  Neighbouring windows of one key form a segment (some
-   90 windows; a longer one, of a periodic run, is cut into segments of ``PART`` windows);
+   70 windows; a longer one, of a periodic run, is cut into segments of ``PART`` windows);
    a segment is one narrow row.
 2. Only keys of two segments or more (or of a segment that may repeat itself) go on, and
    equal segments of a key become one, with their number.
@@ -33,12 +33,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import U64, Scratch, mix, prefix_code, raw_bytes, slices, span_code, whole_groups
+from tessera.llm.common import U64, Scratch, mix, power_down, prefix_code, raw_bytes, slices, span_code, whole_groups
 
-WIN, GRAM = 200, 16
+WIN, GRAM = 200, 64
 GRAMS = WIN - GRAM + 1
-#: Bytes of text a task works on at once; segment bytes of a block; of a key before it is split.
-SLICE, BLOCK, HOT = 1 << 19, 1 << 20, 1 << 19
+#: Bytes of text a task works on at once; segment bytes of a block (its arrays stay in a core's cache); of a key
+#: before it is split.
+SLICE, BLOCK, HOT = 1 << 19, 1 << 17, 1 << 19
 #: Windows of a segment at most.
 PART = 1 << 12
 IDX = 21
@@ -48,32 +49,26 @@ MASK = (1 << IDX) - 1
 # ------------------------------------------------------------------- segments
 
 def sliding(op, x: np.ndarray, k: int) -> np.ndarray:
-    """Minimum or maximum of each ``k`` neighbours of ``x`` (block-wise running values from both ends)."""
-    n = len(x) - k + 1
-    pad = -len(x) % k
-    y = np.concatenate([x, np.full(pad, x[-1], x.dtype)]).reshape(-1, k)
-    left = op.accumulate(y, axis=1).reshape(-1)
-    right = op.accumulate(y[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    return op(right[:n], left[k - 1: k - 1 + n])
-
-
-def gram_hashes(buf: np.ndarray) -> np.ndarray:
-    n = len(buf) - GRAM + 1
-    data = np.ascontiguousarray(buf)
-    a = np.ndarray((n,), "<u8", buffer=data, strides=(1,))
-    b = np.ndarray((n,), "<u8", buffer=data, offset=8, strides=(1,))
-    h = a * U64(0x9E3779B97F4A7C15)
-    h ^= h >> U64(29)
-    h += b
-    h *= U64(0xBF58476D1CE4E5B9)
+    """Minimum or maximum of each ``k`` neighbours of ``x``: of ever wider neighbourhoods, then of two that overlap."""
+    n, width, y = len(x) - k + 1, 1, x
+    while 2 * width <= k:
+        y = op(y[:-width], y[width:])
+        width *= 2
+    return op(y[:n], y[k - width: k - width + n])
+
+
+def gram_hashes(sums: np.ndarray) -> np.ndarray:
+    """Hash of each ``GRAM`` bytes from the running sums of the text; never 0."""
+    h = sums[GRAM:] - sums[:-GRAM]
+    h *= power_down(len(h))
     h ^= h >> U64(32)
     h *= U64(0x94D049BB133111EB)
     h |= U64(1)
     return h
 
 
-def segments(buf: np.ndarray, off: np.ndarray):
-    """(row, first window, last window, key, weight) of each segment; windows as offsets in ``buf``.
+def segments(sums: np.ndarray, off: np.ndarray):
+    """(row, first window, last window, key, weight) of each segment, from the running sums of the texts.
 
     Weight 2 marks a segment that may repeat itself: its key gram occurs twice in it.
     """
@@ -82,7 +77,7 @@ def segments(buf: np.ndarray, off: np.ndarray):
     z = np.zeros(0, np.int64)
     if not len(rows):
         return z, z, z, np.zeros(0, U64), z
-    h = gram_hashes(buf)
+    h = gram_hashes(sums)
     low = sliding(np.minimum, h, GRAMS)
     n = length[rows] - WIN + 1
     start = np.repeat(off[rows] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
@@ -122,10 +117,11 @@ def segments(buf: np.ndarray, off: np.ndarray):
 def _segment_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in slices(batches, "text", SLICE):
         buf, off = raw_bytes(b.column("text"))
-        row, lo, hi, key, weight = segments(buf, off)
+        sums = prefix_code(buf)
+        row, lo, hi, key, weight = segments(sums, off)
         if not len(row):
             continue
-        code = span_code(prefix_code(buf), lo, hi + WIN)
+        code = span_code(sums, lo, hi + WIN)
         pick = pa.array(row)
         yield pa.RecordBatch.from_arrays(
             [b.column("id").take(pick), b.column("h").take(pick), pa.array((lo - off[row]).astype(np.int32)),
@@ -143,7 +139,6 @@ def sort_suffixes(sym: np.ndarray, bits: int, depth: int) -> np.ndarray:
         raise ValueError("block too large")
     idx = np.arange(n, dtype=np.int64)
     k = (62 - IDX) // bits
-    key = np.zeros(n + k, np.int64)
     padded = np.concatenate([sym.astype(np.int64), np.zeros(k, np.int64)])
     key = np.zeros(n, np.int64)
     for j in range(k):
@@ -418,10 +413,11 @@ def suffix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.col(f"`{text_col}`")).alias("h"),
                     F.col(f"`{text_col}`").alias("text"))
     id_type = src.schema["id"].dataType.simpleString()
-    cut_up = src.mapInArrow(_segment_rows, f"id {id_type}, h long, lo int, more int, key long, seg long, w byte")
+    cut_up = scratch.put(src.mapInArrow(
+        _segment_rows, f"id {id_type}, h long, lo int, more int, key long, seg long, w byte"))
     keys = scratch.put(cut_up.groupBy(F.col("key").alias("k")).agg(F.sum("w").alias("w")).where("w > 1").select("k"))
     places = scratch.put(cut_up.join(keys.hint("merge"), F.col("key") == F.col("k")).drop("k", "w"))
-    scratch.drop(keys)
+    scratch.drop(keys, cut_up)
     # equal segments of a key become one; its first place (by id) lends the bytes
     head = F.min(F.struct(F.col("id").isNull().alias("no"), "id", "h", "lo", "more"))
     distinct = scratch.put(places.groupBy("key", "seg").agg(F.count("*").alias("n"), head.alias("head"))

@@ -200,7 +200,7 @@ def test_repeated_rows_lend_their_text_once(spark, monkeypatch):
 def test_long_segments_are_cut():
     """Each window in one part, all parts of the key, none over the limit."""
     buf = np.frombuffer(b"ab" * 10_000, np.uint8)
-    row, lo, hi, key, weight = S.segments(buf, np.array([0, len(buf)]))
+    row, lo, hi, key, weight = S.segments(S.prefix_code(buf), np.array([0, len(buf)]))
     order = np.argsort(lo)
     assert len(set(key)) == 1 and (hi - lo).max() < S.PART and len(lo) > 1
     assert lo[order][0] == 0 and hi[order][-1] == len(buf) - S.WIN and (lo[order][1:] == hi[order][:-1] + 1).all()
