@@ -63,7 +63,7 @@ def catalog_topics(topics: DataFrame, name: str = "name") -> DataFrame:
     """PRJ-11: topic list → catalog rows in name order: partitions 6, replication 3,
     subject '<t>-value', schema ids from 100001 in order, connector 'datagen-<t>'.
 
-    Ids come from the range-partitioned numbering (no single-partition window)."""
+    Ids come from sampled ranges of the names, so a common prefix does not put them into one task."""
     t = topics.select(F.col(name).alias("name")).distinct()
     n = number_rows(t, ["name"], name="_pos")
     return n.select(

@@ -95,7 +95,13 @@ def running_max(df: DataFrame, keys, order, col: str, out: str, ranges: Column |
 
 
 def number_rows(df: DataFrame, order, keys=(), name: str = "row_number", ranges: Column | None = None) -> DataFrame:
-    """Adds ``name``: 1-based number of the row among its key's rows (``keys`` empty: among all)."""
+    """Adds ``name``: 1-based number of the row among its key's rows (``keys`` empty: among all).
+
+    Texts often share their first characters, so an order that begins with a text is numbered
+    over sampled ranges (``number_sampled``) unless ``ranges`` are given.
+    """
+    if ranges is None and isinstance(df.schema[_names(order)[0]].dataType, T.StringType):
+        return number_sampled(df, order, keys, name)
     one = df.withColumn("_one", F.lit(1).cast("bigint"))
     return running_sum(one, keys, order, "_one", name, ranges).drop("_one")
 
@@ -104,6 +110,19 @@ def number_rows(df: DataFrame, order, keys=(), name: str = "row_number", ranges:
 _POS_BITS = 33
 
 
+def sampled_ranges(df: DataFrame, by: list[str]) -> DataFrame:
+    """``df`` written in equi-depth ranges of ``by``, with the range and the place (``_seq_at``, growing by one) of each row."""
+    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    tied = df.withColumn("_seq_tie", F.xxhash64(*plain)).withColumn("_seq_row", F.monotonically_increasing_id())
+    by = [*by, "_seq_tie", "_seq_row"]
+    path = scratch_path(df.sparkSession, "ranges")
+    (tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("_seq_tie", "_seq_row")
+     .withColumn("_seq_at", F.monotonically_increasing_id()).write.parquet(path))
+    schema = T.StructType([*df.schema.fields, T.StructField("_seq_at", T.LongType())])
+    rows = df.sparkSession.read.schema(schema).parquet(path)
+    return rows.withColumn(_RANGE, F.shiftright("_seq_at", _POS_BITS))
+
+
 def number_sampled(df: DataFrame, order, keys=(), name: str = "row_number", total: str | None = None) -> DataFrame:
     """Adds ``name``: 1-based number of the row among its key's rows in ``order`` (and ``total``: how many there are).
 
@@ -116,15 +135,7 @@ def number_sampled(df: DataFrame, order, keys=(), name: str = "row_number", tota
     twice (sample and sort): pass a written or cheap one.  Ties in ``order`` are numbered in any order.
     """
     keys, order = _names(keys), _names(order)
-    spark = df.sparkSession
-    plain = [f.name for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    tied = df.withColumn("_seq_tie", F.xxhash64(*plain)).withColumn("_seq_row", F.monotonically_increasing_id())
-    by = [*keys, *order, "_seq_tie", "_seq_row"]
-    path = scratch_path(spark, "ranges")
-    (tied.repartitionByRange(*by).sortWithinPartitions(*by).drop("_seq_tie", "_seq_row")
-     .withColumn("_seq_at", F.monotonically_increasing_id()).write.parquet(path))
-    rows = spark.read.schema(T.StructType([*df.schema.fields, T.StructField("_seq_at", T.LongType())])).parquet(path)
-    rows = rows.withColumn(_RANGE, F.shiftright("_seq_at", _POS_BITS))
+    rows = sampled_ranges(df, [*keys, *order])
     w = Window.partitionBy(*keys)
     upto = F.sum("_n").over(w.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1))
     heads = (rows.groupBy(*keys, _RANGE).agg(F.count(F.lit(1)).alias("_n"), F.min("_seq_at").alias("_first"))

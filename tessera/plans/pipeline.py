@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as E
@@ -23,9 +23,11 @@ STAGES = ["monitoring", "ideas", "idea_review", "scope", "time", "cost", "decisi
           "solution", "solution_review", "implementation"]
 
 
-def _save(spark: SparkSession, df: DataFrame, out: str, name: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(f"{out}/{name}")
-    return spark.read.parquet(f"{out}/{name}")
+def _save(spark: SparkSession, df: DataFrame, out: str, name: str) -> tuple[DataFrame, int]:
+    """The written stage and its number of rows, counted while it is written."""
+    seen = Observation(name)
+    df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(f"{out}/{name}")
+    return spark.read.parquet(f"{out}/{name}"), seen.get["rows"]
 
 
 def idea_prompts(state: DataFrame) -> DataFrame:
@@ -52,8 +54,8 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
     other skipped stage ends the chain."""
     counts: dict[str, int] = {}
 
-    def gate(name: str, df: DataFrame | None) -> bool:
-        return (name not in skip or name.endswith("_review")) and df is not None and not df.isEmpty()
+    def gate(name: str, rows: int) -> bool:
+        return (name not in skip or name.endswith("_review")) and rows > 0
 
     def actions(name: str, given: DataFrame | None, items: DataFrame) -> DataFrame:
         if given is None or name in skip:
@@ -61,32 +63,29 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
         return given
 
     if any(x is not None for x in (deployment, usage, metrics)):
-        state = _save(spark, build_snapshot(spark, deployment, usage, metrics), out, "current_state")
-        counts["monitoring"] = state.count()
+        state, counts["monitoring"] = _save(spark, build_snapshot(spark, deployment, usage, metrics), out, "current_state")
         if idea_responses is None:
             idea_responses = respond(idea_prompts(state), responder, "id").select("id", "response")
     if idea_responses is None:
         return counts
-    idea_responses = _save(spark, idea_responses, out, "idea_responses")
+    idea_responses, _ = _save(spark, idea_responses, out, "idea_responses")
     ideas = R.explode_ideas(idea_responses, keep=("id",))
     ideas = R.build_raw_ideas(ideas.withColumn("idea_key", F.concat_ws("-", "id", "idea_no")),
                               "idea", id_cols=("idea_key",))
-    ideas = _save(spark, ideas, out, "ideas")
-    counts["ideas"] = ideas.count()
-    if not gate("idea_review", ideas):
+    ideas, counts["ideas"] = _save(spark, ideas, out, "ideas")
+    if not gate("idea_review", counts["ideas"]):
         return counts
     items = ideas.withColumnRenamed("idea_id", "id")
     reviewed = RV.apply_actions(items, actions("idea_review", idea_actions, items), "idea").withColumn("status", F.col("new_status"))
-    approved = _save(spark, reviewed.filter(F.col("status") == "APPROVED")
-                     .withColumnRenamed("id", "idea_id"), out, "approved_ideas")
-    counts["idea_review"] = approved.count()
-    if not gate("scope", approved):
+    approved, counts["idea_review"] = _save(spark, reviewed.filter(F.col("status") == "APPROVED")
+                                            .withColumnRenamed("id", "idea_id"), out, "approved_ideas")
+    if not gate("scope", counts["idea_review"]):
         return counts
 
     def answers(prompts: DataFrame, kind: str) -> DataFrame:
         # answers are written before they are parsed: a lost executor does not ask again
         resp = respond(prompts, responder, "idea_id").withColumnRenamed("id", "idea_id")
-        return _save(spark, resp, out, f"{kind}_responses")
+        return _save(spark, resp, out, f"{kind}_responses")[0]
 
     def evaluate(kind: str, builder):
         prompts = R.render_prompts(approved, f"Challenge the {kind} of idea %s: %s",
@@ -95,45 +94,38 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
         rows = builder(approved.join(resp, "idea_id"), response="response")
         return _save(spark, rows, out, kind)
 
-    scope = evaluate("scope", R.build_scope)
-    time_ = evaluate("time", R.build_time) if "time" not in skip else None
-    cost = evaluate("cost", R.build_cost) if "cost" not in skip else None
-    counts.update(scope=scope.count(), time=time_.count() if time_ is not None else 0,
-                  cost=cost.count() if cost is not None else 0)
-    if time_ is None or cost is None or not gate("decision", scope):
+    scope, counts["scope"] = evaluate("scope", R.build_scope)
+    time_, counts["time"] = evaluate("time", R.build_time) if "time" not in skip else (None, 0)
+    cost, counts["cost"] = evaluate("cost", R.build_cost) if "cost" not in skip else (None, 0)
+    if time_ is None or cost is None or not gate("decision", counts["scope"]):
         return counts
     ids = (scope.select("idea_id", F.col("challenge_id").alias("scope_challenge_id"), "idea_title")
            .join(time_.select("idea_id", F.col("challenge_id").alias("time_challenge_id")), "idea_id")
            .join(cost.select("idea_id", F.col("challenge_id").alias("cost_challenge_id")), "idea_id"))
     prompts = R.render_prompts(ids, "Decide on idea %s", [F.col("idea_id")])
     resp = answers(prompts, "decision")
-    decisions = _save(spark, R.build_decision(ids.join(resp, "idea_id"), title="idea_title"),
-                      out, "decisions")
-    counts["decision"] = decisions.count()
-    if not gate("decision_review", decisions):
+    decisions, counts["decision"] = _save(spark, R.build_decision(ids.join(resp, "idea_id"), title="idea_title"),
+                                          out, "decisions")
+    if not gate("decision_review", counts["decision"]):
         return counts
     d_items = decisions.withColumnRenamed("decision_id", "id")
     d_rev = RV.apply_actions(d_items, actions("decision_review", decision_actions, d_items), "decision").withColumn("status", F.col("new_status"))
-    d_ok = _save(spark, d_rev.filter(F.col("status") == "APPROVED"), out, "approved_decisions")
-    counts["decision_review"] = d_ok.count()
-    if not gate("solution", d_ok):
+    d_ok, counts["decision_review"] = _save(spark, d_rev.filter(F.col("status") == "APPROVED"), out, "approved_decisions")
+    if not gate("solution", counts["decision_review"]):
         return counts
     ctx = E.join_decision_idea(d_ok.select("idea_id"), approved.select(
         "idea_id", "title", "domain", "related_topics"), "idea_id")
     prompts = R.render_prompts(ctx, "Design a data product for %s", [F.col("title")])
     resp = answers(prompts, "solution")
-    solutions = _save(spark, R.build_solution(ctx.join(resp, "idea_id")), out, "solutions")
-    counts["solution"] = solutions.count()
-    if not gate("solution_review", solutions):
+    solutions, counts["solution"] = _save(spark, R.build_solution(ctx.join(resp, "idea_id")), out, "solutions")
+    if not gate("solution_review", counts["solution"]):
         return counts
     s_items = solutions.withColumn("id", F.col("solution_id"))
     s_rev = RV.apply_actions(s_items, actions("solution_review", solution_actions, s_items), "solution").withColumn("status", F.col("new_status"))
-    s_ok = _save(spark, s_rev.filter(F.col("status") == "APPROVED").drop("id", "new_status", "written"),
-                 out, "approved_solutions")
-    counts["solution_review"] = s_ok.count()
-    if not gate("implementation", s_ok):
+    s_ok, counts["solution_review"] = _save(
+        spark, s_rev.filter(F.col("status") == "APPROVED").drop("id", "new_status", "written"), out, "approved_solutions")
+    if not gate("implementation", counts["solution_review"]):
         return counts
-    impl = _save(spark, R.build_implementation(s_ok), out, "implementations")
-    counts["implementation"] = impl.count()
+    _, counts["implementation"] = _save(spark, R.build_implementation(s_ok), out, "implementations")
     return counts
 

@@ -157,13 +157,11 @@ def read_topics_q(v):
     from tessera.sources.log import read_topics
 
     base = scratch_path(v.spark, "topics")
-    cols = {"error": "props"}
-    topics = {}
-    # the topics of a log are its catalog: one name per event type
-    for t in sorted(r.topic for r in v.v1.select("topic").distinct().collect()):
-        topics[t] = f"{base}/{t}"
-        v.v1.filter(F.col("topic") == t).select("offset", cols.get(t, "value")).write.parquet(topics[t])
-    log = read_topics(v.spark, topics)
+    # one write for each layout, foldered by topic; the topics of a log are its catalog
+    for layout, is_layout in (("props", F.col("topic") == "error"), ("value", F.col("topic") != "error")):
+        v.v1.filter(is_layout).select("topic", "offset", layout).write.mode("append").partitionBy("topic").parquet(base)
+    names = v.v1.select("topic").distinct().collect()
+    log = read_topics(v.spark, {r.topic: f"{base}/topic={r.topic}" for r in names})
     return log.groupBy("topic").agg(F.count(F.lit(1)).alias("messages"), F.count("value").alias("with_value"),
                                     F.count("props").alias("with_props"))
 
@@ -172,22 +170,34 @@ def read_topics_q(v):
 SELECT key, max("offset") AS "offset", arg_max(status, "offset") AS status FROM v2 GROUP BY key
 """)
 def read_json_docs_q(v):
-    """The newest versions written as folders of JSON documents and read back by pattern."""
+    """The newest versions written as JSON documents of bounded size, in folders by status, and
+    read back by pattern."""
     from tessera.session import scratch_path
+    from tessera.sinks import write_json_parts
     from tessera.sources.docs import read_json_docs
 
-    path = scratch_path(v.spark, "docs")
-    L.latest_per_key(v.v2, "key", value="status").select("key", "offset", "status").write.json(path)
-    docs = v.spark.read.schema("key STRING, offset BIGINT, status STRING").json(path)
-    # one pretty-printed document per status, each an array of its records
-    pretty = docs.groupBy("status", F.pmod(F.xxhash64("key"), F.lit(16)).alias("part")).agg(
-        F.to_json(F.collect_list(F.struct("key", "offset", "status")), {"pretty": "true"}).alias("value"))
-    folder = scratch_path(v.spark, "pretty")
-    pretty.repartition("status", "part").write.partitionBy("status", "part").text(folder)
-    return read_json_docs(v.spark, f"{folder}/*/*/*.txt", "key STRING, offset BIGINT, status STRING",
+    folder = scratch_path(v.spark, "docs")
+    latest = L.latest_per_key(v.v2, "key", value="status").select("key", "offset", "status")
+    write_json_parts(latest, folder, ["key"], by=["status"])
+    return read_json_docs(v.spark, f"{folder}/*/*.txt", "key STRING, offset BIGINT, status STRING",
                           with_file=False).select("key", "offset", "status")
 
 
+@query("json_document_index", "SNK-2 SRC-4", views=("v2",), sql="""
+WITH q AS (SELECT key, arg_max(status, "offset") AS status FROM v2 GROUP BY key),
+p AS (SELECT status, key, (row_number() OVER (PARTITION BY status ORDER BY key) - 1) // 100 AS part FROM q)
+SELECT status, count(*) AS records, min(key) AS "first", max(key) AS "last" FROM p GROUP BY status, part
+""")
+def json_document_index(v):
+    """Index of JSON documents of at most 100 records each: which keys stand in which document."""
+    from tessera.session import scratch_path
+    from tessera.sinks import write_json_parts
+
+    latest = L.latest_per_key(v.v2, "key", value="status").select("key", "offset", "status")
+    index = write_json_parts(latest, scratch_path(v.spark, "indexed"), ["key"], by=["status"], per_document=100)
+    return index.select("status", "records", "first", "last")
+
+
 @query("publish_twice", "SNK-1 SRC-1 WIN-2", views=("v2",), sql="""
 SELECT key, arg_max(status, "offset") AS status FROM v2 GROUP BY key
 """)

@@ -158,20 +158,18 @@ def platform_state(v):
             - F.unix_micros(F.min_by("first", "o0").cast("timestamp")))
     keys = cells.groupBy("key").agg(
         F.sum("n").alias("n"), F.sum("bytes").alias("bytes"), F.min("t0").alias("t0"), F.max("t1").alias("t1"),
-        F.coalesce(F.sum(F.when(F.col("topic") == "error", F.col("n"))), F.lit(0)).alias("errors"),
-        F.collect_set("topic").alias("topics"), F.collect_set("group").alias("groups"), span.alias("span_us"))
-
-    def names(c):  # topics and groups are catalog-sized sets
-        return F.size(F.array_distinct(F.flatten(F.collect_set(F.array_sort(c))))).cast("int")
-
+        F.coalesce(F.sum(F.when(F.col("topic") == "error", F.col("n"))), F.lit(0)).alias("errors"), span.alias("span_us"))
+    # how many topics, groups and readers (keys in groups) there are: hash aggregates of the same cells, no sets
+    distinct = cells.agg(
+        F.countDistinct("topic").cast("int").alias("producers"), F.countDistinct("group").cast("int").alias("consumer_groups"),
+        F.countDistinct(F.struct("key", "group")).cast("int").alias("active_consumers"))
     stats = keys.agg(
-        F.max("t1").alias("t1"), F.min("t0").alias("t0"), names(F.col("topics")).alias("producers"),
-        F.sum("bytes").alias("bytes"), F.sum("n").alias("n"), F.sum("errors").alias("errors"),
-        names(F.col("groups")).alias("consumer_groups"),
-        F.sum(F.size("groups")).cast("int").alias("active_consumers"),
+        F.max("t1").alias("t1"), F.min("t0").alias("t0"), F.sum("bytes").alias("bytes"), F.sum("n").alias("n"),
+        F.sum("errors").alias("errors"),
         (F.sum("span_us") / F.nullif(F.sum(F.col("n") - 1), F.lit(0)) / 1e3).alias("latency"))
     lg = F.struct(*[F.col(c) for c in stats.columns])
     log = stats.select(lg).scalar()
+    names = distinct.select(F.struct(*[F.col(c) for c in distinct.columns])).scalar()
     reg = C.schema_topics(registry_latest(v)).agg(F.struct(
         F.countDistinct("topic").cast("int").alias("total_topics"),
         F.count(F.lit(1)).cast("int").alias("total_schemas"),
@@ -183,15 +181,16 @@ def platform_state(v):
     lag_n = U.consumer_lag(_lag_input(v)).agg(F.count(F.lit(1))).scalar()
     # every subquery once, as a column of a one-row base: a field access on a subquery
     # expression would copy the whole subquery into the plan at each use
-    base = v.spark.range(1).select(log.alias("_log"), reg.alias("_reg"), idle_n.alias("_idle"), lag_n.alias("_lag"))
-    log, reg, idle_n, lag_n = (F.col(c) for c in ("_log", "_reg", "_idle", "_lag"))
+    base = v.spark.range(1).select(log.alias("_log"), names.alias("_names"), reg.alias("_reg"), idle_n.alias("_idle"),
+                                   lag_n.alias("_lag"))
+    log, names, reg, idle_n, lag_n = (F.col(c) for c in ("_log", "_names", "_reg", "_idle", "_lag"))
     secs = (F.unix_micros(log["t1"].cast("timestamp")) - F.unix_micros(log["t0"].cast("timestamp"))) / 1e6
     as_of = iso_utc(log["t1"])
     dep = F.struct(as_of.alias("timestamp"), F.lit(CLUSTER_KEY).alias("cluster_id"),
                    reg["total_topics"].alias("total_topics"), reg["total_schemas"].alias("total_schemas"),
-                   log["producers"].alias("total_connectors"), reg["domain_count"].alias("domain_count"))
-    use = F.struct(as_of.alias("timestamp"), log["consumer_groups"].alias("consumer_groups"),
-                   log["active_consumers"].alias("active_consumers"),
+                   names["producers"].alias("total_connectors"), reg["domain_count"].alias("domain_count"))
+    use = F.struct(as_of.alias("timestamp"), names["consumer_groups"].alias("consumer_groups"),
+                   names["active_consumers"].alias("active_consumers"),
                    idle_n.cast("int").alias("idle_topic_count"))
     met = F.struct(as_of.alias("timestamp"),
                    F.when(secs > 0, log["bytes"] / secs / 1e6).otherwise(F.lit(0.0)).alias("total_throughput_mbps"),

@@ -30,3 +30,12 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="tessera-test-")
+
+
+@pytest.fixture()
+def all_ranges(spark):
+    """Small ranges of a shuffle stay apart, as large ones do."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    yield
+    spark.conf.unset(name)

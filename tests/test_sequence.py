@@ -150,3 +150,32 @@ def test_sessions_hot_key_equals_window(spark):
     g = sorted(tuple(r) for r in got.select(*cols).collect())
     e = sorted(tuple(r) for r in exp.select(*cols).collect())
     assert g == e and len(g) > 100
+
+
+def test_sampled_ranges_of_one_prefix(spark, all_ranges):
+    """Keys that share their first characters, one of them with a third of the rows, are dealt to ranges alike."""
+    from tessera.operators.catalog import catalog_topics
+    from tessera.operators.sequence import number_sampled, sampled_ranges
+
+    n = 12000
+    df = spark.range(n, numPartitions=4).select(F.when(F.col("id") % 3 == 0, F.lit("user-0000500")).otherwise(
+        F.concat(F.lit("user-"), F.lpad(F.col("id").cast("string"), 7, "0"))).alias("key"), F.lit("v").alias("value"))
+    sizes = [r["count"] for r in sampled_ranges(df, ["key"]).groupBy("_seq_range").count().collect()]
+    assert len(sizes) >= 4 and max(sizes) <= 2 * n / len(sizes)
+    got = [(r.key, r.no) for r in number_sampled(df, "key", name="no").orderBy("no").collect()]
+    assert [no for _, no in got] == list(range(1, n + 1)) and [k for k, _ in got] == sorted(k for k, _ in got)
+    names = spark.range(900).select(F.format_string("doc_%05d", F.col("id")).alias("name"))
+    assert {r.name: r.schema_id for r in catalog_topics(names).collect()} == {
+        f"doc_{i:05d}": 100001 + i for i in range(900)}
+
+
+def test_sampled_numbers_inside_keys(spark):
+    from tessera.operators.sequence import number_sampled
+
+    df = spark.range(5000).select(F.when(F.col("id") % 10 < 7, F.lit("hot")).when(F.col("id") % 10 < 9, F.lit(None))
+                                  .otherwise((F.col("id") % 41).cast("string")).alias("k"), (F.col("id") * 7919 % 5000).alias("o"))
+    w = W.partitionBy("k").orderBy("o")
+    exp = df.withColumn("n", F.row_number().over(w).cast("bigint")).withColumn("of", F.count("*").over(W.partitionBy("k")))
+    got = number_sampled(df, "o", "k", name="n", total="of")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, exp.collect()), key=repr)
+    assert number_sampled(df.limit(0), "o", "k").collect() == []

@@ -103,3 +103,25 @@ def test_compaction_on_date_foldered_log_reads_recent_folders(spark, tmp_dir):
     text = spark.sparkContext._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
         a._jdf.queryExecution(), "formatted")
     assert re.search(r"PartitionFilters: \[[^\n]*date#\d+ >= date_sub", text)
+
+
+def test_json_documents_of_bounded_size(spark, tmp_dir):
+    """No document holds more records than asked for, and the index tells where a key stands."""
+    df = spark.range(1050).select(F.format_string("k%04d", F.col("id")).alias("key"), F.col("id").alias("n"),
+                                  F.when(F.col("id") < 1000, F.lit("hot")).otherwise(F.lit("cold")).alias("status"))
+    index = sinks.write_json_parts(df, f"{tmp_dir}/docs", ["key"], by=["status"], per_document=64).collect()
+    assert max(r.records for r in index) <= 64 and sum(r.records for r in index) == 1050
+    assert len([r for r in index if r.status == "hot"]) == 16
+    docs = read_json_docs(spark, f"{tmp_dir}/docs/*/*.txt", "key STRING, n BIGINT, status STRING")
+    assert docs.count() == 1050
+    where = {r.key: r._file for r in docs.collect()}
+    for r in index:
+        assert where[r["first"]] == where[r["last"]] == r._file
+
+
+def test_publish_spreads_a_common_prefix(spark, tmp_dir, all_ranges):
+    df = spark.range(4000, numPartitions=4).select(F.format_string("user-%06d", F.col("id")).alias("k"), F.col("id").alias("v"))
+    sinks.publish(df, "t", "k", f"{tmp_dir}/log")
+    files = read_log(spark, f"{tmp_dir}/log", ["t"]).groupBy(F.input_file_name()).count().collect()
+    assert len(files) >= 4 and max(r["count"] for r in files) <= 2 * 4000 / len(files)
+    assert sorted(r.offset for r in read_log(spark, f"{tmp_dir}/log").collect()) == list(range(4000))
