@@ -1,5 +1,5 @@
-"""Stream operator queries, run as their batch twins over V1/V2 (the stream versions are
-checked against these twins in tests/test_streaming.py)."""
+"""Stream operator queries: batch twins over V1/V2, and streams over the same logs (more streams,
+with restarts and late rows, are in ``q_live``)."""
 
 from __future__ import annotations
 
@@ -235,9 +235,10 @@ def stream_stream_join(v):
 SELECT DISTINCT key, props FROM v1
 """)
 def stream_dedup(v):
-    """Republished payloads dropped on a real stream (the whole log within one watermark)."""
+    """Republished payloads dropped on a real stream; the state is kept for an hour of event time
+    (the log arrives as one micro-batch, within which all copies meet)."""
     log = _event_stream(v, "dedup-src", "key", "props", "event_time")
-    return _drain(v, S.dedup(log, ["key", "props"], delay="100000 days").select("key", "props"), "dedup-out")
+    return _drain(v, S.dedup(log, ["key", "props"], delay="1 hour").select("key", "props"), "dedup-out")
 
 
 @query("staged_scope", "STM-8 PRJ-2", views=("v4",), sql=f"""

@@ -49,7 +49,7 @@ def load_all() -> dict[str, Query]:
     """Import every query module (registration happens on import)."""
     from tessera.plans import (  # noqa: F401
         q_log, q_catalog, q_usage, q_evaluate, q_records, q_review, q_artifacts, q_responses,
-        q_scalar, q_stream)
+        q_scalar, q_stream, q_live)
     return REGISTRY
 
 

@@ -24,7 +24,8 @@ def event_time(df: DataFrame, ts: str = "ts", out: str = "event_time") -> DataFr
 def current_table(stream: DataFrame, key: str = "key", order: str = "offset") -> DataFrame:
     """STM-1: continuously maintained latest version per key (emit with outputMode 'update').
 
-    State is one row per key (infinite retention, as a compacted topic)."""
+    State is one row per key (infinite retention, as a compacted topic); for a log with
+    deletes see ``tessera.streaming.state.current_changes``."""
     rest = [c for c in stream.columns if c != key]
     return stream.groupBy(key).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_r")) \
                  .select(key, "_r.*")
@@ -101,6 +102,29 @@ def dedup(stream: DataFrame, cols: list[str], ts: str = "event_time", delay: str
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark(cols)
 
 
+def on_time(stream: DataFrame, ids: list[str], ts: str = "event_time", delay: str = "1 hour") -> DataFrame:
+    """STM-10: each record (by ``ids``) that arrives before the watermark has passed it.
+
+    Later records are dropped by the state operator, which counts them; ``arrived`` and
+    ``on_time`` are observed on both sides of it (``late_counts``).
+    """
+    seen = stream.observe("arrived", F.count(F.lit(1)).alias("rows")).withWatermark(ts, delay)
+    return seen.dropDuplicatesWithinWatermark(ids).observe("on_time", F.count(F.lit(1)).alias("rows"))
+
+
+def late_counts(query) -> dict[str, int]:
+    """What a finished run of an ``on_time`` stream observed: rows arrived, on time, dropped as late.
+
+    Sums over the progress reports that the session keeps (``spark.sql.streaming.numRecentProgressUpdates``)."""
+    out = {"arrived": 0, "on_time": 0, "dropped": 0}
+    for p in query.recentProgress:
+        for name in ("arrived", "on_time"):
+            row = p.observedMetrics.get(name)
+            out[name] += (row["rows"] or 0) if row else 0
+        out["dropped"] += sum(s.numRowsDroppedByWatermark for s in p.stateOperators)
+    return out
+
+
 # ---------------------------------------------------------------- sinks
 
 
@@ -142,6 +166,11 @@ def read_current(spark, path: str, key: str = "key", order: str = "offset",
     return latest_per_key(log.drop("batch"), key, order, value)
 
 
+def read_live(spark, path: str, key: str = "key", order: str = "offset", deleted: str = "deleted") -> DataFrame:
+    """The materialised view of a log with deletes: newest version per key that is no delete."""
+    return read_current(spark, path, key, order).filter(~F.col(deleted)).drop(deleted)
+
+
 def compact(spark, path: str, key: str = "key", order: str = "offset") -> str:
     """Write the current view as a snapshot covering every batch so far (a batch job run
     off the streaming path) and expire the change-log batches that the snapshot before it
