@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tessera.functions.text import topic_of
 from tessera.operators import catalog as C
 from tessera.plans.registry import query
-from tessera.sources.listing import parse_connectors, parse_listing, parse_registry
+from tessera.sources.listing import explode_json, parse_connectors, parse_listing, parse_registry
 
 REG_LATEST_SQL = """reg AS (SELECT subject, max(version) AS version,
     arg_max(struct_pack(sid := schema_id, ns := namespace), version) AS pick FROM v3 GROUP BY subject),
@@ -156,3 +156,28 @@ def nested_counts_q(v):
                      F.when(is_json_object("text"), F.from_json("text", "map<string,string>")).alias("keys"),
                      F.split("text", "\n", -1).alias("lines"))
     return C.nested_counts(df, arrays=["lines"], maps=["keys"]).select("id", "keys_count", "lines_count")
+
+
+@query("json_members", "SRC-7 SCL-15", sql="""
+WITH t AS (SELECT event_id AS id, CASE event_id % 6
+    WHEN 0 THEN props WHEN 1 THEN '[' || props || ',' || user_id || ',"x"]' WHEN 2 THEN user_id::VARCHAR
+    WHEN 3 THEN 'sorry: ' || props WHEN 4 THEN '{"a":' || props || ',"b":[true,null],"c":null}' END AS text FROM events),
+j AS (SELECT id, CASE WHEN json_valid(text) THEN text::JSON END AS v FROM t),
+k AS (SELECT id, v, CASE json_type(v) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string'
+    WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE CASE WHEN v IS NULL THEN 'bad' ELSE 'number' END END AS shape FROM j),
+o AS (SELECT id, shape, unnest(json_keys(v)) AS name, generate_subscripts(json_keys(v), 1) - 1 AS pos, v FROM k WHERE shape = 'object'),
+a AS (SELECT id, shape, NULL AS name, unnest(range(json_array_length(v)::BIGINT)) AS pos, v FROM k WHERE shape = 'array'),
+m AS (SELECT id, shape, pos, name, json_extract(v, '$."' || name || '"') AS x FROM o
+      UNION ALL SELECT id, shape, pos, name, json_extract(v, '$[' || pos || ']') FROM a)
+SELECT id, shape, pos::INTEGER AS pos, name, CASE json_type(x) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array'
+    WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null' ELSE 'number' END AS kind, replace(x::VARCHAR, ' ', '') AS value FROM m
+UNION ALL SELECT id, shape, NULL, NULL, NULL, NULL FROM k WHERE shape NOT IN ('object', 'array')
+""")
+def json_members(v):
+    """Members of JSON texts of mixed shapes (objects, arrays, scalars, no JSON at all), read as VARIANT."""
+    e, p, u = v.t.events, F.col("props"), F.col("user_id").cast("string")
+    kind = F.col("event_id") % 6
+    text = (F.when(kind == 0, p).when(kind == 1, F.concat(F.lit("["), p, F.lit(","), u, F.lit(',"x"]')))
+            .when(kind == 2, u).when(kind == 3, F.concat(F.lit("sorry: "), p))
+            .when(kind == 4, F.concat(F.lit('{"a":'), p, F.lit(',"b":[true,null],"c":null}'))))
+    return explode_json(e.select(F.col("event_id").alias("id"), text.alias("text")), "text", ("id",))

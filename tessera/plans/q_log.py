@@ -32,6 +32,31 @@ def log_scan_by_topic(v):
         F.max("offset").alias("last_offset"), F.countDistinct("key").alias("keys"))
 
 
+@query("read_between_offsets", "SRC-1 SRC-2", views=("v1",), sql="""
+WITH e AS (SELECT topic, "partition", max("offset") + 1 AS "end" FROM v1 WHERE "offset" % 3 <> 0 GROUP BY ALL)
+SELECT v1.topic, v1."partition", v1."offset", v1."offset" >= "end" // 2 AND v1."offset" < "end" AS again
+FROM v1 JOIN e USING (topic, "partition") WHERE v1."offset" >= "end" // 2
+""")
+def read_between_offsets(v):
+    """A log read by offsets of its topic partitions, from the middle on: marked rows lie before the
+    ends that an earlier, shorter log had."""
+    from tessera.session import scratch_path
+    from tessera.sources.log import end_offsets, read_log
+
+    path = scratch_path(v.spark, "offsets-log")
+    log = v.v1.select("topic", "partition", "offset")
+    log.filter("offset % 3 <> 0").write.partitionBy("topic").parquet(path)
+    ends = end_offsets(read_log(v.spark, path))
+    log.filter("offset % 3 = 0").write.mode("append").partitionBy("topic").parquet(path)
+    middle = {t: {p: e // 2 for p, e in ps.items()} for t, ps in ends.items()}
+    known = F.lit(False)
+    for t, ps in ends.items():
+        known = known | ((F.col("topic") == t) & F.col("partition").isin(sorted(ps)))
+    new = read_log(v.spark, path, list(ends), starting=ends).filter(known).withColumn("again", F.lit(False))
+    old = read_log(v.spark, path, list(ends), starting=middle, ending=ends).filter(known).withColumn("again", F.lit(True))
+    return old.unionByName(new).select("topic", "partition", "offset", "again")
+
+
 @query("decode_value", "SRC-3", views=("v1",), sql="""
 SELECT "offset", topic, CAST(props->>'k' AS INTEGER) AS k FROM v1
 """)

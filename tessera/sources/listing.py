@@ -67,3 +67,24 @@ def parse_registry(df: DataFrame, col: str, mode: str = "latest",
         F.coalesce(F.col("_v.id"), F.lit(0)).alias("schema_id"),
         F.lit("AVRO").alias("schema_type"),
         F.get_json_object(F.col("_v.schema"), "$.namespace").alias("namespace"))
+
+
+def explode_json(df: DataFrame, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """SRC-7 / SCL-15 without a schema: one row for each member of a JSON text of any shape.
+
+    Gives ``keep``, ``shape`` of the text (object, array, string, number, boolean, null, or
+    bad), ``pos`` and ``name`` of the member (no name in an array), its ``kind`` and its
+    ``value`` as JSON text.  Texts without members, bad ones included, give one row.
+    """
+    parsed = df.select(*keep, F.try_parse_json(text).alias("_v"))
+    tvf = df.sparkSession.tvf
+
+    def kind(v: Column) -> Column:
+        name = F.schema_of_variant(v)
+        return (F.when(name.startswith("OBJECT"), "object").when(name.startswith("ARRAY"), "array")
+                .when(name == "STRING", "string").when(name == "BOOLEAN", "boolean").when(name == "VOID", "null")
+                .when(name.isNotNull(), "number"))
+
+    members = parsed.lateralJoin(tvf.variant_explode_outer(F.col("_v").outer()))
+    return members.select(*keep, F.coalesce(kind(F.col("_v")), F.lit("bad")).alias("shape"), "pos", F.col("key").alias("name"),
+                          kind(F.col("value")).alias("kind"), F.to_json("value").alias("value"))

@@ -125,3 +125,35 @@ def test_publish_spreads_a_common_prefix(spark, tmp_dir, all_ranges):
     files = read_log(spark, f"{tmp_dir}/log", ["t"]).groupBy(F.input_file_name()).count().collect()
     assert len(files) >= 4 and max(r["count"] for r in files) <= 2 * 4000 / len(files)
     assert sorted(r.offset for r in read_log(spark, f"{tmp_dir}/log").collect()) == list(range(4000))
+
+
+def test_offsets_bound_the_scan(spark, tmp_dir):
+    from tessera.sources.log import end_offsets, offsets_json
+
+    rows = [(t, p, o) for t in ("a", "b") for p in (0, 1) for o in range(10 * (p + 1))]
+    df = spark.createDataFrame(rows, "topic string, partition int, offset long")
+    df.write.partitionBy("topic").parquet(f"{tmp_dir}/log")
+    ends = end_offsets(read_log(spark, f"{tmp_dir}/log"))
+    assert ends == {"a": {0: 10, 1: 20}, "b": {0: 10, 1: 20}}
+    cut = read_log(spark, f"{tmp_dir}/log", starting={"a": {0: 7}}, ending={"a": {0: 9, 1: 2}, "b": {0: 0}})
+    got = sorted(tuple(r) for r in cut.select("topic", "partition", "offset").collect())
+    assert got == [("a", 0, 7), ("a", 0, 8), ("a", 1, 0), ("a", 1, 1)] + [("b", 1, o) for o in range(20)]
+    assert read_log(spark, f"{tmp_dir}/log", starting=ends).count() == 0
+    one = read_log(spark, f"{tmp_dir}/log", topics=["a"], starting={"a": {0: 7, 1: 18}})
+    plan = one._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(offset,7)" in plan and "PartitionFilters: [" in plan
+    assert offsets_json({"a": {0: 7}}, "earliest") == '{"a": {"0": 7}}' and offsets_json(None, "latest") == "latest"
+
+
+def test_json_of_any_shape(spark):
+    from tessera.sources.listing import explode_json
+
+    texts = ['{"a": 1, "b": [2], "c": null}', "[true, \"x\", 1.5, {}]", "7", '"s"', "null", "{oops", None, "{}", "[]"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted((tuple(r) for r in explode_json(df, "text", ("id",)).collect()), key=repr)
+    assert got == sorted([
+        (0, "object", 0, "a", "number", "1"), (0, "object", 1, "b", "array", "[2]"), (0, "object", 2, "c", "null", "null"),
+        (1, "array", 0, None, "boolean", "true"), (1, "array", 1, None, "string", '"x"'), (1, "array", 2, None, "number", "1.5"),
+        (1, "array", 3, None, "object", "{}"), (2, "number", None, None, None, None), (3, "string", None, None, None, None),
+        (4, "null", None, None, None, None), (5, "bad", None, None, None, None), (6, "bad", None, None, None, None),
+        (7, "object", None, None, None, None), (8, "array", None, None, None, None)], key=repr)
