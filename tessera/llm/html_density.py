@@ -6,13 +6,15 @@ comments, hidden parts; by element name, role, class or id) are cut off.  Every
 element gets its composite density: characters per tag, adjusted by the share of link
 characters and link tags against that of the whole body (Sun, Song and Liao, 2011).  The
 sum of the densities of its children ranks an element; the highest sum marks the core.
-An article or main element around the core is the result.  Without one, the least density
-on the path from the body to the core is the threshold: from the body down, each element
-that reaches it gives the block of highest sum in it; the text of all of them is the result,
-and sparse elements beside them are left out, but for headings of such a block.
+The least density on the path from the body to the core is the threshold: from the body
+down, each element that reaches it gives the block of highest sum in it; the text of all of
+them is the result, and sparse elements beside them are left out, but for headings of such a
+block.  With ``semantic`` an article or main element around the core is the result instead.
 
-A class or id that is a mark cuts its element; one that only has a mark among its words does
-so unless the element holds the core: that of the article or main elements, if there are any.
+A class or id that is a mark, and a form, cut their element, unless hardly any text is left
+beside them (a form or a notice around the whole page).  A class or id that only has a mark
+among its words cuts unless the element holds the core (that of the article or main elements,
+if there are any) or is a heading.
 
 Parsing is lenient: missing end tags, unquoted attributes, stray ``<`` and a page cut
 off anywhere are read like a browser reads them, and whole pages are read in one pass.
@@ -52,7 +54,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style textarea title xmp iframe noembed noframes noscript template svg math".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp "
                    "small span strike strong sub sup time tt u var wbr".split())
-CUT = frozenset("nav footer aside form head button select option datalist fieldset label input menu dialog "
+CUT = frozenset("nav footer aside head button select option datalist fieldset label input menu dialog "
                 "object embed applet audio video canvas map".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 #: Words in a class or id that name a part which is not article text.
@@ -71,35 +73,36 @@ ENDS = {"li": (frozenset(["li"]), LIST), "dt": (frozenset(["dt", "dd"]), LIST),
         "tr": (frozenset(["tr", "td", "th"]), TABLE), "td": (frozenset(["td", "th"]), TABLE | {"tr"}),
         "th": (frozenset(["td", "th"]), TABLE | {"tr"}), "option": (frozenset(["option"]), frozenset(["select", "datalist"]))}
 WORD = re.compile(r"[A-Za-z][a-z]*")
+#: How an element is cut: not, unless it holds the core, unless hardly any text is beside it, always.
+KEPT, PARTLY, MARKED, NEVER = range(4)
+#: Share of the page's text beside marked elements from which on these go.
+BESIDE = 0.05
 
 
-def is_cut(tag: str, attributes: str, inside: bool) -> bool | None:
-    """True for an element that is never article text; ``inside``: within an article or main element.
-
-    None for one that a class or id names only in part (``has-sidebar``): it is cut unless
-    it holds the core of the page.
-    """
+def is_cut(tag: str, attributes: str, inside: bool) -> int:
+    """How an element is cut; ``inside``: within an article or main element."""
     if tag in CUT or (tag == "header" and not inside):
-        return True
+        return NEVER
+    found = MARKED if tag == "form" else KEPT
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
-    partly = False
+        return found
     for name, *values in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values)
         if name == "hidden" or (name == "aria-hidden" and value.lower() == "true"):
-            return True
+            return NEVER
         if name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
+            return NEVER
         if name == "role" and value.lower() in ROLES:
-            return True
+            return NEVER
         if name in ("class", "id"):
             for token in value.split():
                 words = {token.lower()} & MARKS_ALL or {w.lower() for w in WORD.findall(token)}
                 marks = words & (MARKS if inside else MARKS_ALL)
                 if marks and marks == words:
-                    return True
-                partly = partly or bool(marks)
-    return None if partly else False
+                    found = MARKED
+                elif marks and tag not in HEADINGS:
+                    found = max(found, PARTLY)
+    return found
 
 
 class Page:
@@ -107,7 +110,7 @@ class Page:
 
     def __init__(self, page: str):
         self.parent, self.tag = [-1], [""]
-        self.cut, self.partly, self.inside = [False], [False], [False]  # cut or inside: the element or one around it
+        self.cut, self.mark, self.inside = [False], [KEPT], [False]  # cut or inside: the element or one around it
         self.flow: list[tuple[int, str | None]] = []  # (element, text), None for a break
         self.body = 0
         stack, at = [0], 0
@@ -138,7 +141,7 @@ class Page:
                     stack.append(self.body)
                 continue
             if tag in RAW:
-                at = self._skip(page, at, tag)
+                at = self._skip(page, at, tag, m.group(0).endswith("/>"))
                 continue
             if tag in ("article", "main") and self.cut[stack[-1]]:
                 k = next(k for k, i in enumerate(stack) if self.cut[i])
@@ -152,7 +155,7 @@ class Page:
             cut = is_cut(tag, m.group(3) or m.group(6) or "", self.inside[stack[-1]])
             if tag not in INLINE:
                 self._flow(stack[-1], None)
-            if cut and m.group(0).endswith("/>"):
+            if cut >= MARKED and m.group(0).endswith("/>"):
                 continue
             stack.append(self._open(stack[-1], tag, cut))
 
@@ -160,11 +163,11 @@ class Page:
         if not self.cut[i]:
             self.flow.append((i, text))
 
-    def _open(self, parent: int, tag: str, cut: bool | None = False) -> int:
+    def _open(self, parent: int, tag: str, cut: int = KEPT) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
-        self.cut.append(self.cut[parent] or cut is True)
-        self.partly.append(cut is None)
+        self.cut.append(self.cut[parent] or cut == NEVER)
+        self.mark.append(KEPT if cut == NEVER else cut)
         self.inside.append(self.inside[parent] or tag in ("article", "main"))
         return len(self.tag) - 1
 
@@ -200,9 +203,13 @@ class Page:
                 del stack[low:]
 
     @staticmethod
-    def _skip(page: str, at: int, tag: str) -> int:
+    def _skip(page: str, at: int, tag: str, closed: bool) -> int:
+        """Where the page goes on behind an element whose content is no text."""
+        foreign = tag in ("svg", "math")
+        if foreign and closed:
+            return at
         m = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.I).search(page, at)
-        return m.end() if m else len(page)
+        return m.end() if m else at if foreign else len(page)
 
     def densities(self) -> tuple[list[int], list[int], list[float], list[float]]:
         """Of each element: the end of its subtree, characters, density, and the sum of its children's densities."""
@@ -248,24 +255,33 @@ class Page:
         return path
 
     def settle(self) -> None:
-        """Cuts the elements named in part by a mark, but not those around the core of the page."""
+        """Cuts the marked elements, but not those around the core of the page."""
         last, chars, _, total = self.densities()
-        marked = [False] * len(self.tag)
-        for i in range(1, len(marked)):
-            marked[i] = marked[self.parent[i]] or self.partly[i]
+        over = list(self.mark)  # the strongest mark of the element and those around it
+        for i in range(1, len(over)):
+            over[i] = max(over[i], over[self.parent[i]])
+        whole = beside = 0
+        for i, t in self.flow:
+            if t is not None:
+                c = len(SPACE.sub(" ", t).strip(" "))
+                whole += c
+                beside += c if over[i] < MARKED else 0
         text = [i for i in range(self.body, last[self.body]) if chars[i]]
+        if beside >= BESIDE * whole:
+            text = [i for i in text if over[i] < MARKED]
         main = [i for i in text if self.inside[i] and not self.inside[self.parent[i]]]
-        main = [i for i in main if not marked[i]] or main
-        pick = [i for m in main for i in range(m, last[m]) if chars[i]] or text
+        main = [i for i in main if not over[i]] or main
+        may = set(text)
+        pick = [i for m in main for i in range(m, last[m]) if i in may] or text
         core = max(pick, key=total.__getitem__, default=self.body)
         held = set(self._path(core))
-        for i in range(1, len(marked)):
-            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or (self.partly[i] and i not in held)
+        for i in range(1, len(over)):
+            self.cut[i] = self.cut[i] or self.cut[self.parent[i]] or (self.mark[i] != KEPT and i not in held)
         self.flow = [(i, t) for i, t in self.flow if not self.cut[i]]
 
-    def select(self) -> list[tuple[int, int]]:
+    def select(self, semantic: bool = False) -> list[tuple[int, int]]:
         """Disjoint ranges [first, last) of elements, in order: the subtrees that hold the article."""
-        if any(self.partly):
+        if any(self.mark):
             self.settle()
         last, chars, density, total = self.densities()
         b = self.body
@@ -278,7 +294,7 @@ class Page:
         core = best[b]
         path = self._path(core)
         for i in path:
-            if self.tag[i] in ("article", "main"):
+            if semantic and self.tag[i] in ("article", "main"):
                 return [(i, last[i])]
         threshold = min(density[i] for i in path)
         # from the body down, an element that reaches the threshold gives its block of highest sum
@@ -304,20 +320,24 @@ class Page:
                 spans[-1] = (spans[-1][0], end)
         return spans
 
-    def text(self) -> str:
+    def text(self, semantic: bool = False) -> str:
         chosen = [False] * len(self.tag)
-        for first, last in self.select():
+        for first, last in self.select(semantic):
             chosen[first:last] = [True] * (last - first)
-        parts = [" " if t is None else t for i, t in self.flow if chosen[i]]
+        # breaks of elements left out part the blocks, too
+        parts = [" " if t is None else t for i, t in self.flow if t is None or chosen[i]]
         return SPACE.sub(" ", html.unescape("".join(parts))).strip(" ")
 
 
-def main_text(page: str | None) -> str:
-    return Page(page).text() if page else ""
+def main_text(page: str | None, semantic: bool = False) -> str:
+    return Page(page).text(semantic) if page else ""
 
 
-def html_density(df: DataFrame, html_col: str = "html", carry: bool = True) -> DataFrame:
-    """The input with ``text`` and ``n_chars``; ``carry=False`` drops the page."""
+def html_density(df: DataFrame, html_col: str = "html", carry: bool = True, semantic: bool = False) -> DataFrame:
+    """The input with ``text`` and ``n_chars``; ``carry=False`` drops the page.
+
+    ``semantic`` trusts article and main elements: the one around the core is the result as it is.
+    """
     src = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in ("text", "n_chars")])
     keep = [c for c in src.columns if carry or c != html_col]
     schema = StructType([*[src.schema[c] for c in keep], StructField("text", StringType()),
@@ -325,7 +345,7 @@ def html_density(df: DataFrame, html_col: str = "html", carry: bool = True) -> D
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, html_col, SLICE):
-            texts = [main_text(p) for p in b.column(html_col).to_pylist()]
+            texts = [main_text(p, semantic) for p in b.column(html_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[b.column(c) for c in keep], pa.array(texts, pa.string()),
                  pa.array([len(t) for t in texts], pa.int64())], names=[*keep, "text", "n_chars"])
