@@ -10,14 +10,17 @@ what is learned: own turns with their end mark.
     <|im_start|>assistant\\n...<|im_end|>\\n
 
 A dialogue is rendered in parts of ``PART`` turn numbers, so that a conversation of any
-length is never gathered in one task; ``start`` is the place of a part in the dialogue.
+length is never gathered in one task; a part of more rows than that (repeated or null turn
+numbers, rows without a conversation) comes in pieces of ``PART`` rows.  ``start`` is the place
+of a piece in the dialogue.  Rows of parts that overflow are numbered over sampled ranges, and
+the speakers of a conversation of several pieces are dealt to its pieces under ``SALT`` keys.
 Only built-in expressions are used.
 
 Defined results: a null text is an empty turn; a null role is the speaker ``unknown``;
 turns stand in the order of turn (null last), role, text, and repeated rows repeat;
-conversations of system turns only have no rows; a null id is a conversation of its own;
+conversations of system turns only have no rows; rows with a null id are one conversation;
 marks inside a text are written ``<\\|``; white space, ``<``, ``|``, ``>`` and ``=`` in a
-name become ``_``; an empty table gives an empty result.
+name become ``_``; other columns are left out; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,7 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-PART = 1024
+from tessera.llm.common import Scratch
+from tessera.operators.sequence import number_sampled
+
+PART, SALT = 1024, 16
 SYSTEM, UNKNOWN = "system", "unknown"
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 
@@ -42,20 +48,34 @@ def _header(role: Column, speaker: Column) -> Column:
 
 def chat_rotation(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                   text_col: str = "text", part: int = PART) -> DataFrame:
-    """(conv, perspective, part, start, n_turns, text, mask) with mask an array of learned [start, end)."""
+    """(conv, perspective, part, piece, start, n_turns, text, mask) with mask an array of learned [start, end)."""
+    scratch = Scratch(df.sparkSession, "rotation")
     turns = df.select(F.col(f"`{conv_col}`").alias("conv"), F.col(f"`{turn_col}`").alias("turn"),
                       F.coalesce(F.col(f"`{role_col}`"), F.lit(UNKNOWN)).alias("role"),
                       F.replace(F.coalesce(F.col(f"`{text_col}`"), F.lit("")), F.lit("<|"), F.lit("<\\|")).alias("body"))
-    number = F.floor(F.col("turn") / part)
-    parts = (turns.groupBy("conv", number.alias("part"))
-             .agg(F.sort_array(F.collect_list(F.struct(F.col("turn").isNull().alias("no"), "turn", "role", "body")))
-                  .alias("turns")))
+    turns = turns.withColumn("part", F.floor(F.col("turn") / part)).withColumn("no", F.col("turn").isNull())
+    # parts of too many rows, one narrow row each
+    full = scratch.put(turns.groupBy(F.col("conv").alias("c"), F.col("part").alias("p")).agg(F.count("*").alias("n"))
+                       .where(F.col("n") > part).select("c", "p"))
+    here = F.col("conv").eqNullSafe(F.col("c")) & F.col("part").eqNullSafe(F.col("p"))
+    over = scratch.put(turns.join(full, here, "left_semi"))
+    numbered = number_sampled(over, ["no", "turn", "role", "body"], ["conv", "part"], name="row")
+    turns = (turns.join(full, here, "left_anti").withColumn("piece", F.lit(0).cast("long"))
+             .unionByName(numbered.withColumn("piece", F.floor((F.col("row") - 1) / part)).drop("row")))
+    parts = (turns.groupBy("conv", "part", "piece")
+             .agg(F.sort_array(F.collect_list(F.struct("no", "turn", "role", "body"))).alias("turns")))
+    # a conversation of several pieces has its speakers under every salt, any other under 0
+    first = F.coalesce(F.col("part") == 0, F.lit(False)) & (F.col("piece") == 0)
+    tall = turns.where(~first).select(F.col("conv").alias("t")).distinct().withColumn("tall", F.lit(True))
+    salts = F.when(F.col("tall"), F.sequence(F.lit(0), F.lit(SALT - 1))).otherwise(F.array(F.lit(0)))
     people = (turns.where(F.col("role") != SYSTEM).select(F.col("conv").alias("of"), F.col("role").alias("speaker"))
-              .distinct())
-    both = parts.join(people, F.col("conv").eqNullSafe(F.col("of")))
+              .distinct().join(tall, F.col("of").eqNullSafe(F.col("t")), "left")
+              .select("of", "speaker", F.explode(salts).alias("s")))
+    salt = F.when(first, F.lit(0)).otherwise(F.pmod(F.hash("part", "piece"), F.lit(SALT)))
+    both = parts.withColumn("salt", salt).join(people, F.col("conv").eqNullSafe(F.col("of")) & (F.col("salt") == F.col("s")))
     speaker = F.col("speaker")
     shown = both.select(
-        "conv", "speaker", "part", F.size("turns").alias("n_turns"),
+        "conv", "speaker", "part", "piece", F.size("turns").alias("n_turns"),
         F.transform("turns", lambda t: F.struct(
             _header(t["role"], speaker).alias("head"), t["body"].alias("body"),
             ((t["role"] == speaker) & (t["role"] != SYSTEM)).alias("own"))).alias("turns"))
@@ -73,13 +93,13 @@ def chat_rotation(df: DataFrame, conv_col: str = "conv_id", turn_col: str = "tur
 
     shown = shown.withColumn("mask", F.aggregate("turns", begin, walk, lambda acc: acc["spans"]))
     # where a part starts: lengths of the parts before it (one number for each PART turns)
-    before = Window.partitionBy("conv", "speaker").orderBy(F.col("part").asc_nulls_last())
-    sizes = shown.select("conv", "speaker", "part", F.length("text").alias("size"))
+    before = Window.partitionBy("conv", "speaker").orderBy(F.col("part").asc_nulls_last(), "piece")
+    sizes = shown.select("conv", "speaker", "part", "piece", F.length("text").alias("size"))
     starts = sizes.select(
-        F.col("conv").alias("c"), F.col("speaker").alias("s"), F.col("part").alias("p"),
+        F.col("conv").alias("c"), F.col("speaker").alias("s"), F.col("part").alias("p"), F.col("piece").alias("q"),
         F.coalesce(F.sum("size").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("start"))
     same = (F.col("conv").eqNullSafe(F.col("c")) & (F.col("speaker") == F.col("s"))
-            & F.col("part").eqNullSafe(F.col("p")))
+            & F.col("part").eqNullSafe(F.col("p")) & (F.col("piece") == F.col("q")))
     return shown.join(starts, same).select(
-        F.col("conv").alias(conv_col), F.col("speaker").alias("perspective"), F.col("part").cast("long").alias("part"),
+        F.col("conv").alias(conv_col), F.col("speaker").alias("perspective"), F.col("part").cast("long").alias("part"), "piece",
         F.col("start").cast("long").alias("start"), F.col("n_turns").cast("long").alias("n_turns"), "text", "mask")

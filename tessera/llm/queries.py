@@ -64,7 +64,7 @@ def op6_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     span = F.transform("mask", lambda m: F.concat(m["start"].cast("string"), F.lit("-"), m["end"].cast("string")))
     learned = F.aggregate("mask", F.lit(0), lambda acc, m: acc + m["end"] - m["start"])
     return chat_rotation(turns).select(
-        "conv_id", "perspective", "part", "start", "n_turns", F.length("text").cast("long").alias("n_chars"),
+        "conv_id", "perspective", "part", "piece", "start", "n_turns", F.length("text").cast("long").alias("n_chars"),
         learned.cast("long").alias("n_learned"), F.array_join(span, ",").alias("mask"),
         F.sha2("text", 256).alias("text_sha256"))
 
@@ -187,8 +187,9 @@ ORACLE_SQL: dict[str, str] = {
                     OR 10 * bullets > 9 * n_lines OR 10 * ellipses > 3 * n_lines) AS kept
         FROM b""",
     "op6_chat_rotation": r"""
-        WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, turn // 1024 AS part,
+        WITH a AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, turn // 1024 AS part,
                           replace(coalesce(text, ''), '<|', '<\|') AS body FROM conversations),
+        t AS (SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn, role, body) - 1) // 1024 AS piece FROM a),
         p AS (SELECT DISTINCT conv_id, role AS perspective FROM t WHERE role <> 'system'),
         h AS (SELECT t.*, perspective, '<|im_start|>'
                      || CASE WHEN role = 'system' THEN 'system' WHEN role = perspective THEN 'assistant'
@@ -197,16 +198,16 @@ ORACLE_SQL: dict[str, str] = {
               FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
         g AS (SELECT *, head || body || '<|im_end|>' || chr(10) AS shown FROM h),
         s AS (SELECT *, coalesce(sum(length(shown)) OVER (
-                  PARTITION BY conv_id, perspective, part ORDER BY turn, role, body
+                  PARTITION BY conv_id, perspective, part, piece ORDER BY turn, role, body
                   ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(head) AS s0 FROM g),
-        r AS (SELECT conv_id, perspective, part, count(*) AS n_turns,
+        r AS (SELECT conv_id, perspective, part, piece, count(*) AS n_turns,
                      string_agg(shown, '' ORDER BY turn, role, body) AS text,
                      coalesce(sum(length(body) + 10) FILTER (role = perspective), 0)::BIGINT AS n_learned,
                      coalesce(string_agg(s0::BIGINT::VARCHAR || '-' || (s0::BIGINT + length(body) + 10)::VARCHAR, ','
                               ORDER BY turn, role, body) FILTER (role = perspective), '') AS mask
               FROM s GROUP BY ALL)
-        SELECT conv_id, perspective, part, coalesce(sum(length(text)) OVER (
-                   PARTITION BY conv_id, perspective ORDER BY part
+        SELECT conv_id, perspective, part, piece, coalesce(sum(length(text)) OVER (
+                   PARTITION BY conv_id, perspective ORDER BY part, piece
                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start, n_turns,
                length(text) AS n_chars, n_learned, mask, sha256(text) AS text_sha256
         FROM r""",

@@ -408,3 +408,27 @@ def test_mix_empty_and_clashing_columns(spark, no_docs, clash):
     assert cube_mix(no_docs.select("doc_id", "source", F.lit(1).alias("size"))).collect() == []
     got = cube_mix(clash.withColumn("size", F.coalesce(F.length("text"), F.lit(0))))
     assert set(got.columns) == set(clash.columns) and got.count() == clash.count()
+
+
+def test_rotation_in_pieces(spark):
+    """Repeated and null turn numbers, and rows without a conversation, come in pieces; nothing is lost."""
+    rows = [(None, None, f"u{i % 3}", f"text {i:04d}") for i in range(50)]
+    rows += [(1, 3, "ann", f"same turn {i:03d}") for i in range(23)] + [(1, 3, "bob", "same turn 000")] * 9
+    rows += [(1, i, "ann" if i % 2 else "system", f"turn {i}") for i in range(40)] + [(2, 0, "ann", "hi"), (2, 1, "bob", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    df = df.selectExpr("*", "1 AS part", "2 AS piece", "'x' AS salt", "0 AS no")
+    out = chat_rotation(df, part=8).collect()
+    assert max(r.n_turns for r in out) <= 8
+    by = {}
+    for r in sorted(out, key=lambda r: (r.part is None, r.part or 0, r.piece)):
+        by.setdefault((r.conv_id, r.perspective), []).append(r)
+    assert set(by) == {(None, "u0"), (None, "u1"), (None, "u2"), (1, "ann"), (1, "bob"), (2, "ann"), (2, "bob")}
+    for (conv, who), parts in by.items():
+        turns = sorted(((t is None, t or 0, role, text or "") for c, t, role, text in rows if c == conv))
+        want = "".join("<|im_start|>" + ("system" if r == "system" else "assistant" if r == who else f"user name={r}")
+                       + f"\n{x}<|im_end|>\n" for _, _, r, x in turns)
+        assert "".join(p.text for p in parts) == want
+        assert [p.start for p in parts] == [sum(len(q.text) for q in parts[:i]) for i in range(len(parts))]
+        said = "".join(p.text[m["start"]:m["end"]] for p in parts for m in p["mask"])
+        assert said == "".join(x + "<|im_end|>" for _, _, r, x in turns if r == who)
+    assert chat_rotation(df.limit(0)).collect() == []
