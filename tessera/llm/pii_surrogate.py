@@ -4,15 +4,17 @@ Entities (mail addresses, phone, card, account and social security numbers, IPv4
 addresses, secrets, titled person names) are found by pattern and get keyed surrogates
 of their own type: digits for digits and letters for letters in the same places, a valid
 check digit where the original has one, name parts in the same script and of the gender
-that the title tells, if it does.  A second pass finds the names of a text where they stand
+that the title tells, if it does (in scripts other than Latin, Cyrillic and Greek as many
+letters of the script's block, without gender).  A second pass finds the names of a text where they stand
 in it without a title (with a capital, if the script has any).  Mentions that differ only
 in case or punctuation are one entity; IPv6 surrogates are written in full.
 
-The map from entities to surrogates is one-to-one over the whole input, and no surrogate
-equals an entity that occurs: every distinct entity draws a candidate from an HMAC of
+The map from entities to surrogates is one-to-one over the whole input (parts of names of all
+kinds taken together), and no surrogate equals an entity that occurs: every distinct entity draws a candidate from an HMAC of
 the key, its type, itself and the number of the try; a candidate that is an existing
 entity, is taken, or is drawn by several (the one of least hash wins) is drawn again in
-the next round, until none is left.  So equal entities stay equal and different ones
+the next round, until none is left.  After ``WIDEN`` rounds numbers grow by a digit every
+few rounds, so a format with more entities than free surrogates ends no job.  So equal entities stay equal and different ones
 different in every document.  Texts without a trace of an entity never shuffle.
 
 Defined results: a null text stays null with no entity; a text without an entity is
@@ -38,7 +40,7 @@ from tessera.llm.common import Scratch, slices
 
 SLICE = 1 << 20
 SALT = 32
-ROUNDS = 64
+ROUNDS, WIDEN = 64, 24
 
 #: Titles that tell the gender of the name behind them (fixed values, by language).
 MALE = ["Mr", "Mister", "Sir", "Herr", "Herrn", "Monsieur", "Señor", "Sr", "Don", "господин", "г-н", "κύριος"]
@@ -102,15 +104,34 @@ FINAL = {("latin", "F"): "a", ("cyrillic", "F"): "а", ("greek", "F"): "α",
          ("latin", "M"): "n", ("cyrillic", "M"): "н", ("greek", "M"): "ς"}
 
 
+#: Other scripts: their block, and the letters of it that surrogates are made of (fixed values).
+BLOCKS = {"armenian": ("\u0530", "\u058f", "\u0561", "\u0586"), "hebrew": ("\u0590", "\u05ff", "\u05d0", "\u05ea"),
+          "arabic": ("\u0600", "\u06ff", "\u0628", "\u063a"), "devanagari": ("\u0900", "\u097f", "\u0915", "\u0939"),
+          "bengali": ("\u0980", "\u09ff", "\u0995", "\u09a8"), "tamil": ("\u0b80", "\u0bff", "\u0bae", "\u0bb9"),
+          "thai": ("\u0e00", "\u0e7f", "\u0e01", "\u0e2e"), "georgian": ("\u10a0", "\u10ff", "\u10d0", "\u10f0"),
+          "hiragana": ("\u3040", "\u309f", "\u304b", "\u3062"), "katakana": ("\u30a0", "\u30ff", "\u30ab", "\u30c2"),
+          "han": ("\u3400", "\u9fff", "\u4e00", "\u9fa5"), "hangul": ("\uac00", "\ud7af", "\uac00", "\ud7a3")}
+
+
 def script(word: str) -> str:
     for c in word:
         if "Ѐ" <= c <= "ԯ":
             return "cyrillic"
         if "Ͱ" <= c <= "Ͽ" or "ἀ" <= c <= "῿":
             return "greek"
+        if c > "ԯ":
+            for name, (low, high, _, _) in BLOCKS.items():
+                if low <= c <= high:
+                    return name
     return "latin"
 
 
+def block_letter(name: str, s: "Stream") -> str:
+    """A letter of a script outside ``CONSONANTS``."""
+    _, _, low, high = BLOCKS[name]
+    return chr(ord(low) + s.below(ord(high) - ord(low) + 1))
+
+
 def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
     """(start, end, type, canonical entity) of each mention, in order and without overlap.
 
@@ -219,6 +240,9 @@ def like(value: str, s: Stream) -> str:
             out.append(str(s.below(10)))
         elif c.isalpha():
             kind = script(c)
+            if kind in BLOCKS:
+                out.append(block_letter(kind, s))
+                continue
             pool = VOWELS[kind] if c.casefold() in VOWELS[kind] else CONSONANTS[kind]
             x = pool[s.below(len(pool))]
             out.append(x.upper() if c.isupper() else x)
@@ -252,9 +276,12 @@ def draw(key: bytes, kind: str, entity: str, trial: int) -> str:
         return entity[:2] + iban_check(entity[:2], rest) + rest
     if kind in ("ssn", "phone"):
         code, dash, digits = entity.rpartition("-")
-        return code + dash + "".join(str(s.below(10)) for _ in digits)
+        more = max(0, (trial - WIDEN) // 4 + 1)
+        return code + dash + "".join(str(s.below(10)) for _ in range(len(digits) + more))
     # name parts: syllables of the script, ended by gender; more of them with every few tries
     sc = script(entity)
+    if sc in BLOCKS:
+        return "".join(block_letter(sc, s) for _ in range(len(entity) + trial // 4))
     gender = kind[-1] if kind.startswith("given") else None
     n = max(2, min(5, len(entity) // 2)) + trial // 4
     word = "".join(CONSONANTS[sc][s.below(len(CONSONANTS[sc]))] + VOWELS[sc][s.below(len(VOWELS[sc]))] for _ in range(n))
@@ -267,7 +294,7 @@ def render(kind: str, mention: str, surrogate: str) -> str:
     """A surrogate in the format of the mention: its punctuation and its case."""
     if kind in ("card", "ssn", "phone", "iban"):
         it = iter([c for c in surrogate if c.isalnum()])
-        return "".join(next(it, "") if c.isalnum() else c for c in mention)
+        return "".join([next(it, "") if c.isalnum() else c for c in mention] + list(it))
     letters = [c for c in mention if c.isalpha()]
     if kind != "secret" and letters and all(c.isupper() for c in letters) and (len(letters) > 1 or kind == "mail"):
         return surrogate.upper()
@@ -308,7 +335,12 @@ def _mention_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def surrogate_map(entities: DataFrame, key: bytes, scratch: Scratch) -> DataFrame:
-    """(type, entity, surrogate), one-to-one by type and disjoint from the entities, of distinct (type, entity)."""
+    """(type, entity, surrogate), one-to-one and disjoint from the entities, of distinct (type, entity).
+
+    Parts of names share one space, any other type has its own.
+    """
+    space = F.when(F.col("type").startswith("given_") | (F.col("type") == "surname"), F.lit("name")).otherwise(F.col("type"))
+
     def tries(trial: int):
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
@@ -319,15 +351,15 @@ def surrogate_map(entities: DataFrame, key: bytes, scratch: Scratch) -> DataFram
 
     open_ = entities
     done: DataFrame | None = None
-    real = entities.select("type", F.col("entity").alias("surrogate"))
+    real = entities.select(space.alias("space"), F.col("entity").alias("surrogate"))
     for trial in range(ROUNDS):
         drawn = open_.mapInArrow(tries(trial), "type string, entity string, surrogate string")
-        taken = real if done is None else real.unionByName(done.select("type", "surrogate"))
-        first = F.min(F.struct(F.xxhash64("entity").alias("h"), F.col("entity").alias("entity")))
-        drawn = scratch.put(drawn)
-        won = (drawn.groupBy("type", "surrogate").agg(first.alias("w"))
-               .join(taken.hint("merge"), ["type", "surrogate"], "left_anti")
-               .select("type", F.col("w.entity").alias("entity"), "surrogate"))
+        taken = real if done is None else real.unionByName(done.select(space.alias("space"), "surrogate"))
+        first = F.min(F.struct(F.xxhash64("entity").alias("h"), F.col("type").alias("type"), F.col("entity").alias("entity")))
+        drawn = scratch.put(drawn.withColumn("space", space))
+        won = (drawn.groupBy("space", "surrogate").agg(first.alias("w"))
+               .join(taken.hint("merge"), ["space", "surrogate"], "left_anti")
+               .select("w.type", "w.entity", "surrogate"))
         won = scratch.put(won)
         done = won if done is None else done.unionByName(won)
         open_ = scratch.put(drawn.select("type", "entity").join(won.select("type", "entity").hint("merge"),

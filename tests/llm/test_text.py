@@ -239,6 +239,56 @@ def test_surrogates_are_one_to_one(spark, odd, no_docs, monkeypatch):
     assert P.pii_surrogate(no_docs, b"k").collect() == []
 
 
+def brute_map(entities, key):
+    """The rounds of draws in plain Python."""
+    import xxhash
+
+    def space(kind):
+        return "name" if kind == "surname" or kind.startswith("given_") else kind
+
+    def rank(pair):
+        h = xxhash.xxh64(pair[1].encode(), seed=42).intdigest()
+        return (h - (1 << 64) if h >> 63 else h, pair)
+
+    taken = {(space(k), e) for k, e in entities}
+    left, out, trial = set(entities), {}, 0
+    while left:
+        drawn = {}
+        for pair in sorted(left, key=rank):
+            drawn.setdefault((space(pair[0]), P.draw(key, *pair, trial)), pair)
+        won = {pair: s for s, pair in drawn.items() if s not in taken}
+        taken |= set(won.values())
+        out.update({pair: s[1] for pair, s in won.items()})
+        left -= set(won)
+        trial += 1
+    return out
+
+
+def test_surrogates_brute_force(spark):
+    """Whole texts, names of few syllables (many collide), numbers of which most are in use."""
+    names = ["Li", "Bo", "An", "Jo", "Ed", "Al"]
+    texts = [f"Mr {a}{b} {b}{a.lower()} met Frau {b}{b.lower()} and Dr {a}{a.lower()}, {i % 10}{i % 7}{i % 3}-{i:04d}; {b}{a.lower()} left"
+             for i, (a, b) in enumerate((a, b) for a in names for b in names)]
+    texts += ["г-н Иван Петров", "Herr 田中 太郎 und Frau أحمد", "nothing here", None, "a@b.org and A@B.ORG"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    table = brute_map({(k, e) for t in texts if t for _, _, k, e in P.mentions(t)}, b"key")
+    got = {r.doc_id: r for r in P.pii_surrogate(df, b"key").collect()}
+    for i, t in enumerate(texts):
+        new, found = (t, []) if t is None else P.rewrite(t, table)
+        assert (got[i].text, [e.asDict() for e in got[i].entities]) == (new, found)
+    assert re.search("[\u4e00-\u9fff]{2} [\u4e00-\u9fff]{2} und Frau [\u0600-\u06ff]{4}$", got[37].text)
+    assert "田中" not in got[37].text and len(set(table.values())) == len(table)
+
+
+def test_full_formats_are_widened(spark):
+    rows = [("phone", f"{i:02d}") for i in range(5, 100)] + [("ssn", "123456789"), ("surname", "a"), ("given_M", "a")]
+    df = spark.createDataFrame(rows, "type string, entity string")
+    got = {(r.type, r.entity): r.surrogate for r in P.surrogate_map(df, b"k", P.Scratch(spark, "wide")).collect()}
+    assert got == brute_map(set(rows), b"k") and len(got) == len(set(got.values())) == len(rows)
+    assert not {e for _, e in rows} & set(got.values())
+    assert P.render("phone", "1-2", "345") == "3-45"
+
+
 def test_surrogates_leave_nothing_behind(spark, sf):
     old = {r.doc_id: r.text for r in documents(spark, sf).collect()}
     new = {r.doc_id: r for r in QUERIES["op1_pii_surrogate"](spark, sf).collect()}
