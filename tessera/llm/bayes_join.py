@@ -18,7 +18,8 @@ Two texts are linked when the Jaccard similarity of their sets of five-word wind
 Defined results: texts of one to four words have one window, all their words; a text
 without a word (or null) links to nothing and is a class of its own; the class id is the
 smallest id in the class (null ids last); the row with that id stays (``kept``), one row
-of a class even when ids repeat; an empty table gives an empty result.
+of a class even when ids repeat; columns but id and text are left out; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations

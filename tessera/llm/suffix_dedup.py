@@ -20,7 +20,8 @@ never cross texts.  The work is split by content, so no task holds the corpus:
 5. Repeated windows go back to all places of their segment and are cut out of the texts.
 
 Defined results: a null text counts as empty; texts under ``WIN`` bytes lose nothing;
-rows alike in id and text are two places each; an empty table gives an empty result.
+rows alike in id and text are two places each; columns but id and text are left out; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
