@@ -43,28 +43,24 @@ def radix_dedup(df: DataFrame, text_col: str = "text", id_col: str = "doc_id",
     scratch = Scratch(df.sparkSession, "radix")
     names = [c for c in df.columns if c not in ("keep_id", "group_size", "kept")]
     row = F.struct(*[F.col(f"`{c}`") for c in names if c != text_col])
-    text = F.col(f"`{text_col}`")
-    given = ["row", "id", "n_points", "uid", *(["text"] if carry else [])]
-    # white space is deleted once; all levels read the written bytes
-    rows = first = scratch.put(df.select(
-        row.alias("row"), F.col(f"`{id_col}`").alias("id"), F.length(F.coalesce(text, F.lit(""))).alias("n_points"),
-        F.monotonically_increasing_id().alias("uid"), *([text.alias("text")] if carry else []),
-        normal_bytes(text).alias("norm"), F.lit(0).cast("long").alias("gid")))
+    rows = df.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"),
+                     F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))).alias("n_points"),
+                     F.col(f"`{id_col}`").alias("id"), F.lit(0).cast("long").alias("gid"))
     start, width, level = 0, first_width, 0
     settled: list[DataFrame] = []
     while True:
-        cur = rows.withColumn("digit", F.substring("norm", start + 1, width))
-        groups = scratch.put(
-            cur.groupBy("gid", "digit").agg(F.count("*").alias("n")).where("n > 1")
-            .select("gid", "digit", (F.monotonically_increasing_id()
-                                     + F.lit(level << 56)).alias("next")))
+        cur = rows.withColumn("digit", F.substring(normal_bytes(F.col("text")), start + 1, width))
+        mark = F.monotonically_increasing_id() + F.lit(level << 56)
+        groups = scratch.put(cur.groupBy("gid", "digit").agg(F.count("*").alias("n")).where("n > 1")
+                             .select("gid", "digit", mark.alias("next")))
         more = F.col("next").isNotNull() & (F.length("digit") == width)
         # both sides grow with the input: a merge join at every size, never a broadcast
         out = scratch.put(cur.join(groups.hint("merge"), ["gid", "digit"], "left").select(
-            *given, "next", more.alias("more"), F.when(more, F.col("norm")).alias("norm")))
-        scratch.drop(groups, *([first] if not level else []))
+            "row", "id", "n_points", "next", more.alias("more"),
+            (F.col("text") if carry else F.when(more, F.col("text"))).alias("text")).withColumn("uid", mark))
+        scratch.drop(groups)
         settled.append(out.where(~F.col("more")))
-        rows = out.where("more").select(*given, "norm", F.col("next").alias("gid"))
+        rows = out.where("more").select("row", "text", "n_points", "id", F.col("next").alias("gid"))
         start, width, level = start + width, width * growth, level + 1
         if rows.isEmpty():
             break
