@@ -9,16 +9,16 @@ import sys
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 IMPL = {
-"SRC-1": "sources.log.read_log (parquet log partitioned by topic / Kafka batch)",
+"SRC-1": "sources.log.read_log (parquet log partitioned by topic / Kafka batch; bounds by topic partition), end_offsets",
 "SRC-2": "sources.log.stream_log (file or Kafka readStream; availableNow = drain and stop)",
 "SRC-3": "sources.log.decode_value (from_json; from_avro when spark-avro is present)",
 "SRC-4": "sources.docs.read_json_docs (multiLine, fixed schema, file name kept)",
 "SRC-5": "sources.log.read_or_empty",
 "SRC-6": "sources.listing.parse_listing / parse_connectors",
-"SRC-7": "sources.listing.parse_registry",
+"SRC-7": "sources.listing.parse_registry; explode_json (VARIANT, any shape)",
 "SRC-8": "sources.log.read_topics, operators.log.union_logs",
 "SNK-1": "sinks.publish / sinks.envelope",
-"SNK-2": "sinks.write_json_docs (keyed overwrite into a new snapshot folder)",
+"SNK-2": "sinks.write_json_docs (keyed overwrite into a new snapshot folder); write_json_parts (documents of bounded size, index)",
 "SNK-3": "operators.artifacts.explode_artifacts / write_artifacts",
 "SNK-4": "streaming.upsert_current / read_current (idempotent per batch id)",
 "PRJ-1": "operators.records.build_raw_ideas (+ explode_ideas)",
@@ -66,7 +66,7 @@ IMPL = {
 "AGG-12": "operators.review.approved_listing",
 "AGG-13": "operators.artifacts.artifact_totals",
 "AGG-14": "operators.evaluate.group_evaluations (pivot with listed kinds)",
-"AGG-15": "operators.log.stage_counts; pipeline.run_pipeline returns counts",
+"AGG-15": "operators.log.stage_counts; pipeline.run_pipeline returns counts observed on the writes",
 "AGG-16": "plans.q_usage.run_report",
 "AGG-17": "plans.q_usage.quick_start",
 "AGG-18": "operators.log.unique_ids",
@@ -79,8 +79,8 @@ IMPL = {
 "WIN-5": "sources.listing.parse_registry(mode='latest'|'first')",
 "WIN-6": "operators.log.apply_retention",
 "WIN-7": "operators.log.compact_with_lag",
-"WIN-8": "operators.sequence.number_rows (windows inside ranges of the order)",
-"WIN-9": "operators.log.status_transitions (range-partitioned lag)",
+"WIN-8": "operators.sequence.number_rows (windows inside ranges of the order), number_sampled (equi-depth ranges)",
+"WIN-9": "operators.log.status_transitions (range-partitioned lag); streaming.state.transitions (transformWithState, reorders inside the watermark)",
 "SRT-1": "operators.log.newest_first",
 "SRT-2": "operators.log.limit_one",
 "SRT-3": "operators.log.first_per_topic",
@@ -119,7 +119,7 @@ IMPL = {
 "SCL-23": "functions.text.is_truthy",
 "SCL-24": "functions.text.annualise",
 "SCL-25": "functions.text.range_label / money_range_label",
-"STM-1": "streaming.current_table (update mode)",
+"STM-1": "streaming.current_table (update mode); streaming.state.current_changes (transformWithState, deletes)",
 "STM-2": "streaming.route",
 "STM-3": "streaming.sessions (session_window + watermark); twin streaming.batch.sessions",
 "STM-4": "streaming.windowed_agg; twin streaming.batch.windowed_counts",
@@ -128,12 +128,12 @@ IMPL = {
 "STM-7": "streaming.materialise",
 "STM-8": "streaming.stage",
 "STM-9": "streaming.rate_per_topic",
-"STM-10": "withWatermark in every stateful operator; twin streaming.batch.late_rows",
-"STM-11": "streaming.materialise / stage restarted on the same checkpoint",
+"STM-10": "streaming.on_time / late_counts (rows the watermark drops, observed and reported); twin streaming.batch.late_rows",
+"STM-11": "streaming.materialise / stage / chain.run_chain restarted on the same checkpoint, in mid-log",
 "STM-12": "streaming.dedup (dropDuplicatesWithinWatermark); twin streaming.batch.dedup",
 "UDF-1": "operators.respond.respond (mapInPandas, one call per Arrow batch)",
 "UDF-2": "operators.respond.respond(fn=None) → builder fallbacks",
-"PIPE-1": "plans.pipeline.run_pipeline",
+"PIPE-1": "plans.pipeline.run_pipeline; streaming.chain.run_chain (a chain of streams)",
 }
 TESTS = {
 "SRC-1": "tests/test_sources_sinks.py", "SRC-8": "tests/test_sources_sinks.py", "SRC-2": "tests/test_streaming.py", "SRC-4": "tests/test_sources_sinks.py", "SRC-5": "tests/test_sources_sinks.py",
