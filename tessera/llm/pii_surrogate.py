@@ -1,12 +1,15 @@
 """PII surrogate generation.
 
 Entities (mail addresses, phone, card, account and social security numbers, IPv4 and IPv6
-addresses, secrets, titled person names) are found by pattern and get keyed surrogates
+addresses, secrets, access keys, titled person names) are found by pattern and get keyed surrogates
 of their own type: digits for digits and letters for letters in the same places, a valid
 check digit where the original has one, name parts in the same script and of the gender
 that the title tells, if it does (in scripts other than Latin, Cyrillic and Greek as many
 letters of the script's block, without gender).  A second pass finds the names of a text where they stand
-in it without a title (with a capital, if the script has any).  Mentions that differ only
+in it without a title (with a capital, if the script has any).  Initials and particles may stand
+among the parts of a name: an initial is an entity of its own, drawn as two letters ("J." may
+become "Ke."), since one letter leaves no room beside the letters that occur; a particle ("von")
+stays.  Mentions that differ only
 in case or punctuation are one entity; IPv6 surrogates are written in full.
 
 The map from entities to surrogates is one-to-one over the whole input (parts of names of all
@@ -58,13 +61,23 @@ def _any(titles: list[str]) -> str:
 
 
 _titles, _neutral = _any(MALE + FEMALE + NEUTRAL), _any(NEUTRAL)
+#: Small words between the parts of a name (fixed values, by language).
+PARTICLES = ["von", "vom", "zu", "zum", "zur", "van", "der", "den", "ten", "ter", "de", "del", "della", "di", "da",
+             "do", "dos", "das", "du", "des", "la", "las", "le", "los", "el", "al", "bin", "ibn"]
 _capital = r"[^\W\d_a-zß-öø-ÿа-яёα-ωά-ώ]"
+_initials = rf"(?:{_capital}\.[ ]?)*"
+_particles = rf"(?:(?:{'|'.join(PARTICLES)})[ ])*"
+_part = rf"(?:{_capital}['’](?={_capital}))?{_capital}[^\W\d_]+(?:['’]{_capital}[^\W\d_]+)?"
+#: Letters of a domain beside those of ASCII: Latin, Greek and Cyrillic ones.
+_wide = "A-Za-z\u00c0-\u024f\u0370-\u052f"
 _octet = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _ip4 = rf"(?:{_octet}\.){{3}}{_octet}"
 _hex = r"[0-9A-Fa-f]{1,4}"
+_year = r"(?:19|20)\d\d"
 PATTERN = re.compile(rf"""
-      (?P<mail>[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{{2,}})
-    | \b(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth)\b["']?\s*[:=]\s*["']?(?P<secret>[A-Za-z0-9+/_-]{{12,}})
+      (?P<mail>[\w.%+-]+@[{_wide}0-9-]+(?:\.[{_wide}0-9-]+)*\.[{_wide}]{{2,}})
+    | \b(?i:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth)\b["']?(?:\s*[:=]\s*|[ ]is[ ](?=["']?[A-Za-z+/_-]*\d))["']?(?P<secret>[A-Za-z0-9+/_-]{{12,}})
+    | (?<![0-9A-Za-z])(?P<access>(?:AKIA|ASIA)[0-9A-Z]{{16}}|gh[opsu]_[0-9A-Za-z]{{36}})(?![0-9A-Za-z])
     | (?<![0-9A-Za-z])(?P<hex>(?=[0-9a-fA-F]*\d)[0-9a-fA-F]{{32,}})(?![0-9A-Za-z])
     | (?<![\w:])(?P<ip6>(?:{_hex}:){{7}}{_hex}
         | (?=[0-9A-Fa-f:.]*[0-9])(?!(?:[0-9A-Fa-f]*:){{9}})(?:
@@ -77,25 +90,31 @@ PATTERN = re.compile(rf"""
     | (?<![\w+])(?P<phone>\+1[ .-]?(?:\(\d{{3}}\)|\d{{3}})[ .-]?\d{{3}}[ .-]?\d{{4}}
         | \+\d(?:(?:[ ./-]|[ ]?\(|\)[ .-]?)?\d){{7,14}}
         | 0\d(?:[ .-]\d\d){{4}}
-        | (?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]\d{{3,4}}
+        | (?!{_year}-{_year}(?!\d))(?<!19\d\d-)(?<!20\d\d-)
+          (?:\+\d{{1,3}}[ .-]?)?(?:\(\d{{2,4}}\)|\d{{2,4}})[ .-]?\d{{3,4}}[ .-]\d{{3,4}}
         | (?:0\d{{1,4}}[ /-]|\(0\d{{1,5}}\)[ ]?)(?:\d{{5,8}}|\d{{3,4}}[ -]\d{{3,5}})
         | (?<![.-])\d{{3}}-\d{{4}}(?!-\w))(?![\w])
-    | (?<!\w)(?P<title>{_titles})\.?[ ](?:(?:{_neutral})\.?[ ])*(?!(?:{_neutral})\b)(?P<name>{_capital}[^\W\d_]+(?:[ -]{_capital}[^\W\d_]+){{0,2}})
+    | (?<!\w)(?P<title>{_titles})\.?[ ](?:(?:{_neutral})\.?[ ])*(?!(?:{_neutral})\b)(?P<name>{_initials}{_particles}{_part}(?:(?:[ ]{_initials}{_particles}|-){_part}){{0,2}})
     """, re.X)
 WORD = re.compile(r"(?<!\w)[^\W\d_]+(?!\w)")
+#: The parts of a found name: initials with their dot, names; particles are skipped.
+PART = re.compile(rf"(?P<initial>{_capital})\.|(?<!\w){_part}")
 #: Java patterns that every text with an entity matches: a digit or at sign, an assigned secret, an
-#: address without digits, a title before a letter that is not a small one of ASCII.
+#: address without digits, a title before a particle or a letter that is not a small one of ASCII.
 NUMBER = r"[\p{Nd}@]"
 ASSIGNED = r"(?iu)(?:token|secret|passw(?:or)?d|key|auth)[\"']?[\s\p{Z}\x1c-\x1f\x85]*[:=]"
 ADDRESS = r"(?:[A-Fa-f]{1,4}:){7}"
 TITLED = (rf"(?=[{''.join(sorted({t[0] for t in _titles.split('|')}))}])(?:{_titles})"
-          r"\.? [A-Z\x{80}-\x{10FFFF}]")
+          rf"\.? (?:[A-Z\x{{80}}-\x{{10FFFF}}]|(?:{'|'.join(PARTICLES)}) )")
+#: What access keys start with; those of other makes hold a digit in all likelihood, yet need not.
+ACCESS = r"A[KS]IA[0-9A-Z]|gh[opsu]_"
 
 
 def has_trace(text: Column) -> Column:
     """True for every text that may hold an entity (cheap tests first)."""
     return F.coalesce(text.rlike(NUMBER) | ((text.contains("=") | text.contains(":")) & text.rlike(ASSIGNED))
-                      | (text.contains(":") & text.rlike(ADDRESS)) | text.rlike(TITLED), F.lit(False))
+                      | (text.contains(":") & text.rlike(ADDRESS)) | text.rlike(ACCESS) | text.rlike(TITLED),
+                      F.lit(False))
 
 
 CONSONANTS = {"latin": "bdfgklmnprstvz", "cyrillic": "бвгдзклмнпрст", "greek": "βγδζκλμνπρστ"}
@@ -151,20 +170,35 @@ def mentions(text: str) -> Iterator[tuple[int, int, str, str]]:
         if "given_X" in kinds and len(told := [k for k in kinds if k in ("given_M", "given_F")]):
             kinds.remove("given_X")
             found = [(a, e, told[0] if k == "given_X" and x == entity else k, x) for a, e, k, x in found]
-    bare, at = [], 0
+    bare, at, done = [], 0, 0
     words = list(WORD.finditer(text))
     for i, w in enumerate(words):
         while at < len(found) and found[at][1] <= w.start():
             at += 1
-        entity = w.group().casefold()
-        if entity not in known or w.group()[0].islower() or (at < len(found) and found[at][0] < w.end()):
+        if w.start() < done or w.group()[0].islower():
             continue
-        kinds = known[entity]
-        follower = words[i + 1] if i + 1 < len(words) else None
-        first = (follower is not None and text[w.end():follower.start()] in (" ", "-")
-                 and "surname" in known.get(follower.group().casefold(), []))
+        entity, end, n = w.group().casefold(), w.end(), i + 1
+        if n < len(words) and text[end:words[n].start()] in ("'", "’"):
+            joined = f"{entity}'{words[n].group().casefold()}"
+            if joined in known:
+                entity, end, n = joined, words[n].end(), n + 1
+        gap = text[end:words[n].start()] if n < len(words) else ""
+        while n + 1 < len(words) and words[n].group() in PARTICLES and text[words[n].end():words[n + 1].start()] == " ":
+            n += 1
+        after = words[n].group().casefold() if n < len(words) else ""
+        if n + 1 < len(words) and text[words[n].end():words[n + 1].start()] in ("'", "’"):
+            joined = f"{after}'{words[n + 1].group().casefold()}"
+            after = joined if joined in known else after
+        if at < len(found) and found[at][0] < end:
+            continue
+        if len(entity) == 1 and gap in (". ", ".") and "surname" in known.get(after, []):
+            bare.append((w.start(), end, "initial", entity))
+        if entity not in known:
+            continue
+        kinds, done = known[entity], end
+        first = gap in (" ", "-") and "surname" in known.get(after, [])
         fit = [k for k in kinds if (k != "surname") == first]
-        bare.append((w.start(), w.end(), (fit or kinds)[0], entity))
+        bare.append((w.start(), end, (fit or kinds)[0], entity))
     yield from sorted(found + bare)
 
 
@@ -174,11 +208,13 @@ def _patterned(text: str) -> Iterator[tuple[int, int, str, str]]:
         kind = m.lastgroup
         if kind == "name":
             gender = TITLE[m.group("title").casefold()]
-            parts = list(re.finditer(r"[^\s-]+", m.group("name")))
+            parts = list(PART.finditer(text, m.start("name"), m.end("name")))
             for i, p in enumerate(parts):
+                if p.group("initial"):
+                    yield *p.span("initial"), "initial", p.group("initial").casefold()
+                    continue
                 t = "surname" if i == len(parts) - 1 else "given_" + gender
-                a = m.start("name") + p.start()
-                yield a, a + len(p.group()), t, p.group().casefold()
+                yield *p.span(), t, p.group().casefold().replace("’", "'")
             continue
         value = m.group(kind)
         if kind in ("card", "ssn"):
@@ -259,6 +295,8 @@ def draw(key: bytes, kind: str, entity: str, trial: int) -> str:
         return like(local, s) + "@" + "".join("abcdefghijklmnopqrstuvwxyz"[s.below(26)] for _ in range(8)) + ".example"
     if kind == "hex":
         return "".join("0123456789abcdef"[s.below(16)] for _ in entity)
+    if kind == "access":  # the maker's letters stay
+        return entity[:4] + like(entity[4:], s)
     if kind == "secret":
         return "".join("0123456789abcdef"[s.below(16)] if re.fullmatch(r"[0-9a-f]+", entity) else
                        "0123456789ABCDEF"[s.below(16)] if re.fullmatch(r"[0-9A-F]+", entity) else like(c, s)
@@ -279,12 +317,21 @@ def draw(key: bytes, kind: str, entity: str, trial: int) -> str:
         more = max(0, (trial - WIDEN) // 4 + 1)
         return code + dash + "".join(str(s.below(10)) for _ in range(len(digits) + more))
     # name parts: syllables of the script, ended by gender; more of them with every few tries
+    front, mark, entity = entity.rpartition("'")
+    if mark:
+        return like(front, s) + mark + syllables(kind, entity, trial, s)
+    return syllables(kind, entity, trial, s)
+
+
+def syllables(kind: str, entity: str, trial: int, s: Stream) -> str:
     sc = script(entity)
     if sc in BLOCKS:
         return "".join(block_letter(sc, s) for _ in range(len(entity) + trial // 4))
     gender = kind[-1] if kind.startswith("given") else None
-    n = max(2, min(5, len(entity) // 2)) + trial // 4
+    n = (1 if kind == "initial" else max(2, min(5, len(entity) // 2))) + trial // 4
     word = "".join(CONSONANTS[sc][s.below(len(CONSONANTS[sc]))] + VOWELS[sc][s.below(len(VOWELS[sc]))] for _ in range(n))
+    if kind == "initial":
+        return word
     if gender == "F":
         return word[:-1] + FINAL[sc, "F"]
     return word + (FINAL[sc, "M"] if gender == "M" else CONSONANTS[sc][s.below(len(CONSONANTS[sc]))])
@@ -297,9 +344,10 @@ def render(kind: str, mention: str, surrogate: str) -> str:
         return "".join([next(it, "") if c.isalnum() else c for c in mention] + list(it))
     letters = [c for c in mention if c.isalpha()]
     if kind != "secret" and letters and all(c.isupper() for c in letters) and (len(letters) > 1 or kind == "mail"):
-        return surrogate.upper()
-    if kind.startswith("given") or kind == "surname":
-        return surrogate[0].upper() + surrogate[1:]
+        return (surrogate.replace("'", "’") if "’" in mention else surrogate).upper()
+    if kind.startswith("given") or kind in ("surname", "initial"):
+        word = "".join(c.upper() if i == 0 or surrogate[i - 1] == "'" else c for i, c in enumerate(surrogate))
+        return word.replace("'", "’") if "’" in mention else word
     if kind == "mail" and mention[:1].isupper():
         return surrogate[0].upper() + surrogate[1:]
     return surrogate

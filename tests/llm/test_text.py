@@ -2,6 +2,7 @@
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -330,6 +331,18 @@ def test_planted_entities_go(spark):
 def test_what_is_no_entity_stays():
     text = "On 2024-01-15 at 12:30:45, 01/2024, std::vector, a::b, 00:1a:2b:3c:4d:5e, 1.234-5678; smith and Smith"
     assert list(P.mentions(text)) == []
+    assert list(P.mentions("the token is authentication, I saw J. in 2001-2002")) == []
+    assert [text[a:e] for text in ["in 2001-2002 555-0000"] for a, e, _, _ in P.mentions(text)] == ["555-0000"]
+
+
+def test_parts_of_names_keep_their_form():
+    text = "Mr J. von Braun met Frau D’Alice O'Brien; J. von Braun, J. Braun, O’Brien. J."
+    table = {(k, e): P.draw(b"k", k, e, 0) for _, _, k, e in P.mentions(text)}
+    new, found = P.rewrite(text, table)
+    name = r"[A-Z][a-z]+"
+    got = re.fullmatch(rf"Mr ({name})\. von ({name}) met Frau ([A-Z]’{name}a) ([A-Z]'{name}); \1\. von \2, \1\. \2, (\S+)\. J\.", new)
+    assert got and got.group(5) == got.group(4).replace("'", "’") and len(got.group(1)) == 2
+    assert [f["type"] for f in found][:4] == ["initial", "surname", "given_F", "surname"]
 
 
 # --------------------------------------------------------------------- pieces
@@ -442,6 +455,65 @@ def test_mix_targets_and_rerun(spark):
             assert abs((g["size"] * g.copies).sum() - want[s]) <= 0.01 * want[s] + 5
 
 
+def plain_mix(docs):
+    """The mix in plain Python: targets by the rules, one walk a source with its draws, all landings tried."""
+    weights = {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted({s for s, _, _ in docs.values()}))}
+    words = {s: sum(n for t, n, _ in docs.values() if t == s) for s in weights}
+    target, open_ = {}, set(weights)
+    while True:
+        unit = (sum(words.values()) - sum(target.values())) / max(1, sum(weights[s] for s in open_))
+        full = {s for s in open_ if unit * weights[s] >= 3 * words[s]}
+        if not full:
+            break
+        target |= {s: 3 * words[s] for s in full}
+        open_ -= full
+    target |= {s: unit * weights[s] for s in open_}
+    copies = {}
+    for s in weights:
+        ids = sorted((d for d in docs if docs[d][0] == s), key=lambda d: (-docs[d][1], docs[d][2]))
+        ratio = target[s] / words[s]
+        whole = int(ratio + 1e-9)
+        p = {d: ratio - whole for d in ids}
+        draws = iter(np.random.Generator(np.random.PCG64(zlib.crc32(f"{s}|0|0".encode()))).random(len(ids) + 3))
+        wait = [] if max(0, ratio - whole) < 1e-9 else [ids[i] for i in sorted({int(x) for x in np.linspace(0, len(ids) - 1, 12)})]
+        trio = []
+        for d in [d for d in ids if d not in wait]:
+            if 1e-9 < p[d] < 1 - 1e-9:
+                trio.append(d)
+            if len(trio) < 3:
+                continue
+            u = np.cross([docs[x][1] for x in trio], [1, 1, 1]).astype(float)  # both totals stay
+            u = u if u.any() else np.array([1.0, -1.0, 0.0])
+            far = [min(((1 - p[x]) if v * way > 0 else p[x]) / abs(v) for x, v in zip(trio, u) if v) for way in (1, -1)]
+            step = far[0] if next(draws) * sum(far) < far[1] else -far[1]
+            for x, v in zip(trio, u):
+                p[x] += step * v
+            trio = [x for x in trio if 1e-9 < p[x] < 1 - 1e-9]
+        trio += wait
+
+        def miss(bits):
+            move = [b - p[x] for b, x in zip(bits, trio)]
+            return abs(sum(m * docs[x][1] for m, x in zip(move, trio))) + abs(sum(move))
+
+        best = min((miss([k >> i & 1 for i in range(len(trio))]) for k in range(1 << len(trio))), default=0)
+        copies[s] = ({d: whole + round(p[d]) for d in ids if d not in trio}, best, trio, whole, target[s])
+    return copies
+
+
+def test_mix_equals_a_plain_walk(spark):
+    rng = random.Random(5)
+    rows = [(i, rng.choice("aaaaabbcdef"), rng.choice([7, 40, rng.randint(1, 900)])) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    order = {r.doc_id: r.h for r in df.select("doc_id", F.xxhash64(F.struct("doc_id", "source", "size")).alias("h")).collect()}
+    docs = {i: (s, n, order[i]) for i, s, n in rows}
+    got = {r.doc_id: r for r in cube_mix(df.repartition(5)).collect()}
+    for s, (walked, best, trio, whole, target) in plain_mix(docs).items():
+        assert {d: got[d].copies for d in walked} == walked
+        assert all(abs(got[d].target - target) < 1e-6 for d in walked)
+        taken = sum(got[d].copies * docs[d][1] for d in docs if docs[d][0] == s)
+        assert abs(taken - target) <= best + 1e-3 and all(got[d].copies - whole in (0, 1) for d in trio)
+
+
 def test_mix_order_parts_equal_rows(spark):
     df = spark.range(2000).select(F.struct(F.lit("same").alias("x")).alias("row"), F.col("id").alias("k"))
     df = df.unionByName(spark.range(5).select(F.struct(F.col("id").cast("string").alias("x")).alias("row"), "id")
