@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+import tessera.llm.radix_dedup as R
 from tessera.llm import suffix_dedup as S
 from tessera.llm.bayes_join import bayes_join, least_matches
 from tessera.llm.common import Scratch, components, documents
@@ -38,6 +39,22 @@ def test_radix_hot_group_and_columns(spark, clash):
     assert set(clash.columns) == set(radix_dedup(clash).columns)
 
 
+def test_radix_hot_groups_in_cells(odd, spark, monkeypatch):
+    """Small cells: groups of each level and the classes at the end are dealt; the result stays."""
+    rows = spark.range(2000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, F.lit("copy " * 40))
+                                    .otherwise(F.concat(F.lit("copy " * 20), F.col("id") % 400)).alias("text"))
+    rows = rows.unionByName(rows.where("doc_id < 500").withColumn("doc_id", F.lit(None).cast("long")))
+    rows = rows.unionByName(odd.select("doc_id", "text"))
+    want = sorted(map(str, radix_dedup(rows, first_width=8, growth=4).collect()))
+    monkeypatch.setattr(R, "CELL", 3)
+    groups = Scratch(spark, "cells").put(spark.createDataFrame([(0, 1000), (1, 40), (2, 2)], "g long, n long"))
+    left, right = R.dealt(spark.range(0, 1042, 1, 4).selectExpr("id", "if(id < 1000, 0L, if(id < 1040, 1L, 2L)) AS g"), groups, ["g"], "n")
+    assert {r.g: r["count"] for r in right.groupBy("g").count().collect()} == {0: 334, 1: 14, 2: 1}
+    met = left.join(right, ["g", "cell"])
+    assert met.count() == 1042 and met.groupBy("g", "cell").count().agg(F.max("count")).first()[0] < 30
+    assert sorted(map(str, radix_dedup(rows, first_width=8, growth=4).collect())) == want
+
+
 def test_radix_empty(no_docs):
     assert radix_dedup(no_docs).collect() == []
 
