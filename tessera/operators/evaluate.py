@@ -72,7 +72,8 @@ def join_decision_idea(decisions: DataFrame, ideas: DataFrame, key: str = "idea_
                        order: str | None = None) -> DataFrame:
     """JN-3: decisions with their original idea (latest idea version when ``order`` given)."""
     idea = latest_per_key(ideas, key, order, value=None) if order else ideas
-    return decisions.join(idea, key, "inner")
+    # both sides grow with the ideas: not broadcast, whatever size Spark takes them for
+    return decisions.join(idea.hint("merge"), key, "inner")
 
 
 def missing_side(left: DataFrame, right: DataFrame, left_key: str,

@@ -46,7 +46,8 @@ def apply_actions(items: DataFrame, actions: DataFrame, machine: str, key: str =
     by = order if order in actions.columns else action
     act = latest_action(actions, key, by).select(key, F.col(action).alias("_act"),
                          *( [F.col(reason).alias("_reason")] if reason and reason in actions.columns else []))
-    j = items.join(act, key, "left")
+    # both sides grow with the items: not broadcast, whatever size Spark takes them for
+    j = items.join(act.hint("merge"), key, "left")
     a = normalise_choice(F.col("_act"))
     new: Column = F.lit(None).cast("string")
     for k, s in m.items():

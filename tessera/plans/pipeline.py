@@ -51,7 +51,10 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
     (id, response): model output holding {"ideas": [...]}; without it the responder is
     asked for ideas with the current state.  Actions tables have (id, action) and default
     to 'approve everything'; a review named in ``skip`` approves everything too, any
-    other skipped stage ends the chain."""
+    other skipped stage ends the chain.
+
+    Both sides of every join hold one row an idea, so all are sort-merge joins: Spark takes the
+    64-character ids of a written stage for 20 bytes and would broadcast them through the driver."""
     counts: dict[str, int] = {}
 
     def gate(name: str, rows: int) -> bool:
@@ -91,7 +94,7 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
         prompts = R.render_prompts(approved, f"Challenge the {kind} of idea %s: %s",
                                    [F.col("idea_id"), F.col("title")])
         resp = answers(prompts, kind)
-        rows = builder(approved.join(resp, "idea_id"), response="response")
+        rows = builder(approved.join(resp.hint("merge"), "idea_id"), response="response")
         return _save(spark, rows, out, kind)
 
     scope, counts["scope"] = evaluate("scope", R.build_scope)
@@ -100,11 +103,11 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
     if time_ is None or cost is None or not gate("decision", counts["scope"]):
         return counts
     ids = (scope.select("idea_id", F.col("challenge_id").alias("scope_challenge_id"), "idea_title")
-           .join(time_.select("idea_id", F.col("challenge_id").alias("time_challenge_id")), "idea_id")
-           .join(cost.select("idea_id", F.col("challenge_id").alias("cost_challenge_id")), "idea_id"))
+           .join(time_.select("idea_id", F.col("challenge_id").alias("time_challenge_id")).hint("merge"), "idea_id")
+           .join(cost.select("idea_id", F.col("challenge_id").alias("cost_challenge_id")).hint("merge"), "idea_id"))
     prompts = R.render_prompts(ids, "Decide on idea %s", [F.col("idea_id")])
     resp = answers(prompts, "decision")
-    decisions, counts["decision"] = _save(spark, R.build_decision(ids.join(resp, "idea_id"), title="idea_title"),
+    decisions, counts["decision"] = _save(spark, R.build_decision(ids.join(resp.hint("merge"), "idea_id"), title="idea_title"),
                                           out, "decisions")
     if not gate("decision_review", counts["decision"]):
         return counts
@@ -117,7 +120,7 @@ def run_pipeline(spark: SparkSession, idea_responses: DataFrame | None, out: str
         "idea_id", "title", "domain", "related_topics"), "idea_id")
     prompts = R.render_prompts(ctx, "Design a data product for %s", [F.col("title")])
     resp = answers(prompts, "solution")
-    solutions, counts["solution"] = _save(spark, R.build_solution(ctx.join(resp, "idea_id")), out, "solutions")
+    solutions, counts["solution"] = _save(spark, R.build_solution(ctx.join(resp.hint("merge"), "idea_id")), out, "solutions")
     if not gate("solution_review", counts["solution"]):
         return counts
     s_items = solutions.withColumn("id", F.col("solution_id"))

@@ -43,3 +43,23 @@ def test_pipeline_from_monitoring_without_review(spark, tmp_dir):
     assert spark.read.parquet(f"{tmp_dir}/run3/current_state").first().usage.consumer_groups == 7
     counts = run_pipeline(spark, None, f"{tmp_dir}/run4", responder=responder, usage=usage, skip={"scope"})
     assert counts == {"monitoring": 1, "ideas": 1, "idea_review": 1}
+
+
+def test_no_stage_broadcasts_the_ideas(spark, tmp_dir, monkeypatch):
+    from tessera.plans import pipeline as P
+
+    plans, save = {}, P._save
+
+    def kept(spark, df, out, name):
+        plans[name] = df._jdf.queryExecution().sparkPlan().toString()
+        return save(spark, df, out, name)
+
+    monkeypatch.setattr(P, "_save", kept)
+    resp = spark.createDataFrame([(f"r{i}", json.dumps({"ideas": [{"title": f"Idea {i}"}]})) for i in range(5)],
+                                 "id string, response string")
+    counts = run_pipeline(spark, resp, f"{tmp_dir}/run5")
+    assert counts == dict.fromkeys(P.STAGES[1:], 5)
+    joined = {name for name, plan in plans.items() if "SortMergeJoin" in plan}
+    assert joined == {"approved_ideas", "scope", "time", "cost", "decision_responses", "decisions", "approved_decisions",
+                      "solution_responses", "solutions", "approved_solutions"}
+    assert not [name for name, plan in plans.items() if "Broadcast" in plan]
