@@ -18,6 +18,7 @@ from tessera.streaming import state as ST
 # --- fixed values: parameters of the queries ---
 LATE_CHUNKS, LATE_DELAY_DAYS = 4, 1000
 DELETE_STATUS = "APPROVED"
+KEYS_IN_GROUP = 256  # keys that share a state of stream_transitions
 
 
 def _clock():
@@ -141,7 +142,8 @@ def stream_transitions(v):
     with the second, after a restart; versions wait until the watermark has passed them."""
     src, out = scratch_path(v.spark, "trans-src"), scratch_path(v.spark, "trans-out")
     log = v.v2.select("key", "offset", "status", _clock().alias("event_time"))
-    top = log.agg(F.max("offset")).first()[0] or 0
+    top, keys = log.agg(F.max("offset"), F.approx_count_distinct("key")).first()
+    top, groups = top or 0, max(64, keys // KEYS_IN_GROUP)
     o = F.col("offset")
     first = (o < 0.4 * top) | ((o < 0.6 * top) & (o % 2 == 0))
     # the clock of an idle log goes on, so that the last versions come out too
@@ -150,7 +152,7 @@ def stream_transitions(v):
                                    F.timestamp_seconds(F.lit(3 * top + 10)).alias("event_time"))
     for part in (log.filter(first), log.filter(~first), beat):
         part.select(log.columns).write.mode("append").parquet(src)
-        moved = ST.transitions(stream_log(v.spark, src, log.schema), delay=f"{int(0.2 * top) + 2} seconds")
+        moved = ST.transitions(stream_log(v.spark, src, log.schema), delay=f"{int(0.2 * top) + 2} seconds", groups=groups)
         with ST.rocksdb(v.spark):
             run = (moved.writeStream.format("parquet").option("path", out).outputMode("append")
                    .option("checkpointLocation", f"{out}/_checkpoint").trigger(availableNow=True).start())

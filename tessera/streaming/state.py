@@ -1,4 +1,4 @@
-"""Operators with state of their own per key, by ``transformWithState``.
+"""Operators with state of their own per key or group of keys, by ``transformWithState``.
 
 ``current_changes``  STM-1 with deletes: newest version per key, a null value deletes the key,
 ``transitions``      WIN-9 on a stream: status changes in log order, across micro-batches.
@@ -12,6 +12,7 @@ processing time an ``availableNow`` run would never end.
 from __future__ import annotations
 
 from contextlib import contextmanager
+from itertools import islice
 from typing import Any, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -22,6 +23,8 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from tessera.schemas import COMPACTION_LAG_MS
 
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: Groups of keys that ``transitions`` keeps together, and versions in a chunk of their buffer.
+GROUPS, CHUNK = 4096, 10_000
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -87,52 +90,73 @@ def current_changes(stream: DataFrame, key: str = "key", order: str = "offset",
 
 
 class _Transitions(StatefulProcessor):
-    """Last status in log order; versions wait in a buffer until the watermark has passed them."""
+    """Last status of each key of a group, in log order; versions wait in a buffer until the watermark has passed them.
 
-    def __init__(self, key: str, order: str, status: str):
-        self.key, self.order, self.status = key, order, status
+    Both are kept as columns, and the buffer in chunks: a call to the state moves many versions."""
+
+    def __init__(self, key: str, order: str, status: str, key_type: str):
+        self.key, self.order, self.status, self.key_type = key, order, status, key_type
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", "status string")
-        self.waiting = handle.getListState("waiting", "at long, status string, ms long")
+        self.last = handle.getValueState("last", f"key array<{self.key_type}>, status array<string>")
+        self.waiting = handle.getListState(
+            "waiting", f"key array<{self.key_type}>, at array<bigint>, status array<string>, ms array<bigint>")
+        self.emptied: dict[Any, int] = {}
+
+    def _keep(self, versions: Iterator[tuple]) -> int | None:
+        """Appends the versions to the buffer; the time of the oldest."""
+        oldest = None
+        while part := list(islice(versions, CHUNK)):
+            columns = tuple(map(list, zip(*part)))
+            self.waiting.appendValue(columns)
+            oldest = min(columns[3]) if oldest is None else min(oldest, *columns[3])
+        return oldest
 
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new = [(r[self.order], r[self.status], r["_ms"]) for r in rows]
-        self.waiting.appendList(new)
-        self.handle.registerTimer(max(ms for _, _, ms in new))
+        names = (self.key, self.order, self.status, "_ms")
+        self.handle.registerTimer(self._keep(tuple(r[n] for n in names) for r in rows))
         return iter([])
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
         upto = timerValues.getCurrentWatermarkInMs()
-        held = sorted(self.waiting.get(), key=lambda w: w[0])
-        ready, rest = [w for w in held if w[2] <= upto], [tuple(w) for w in held if w[2] > upto]
+        if self.emptied.get(key) == upto:  # by another timer of the group
+            return
+        self.emptied[key] = upto
+        held = [w for part in self.waiting.get() for w in zip(*part)]
+        ready, rest = [w for w in held if w[3] <= upto], [w for w in held if w[3] > upto]
         if not ready:
             return
+        ready.sort(key=lambda w: (w[1] is not None, w[1]))
         before = self.last.get()
-        for at, status, _ in ready:
-            if before is None or before[0] != status:
-                yield Row(**{self.key: key[0], self.order: at, "prev_" + self.status: before and before[0],
-                             self.status: status})
-            before = (status,)
-        self.last.update(before)
+        last = dict(zip(*before)) if before is not None else {}
+        for k, at, status, _ in ready:
+            if k not in last or last[k] != status:
+                yield Row(**{self.key: k, self.order: at, "prev_" + self.status: last.get(k), self.status: status})
+            last[k] = status
+        self.last.update((list(last), list(last.values())))
+        self.waiting.clear()
         if rest:
-            self.waiting.put(rest)
-        else:
-            self.waiting.clear()
+            self.handle.registerTimer(self._keep(iter(rest)))
 
     def close(self) -> None:
         pass
 
 
 def transitions(stream: DataFrame, key: str = "key", order: str = "offset", status: str = "status",
-                ts: str = "event_time", delay: str = "1 hour") -> DataFrame:
+                ts: str = "event_time", delay: str = "1 hour", groups: int = GROUPS) -> DataFrame:
     """WIN-9 on a stream: versions whose status differs from the key's previous one in ``order``.
 
     Versions may arrive out of order by up to ``delay`` of event time, which has to grow along
     ``order``; a row comes out once the watermark has passed it.
+
+    Keys share their state in ``groups`` by their hash: a Python call and a few calls to the state
+    serve a group, not a key.  A group is read and written whole when some of it is ready, so take
+    some hundreds of keys for one.  State is found by group: a checkpoint keeps its ``groups``.
     """
     fields = {f.name: f for f in stream.schema.fields}
     schema = T.StructType([fields[key], fields[order], T.StructField("prev_" + status, T.StringType()), fields[status]])
-    rows = stream.select(key, order, status, ts, F.unix_millis(ts).alias("_ms")).withWatermark(ts, delay)
-    return rows.groupBy(key).transformWithState(_Transitions(key, order, status), schema, "Append", "EventTime")
+    rows = stream.select(key, order, status, ts, F.unix_millis(ts).alias("_ms"),
+                         F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group")).withWatermark(ts, delay)
+    states = _Transitions(key, order, status, fields[key].dataType.simpleString())
+    return rows.groupBy("_group").transformWithState(states, schema, "Append", "EventTime")
