@@ -12,9 +12,9 @@ processing time an ``availableNow`` run would never end.
 from __future__ import annotations
 
 from contextlib import contextmanager
-from itertools import islice
 from typing import Any, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +25,7 @@ from tessera.schemas import COMPACTION_LAG_MS
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 #: Groups of keys that ``transitions`` keeps together, and versions in a chunk of their buffer.
 GROUPS, CHUNK = 4096, 10_000
+LOWEST = -2**63
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -94,31 +95,25 @@ class _Transitions(StatefulProcessor):
 
     Both are kept as columns, and the buffer in chunks: a call to the state moves many versions."""
 
-    def __init__(self, key: str, order: str, status: str, key_type: str):
-        self.key, self.order, self.status, self.key_type = key, order, status, key_type
+    def __init__(self, names: list[str]):
+        self.names = names  # of the output: key, order, previous status, status
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.last = handle.getValueState("last", f"key array<{self.key_type}>, status array<string>")
+        self.last = handle.getValueState("last", "key array<string>, status array<string>")
         self.waiting = handle.getListState(
-            "waiting", f"key array<{self.key_type}>, at array<bigint>, status array<string>, ms array<bigint>")
+            "waiting", "key array<string>, at array<bigint>, status array<string>, ms array<bigint>")
         self.emptied: dict[Any, int] = {}
 
-    def _keep(self, versions: Iterator[tuple]) -> int | None:
-        """Appends the versions to the buffer; the time of the oldest."""
-        oldest = None
-        while part := list(islice(versions, CHUNK)):
-            columns = tuple(map(list, zip(*part)))
-            self.waiting.appendValue(columns)
-            oldest = min(columns[3]) if oldest is None else min(oldest, *columns[3])
-        return oldest
-
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        names = (self.key, self.order, self.status, "_ms")
-        self.handle.registerTimer(self._keep(tuple(r[n] for n in names) for r in rows))
+    def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        oldest = []
+        for pdf in rows:
+            self.waiting.appendValue(tuple(pdf[c].tolist() for c in ("k", "at", "state", "ms")))
+            oldest.append(int(pdf["ms"].min()))
+        self.handle.registerTimer(min(oldest))
         return iter([])
 
-    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
         upto = timerValues.getCurrentWatermarkInMs()
         if self.emptied.get(key) == upto:  # by another timer of the group
             return
@@ -127,17 +122,22 @@ class _Transitions(StatefulProcessor):
         ready, rest = [w for w in held if w[3] <= upto], [w for w in held if w[3] > upto]
         if not ready:
             return
-        ready.sort(key=lambda w: (w[1] is not None, w[1]))
+        ready.sort(key=lambda w: w[1])
         before = self.last.get()
         last = dict(zip(*before)) if before is not None else {}
+        changes = []
         for k, at, status, _ in ready:
             if k not in last or last[k] != status:
-                yield Row(**{self.key: k, self.order: at, "prev_" + self.status: last.get(k), self.status: status})
+                changes.append((k, at, last.get(k), status))
             last[k] = status
         self.last.update((list(last), list(last.values())))
         self.waiting.clear()
+        for i in range(0, len(rest), CHUNK):
+            self.waiting.appendValue(tuple(map(list, zip(*rest[i:i + CHUNK]))))
         if rest:
-            self.handle.registerTimer(self._keep(iter(rest)))
+            self.handle.registerTimer(min(w[3] for w in rest))
+        for i in range(0, len(changes), CHUNK):
+            yield pd.DataFrame(changes[i:i + CHUNK], columns=self.names)
 
     def close(self) -> None:
         pass
@@ -155,8 +155,13 @@ def transitions(stream: DataFrame, key: str = "key", order: str = "offset", stat
     some hundreds of keys for one.  State is found by group: a checkpoint keeps its ``groups``.
     """
     fields = {f.name: f for f in stream.schema.fields}
-    schema = T.StructType([fields[key], fields[order], T.StructField("prev_" + status, T.StringType()), fields[status]])
-    rows = stream.select(key, order, status, ts, F.unix_millis(ts).alias("_ms"),
-                         F.pmod(F.xxhash64(key), F.lit(groups)).alias("_group")).withWatermark(ts, delay)
-    states = _Transitions(key, order, status, fields[key].dataType.simpleString())
-    return rows.groupBy("_group").transformWithState(states, schema, "Append", "EventTime")
+    names = [key, order, "prev_" + status, status]
+    text = [T.StructField(n, T.LongType() if n == order else T.StringType()) for n in names]
+    # pandas would make floats of whole numbers beside nulls: keys go as text, no order as the lowest
+    rows = stream.select(
+        F.col(key).cast("string").alias("k"), F.coalesce(F.col(order).cast("long"), F.lit(LOWEST)).alias("at"),
+        F.col(status).alias("state"), F.unix_millis(ts).alias("ms"), F.col(ts).alias("seen"),
+        F.pmod(F.xxhash64(key), F.lit(groups)).alias("keys")).withWatermark("seen", delay)
+    moved = rows.groupBy("keys").transformWithStateInPandas(_Transitions(names), T.StructType(text), "Append", "EventTime")
+    return moved.select(F.col(key).cast(fields[key].dataType).alias(key),
+                        F.nullif(order, F.lit(LOWEST)).cast(fields[order].dataType).alias(order), *names[2:])

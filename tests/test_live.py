@@ -81,3 +81,32 @@ def test_chain_goes_on_where_it_stopped(spark, tmp_dir):
             assert CH.read_stage(spark, root, "last", "id long, n int").count() == 0
     out = CH.read_stage(spark, root, "last", "id long, n int")
     assert sorted(map(tuple, out.collect())) == [(10, 3), (11, 6), (12, 9), (13, 12)]
+
+
+def test_transitions_of_keys_that_share_a_group(spark, tmp_dir, monkeypatch):
+    calls = f"{tmp_dir}/calls"
+    kept = ST._Transitions.handleInputRows
+
+    def counted(self, key, rows, timers):
+        with open(calls, "a") as f:
+            f.write(f"{key[0]}\n")
+        return kept(self, key, rows, timers)
+
+    monkeypatch.setattr(ST._Transitions, "handleInputRows", counted)
+    big = 2**60
+    log = "key long, offset long, status string, event_time timestamp"
+    keys = [None, *(big + k for k in range(60))]
+    parts = [[(k, big + o, s, at(o)) for k in keys for o, s in ((1, "a"), (4, "a"), (9, "b"))],
+             [(k, big + o, s, at(o)) for k in keys for o, s in ((3, None), (2, "a"), (2, "a"))],
+             [(-1, 0, None, at(10000))]]
+    for rows in parts:
+        spark.createDataFrame(rows, log).coalesce(1).write.mode("append").parquet(f"{tmp_dir}/src")
+        stream = spark.readStream.schema(log).parquet(f"{tmp_dir}/src")
+        drain(spark, ST.transitions(stream, delay="8 minutes", groups=4), f"{tmp_dir}/out")
+    out = spark.read.parquet(f"{tmp_dir}/out")
+    assert out.dtypes == [("key", "bigint"), ("offset", "bigint"), ("prev_status", "string"), ("status", "string")]
+    got = {}
+    for r in sorted(out.collect(), key=lambda r: r.offset):
+        got.setdefault(r.key, []).append((r.offset - big, r.prev_status, r.status))
+    assert got == {k: [(1, None, "a"), (3, "a", None), (4, None, "a"), (9, "a", "b")] for k in keys}
+    assert len(open(calls).readlines()) <= 4 + 4 + 1  # a call for a group of keys, not for a key
